@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillgraph.llm import packing, quality_rules, token_counts, token_files, url_filter
+from quillgraph.llm import packing, quality_classifier, quality_rules, simhash, token_counts, token_files, url_filter
 from quillgraph.llm.common import table
 
 #: Tokenizer file, the same vocabulary as ranks, and its pattern.
@@ -50,6 +50,16 @@ def op2_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.count_tokens(table(spark, sf_dir, "documents").select("doc_id", "text"), WORD_BPE, TOKEN_LIMIT)
 
 
+def op6_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return simhash.simhash_components(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+def op7_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs, held = table(spark, sf_dir, "documents").select("doc_id", "text"), quality_classifier.held_out()
+    model = quality_classifier.train(docs, table(spark, sf_dir, "labels"), ~held)
+    return quality_classifier.classify(docs, model).select("doc_id", held.alias("held_out"), "score", "predicted")
+
+
 def op8_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     files = token_files.write_files(table(spark, sf_dir, "documents").select("doc_id", "text"), BYTE_BPE)
     return token_files.read_files(files, with_ids=False)
@@ -59,5 +69,5 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), BYTE_BPE)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_token_counts, op5_quality_rules, op8_token_files, op9_packing)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_token_counts, op5_quality_rules, op6_simhash, op7_quality_classifier, op8_token_files, op9_packing)}
 SQL: dict[str, str] = {"op1_url_filter": OP1_SQL}
