@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillgraph.llm import packing, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts, token_files, url_filter
+from quillgraph.llm import class_lm, decontaminate, packing, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts, token_files, url_filter
 from quillgraph.llm.common import table
 
 #: Tokenizer file, the same vocabulary as ranks, and its pattern.
@@ -45,6 +45,10 @@ def op3_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return suffix_dedup.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op4_class_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return class_lm.score(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op5_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     judged = quality_rules.apply_rules(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return judged.select("doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -73,5 +77,9 @@ def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(table(spark, sf_dir, "documents").select("doc_id", "text", "source"), BYTE_BPE)
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_suffix_dedup, op5_quality_rules, op6_simhash, op7_quality_classifier, op8_token_files, op9_packing)}
+def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return decontaminate.leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_suffix_dedup, op4_class_lm, op5_quality_rules, op6_simhash, op7_quality_classifier, op8_token_files, op9_packing, op10_decontaminate)}
 SQL: dict[str, str] = {"op1_url_filter": OP1_SQL}
