@@ -25,10 +25,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import drop_path, materialize
+from quillgraph.llm.common import materialize
 from quillgraph.llm.components import connected_components
 
 RADIUS, FIELDS, BUCKET, PIVOTS, BATCH_ROWS = 3, 6, 4096, 12, 400
@@ -258,10 +258,10 @@ class Band:
 
     def __init__(self) -> None:
         self.fp, self.bits = np.zeros(0, np.uint64), np.zeros((0, 4), np.uint64)
-        self.pivots, self.rep, self.group = np.zeros((0, PIVOTS), np.int16), np.zeros(0, np.int64), np.zeros(0, np.int64)
+        self.pivots, self.rep, self.group = np.zeros((0, PIVOTS), np.int16), np.zeros(0, object), np.zeros(0, np.int64)
         self.leader, self.n = np.zeros(0, bool), 0
 
-    def add(self, rep: int, fp: np.uint64, bits: np.ndarray, differing: int) -> list[int]:
+    def add(self, rep: bytes, fp: np.uint64, bits: np.ndarray, differing: int) -> list[bytes]:
         """Members of distinct groups that the new one is linked to; they become one group."""
         pivots = np.bitwise_count(fp ^ PIVOT_BITS).astype(np.int16)
         near = np.flatnonzero(np.abs(self.pivots - pivots).max(axis=1, initial=0) <= LOOSE_RADIUS)
@@ -281,40 +281,39 @@ class Band:
         return linked
 
 
-def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int = NEAR_SHINGLE) -> DataFrame:
-    """(doc_id, component_id): rows of docs whose shingle sets are similar, directly or through others, share an id.
+def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, DataFrame]:
+    """(doc_id, digest) of each row of docs, and (digest, component) of the digests that have similar ones.
 
-    Equal texts are one candidate. A band's candidates come sorted by their fingerprints' distance to the first pivot.
-    Up to WINDOW of them are compared pair by pair; in a larger band each is compared with the WINDOW before it and with
-    all those that began a group, so a band of any size is one scan of a sorted partition.
+    A digest is the md5 of a text; equal texts are one candidate. A band's candidates come sorted by their fingerprints'
+    distance to the first pivot. Up to WINDOW of them are compared pair by pair; in a larger band each is compared with
+    the WINDOW before it and with all those that began a group, so a band of any size is one scan of a sorted partition.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            fps, keys, bits, texts = [], [], [], []
+            fps, keys, bits = [], [], []
             for t in batch.column("text").to_pylist():
                 h = shingle_hashes(t, size)
                 fps.append(fingerprint(h))
                 key, bit = sketch(h) if len(h) else (np.zeros(0, np.uint64), np.zeros(4, np.uint64))
                 keys.append(key.view(np.int64))
                 bits.append(bit.tobytes())
-                texts.append(xxhash.xxh3_128_digest((t or "").encode()))
-            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.binary()), pa.array(texts, pa.binary())], ["doc_id", "fp", "keys", "bits", "digest"])
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.binary())], ["doc_id", "digest", "fp", "keys", "bits"])
 
-    marked = materialize(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").mapInArrow(run, "doc_id long, fp long, keys array<long>, bits binary, digest binary"), "sketches")
-    reps = marked.groupBy("digest").agg(F.min("doc_id").alias("rep"))
-    of_rep = marked.join(reps.select(F.col("digest").alias("_digest"), "rep"), (F.col("digest") == F.col("_digest")) & (F.col("doc_id") == F.col("rep"))).dropDuplicates(["digest"])
+    with_digest = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest"), "text")
+    marked = materialize(with_digest.mapInArrow(run, "doc_id long, digest binary, fp long, keys array<long>, bits binary"), "sketches")
     pivot = int(PIVOT_BITS[0])
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.lit(pivot - (1 << 64) if pivot >> 63 else pivot)))
-    keyed = of_rep.select(F.explode("keys").alias("key"), distance.alias("d"), "rep", "fp", "bits")
+    one_each = marked.groupBy("digest").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
+    keyed = one_each.select(F.explode("keys").alias("key"), distance.alias("d"), F.col("digest").alias("rep"), "fp", "bits")
     # agreeing bits are half of the bins that differ, too; 0.07 is for the sketch's own error
     differing = int(BINS * (1 - similarity + 0.07) / 2)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, band = None, Band()
         for batch in batches:
-            key, rep, fp = (batch.column(c).to_numpy() for c in ("key", "rep", "fp"))
-            unsigned, bits, a, b = fp.view(np.uint64), batch.column("bits"), [], []
+            key, unsigned = batch.column("key").to_numpy(), batch.column("fp").to_numpy().view(np.uint64)
+            rep, bits, a, b = batch.column("rep"), batch.column("bits"), [], []
             cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
             for s, e in zip(cuts, cuts[1:], strict=False):
                 if s == e or (e - s == 1 and e < len(key) and key[s] != held):
@@ -322,12 +321,41 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
                 if key[s] != held:
                     held, band = key[s], Band()
                 for i in range(s, e):
-                    others = band.add(int(rep[i]), unsigned[i], np.frombuffer(bits[i].as_py(), np.uint64), differing)
-                    a += [int(rep[i])] * len(others)
+                    own = rep[i].as_py()
+                    others = band.add(own, unsigned[i], np.frombuffer(bits[i].as_py(), np.uint64), differing)
+                    a += [own] * len(others)
                     b += others
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.int64()), pa.array(b, pa.int64())], ["a", "b"])
+            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
 
     sorted_bands = keyed.repartition("key").sortWithinPartitions("key", "d", "rep").select("key", "rep", "fp", "bits")
-    nodes = connected_components(materialize(sorted_bands.mapInArrow(compare, "a long, b long"), "near-links"))
-    named = reps.join(nodes, reps["rep"] == nodes["node"], "left").select(F.col("digest").alias("_digest"), F.coalesce("component", "rep").alias("component_id"))
-    return marked.select("doc_id", "digest").join(named, F.col("digest") == F.col("_digest")).select("doc_id", "component_id")
+    edges = materialize(sorted_bands.mapInArrow(compare, "a binary, b binary"), "near-links")
+    return marked.select("doc_id", "digest"), connected_components(edges).select(F.col("node").alias("_node"), "component")
+
+
+def text_digest() -> Column:
+    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
+
+
+def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int = NEAR_SHINGLE) -> DataFrame:
+    """(doc_id, component_id): rows of docs whose shingle sets are similar, directly or through others, share the
+    smallest doc_id among them."""
+    rows, nodes = _alike(docs, similarity, size)
+    digests = rows.groupBy("digest").agg(F.min("doc_id").alias("least"))
+    named = digests.join(nodes, digests["digest"] == nodes["_node"], "left").select("digest", "least", F.coalesce("component", "digest").alias("component"))
+    smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
+    ids = named.join(smallest, "component").select(F.col("digest").alias("_digest"), "component_id")
+    return rows.join(ids, rows["digest"] == ids["_digest"]).select("doc_id", "component_id")
+
+
+def keep_one(docs: DataFrame, similarity: float = SIMILARITY, size: int = NEAR_SHINGLE) -> DataFrame:
+    """docs with one row of each group of equal or similar texts: that of the smallest doc_id (null last), of those the
+    one with the smallest digest."""
+    rows, nodes = _alike(docs, similarity, size)
+    order = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("id"), F.col("digest").alias("digest"))
+    digests = rows.groupBy("digest").agg(F.min(order).alias("first"))
+    named = digests.join(nodes, digests["digest"] == nodes["_node"], "left")
+    chosen = named.groupBy(F.coalesce("component", "digest").alias("component")).agg(F.min("first").alias("first"))
+    wanted = materialize(chosen.select(F.col("first.id").alias("_id"), F.col("first.digest").alias("_digest")), "kept")
+    marked = docs.withColumn("_own", text_digest())
+    kept = marked.join(wanted, (marked["_own"] == wanted["_digest"]) & marked["doc_id"].cast("long").eqNullSafe(wanted["_id"]), "left_semi")
+    return kept.dropDuplicates(["doc_id", "_own"]).select(*docs.columns)
