@@ -306,8 +306,8 @@ def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, Da
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.lit(pivot - (1 << 64) if pivot >> 63 else pivot)))
     one_each = marked.groupBy("digest").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
     keyed = one_each.select(F.explode("keys").alias("key"), distance.alias("d"), F.col("digest").alias("rep"), "fp", "bits")
-    # agreeing bits are half of the bins that differ, too; 0.07 is for the sketch's own error
-    differing = int(BINS * (1 - similarity + 0.07) / 2)
+    # agreeing bits are half of the bins that differ, too; 0.12 is for the sketch's own error
+    differing = int(BINS * (1 - similarity + 0.12) / 2)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, band = None, Band()
