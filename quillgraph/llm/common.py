@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -48,6 +49,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def release(spark: SparkSession) -> None:
-    """Let Spark's cleaner delete the shuffle files of finished phases before the next one writes its own."""
-    gc.collect()
-    spark._jvm.System.gc()
+    """Let Spark's cleaner delete the shuffle files of finished phases before the next one writes its own.
+
+    The first round drops the driver's Python objects, and the second what only they still held in the JVM.
+    """
+    for _ in range(2):
+        gc.collect()
+        spark._jvm.System.gc()
+        time.sleep(0.3)

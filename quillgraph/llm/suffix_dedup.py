@@ -3,11 +3,11 @@
 A suffix array over all texts would need one machine to hold them. Here equal strings meet in small pieces instead:
 
 1. Each window of LENGTH bytes has a minimizer, the least hash of its K-byte substrings; equal windows have equal
-   ones. The minimizers of all documents, packed into one row for each task batch and bucket, are grouped by value; those that
-   only one doc_id has can't lie in a repeated window, and go.
+   ones. The minimizers of all documents, packed into one row for each batch and bucket, are grouped by value; those
+   that only one doc_id has can't lie in a repeated window, and go.
 2. The windows whose minimizer is shared are cut out as runs, with K + 2 * (LENGTH - K) bytes or so each, and meet in a
-   task by their minimizer. A minimizer of over HOT documents doesn't form one group: its windows meet by their own
-   hash. Equal runs of a batch are one row with all its places.
+   task by their minimizer. A minimizer of over HOT places doesn't form one group: its windows meet by their own
+   hash, and equal ones of a batch are one row with all its places.
 3. A task joins its distinct runs in portions of about PORTION bytes into one text, sorts its suffixes to depth LENGTH,
    and expands intervals on its Burrows-Wheeler transform: breadth first, every interval of a prefix is extended
    backwards by a character, which yields the longest common prefixes by increasing value; it stops at LENGTH. What is
@@ -31,13 +31,14 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import drop_path, materialize, release
+from quillgraph.llm.common import materialize, release
 
-LENGTH, K = 50, 24
-#: Documents of one minimizer beyond which its windows are spread; windows in a run; bytes handled at once by a scan and
+LENGTH, K = 50, 16
+#: Places of one minimizer beyond which its windows are spread; windows in a run; bytes handled at once by a scan and
 #: by a suffix sort.
 HOT, RUN, SCAN, PORTION = 20_000, 64, 2_000_000, 3_000_000
 NO_ID = (1 << 63) - 1
+PLACE = np.dtype([("did", "<i8"), ("dig", "<i4"), ("at", "<u4")])
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -95,12 +96,17 @@ def _texts(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
-def _signed(h: np.ndarray) -> np.ndarray:
-    return np.ascontiguousarray(h).view(np.int64)
+def codes(low: np.ndarray, buckets: int) -> np.ndarray:
+    """Bucket and 40 bits of each minimizer, as one number. Two that share a code only make needless candidates."""
+    mixed = low * _ODD
+    return ((mixed >> np.uint64(24)) % np.uint64(buckets) << np.uint64(40)) | (mixed & np.uint64((1 << 40) - 1))
 
 
 def shared_minimizers(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
-    """(did, dig, h, hot) of each minimizer that at least two doc_ids have, once for each document."""
+    """(_did, code) of each minimizer code that at least two doc_ids have; -1 - code if it has over `hot` places.
+
+    A packed row holds a batch's codes of one bucket: the doc_ids, how many codes each has, and 5 bytes a code.
+    """
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -108,70 +114,88 @@ def shared_minimizers(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
             if not found:
                 continue
             text, low = (np.concatenate(c) for c in zip(*found, strict=True))
-            did, dig = batch.column("_did").to_numpy(), batch.column("_dig").to_numpy()
-            bucket = (low % np.uint64(buckets)).astype(np.int64)
+            did, code = batch.column("_did").to_numpy(), codes(low, buckets)
+            bucket = (code >> np.uint64(40)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
             rows = []
             for b in range(buckets):
                 own = order[cuts[b] : cuts[b + 1]]
                 if len(own):
-                    used, number = np.unique(text[own], return_inverse=True)
-                    rows.append((b, did[used].tobytes(), dig[used].tobytes(), number.astype(np.uint16 if len(used) <= 1 << 16 else np.uint32).tobytes(), low[own].tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], ["bucket", "dids", "digs", "numbers", "hashes"])
+                    used, n = np.unique(text[own], return_counts=True)
+                    packed = np.ascontiguousarray(code[own].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :5]
+                    rows.append((b, did[used].tobytes(), n.astype("<u4").tobytes(), packed.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)], ["bucket", "dids", "counts", "packed"])
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def close(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
-            did, dig, h = [], [], []
-            for dids, digs, numbers, hashes in parts:
-                h.append(np.frombuffer(hashes, np.uint64))
-                number = np.frombuffer(numbers, np.uint16 if len(numbers) == 2 * len(h[-1]) else np.uint32)
-                did.append(np.frombuffer(dids, np.int64)[number])
-                dig.append(np.frombuffer(digs, np.int64)[number])
-            did, dig, h = map(np.concatenate, (did, dig, h))
-            order = np.lexsort((dig, did, h))
-            did, dig, h = did[order], dig[order], h[order]
-            new_h = np.concatenate([[True], h[1:] != h[:-1]])
-            new_id = new_h | np.concatenate([[True], did[1:] != did[:-1]])
-            new_row = new_id | np.concatenate([[True], dig[1:] != dig[:-1]])
-            ids = np.add.reduceat(new_id.astype(np.int64), np.flatnonzero(new_h))[np.cumsum(new_h) - 1]
-            keep = new_row & (ids > 1)
-            yield pa.RecordBatch.from_arrays([pa.array(did[keep]), pa.array(dig[keep]), pa.array(_signed(h[keep])), pa.array(ids[keep] > hot)], ["_did", "_dig", "h", "hot"])
+        def close(bucket: int, parts: list[tuple]) -> pa.RecordBatch:
+            did = np.concatenate([np.repeat(np.frombuffer(d, np.int64), np.frombuffer(n, "<u4")) for d, n, _ in parts])
+            wide = np.zeros((len(did), 8), np.uint8)
+            wide[:, :5] = np.concatenate([np.frombuffer(x, np.uint8) for _, _, x in parts]).reshape(-1, 5)
+            code = wide.view("<u8").ravel()
+            order = np.argsort(code)
+            did, code = did[order], code[order]
+            first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
+            n = np.diff(np.append(first, len(code)))
+            shared = np.minimum.reduceat(did, first) != np.maximum.reduceat(did, first)
+            keep, own = np.repeat(shared, n), code.astype(np.int64) | (bucket << 40)
+            return pa.RecordBatch.from_arrays([pa.array(did[keep]), pa.array(np.where(np.repeat(n > hot, n), -1 - own, own)[keep])], ["_did", "code"])
 
         held, now = [], None
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "dids", "digs", "numbers", "hashes")), strict=True):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "dids", "counts", "packed")), strict=True):
                 if row[0] != now and held:
-                    yield from close(held)
+                    yield close(now, held)
                     held = []
                 now = row[0]
                 held.append(row[1:])
         if held:
-            yield from close(held)
+            yield close(now, held)
+
+    packed = docs.mapInArrow(pack, "bucket int, dids binary, counts binary, packed binary")
+    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(group, "_did long, code long")
+
+
+def _slices(data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> pa.Array:
+    """data[b : b + n] of each begin and length, as a binary array."""
+    ends = np.cumsum(length)
+    at = np.repeat(begin - (ends - length), length) + np.arange(int(length.sum()))
+    return pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32).tobytes()), pa.py_buffer(data[at].tobytes())])
 
-    packed = docs.mapInArrow(pack, "bucket int, dids binary, digs binary, numbers binary, hashes binary")
-    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(group, "_did long, _dig long, h long, hot boolean")
 
+def runs(candidates: DataFrame, buckets: int) -> DataFrame:
+    """(key, s, places): the runs of windows with shared minimizers; places: PLACE records."""
 
-def runs(candidates: DataFrame) -> DataFrame:
-    """(key, s, places): the runs of windows with shared minimizers; places: int64 triples did, dig, position."""
+    def rows(key: np.ndarray, s: pa.Array, places: pa.Array) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(key).view(np.int64)), s, places], ["key", "s", "places"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            did, dig = batch.column("_did").to_numpy().tolist(), batch.column("_dig").to_numpy().tolist()
-            cool, hot = (np.unique(batch.column(c).flatten().to_numpy().view(np.uint64)) for c in ("cool", "hot"))
-            found: dict[tuple[int, bytes], list[int]] = {}
+            did, dig = batch.column("_did").to_numpy(), batch.column("_dig").to_numpy()
+            wanted = np.unique(batch.column("codes").flatten().to_numpy())
+            cool, hot = wanted[wanted >= 0].view(np.uint64), np.unique(-1 - wanted[wanted < 0]).view(np.uint64)
+            spread: dict[bytes, list] = {}
             for data, text, place, begin, count, low in portions(_texts(batch.column("text"))):
-                raw = data.tobytes()
-                for shared, is_hot in ((cool, False), (hot, True)):
-                    for r in np.flatnonzero(np.isin(low, shared)):
-                        t, p, b, n, h = int(text[r]), int(place[r]), int(begin[r]), int(count[r]), int(low[r])
-                        step = 1 if is_hot else RUN
-                        for i in range(0, n, step):
-                            s = raw[b + i : b + min(i + step, n) + LENGTH - 1]
-                            found.setdefault((xxhash.xxh64_intdigest(s) if is_hot else h, s), []).extend((did[t], dig[t], p + i))
-            key = np.array([k for k, _ in found], np.uint64)
-            yield pa.RecordBatch.from_arrays([pa.array(_signed(key)), pa.array([s for _, s in found], pa.binary()), pa.array([np.array(p, np.int64).tobytes() for p in found.values()], pa.binary())], ["key", "s", "places"])
+                code = codes(low, buckets)
+                own = np.flatnonzero(np.isin(code, cool))
+                if len(own):
+                    # runs of at most RUN windows
+                    parts = -(-count[own] // RUN)
+                    run_of = np.repeat(own, parts)
+                    inner = (np.arange(len(run_of)) - np.repeat(np.cumsum(parts) - parts, parts)) * RUN
+                    n = np.minimum(count[run_of] - inner, RUN)
+                    where = np.zeros(len(run_of), PLACE)
+                    where["did"], where["dig"], where["at"] = did[text[run_of]], dig[text[run_of]], place[run_of] + inner
+                    yield rows(code[run_of], _slices(data, begin[run_of] + inner, n + LENGTH - 1), _slices(where.view(np.uint8), np.arange(len(run_of)) * PLACE.itemsize, np.full(len(run_of), PLACE.itemsize)))
+                raw = None
+                for r in np.flatnonzero(np.isin(code, hot)).tolist() if len(hot) else ():
+                    raw = raw or data.tobytes()
+                    b, t, at = int(begin[r]), int(text[r]), int(place[r])
+                    for i in range(int(count[r])):
+                        spread.setdefault(raw[b + i : b + i + LENGTH], []).append((did[t], dig[t], at + i))
+            if spread:
+                key = np.array([xxhash.xxh64_intdigest(s) for s in spread], np.uint64)
+                yield rows(key, pa.array(list(spread), pa.binary()), pa.array([np.array(p, PLACE).tobytes() for p in spread.values()], pa.binary()))
 
     return candidates.mapInArrow(run, "key long, s binary, places binary")
 
@@ -242,61 +266,73 @@ def earliest(strings: list[bytes], owner: np.ndarray) -> list[np.ndarray]:
 
 
 def covered(met: DataFrame) -> DataFrame:
-    """(did, dig, start, end) of byte spans that strings of an earlier doc_id cover."""
+    """(_did, _dig, start, n) of byte spans that strings of an earlier doc_id cover: n bytes from start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def close(own: dict[bytes, list[bytes]]) -> Iterator[pa.RecordBatch]:
-            places = [np.frombuffer(b"".join(p), np.int64).reshape(-1, 3) for p in own.values()]
-            owner = np.array([p[:, 0].min() for p in places])
-            windows = earliest(list(own), owner)
+        def close(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
+            table = pa.Table.from_batches(parts).combine_chunks()
+            coded = table.column("s").combine_chunks().dictionary_encode()
+            places = table.column("places").combine_chunks()
+            n = np.diff(np.frombuffer(places.buffers()[1], np.int32)[places.offset : places.offset + len(places) + 1]) // PLACE.itemsize
+            every = np.frombuffer(b"".join(places.to_pylist()), PLACE)
+            number = np.repeat(coded.indices.to_numpy(), n)
+            strings = coded.dictionary.to_pylist()
+            owner = np.full(len(strings), NO_ID)
+            np.minimum.at(owner, number, every["did"])
+            windows = earliest(strings, owner)
             low, high = np.array([w.min() for w in windows]), np.array([w.max() for w in windows])
             count = np.array([len(w) for w in windows])
-            number = np.repeat(np.arange(len(places)), [len(p) for p in places])
-            every = np.concatenate(places)
-            whole = high[number] < every[:, 0]
-            some = ~whole & (low[number] < every[:, 0])
-            out = [np.column_stack([every[whole], every[whole][:, 2] + count[number[whole]] + LENGTH - 1])]
+            whole = high[number] < every["did"]
+            some = ~whole & (low[number] < every["did"])
+            out = [(every["did"][whole], every["dig"][whole], every["at"][whole], count[number[whole]])]
+            mixed = []
             for i in np.flatnonzero(some).tolist():
-                did, dig, at = every[i].tolist()
-                edge = np.flatnonzero(np.diff(np.concatenate([[False], windows[number[i]] < did, [False]]).astype(np.int8)))
-                out.append(np.array([(did, dig, at + a, at + z + LENGTH - 1) for a, z in edge.reshape(-1, 2).tolist()], np.int64))
-            table = np.concatenate(out)
-            yield pa.RecordBatch.from_arrays([pa.array(table[:, c]) for c in range(4)], ["_did", "_dig", "start", "end"])
-
-        own: dict[bytes, list[bytes]] = {}
+                did, dig, at = every[i].item()
+                edge = np.flatnonzero(np.diff((windows[number[i]] < did).astype(np.int8), prepend=0, append=0))
+                mixed += [(did, dig, at + a, z - a) for a, z in edge.reshape(-1, 2).tolist()]
+            if mixed:
+                out.append(tuple(np.array(c, np.int64) for c in zip(*mixed, strict=True)))
+            did, dig, at, n = (np.concatenate(c) for c in zip(*out, strict=True))
+            return pa.RecordBatch.from_arrays([pa.array(did, pa.int64()), pa.array(dig.astype(np.int32)), pa.array(at.astype(np.int64)), pa.array((n + LENGTH - 1).astype(np.int32))], ["_did", "_dig", "start", "n"])
+
+        held: list[pa.RecordBatch] = []
         size, now = 0, None
         for batch in batches:
-            for key, s, places in zip(*(batch.column(c).to_pylist() for c in ("key", "s", "places")), strict=True):
-                if key != now and size >= PORTION:
-                    yield from close(own)
-                    own, size = {}, 0
-                now = key
-                if s not in own:
-                    own[s] = []
-                    size += len(s)
-                own[s].append(places)
-        if own:
-            yield from close(own)
+            key, s = batch.column("key").to_numpy(), batch.column("s")
+            cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+            ends = np.frombuffer(s.buffers()[1], np.int32)[s.offset : s.offset + len(s) + 1].astype(np.int64)
+            start = 0
+            # a portion ends between two keys
+            for c in cuts[:-1]:
+                if key[c] != now and size + ends[c] - ends[start] >= PORTION:
+                    if c > start:
+                        held.append(batch.slice(start, c - start))
+                    yield close(held)
+                    held, size, start = [], 0, c
+                now = key[c]
+            if len(key) > start:
+                held.append(batch.slice(start))
+                size += int(ends[len(key)] - ends[start])
+        if held:
+            yield close(held)
 
-    return met.repartition("key").sortWithinPartitions("key").mapInArrow(run, "_did long, _dig long, start long, end long")
+    return met.repartition("key").sortWithinPartitions("key").mapInArrow(run, "_did long, _dig int, start long, n int")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({"_did": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_dig": F.xxhash64(F.coalesce("text", F.lit("")))})
+    return docs.withColumns({"_did": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_dig": F.hash(F.coalesce("text", F.lit("")))})
 
 
 def find_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """(_did, _dig, _spans array of (start, end)): the covered byte spans of documents that have any, unmerged."""
+    """(_did, _dig, _spans array of (start, n)): the covered byte spans of documents that have any, unmerged."""
     spark = docs.sparkSession
     texts = _keyed(docs).select("_did", "_dig", "text")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = materialize(shared_minimizers(texts, buckets, hot), "shared-minimizers")
-    release(spark)
-    wanted = shared.groupBy("_did", "_dig").agg(F.collect_list(F.when(~F.col("hot"), F.col("h"))).alias("cool"), F.collect_list(F.when(F.col("hot"), F.col("h"))).alias("hot"))
-    spans = materialize(covered(runs(texts.join(wanted, ["_did", "_dig"]))), "covered")
-    drop_path(shared)
+    shared = shared_minimizers(texts.select("_did", "text"), buckets, hot).groupBy("_did").agg(F.collect_list("code").alias("codes"))
+    spans = materialize(covered(runs(texts.join(shared, "_did").select("_did", "_dig", "codes", "text"), buckets)), "covered")
+    del shared, texts
     release(spark)
-    return spans.groupBy("_did", "_dig").agg(F.collect_list(F.struct("start", "end")).alias("_spans"))
+    return spans.groupBy("_did", "_dig").agg(F.collect_list(F.struct("start", "n")).alias("_spans"))
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -311,8 +347,8 @@ def _each(batch: pa.RecordBatch) -> Iterator[tuple[bytes, np.ndarray]]:
     spans = batch.column("_spans")
     for x, own in zip(_texts(batch.column("text")), spans, strict=True):
         if own.is_valid and len(own):
-            flat = own.values
-            yield x, merged(np.column_stack([flat.field("start").to_numpy(), flat.field("end").to_numpy()]))
+            begin = own.values.field("start").to_numpy()
+            yield x, merged(np.column_stack([begin, begin + own.values.field("n").to_numpy()]))
         else:
             yield x, np.zeros((0, 2), np.int64)
 
