@@ -31,12 +31,12 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import materialize, release
+from quillgraph.llm.common import drop_path, materialize, release
 
 LENGTH, K = 50, 16
 #: Places of one minimizer beyond which its windows are spread; windows in a run; bytes handled at once by a scan and
 #: by a suffix sort.
-HOT, RUN, SCAN, PORTION = 20_000, 64, 2_000_000, 3_000_000
+HOT, RUN, SCAN, PORTION = 20_000, 64, 2_000_000, 300_000
 NO_ID = (1 << 63) - 1
 PLACE = np.dtype([("did", "<i8"), ("dig", "<i4"), ("at", "<u4")])
 _ODD = np.uint64(0x9E3779B97F4A7C15)
@@ -156,18 +156,25 @@ def shared_minimizers(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
     return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(group, "_did long, code long")
 
 
-def _slices(data: np.ndarray, begin: np.ndarray, length: np.ndarray) -> pa.Array:
-    """data[b : b + n] of each begin and length, as a binary array."""
-    ends = np.cumsum(length)
-    at = np.repeat(begin - (ends - length), length) + np.arange(int(length.sum()))
-    return pa.Array.from_buffers(pa.binary(), len(begin), [None, pa.py_buffer(np.concatenate([[0], ends]).astype(np.int32).tobytes()), pa.py_buffer(data[at].tobytes())])
+RUNS = "bucket int, keys binary, lengths binary, strings binary, counts binary, places binary"
 
 
 def runs(candidates: DataFrame, buckets: int) -> DataFrame:
-    """(key, s, places): the runs of windows with shared minimizers; places: PLACE records."""
-
-    def rows(key: np.ndarray, s: pa.Array, places: pa.Array) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(key).view(np.int64)), s, places], ["key", "s", "places"])
+    """The runs of windows with shared minimizers, packed: a row holds a batch's runs of one bucket, that is their keys
+    (uint64), lengths (uint8), strings, numbers of places (uint32) and places (PLACE)."""
+
+    def pack(key: np.ndarray, lengths: np.ndarray, data: np.ndarray, begin: np.ndarray, counts: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
+        bucket = (key % np.uint64(buckets)).astype(np.int32)
+        order = np.lexsort((key, bucket))
+        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+        first = np.cumsum(counts) - counts
+        rows = []
+        for b in range(buckets):
+            own = order[cuts[b] : cuts[b + 1]]
+            if len(own):
+                at, n = _ranges(begin[own], lengths[own]), _ranges(first[own], counts[own])
+                rows.append((b, key[own].tobytes(), lengths[own].astype(np.uint8).tobytes(), data[at].tobytes(), counts[own].astype("<u4").tobytes(), places[n].tobytes()))
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 5), strict=True)], ["bucket", "keys", "lengths", "strings", "counts", "places"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -186,7 +193,7 @@ def runs(candidates: DataFrame, buckets: int) -> DataFrame:
                     n = np.minimum(count[run_of] - inner, RUN)
                     where = np.zeros(len(run_of), PLACE)
                     where["did"], where["dig"], where["at"] = did[text[run_of]], dig[text[run_of]], place[run_of] + inner
-                    yield rows(code[run_of], _slices(data, begin[run_of] + inner, n + LENGTH - 1), _slices(where.view(np.uint8), np.arange(len(run_of)) * PLACE.itemsize, np.full(len(run_of), PLACE.itemsize)))
+                    yield pack(code[run_of], n + LENGTH - 1, data, begin[run_of] + inner, np.ones(len(run_of), np.int64), where)
                 raw = None
                 for r in np.flatnonzero(np.isin(code, hot)).tolist() if len(hot) else ():
                     raw = raw or data.tobytes()
@@ -194,10 +201,17 @@ def runs(candidates: DataFrame, buckets: int) -> DataFrame:
                     for i in range(int(count[r])):
                         spread.setdefault(raw[b + i : b + i + LENGTH], []).append((did[t], dig[t], at + i))
             if spread:
-                key = np.array([xxhash.xxh64_intdigest(s) for s in spread], np.uint64)
-                yield rows(key, pa.array(list(spread), pa.binary()), pa.array([np.array(p, PLACE).tobytes() for p in spread.values()], pa.binary()))
+                key, n = np.array([xxhash.xxh64_intdigest(s) for s in spread], np.uint64), np.full(len(spread), LENGTH)
+                every = np.array([x for own in spread.values() for x in own], PLACE)
+                yield pack(key, n, np.frombuffer(b"".join(spread), np.uint8), np.arange(len(spread)) * LENGTH, np.array([len(x) for x in spread.values()]), every)
+
+    return candidates.mapInArrow(run, RUNS)
+
 
-    return candidates.mapInArrow(run, "key long, s binary, places binary")
+def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
+    """All numbers of begin .. begin + length - 1, range after range."""
+    ends = np.cumsum(length)
+    return np.repeat(begin - (ends - length), length) + np.arange(int(length.sum()))
 
 
 def suffix_order(data: np.ndarray) -> np.ndarray:
@@ -265,58 +279,59 @@ def earliest(strings: list[bytes], owner: np.ndarray) -> list[np.ndarray]:
     return [out[b : b + n - LENGTH] for b, n in zip(begin.tolist(), lengths.tolist(), strict=True)]
 
 
-def covered(met: DataFrame) -> DataFrame:
+def covered(met: DataFrame, buckets: int) -> DataFrame:
     """(_did, _dig, start, n) of byte spans that strings of an earlier doc_id cover: n bytes from start."""
 
+    def portion(strings: list[bytes], counts: np.ndarray, every: np.ndarray) -> pa.RecordBatch:
+        code: dict[bytes, int] = {}
+        number = np.repeat(np.array([code.setdefault(s, len(code)) for s in strings]), counts)
+        owner = np.full(len(code), NO_ID)
+        np.minimum.at(owner, number, every["did"])
+        windows = earliest(list(code), owner)
+        low, high = np.array([w.min() for w in windows]), np.array([w.max() for w in windows])
+        size = np.array([len(w) for w in windows])
+        whole = high[number] < every["did"]
+        some = ~whole & (low[number] < every["did"])
+        out = [(every["did"][whole], every["dig"][whole], every["at"][whole], size[number[whole]])]
+        mixed = []
+        for i in np.flatnonzero(some).tolist():
+            did, dig, at = every[i].item()
+            edge = np.flatnonzero(np.diff((windows[number[i]] < did).astype(np.int8), prepend=0, append=0))
+            mixed += [(did, dig, at + a, z - a) for a, z in edge.reshape(-1, 2).tolist()]
+        if mixed:
+            out.append(tuple(np.array(c, np.int64) for c in zip(*mixed, strict=True)))
+        did, dig, at, n = (np.concatenate(c) for c in zip(*out, strict=True))
+        return pa.RecordBatch.from_arrays([pa.array(did, pa.int64()), pa.array(dig.astype(np.int32)), pa.array(at.astype(np.int64)), pa.array((n + LENGTH - 1).astype(np.int32))], ["_did", "_dig", "start", "n"])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        def close(parts: list[pa.RecordBatch]) -> pa.RecordBatch:
-            table = pa.Table.from_batches(parts).combine_chunks()
-            coded = table.column("s").combine_chunks().dictionary_encode()
-            places = table.column("places").combine_chunks()
-            n = np.diff(np.frombuffer(places.buffers()[1], np.int32)[places.offset : places.offset + len(places) + 1]) // PLACE.itemsize
-            every = np.frombuffer(b"".join(places.to_pylist()), PLACE)
-            number = np.repeat(coded.indices.to_numpy(), n)
-            strings = coded.dictionary.to_pylist()
-            owner = np.full(len(strings), NO_ID)
-            np.minimum.at(owner, number, every["did"])
-            windows = earliest(strings, owner)
-            low, high = np.array([w.min() for w in windows]), np.array([w.max() for w in windows])
-            count = np.array([len(w) for w in windows])
-            whole = high[number] < every["did"]
-            some = ~whole & (low[number] < every["did"])
-            out = [(every["did"][whole], every["dig"][whole], every["at"][whole], count[number[whole]])]
-            mixed = []
-            for i in np.flatnonzero(some).tolist():
-                did, dig, at = every[i].item()
-                edge = np.flatnonzero(np.diff((windows[number[i]] < did).astype(np.int8), prepend=0, append=0))
-                mixed += [(did, dig, at + a, z - a) for a, z in edge.reshape(-1, 2).tolist()]
-            if mixed:
-                out.append(tuple(np.array(c, np.int64) for c in zip(*mixed, strict=True)))
-            did, dig, at, n = (np.concatenate(c) for c in zip(*out, strict=True))
-            return pa.RecordBatch.from_arrays([pa.array(did, pa.int64()), pa.array(dig.astype(np.int32)), pa.array(at.astype(np.int64)), pa.array((n + LENGTH - 1).astype(np.int32))], ["_did", "_dig", "start", "n"])
-
-        held: list[pa.RecordBatch] = []
-        size, now = 0, None
-        for batch in batches:
-            key, s = batch.column("key").to_numpy(), batch.column("s")
-            cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
-            ends = np.frombuffer(s.buffers()[1], np.int32)[s.offset : s.offset + len(s) + 1].astype(np.int64)
-            start = 0
+        def close(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
+            key, lengths, counts, places = (np.frombuffer(b"".join(p[i] for p in parts), t) for i, t in ((0, np.uint64), (1, np.uint8), (3, "<u4"), (4, PLACE)))
+            raw, ends, last = b"".join(p[2] for p in parts), np.cumsum(lengths, dtype=np.int64), np.cumsum(counts, dtype=np.int64)
+            order = np.argsort(key, kind="stable")
+            filled, new = np.cumsum(lengths[order], dtype=np.int64), np.concatenate([[True], key[order][1:] != key[order][:-1]])
+            at = 0
             # a portion ends between two keys
-            for c in cuts[:-1]:
-                if key[c] != now and size + ends[c] - ends[start] >= PORTION:
-                    if c > start:
-                        held.append(batch.slice(start, c - start))
-                    yield close(held)
-                    held, size, start = [], 0, c
-                now = key[c]
-            if len(key) > start:
-                held.append(batch.slice(start))
-                size += int(ends[len(key)] - ends[start])
+            borders = np.append(np.flatnonzero(new), len(order))
+            while at < len(order):
+                past = np.searchsorted(filled, (filled[at - 1] if at else 0) + PORTION)
+                end = int(borders[min(np.searchsorted(borders, max(past, at + 1)), len(borders) - 1)])
+                own = order[at:end]
+                strings = [raw[z - n : z] for z, n in zip(ends[own].tolist(), lengths[own].tolist(), strict=True)]
+                yield portion(strings, counts[own], places[_ranges(last[own] - counts[own], counts[own].astype(np.int64))])
+                at = end
+
+        held, now = [], None
+        for batch in batches:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "keys", "lengths", "strings", "counts", "places")), strict=True):
+                if row[0] != now and held:
+                    yield from close(held)
+                    held = []
+                now = row[0]
+                held.append(row[1:])
         if held:
-            yield close(held)
+            yield from close(held)
 
-    return met.repartition("key").sortWithinPartitions("key").mapInArrow(run, "_did long, _dig int, start long, n int")
+    return met.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "_did long, _dig int, start long, n int")
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -328,8 +343,10 @@ def find_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     spark = docs.sparkSession
     texts = _keyed(docs).select("_did", "_dig", "text")
     buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = shared_minimizers(texts.select("_did", "text"), buckets, hot).groupBy("_did").agg(F.collect_list("code").alias("codes"))
-    spans = materialize(covered(runs(texts.join(shared, "_did").select("_did", "_dig", "codes", "text"), buckets)), "covered")
+    shared = materialize(shared_minimizers(texts.select("_did", "text"), buckets, hot).groupBy("_did").agg(F.collect_list("code").alias("codes")), "shared")
+    release(spark)
+    spans = materialize(covered(runs(texts.join(shared, "_did").select("_did", "_dig", "codes", "text"), buckets), buckets), "covered")
+    drop_path(shared)
     del shared, texts
     release(spark)
     return spans.groupBy("_did", "_dig").agg(F.collect_list(F.struct("start", "n")).alias("_spans"))
