@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.llm.common import materialize
-from quillgraph.llm.token_cache import byte_bpe
+from quillgraph.llm.token_ids import byte_bpe
 
 SEQUENCE, GROUP, SMALL = 1024, 1 << 20, 1e-4
 BATCH_ROWS = 500

@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.llm.common import materialize
-from quillgraph.llm.token_cache import byte_bpe
+from quillgraph.llm.token_ids import byte_bpe
 
 #: Scale of the frequency table (bits), lanes in a block, tokens in a block and in a file (both may be exceeded by the
 #: document that fills them), steps between checkpoints.
