@@ -1,4 +1,456 @@
 """Registered queries, each next to the SQL that states the same result."""
 
-QUERIES: dict = {}
-SQL: dict = {}
+from __future__ import annotations
+
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from quillgraph.functions import text as T
+from quillgraph.operators import board, exports, graph, layout, mentions, rules
+from quillgraph.sources.tables import raw_mentions, table
+from quillgraph.streaming import limits
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
+SQL: dict[str, str] = {}
+
+
+def query(sql: str | None = None) -> Callable:
+    def add(f: Callable[[SparkSession, str], DataFrame]) -> Callable[[SparkSession, str], DataFrame]:
+        QUERIES[f.__name__] = f
+        if sql:
+            SQL[f.__name__] = sql
+        return f
+
+    return add
+
+
+RAW = "raw AS (SELECT 'C' || o_custkey AS source, 'P' || l_partkey AS target, l_linenumber = 1 AS in_lead, l_returnflag AS kind, l_quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
+M = RAW + ", m AS (SELECT source, target, count(*) AS n, bool_or(in_lead) AS in_lead FROM raw GROUP BY 1, 2)"
+D = M + ", d AS (SELECT target, count(*) AS df FROM m GROUP BY 1), t AS (SELECT count(DISTINCT source) AS total FROM m)"
+E = RAW + ", e AS (SELECT DISTINCT least(source, target) AS a, greatest(source, target) AS b FROM raw WHERE l_quantity <= 10)"
+#: Weight of an entity type, and the default.
+PRIORS, PRIOR = {"ECONOMY": 0.8, "STANDARD": 1.0, "PROMO": 1.2, "MEDIUM": 0.9}, 0.7
+SCORED = D + (
+    ", rev AS (SELECT DISTINCT target AS s, source AS t FROM raw WHERE kind = 'R'), s AS (SELECT source, target, n, in_lead, "
+    + "sqrt(least(n, 5)) * CASE WHEN in_lead THEN 2.0 ELSE 1.0 END * ln((total + 1) / (df + 1)::DOUBLE) * CASE split_part(p_type, ' ', 1) "
+    + " ".join(f"WHEN '{k}' THEN {v}" for k, v in PRIORS.items())
+    + f" ELSE {PRIOR} END::DOUBLE AS base, greatest(0.4, least(1.8, ln(20000.0) / ln(20 + df))) AS spec, CASE WHEN rev.s IS NOT NULL THEN 1.5 ELSE 1.0 END AS mutual "
+    + "FROM m JOIN d USING (target) JOIN part ON target = 'P' || p_partkey CROSS JOIN t LEFT JOIN rev ON rev.s = target AND rev.t = source)"
+)
+
+
+def base_mentions(spark: SparkSession, sf: str) -> DataFrame:
+    return mentions.aggregate(raw_mentions(spark, sf))
+
+
+def scored(spark: SparkSession, sf: str) -> DataFrame:
+    m, raw = base_mentions(spark, sf), raw_mentions(spark, sf)
+    total = m.agg(F.count_distinct("source")).scalar()
+    kind = F.split_part(F.col("p_type"), F.lit(" "), F.lit(1))
+    prior = F.coalesce(F.create_map(*[F.lit(x) for kv in PRIORS.items() for x in kv])[kind], F.lit(PRIOR))
+    parts = table(spark, sf, "part").select(F.concat(F.lit("P"), F.col("p_partkey").cast("string")).alias("target"), prior.alias("prior"))
+    back = raw.filter("kind = 'R'").select(F.col("target"), F.col("source"), F.lit(1.5).alias("mutual")).distinct()
+    joined = m.join(mentions.document_frequency(m), "target").join(parts, "target").join(back, ["target", "source"], "left")
+    base = mentions.base_score(F.col("n"), F.col("in_lead"), F.col("df"), total, F.col("prior"))
+    return joined.select("source", "target", "n", "in_lead", base.alias("base"), mentions.specificity(F.col("df")).alias("spec"), F.coalesce("mutual", F.lit(1.0)).alias("mutual"))
+
+
+def sparse_edges(spark: SparkSession, sf: str) -> DataFrame:
+    return graph.canonical_edges(raw_mentions(spark, sf, max_quantity=10))
+
+
+@query(f"WITH {M} SELECT * FROM m")
+def mention_agg(spark, sf):
+    return base_mentions(spark, sf)
+
+
+@query(f"WITH {D} SELECT source, target, n, in_lead, df, round(sqrt(least(n, 5)) * CASE WHEN in_lead THEN 2.0 ELSE 1.0 END * (ln((total + 1) / (df + 1)::DOUBLE) + 0.1), 3) AS weight, df > 0.025 * total AS generic FROM m JOIN d USING (target) CROSS JOIN t")
+def mention_weight(spark, sf):
+    return mentions.weighted(base_mentions(spark, sf), 0.025).select("source", "target", "n", "in_lead", "df", "weight", "generic")
+
+
+@query(f"WITH {D} SELECT m.* FROM m JOIN d USING (target) WHERE df >= 30")
+def min_support(spark, sf):
+    return mentions.min_support(base_mentions(spark, sf), 30).select("source", "target", "n", "in_lead")
+
+
+@query(f"WITH {SCORED}, r AS (SELECT source, target, round(base * spec * mutual, 3) AS score FROM s), k AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, target) - 1 AS rank FROM r) SELECT *, CASE WHEN rank < 20 AND score >= 1.0 THEN 'core' ELSE 'extended' END AS tier FROM k")
+def mention_rank_tier(spark, sf):
+    s = scored(spark, sf).select("source", "target", F.round(F.col("base") * F.col("spec") * F.col("mutual"), 3).alias("score"))
+    return mentions.ranked(s).withColumn("rank", F.col("rank").cast("long"))
+
+
+@query(f"WITH {SCORED}, k AS (SELECT source, target, CASE WHEN in_lead THEN 'L' ELSE '' END || n AS code, row_number() OVER (PARTITION BY source ORDER BY round(base, 6) DESC, target) AS rn FROM s) SELECT * FROM k WHERE rn <= 40")
+def top_candidates(spark, sf):
+    s = scored(spark, sf).withColumn("base", F.round("base", 6))
+    return mentions.top(s, 40, "base").select("source", "target", mentions.mention_code(F.col("in_lead"), F.col("n")).alias("code"), F.col("rn").cast("long").alias("rn"))
+
+
+@query("WITH u AS (SELECT n_name AS title, 'category' AS source FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal < 0 UNION SELECT n_name, 'wikidata' FROM supplier JOIN nation ON s_nationkey = n_nationkey UNION SELECT n_name, 'list_page' FROM nation WHERE n_regionkey < 3 UNION SELECT n_name, 'manual' FROM nation WHERE n_nationkey = 7), g AS (SELECT title, list_sort(list(source)) AS l FROM u GROUP BY 1) SELECT title, array_to_string(l, ',') AS sources, 2 * list_contains(l, 'category')::INT + 2 * list_contains(l, 'wikidata')::INT + list_contains(l, 'list_page')::INT + 5 * list_contains(l, 'manual')::INT AS confidence FROM g")
+def candidate_union(spark, sf):
+    nation = table(spark, sf, "nation").withColumnRenamed("n_name", "title")
+    parts = {
+        "category": table(spark, sf, "customer").filter("c_acctbal < 0").join(nation, F.col("c_nationkey") == F.col("n_nationkey")),
+        "wikidata": table(spark, sf, "supplier").join(nation, F.col("s_nationkey") == F.col("n_nationkey")),
+        "list_page": nation.filter("n_regionkey < 3"),
+        "manual": nation.filter("n_nationkey = 7"),
+    }
+    return rules.union_with_sources(parts).withColumn("sources", F.concat_ws(",", "sources"))
+
+
+@query(f"WITH {D} SELECT p_partkey, CASE WHEN p_type LIKE 'PROMO%' THEN 'class' WHEN regexp_matches(lower(p_name), 'green|blue') THEN 'title' WHEN df >= 35 THEN 'support' WHEN p_size >= 40 THEN 'languages' END AS why FROM part LEFT JOIN d ON target = 'P' || p_partkey")
+def keep_cascade(spark, sf):
+    df = mentions.document_frequency(base_mentions(spark, sf))
+    parts = table(spark, sf, "part").withColumn("target", F.concat(F.lit("P"), F.col("p_partkey").cast("string"))).join(df, "target", "left")
+    why = rules.cascade([(F.col("p_type").startswith("PROMO"), "class"), (F.lower("p_name").rlike("green|blue"), "title"), (F.col("df") >= 35, "support"), (F.col("p_size") >= 40, "languages")])
+    return parts.select("p_partkey", why.alias("why"))
+
+
+@query(f"""WITH {D}, x AS (SELECT p_partkey, p_size, coalesce(df, 0) AS score, p_partkey % 11 = 0 AS manual, p_name LIKE '%list%' AS listlike, CASE p_partkey % 4 WHEN 0 THEN 'person' WHEN 1 THEN 'theory' WHEN 2 THEN 'theory?' ELSE 'concept' END AS kind, p_size % 2 = 0 AS clean FROM part LEFT JOIN d ON target = 'P' || p_partkey)
+SELECT p_partkey, CASE WHEN p_partkey % 97 = 0 THEN 'related' WHEN manual THEN 'theory' WHEN listlike THEN 'dropped' WHEN kind = 'person' AND (score - 30 >= 2 OR (clean AND score - 30 >= 1)) THEN 'related' WHEN kind = 'person' THEN 'dropped' WHEN kind = 'theory' THEN 'theory' WHEN kind = 'theory?' AND (clean OR score - 30 >= 1) THEN 'theory' WHEN p_size % 5 >= 3 AND kind IN ('concept', 'theory?') THEN 'theory' WHEN score - 30 >= 2 OR (clean AND score - 30 >= 1) THEN 'related' ELSE 'dropped' END AS role FROM x""")
+def role_cascade(spark, sf):
+    df = mentions.document_frequency(base_mentions(spark, sf))
+    p = table(spark, sf, "part").withColumn("target", F.concat(F.lit("P"), F.col("p_partkey").cast("string"))).join(df, "target", "left")
+    key = F.col("p_partkey")
+    kind = F.element_at(F.array(*map(F.lit, ("person", "theory", "theory?", "concept"))), (key % 4 + 1).cast("int"))
+    score = F.coalesce("df", F.lit(0)) - 30
+    return p.select("p_partkey", rules.role(F.when(key % 97 == 0, "related"), key % 11 == 0, F.col("p_name").contains("list"), kind, score, F.col("p_size") % 2 == 0, F.col("p_size") % 5).alias("role"))
+
+
+@query("SELECT min(doc_id) AS doc_id, md5(text) AS digest FROM documents GROUP BY md5(text)")
+def dedupe_first_wins(spark, sf):
+    d = table(spark, sf, "documents").select("doc_id", F.md5(F.col("text").cast("binary")).alias("digest"))
+    return rules.first_wins(d, "digest", ["doc_id"])
+
+
+@query("SELECT o_custkey, arg_max(o_orderkey, (o_orderdate, o_orderkey)) AS o_orderkey, arg_max(o_orderpriority, (o_orderdate, o_orderkey)) AS o_orderpriority FROM orders GROUP BY 1")
+def last_wins_merge(spark, sf):
+    o = table(spark, sf, "orders").select("o_custkey", "o_orderdate", "o_orderkey", "o_orderpriority")
+    return rules.last_wins(o, "o_custkey", ["o_orderdate", "o_orderkey"]).drop("o_orderdate")
+
+
+@query("SELECT c_custkey, coalesce(r_name, n_name, 'C' || c_custkey) AS resolved FROM customer LEFT JOIN nation ON c_nationkey = n_nationkey AND n_nationkey % 3 > 0 LEFT JOIN region ON n_regionkey = r_regionkey AND r_regionkey % 2 = 0")
+def alias_resolve(spark, sf):
+    c, n, r = (table(spark, sf, t) for t in ("customer", "nation", "region"))
+    joined = c.join(n.filter("n_nationkey % 3 > 0"), F.col("c_nationkey") == F.col("n_nationkey"), "left").join(r.filter("r_regionkey % 2 = 0"), F.col("n_regionkey") == F.col("r_regionkey"), "left")
+    return joined.select("c_custkey", F.coalesce("r_name", "n_name", F.concat(F.lit("C"), F.col("c_custkey").cast("string"))).alias("resolved"))
+
+
+#: Theme rules of the synthetic corpus.
+THEMES = {"law": "licen[sc]e|copyright", "number": "[0-9]{3}", "the": "\\bthe\\b", "marks": "[#$%&]{3}", "shout": "[A-Z]{5}"}
+_TAGGED = "tagged AS (" + " UNION ALL ".join(f"SELECT doc_id, '{k}' AS theme, 2 * regexp_matches(text, '{v}')::INT + regexp_matches(substr(text, 1, 200), '{v}')::INT AS score FROM documents" for k, v in THEMES.items()) + ")"
+
+
+def tagged(spark, sf):
+    d = table(spark, sf, "documents")
+    one = lambda k, v: F.struct(F.lit(k).alias("theme"), (2 * F.col("text").rlike(v).cast("int") + F.substring("text", 1, 200).rlike(v).cast("int")).alias("score"))
+    return d.select("doc_id", F.explode(F.array(*[one(k, v) for k, v in THEMES.items()])).alias("t")).select("doc_id", "t.theme", "t.score")
+
+
+@query(f"WITH {_TAGGED} SELECT * FROM tagged WHERE score > 0")
+def theme_tags(spark, sf):
+    return tagged(spark, sf).filter("score > 0")
+
+
+@query(f"WITH {_TAGGED}, r AS (SELECT *, row_number() OVER (PARTITION BY doc_id ORDER BY score DESC, theme) AS rn FROM tagged WHERE score > 0) SELECT doc_id, string_agg(theme, ',' ORDER BY rn) AS themes FROM r WHERE rn <= 3 GROUP BY 1")
+def theme_top3(spark, sf):
+    best = F.slice(F.array_sort(F.collect_list(F.struct((-F.col("score")).alias("s"), "theme"))), 1, 3)
+    return tagged(spark, sf).filter("score > 0").groupBy("doc_id").agg(F.array_join(F.transform(best, lambda x: x["theme"]), ",").alias("themes"))
+
+
+@query("SELECT doc_id, array_to_string(string_split(regexp_replace(text, '([.!?])[ \\t\\n\\r]', '\\1' || chr(1), 'g'), chr(1))[1:2], ' ') AS head FROM documents")
+def first_sentences(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", T.first_sentences(F.col("text")).alias("head"))
+
+
+@query("""WITH f AS (SELECT doc_id, trim(regexp_replace(text, '[ \\t\\n\\r]+', ' ', 'g')) AS flat FROM documents), c AS (SELECT doc_id, flat, flat[1:190] AS cut, 190 - instr(reverse(flat[1:190]), ' ') AS space FROM f)
+SELECT doc_id, CASE WHEN length(flat) <= 190 THEN flat ELSE regexp_replace(CASE WHEN instr(cut, ' ') > 0 AND space > 114 THEN cut[1:space] ELSE cut END, '[ .,;:]+$', '') || '…' END AS short FROM c""")
+def snippet(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", T.snippet(F.col("text")).alias("short"))
+
+
+@query("""WITH s AS (SELECT doc_id, regexp_replace(regexp_replace(lower(strip_accents(substr(text, 1, 80))), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS b FROM documents), t AS (SELECT doc_id, regexp_replace(b[1:60], '^-+|-+$', '', 'g') AS b FROM s)
+SELECT doc_id, CASE WHEN b = '' THEN '' || doc_id ELSE b || '-' || doc_id END AS slug FROM t""")
+def slug(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", T.slug(F.substring("text", 1, 80), F.col("doc_id").cast("string")).alias("slug"))
+
+
+@query("SELECT page_id, replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') AS escaped FROM pages")
+def html_escape(spark, sf):
+    return table(spark, sf, "pages").select("page_id", T.html_escape(F.col("html")).alias("escaped"))
+
+
+@query("SELECT doc_id, substr(CASE WHEN length(flat) - length(replace(flat, '. ', '')) >= 4 THEN array_to_string(string_split(flat, '. ')[1:2], '. ') ELSE flat END, 1, 260) AS intro FROM (SELECT doc_id, replace(text, chr(10), ' ') AS flat FROM documents)")
+def intro_cut(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", T.intro(F.col("text"), 260).alias("intro"))
+
+
+@query("SELECT page_id, substr(trim(regexp_replace(html, '[\\x00-\\x1f<>]', '', 'g')), 1, 40) AS clean FROM pages")
+def sanitize(spark, sf):
+    return table(spark, sf, "pages").select("page_id", T.sanitize(F.col("html"), 40).alias("clean"))
+
+
+@query("SELECT doc_id, array_to_string(list_distinct_ordered[1:7], ',') AS years FROM (SELECT doc_id, list_filter(l, lambda x, i: list_position(l, x) = i) AS list_distinct_ordered FROM (SELECT doc_id, regexp_extract_all(text, '\\b(1[0-9]{3}|20[0-9]{2})\\b', 1) AS l FROM documents))")
+def year_list(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", F.concat_ws(",", T.years(F.col("text"))).alias("years"))
+
+
+@query()
+def year_contexts(spark, sf):
+    return table(spark, sf, "documents").filter(F.col("text").rlike("[12][0-9]{3}")).select("doc_id", F.posexplode(T.year_contexts("text")).alias("pos", "context"))
+
+
+@query("SELECT page_id, url_decode(replace(string_split(url, '/')[-1], '_', ' ')) AS title FROM pages")
+def url_title(spark, sf):
+    return table(spark, sf, "pages").select("page_id", T.url_title(F.concat(F.lit("/wiki/"), F.substring_index("url", "/", -1))).alias("title"))
+
+
+_LINKS = "links AS (SELECT page_id, unnest(regexp_extract_all(html, '<a href=\"/([^\"]+)\"', 1)) AS target FROM pages), navs AS (SELECT page_id, unnest(regexp_extract_all(regexp_extract(html, '<nav>(.*)</nav>', 1), '<a href=\"/([^\"]+)\"', 1)) AS target FROM pages)"
+
+
+@query(f"WITH {_LINKS} SELECT page_id, target, count(*) AS n, (page_id, target) IN (SELECT (page_id, target) FROM navs) AS in_lead FROM links GROUP BY 1, 2")
+def page_links(spark, sf):
+    anchors = lambda c: F.regexp_extract_all(c, F.lit('<a href="/([^"]+)"'), 1)
+    lead = anchors(F.regexp_extract("html", "<nav>(.*)</nav>", 1))
+    one = table(spark, sf, "pages").select("page_id", lead.alias("lead"), F.explode(anchors(F.col("html"))).alias("target"))
+    return mentions.aggregate(one.select(F.col("page_id").alias("source"), "target", F.array_contains("lead", F.col("target")).alias("in_lead"))).withColumnRenamed("source", "page_id")
+
+
+@query("SELECT p_partkey, regexp_extract(p_type, '^(\\w+)', 1) AS region, CASE WHEN regexp_matches(p_name, '(?i)\\b(green|lime)\\b') THEN 'theory' WHEN contains(lower(p_type), 'brass') THEN 'work' WHEN contains(lower(p_type), 'steel') THEN 'place' ELSE 'other' END AS kind FROM part")
+def classify_keywords(spark, sf):
+    kind = rules.cascade([(F.col("p_name").rlike(r"(?i)\b(green|lime)\b"), "theory"), (F.contains(F.lower("p_type"), F.lit("brass")), "work"), (F.contains(F.lower("p_type"), F.lit("steel")), "place")], "other")
+    return table(spark, sf, "part").select("p_partkey", F.regexp_extract("p_type", r"^(\w+)", 1).alias("region"), kind.alias("kind"))
+
+
+def part_tree(spark, sf):
+    k = F.col("p_partkey")
+    return table(spark, sf, "part").select(k.alias("node"), F.when(k > 0, F.floor(k / 4)).alias("parent"))
+
+
+_TREE = "tree AS (SELECT p_partkey AS node, CASE WHEN p_partkey > 0 THEN p_partkey // 4 END AS parent FROM part)"
+
+
+@query(f"WITH {_TREE} SELECT node, node AS ancestor, 0 AS dist FROM tree UNION ALL SELECT a.node, a.parent, 1 FROM tree a WHERE a.parent IS NOT NULL UNION ALL SELECT a.node, b.parent, 2 FROM tree a JOIN tree b ON a.parent = b.node WHERE b.parent IS NOT NULL")
+def ancestor_chain(spark, sf):
+    return graph.ancestors(part_tree(spark, sf), 2)
+
+
+@query(f"WITH RECURSIVE {_TREE}, up AS (SELECT node, parent AS ancestor FROM tree WHERE parent IS NOT NULL UNION SELECT up.node, t.parent FROM up JOIN tree t ON t.node = up.ancestor WHERE t.parent IS NOT NULL) SELECT * FROM up")
+def class_closure(spark, sf):
+    part_tree(spark, sf).createOrReplaceTempView("quillgraph_tree")
+    return graph.closure(spark, "quillgraph_tree", 40)
+
+
+@query(f"WITH RECURSIVE {_TREE}, roots AS (SELECT * FROM (VALUES (1, 'person', 0), (2, 'work', 1), (5, 'place', 2), (9, 'event', 3)) AS r(root, kind, priority)), up AS (SELECT node, node AS spot, 0 AS dist FROM tree UNION SELECT up.node, t.parent, dist + 1 FROM up JOIN tree t ON t.node = up.spot WHERE t.parent IS NOT NULL AND dist < 6 AND up.spot NOT IN (SELECT root FROM roots)) SELECT node, arg_min(kind, (dist, priority)) AS kind, min(dist) AS dist FROM up JOIN roots ON spot = root GROUP BY 1")
+def nearest_root(spark, sf):
+    roots = spark.createDataFrame([(1, "person", 0), (2, "work", 1), (5, "place", 2), (9, "event", 3)], "root long, kind string, priority int")
+    return graph.nearest_root(part_tree(spark, sf), roots)
+
+
+@query(f"WITH {E} SELECT * FROM e")
+def canonical_edges(spark, sf):
+    return sparse_edges(spark, sf)
+
+
+@query(f"WITH {E} SELECT node, count(*) AS degree FROM (SELECT a AS node FROM e UNION ALL SELECT b FROM e) GROUP BY 1")
+def degree(spark, sf):
+    return graph.degrees(sparse_edges(spark, sf))
+
+
+_GAME = E + ", deg AS (SELECT node, count(*) AS k FROM (SELECT a AS node FROM e UNION ALL SELECT b FROM e) GROUP BY 1), ok AS (SELECT node FROM deg WHERE k >= 10 OR node = 'P1')"
+
+
+@query(f"WITH {_GAME} SELECT a, b FROM e WHERE a IN (FROM ok) AND b IN (FROM ok)")
+def game_graph(spark, sf):
+    return graph.game_graph(sparse_edges(spark, sf), "P1", least=10)
+
+
+_BFS = E + ", n AS (SELECT a AS x, b AS y FROM e UNION ALL SELECT b, a FROM e), bfs AS (SELECT 'P1' AS node, 0 AS dist UNION SELECT y, dist + 1 FROM bfs JOIN n ON x = node WHERE dist < 12), dist AS (SELECT node, min(dist) AS dist FROM bfs GROUP BY 1)"
+
+
+@query(f"WITH RECURSIVE {_BFS} SELECT * FROM dist")
+def bfs_distance(spark, sf):
+    return graph.distances(sparse_edges(spark, sf), "P1")
+
+
+@query(f"WITH RECURSIVE {_BFS} SELECT dist, count(*) AS nodes FROM dist GROUP BY 1")
+def reach_histogram(spark, sf):
+    return graph.reach(graph.distances(sparse_edges(spark, sf), "P1"))
+
+
+_WANTED = [(i + 1, f"P{p}", s, None) for i, (p, s) in enumerate([(2, 3), (7, 2), (11, 3), (19, 2), (23, 3), (31, 2), (47, 3), (59, 2), (83, 1), (999_999_999, 1)])]
+
+
+@query(f"WITH RECURSIVE {_BFS}, w(lvl, start, slack) AS (VALUES " + ", ".join(f"({a}, '{b}', {c})" for a, b, c, _ in _WANTED) + ") SELECT lvl, start, dist, dist + slack AS budget, CASE WHEN dist IS NULL THEN 'unreachable' END AS error FROM w LEFT JOIN dist ON node = start")
+def levels(spark, sf):
+    return graph.levels(graph.distances(sparse_edges(spark, sf), "P1"), spark.createDataFrame(_WANTED, "lvl int, start string, slack int, expected int"))
+
+
+_PAIRS = RAW + ", g AS (SELECT source, target, count(*) AS n FROM raw WHERE l_quantity <= 10 GROUP BY 1, 2), k AS (SELECT target, count(*) AS k FROM g GROUP BY 1 HAVING count(*) BETWEEN 2 AND 60), p AS (SELECT x.source AS a, y.source AS b, round(sum(ln(1 + 60.0 / k) * sqrt(x.n * y.n)), 6) AS weight FROM g x JOIN g y ON x.target = y.target AND x.source < y.source JOIN k ON k.target = x.target GROUP BY 1, 2)"
+_TOP = _PAIRS + ", bb AS (SELECT a, b, weight, a AS me, b AS it FROM p UNION ALL SELECT a, b, weight, b, a FROM p), top AS (SELECT DISTINCT a, b, weight FROM (SELECT *, row_number() OVER (PARTITION BY me ORDER BY weight DESC, it) AS r FROM bb) WHERE r <= 8)"
+
+
+def hub_pairs(spark, sf):
+    return graph.co_mentions(mentions.aggregate(raw_mentions(spark, sf, max_quantity=10))).withColumn("weight", F.round("weight", 6))
+
+
+@query(f"WITH {_PAIRS} SELECT * FROM p")
+def co_mention_pairs(spark, sf):
+    return hub_pairs(spark, sf)
+
+
+@query(f"WITH {_TOP} SELECT * FROM top")
+def topk_neighbours(spark, sf):
+    return graph.strongest_neighbours(hub_pairs(spark, sf))
+
+
+@query(f"WITH {_TOP} SELECT a, b, round(weight / avg(weight) OVER (), 6) AS weight FROM top")
+def pair_weight_norm(spark, sf):
+    return graph.normalized(graph.strongest_neighbours(hub_pairs(spark, sf))).withColumn("weight", F.round("weight", 6))
+
+
+_PATHS = E + ", paths AS (SELECT o_orderkey AS id, ['C' || o_custkey, 'P' || (o_orderkey % 50 + 1), 'C' || (o_custkey % 40 + 1)] AS path FROM orders), st AS (SELECT id, i - 1 AS step, path[i] AS x, path[i + 1] AS y FROM paths, (VALUES (1), (2)) v(i))"
+
+
+@query(f"WITH {_PATHS}, bad AS (SELECT id, min(step) AS bad_step FROM st WHERE NOT EXISTS (SELECT 1 FROM e WHERE a = least(x, y) AND b = greatest(x, y)) GROUP BY 1) SELECT id, bad_step FROM paths LEFT JOIN bad USING (id)")
+def path_validate(spark, sf):
+    path = F.array(F.concat(F.lit("C"), F.col("o_custkey").cast("string")), F.concat(F.lit("P"), (F.col("o_orderkey") % 50 + 1).cast("string")), F.concat(F.lit("C"), (F.col("o_custkey") % 40 + 1).cast("string")))
+    return graph.check_paths(table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), path.alias("path")), sparse_edges(spark, sf))
+
+
+_RUNS = "runs AS (SELECT o_orderkey AS id, substr(o_orderpriority, 1, 1)::INT AS lvl, 'C' || o_custkey AS nick, o_orderkey % 9 + 3 AS moves, o_orderkey % 4 AS hints, o_orderkey % 301 AS secs, greatest(100, 1000 - 120 * (o_orderkey % 9) - 100 * (o_orderkey % 4)) AS score FROM orders)"
+
+
+def runs(spark, sf):
+    k = F.col("o_orderkey")
+    o = table(spark, sf, "orders").select(k.alias("id"), F.substring("o_orderpriority", 1, 1).cast("int").alias("lvl"), F.concat(F.lit("C"), F.col("o_custkey").cast("string")).alias("nick"), (k % 9 + 3).alias("moves"), (k % 4).alias("hints"), (k % 301).alias("secs"))
+    return o.withColumn("score", board.points(F.col("moves"), F.lit(3), F.col("hints")))
+
+
+@query(f"WITH {_RUNS} SELECT lvl, nick, max(score) AS score, min(moves) AS moves, min(secs) AS secs FROM runs GROUP BY 1, 2")
+def board_level(spark, sf):
+    return board.level_board(runs(spark, sf))
+
+
+@query(f"WITH {_RUNS} SELECT nick, sum(score)::BIGINT AS total, count(*) AS levels FROM (SELECT nick, lvl, max(score) AS score FROM runs GROUP BY 1, 2) GROUP BY 1")
+def board_total(spark, sf):
+    return board.total_board(runs(spark, sf))
+
+
+@query(f"WITH {_RUNS} SELECT lvl, nick, score, rank() OVER (PARTITION BY lvl ORDER BY score DESC) AS place FROM (SELECT lvl, nick, max(score) AS score FROM runs GROUP BY 1, 2)")
+def board_rank(spark, sf):
+    return board.placement(runs(spark, sf)).withColumn("place", F.col("place").cast("long"))
+
+
+@query(f"WITH {_RUNS} SELECT * EXCLUDE rn FROM (SELECT *, row_number() OVER (PARTITION BY lvl, nick ORDER BY score DESC, moves, secs, id) AS rn FROM runs) WHERE rn = 1")
+def best_run(spark, sf):
+    return board.best_runs(runs(spark, sf))
+
+
+_REVIEW = M + ", items AS (SELECT 'C' || c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN 'theory' ELSE 'related' END AS role, NULL::VARCHAR AS status, c_custkey % 10 = 0 AS manual FROM customer), rv AS (SELECT 'C' || c_custkey AS id, CASE c_custkey % 4 WHEN 0 THEN 'not_theory' WHEN 1 THEN 'debunked' WHEN 2 THEN 'disputed' ELSE 'confirmed' END AS status FROM customer WHERE c_custkey % 2 = 0), ro AS (SELECT source, target, 'sub' AS code FROM m WHERE n >= 2)"
+
+
+@query(f"""WITH {_REVIEW}, c AS (SELECT m.source, m.target, ro.code, rv.id IS NOT NULL AS seen FROM m LEFT JOIN ro ON ro.source = m.source AND ro.target = m.target LEFT JOIN rv ON rv.id = m.source), anchored AS (SELECT DISTINCT target FROM c WHERE seen AND code IS NOT NULL)
+SELECT source, target, CASE WHEN seen THEN code END AS code, CASE WHEN (seen AND code IS NOT NULL) OR (NOT seen AND target IN (FROM anchored)) THEN 'core' ELSE 'extended' END AS tier FROM c""")
+def review_merge(spark, sf):
+    m = base_mentions(spark, sf)
+    k = F.col("c_custkey")
+    c = table(spark, sf, "customer").select(k, F.concat(F.lit("C"), k.cast("string")).alias("id"))
+    items = c.select("id", F.when(k % 3 == 0, "theory").otherwise("related").alias("role"), F.lit(None).cast("string").alias("status"), (k % 10 == 0).alias("manual"))
+    reviews = c.filter(k % 2 == 0).select("id", F.when(k % 4 == 0, "not_theory").otherwise("disputed").alias("status"))
+    out, _ = rules.merge_reviews(m.withColumn("code", F.lit(None)), items, reviews, m.filter("n >= 2").select("source", "target", F.lit("sub").alias("code")))
+    return out
+
+
+@query("SELECT 'unknown theory' AS rule, doc_id FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'en') UNION ALL SELECT 'status', doc_id FROM labels WHERE quality = 0 AND toxic = 1 UNION ALL SELECT 'missing', doc_id FROM documents WHERE lang = 'en' AND doc_id NOT IN (SELECT doc_id FROM labels)")
+def role_violations(spark, sf):
+    lab = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.when((F.col("quality") == 0) & (F.col("toxic") == 1), "odd").otherwise("debunked").alias("status"))
+    known = table(spark, sf, "documents").filter("lang = 'en'").select(F.col("doc_id").alias("id"))
+    none = spark.createDataFrame([], "source long, target long, code string")
+    return rules.role_violations(lab, none, known, none.select("source", "target")).withColumnRenamed("id", "doc_id")
+
+
+@query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 20 + 1 AS batch FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
+def todo_batches(spark, sf):
+    todo = table(spark, sf, "documents").select("doc_id").join(table(spark, sf, "labels"), "doc_id", "left_anti")
+    return rules.in_batches(todo, ["doc_id"], 20)
+
+
+@query("SELECT doc_id, CASE WHEN doc_id % 3 > 0 AND doc_id % 5 > 0 AND doc_id % 7 > 0 THEN '' || (1900 + doc_id % 5) WHEN doc_id % 3 = 0 THEN '1800' END AS d FROM documents")
+def date_merge(spark, sf):
+    k = F.col("doc_id")
+    nodes = table(spark, sf, "documents").select(k.alias("id"), F.when(k % 3 == 0, "1800").alias("d"))
+    dates = table(spark, sf, "documents").select(k.alias("id"), F.when(k % 5 > 0, 1900 + k % 5).otherwise(0).alias("y"), F.when(k % 7 > 0, "year").otherwise("none").alias("p"))
+    return rules.merge_dates(nodes, dates).select(F.col("id").alias("doc_id"), "d")
+
+
+_POINTS = "pts AS (SELECT vec_id AS id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, label AS cluster FROM embeddings)"
+
+
+def positions(spark, sf):
+    at = lambda i: F.get("embedding", F.lit(i)).cast("double")
+    return table(spark, sf, "embeddings").select(F.col("vec_id").alias("id"), at(0).alias("x"), at(1).alias("y"), F.col("label").alias("cluster"))
+
+
+@query(f"WITH {_POINTS}, l AS (SELECT id % 40 AS id, x, y, 1 + id % 3 AS w, cluster FROM pts), v AS (SELECT id, cluster, sum(w) AS w FROM l GROUP BY 1, 2), b AS (SELECT id, arg_max(cluster, (w, -cluster)) AS cluster FROM v GROUP BY 1) SELECT id, round(sum(x * w) / sum(w), 6) AS x, round(sum(y * w) / sum(w), 6) AS y, any_value(b.cluster) AS cluster FROM l JOIN b USING (id) GROUP BY 1")
+def weighted_centroid(spark, sf):
+    links = positions(spark, sf).select((F.col("id") % 40).alias("id"), "x", "y", (1 + F.col("id") % 3).alias("w"), "cluster")
+    return layout.weighted_centroids(links).withColumns({"x": F.round("x", 6), "y": F.round("y", 6)})
+
+
+@query(f"WITH {_POINTS}, s AS (SELECT cluster, count(*) AS n, round(avg(x), 6) AS x, round(avg(y), 6) AS y FROM pts GROUP BY 1 HAVING count(*) >= 5) SELECT *, row_number() OVER (ORDER BY n DESC, cluster) - 1 AS number FROM s")
+def cluster_summary(spark, sf):
+    return layout.cluster_summary(positions(spark, sf)).withColumns({"x": F.round("x", 6), "y": F.round("y", 6), "number": F.col("number").cast("long")})
+
+
+@query(f"WITH {_POINTS}, g AS (SELECT *, avg(x) OVER () AS mx, avg(y) OVER () AS my, avg(x) OVER (PARTITION BY cluster) AS cx, avg(y) OVER (PARTITION BY cluster) AS cy FROM pts) SELECT round(sqrt(sum((x - cx) ** 2 + (y - cy) ** 2) / sum((x - mx) ** 2 + (y - my) ** 2)), 6) AS separation FROM g")
+def separation(spark, sf):
+    return layout.separation(positions(spark, sf)).withColumn("separation", F.round("separation", 6))
+
+
+@query(f"WITH {_POINTS}, r AS (SELECT sqrt(x * x + y * y) AS d, row_number() OVER (ORDER BY sqrt(x * x + y * y)) - 1 AS rn, count(*) OVER () AS n FROM pts) SELECT round(d, 6) AS quantile FROM r WHERE rn = floor(0.98 * n)")
+def q98_radius(spark, sf):
+    far = positions(spark, sf).select(F.sqrt(F.col("x") * F.col("x") + F.col("y") * F.col("y")).alias("d"))
+    return layout.nearest_rank(far, "d", 0.98).select(F.round("quantile", 6).alias("quantile"))
+
+
+@query("""WITH RECURSIVE o AS (SELECT user_id, event_id, epoch_ms(ts) AS ms, row_number() OVER (PARTITION BY user_id ORDER BY ts, event_id) AS rn FROM events),
+w AS (SELECT user_id, event_id, rn, ms AS opened, 1 AS n FROM o WHERE rn = 1 UNION ALL SELECT o.user_id, o.event_id, o.rn, CASE WHEN o.ms - w.opened > 86400000 THEN o.ms ELSE w.opened END, CASE WHEN o.ms - w.opened > 86400000 THEN 1 ELSE w.n + 1 END FROM w JOIN o ON o.user_id = w.user_id AND o.rn = w.rn + 1)
+SELECT user_id, event_id, n <= 3 AS allowed FROM w""")
+def rate_limit(spark, sf):
+    events = table(spark, sf, "events").select("user_id", "event_id", F.unix_millis(F.col("ts").cast("timestamp")).alias("ms"))
+    return limits.limit_batch(events, 86_400_000, 3)
+
+
+@query(f"WITH RECURSIVE {_BFS}, w(lvl, start, slack) AS (VALUES " + ", ".join(f"({a}, '{b}', {c})" for a, b, c, _ in _WANTED) + "), l AS (SELECT lvl, dist, dist + slack AS budget FROM w JOIN dist ON node = start), g AS (SELECT unnest(['en', 'lt']) AS lang) SELECT lang, lvl, unnest([NULL] || range(dist, budget + 1))::INT AS moves FROM g CROSS JOIN l UNION ALL SELECT lang, NULL, NULL FROM g")
+def game_pages(spark, sf):
+    return exports.level_pages(levels(spark, sf).filter("error is null"), ["en", "lt"])
+
+
+@query(f"WITH {E} SELECT count(*) AS edges, count(DISTINCT a) > 0 AS ready FROM e")
+def health(spark, sf):
+    return sparse_edges(spark, sf).agg(F.count("*").alias("edges"), (F.count_distinct("a") > 0).alias("ready"))
+
+
+@query("SELECT lang, source, count(*) AS n, count(DISTINCT md5(text)) AS distinct_texts, round(avg(CASE WHEN n_chars > 1000 THEN 1.0 ELSE 0.0 END), 6) AS long_share FROM documents GROUP BY 1, 2")
+def histograms(spark, sf):
+    d = table(spark, sf, "documents")
+    return d.groupBy("lang", "source").agg(F.count("*").alias("n"), F.count_distinct(F.md5(F.col("text").cast("binary"))).alias("distinct_texts"), F.round(F.avg(F.when(F.col("n_chars") > 1000, 1.0).otherwise(0.0)), 6).alias("long_share"))
+
+
+@query()
+def communities(spark, sf):
+    return graph.communities(graph.strongest_neighbours(hub_pairs(spark, sf)))
+
+
+@query()
+def force_layout(spark, sf):
+    pairs = graph.strongest_neighbours(hub_pairs(spark, sf)).withColumn("theme", F.substring("a", 2, 2))
+    return layout.force_layout(pairs, "theme", iterations=100)
+
+
+@query()
+def seed_script(spark, sf):
+    return exports.seed_statements(sparse_edges(spark, sf))
