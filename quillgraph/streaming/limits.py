@@ -45,7 +45,7 @@ class RateLimiter(StatefulProcessor):
 
 def limit_stream(events: DataFrame, window_ms: int = WINDOW_MS, most: int = MOST) -> DataFrame:
     """events (user_id, event_id, ms), a stream -> with allowed; needs the RocksDB state store."""
-    return events.groupBy("user_id").transformWithStateInPandas(RateLimiter(window_ms, most), "user_id long, event_id long, allowed boolean", "Append", "none")
+    return events.groupBy("user_id").transformWithStateInPandas(RateLimiter(window_ms, most), "user_id long, event_id long, allowed boolean", "Append", "ProcessingTime")
 
 
 def limit_batch(events: DataFrame, window_ms: int = WINDOW_MS, most: int = MOST) -> DataFrame:
