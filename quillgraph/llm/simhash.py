@@ -227,12 +227,15 @@ def simhash_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 BINS, BANDS, LOOSE_RADIUS, WINDOW = 256, 20, 24, 1024
 SIMILARITY, NEAR_SHINGLE = 0.8, 5
 BAND_BINS = 5
+#: Bits in the union of two bitmaps up to which they are compared; beyond, the min-hash bits are.
+SMALL = 120
 
 
 def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """(a hash of each band, 4 words with a bit of each bin) of a one-permutation min-hash of the distinct hashes.
+    """(a hash of each band, 8 words) of the distinct hashes.
 
-    An empty bin borrows from the next full one.
+    Bands and the first 4 words, a bit of each bin, are of a one-permutation min-hash, in which an empty bin borrows from
+    the next full one. The other 4 words are a bitmap of the hashes, which tells small sets apart more exactly.
     """
     mixed = np.unique(hashes) * np.uint64(0x9E3779B97F4A7C15)
     mixed ^= mixed >> np.uint64(29)
@@ -244,7 +247,9 @@ def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     at = np.searchsorted(full, np.arange(BINS)) % len(full)
     values = low[first][at] * np.uint64(0xD6E8FEB86659FD93)
     values ^= values >> np.uint64(32)
-    bits = np.packbits((values & np.uint64(1)).astype(np.uint8), bitorder="little").view(np.uint64)
+    bitmap = np.zeros(BINS, np.uint8)
+    bitmap[(mixed >> np.uint64(16)) % np.uint64(BINS)] = 1
+    bits = np.packbits(np.concatenate([(values & np.uint64(1)).astype(np.uint8), bitmap]), bitorder="little").view(np.uint64)
     keys = values[: BANDS * BAND_BINS].reshape(BANDS, BAND_BINS).copy()
     key = np.arange(1, BANDS + 1, dtype=np.uint64)
     for i in range(BAND_BINS):
@@ -253,20 +258,28 @@ def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key, bits
 
 
+def similar(others: np.ndarray, own: np.ndarray, similarity: float) -> np.ndarray:
+    """Which of the others' sketches are of a set that is as similar as `similarity`, but for the sketch's error."""
+    both, either = np.bitwise_count(others[:, 4:] & own[4:]).sum(axis=1), np.bitwise_count(others[:, 4:] | own[4:]).sum(axis=1)
+    # of the bins that differ, half have equal bits
+    agreeing = 1 - 2 * np.bitwise_count(others[:, :4] ^ own[:4]).sum(axis=1) / BINS
+    return np.where(either <= SMALL, both >= (similarity - 0.06) * either, agreeing >= similarity - 0.09)
+
+
 class Band:
     """The members of one band so far, in order of their distance to the first pivot."""
 
     def __init__(self) -> None:
-        self.fp, self.bits = np.zeros(0, np.uint64), np.zeros((0, 4), np.uint64)
+        self.fp, self.bits = np.zeros(0, np.uint64), np.zeros((0, 8), np.uint64)
         self.pivots, self.rep, self.group = np.zeros((0, PIVOTS), np.int16), np.zeros(0, object), np.zeros(0, np.int64)
         self.leader, self.n = np.zeros(0, bool), 0
 
-    def add(self, rep: bytes, fp: np.uint64, bits: np.ndarray, differing: int) -> list[bytes]:
+    def add(self, rep: bytes, fp: np.uint64, bits: np.ndarray, similarity: float) -> list[bytes]:
         """Members of distinct groups that the new one is linked to; they become one group."""
         pivots = np.bitwise_count(fp ^ PIVOT_BITS).astype(np.int16)
         near = np.flatnonzero(np.abs(self.pivots - pivots).max(axis=1, initial=0) <= LOOSE_RADIUS)
         near = near[np.bitwise_count(self.fp[near] ^ fp) <= LOOSE_RADIUS]
-        near = near[np.bitwise_count(self.bits[near] ^ bits).sum(axis=1) <= differing]
+        near = near[similar(self.bits[near], bits, similarity)]
         groups, first = np.unique(self.group[near], return_index=True)
         self.group[np.isin(self.group, groups)] = self.n
         linked = self.rep[near[first]].tolist()
@@ -295,7 +308,7 @@ def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, Da
             for t in batch.column("text").to_pylist():
                 h = shingle_hashes(t, size)
                 fps.append(fingerprint(h))
-                key, bit = sketch(h) if len(h) else (np.zeros(0, np.uint64), np.zeros(4, np.uint64))
+                key, bit = sketch(h) if len(h) else (np.zeros(0, np.uint64), np.zeros(8, np.uint64))
                 keys.append(key.view(np.int64))
                 bits.append(bit.tobytes())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("digest"), pa.array(np.array(fps, np.uint64).view(np.int64)), pa.array(keys, pa.list_(pa.int64())), pa.array(bits, pa.binary())], ["doc_id", "digest", "fp", "keys", "bits"])
@@ -306,9 +319,6 @@ def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, Da
     distance = F.bit_count(F.col("fp").bitwiseXOR(F.lit(pivot - (1 << 64) if pivot >> 63 else pivot)))
     one_each = marked.groupBy("digest").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
     keyed = one_each.select(F.explode("keys").alias("key"), distance.alias("d"), F.col("digest").alias("rep"), "fp", "bits")
-    # agreeing bits are half of the bins that differ, too; 0.12 is for the sketch's own error
-    differing = int(BINS * (1 - similarity + 0.12) / 2)
-
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held, band = None, Band()
         for batch in batches:
@@ -322,7 +332,7 @@ def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, Da
                     held, band = key[s], Band()
                 for i in range(s, e):
                     own = rep[i].as_py()
-                    others = band.add(own, unsigned[i], np.frombuffer(bits[i].as_py(), np.uint64), differing)
+                    others = band.add(own, unsigned[i], np.frombuffer(bits[i].as_py(), np.uint64), similarity)
                     a += [own] * len(others)
                     b += others
             yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
