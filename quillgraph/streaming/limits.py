@@ -26,11 +26,11 @@ def decide(times: list[int], opened: int | None, n: int, window_ms: int, most: i
 
 
 class RateLimiter(StatefulProcessor):
-    def __init__(self, window_ms: int = WINDOW_MS, most: int = MOST):
-        self.window_ms, self.most = window_ms, most
+    def __init__(self, window_ms: int = WINDOW_MS, most: int = MOST, evict: bool = False):
+        self.window_ms, self.most, self.evict = window_ms, most, evict
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("window", "opened long, n long", ttlDurationMs=10 * self.window_ms)
+        self.state = handle.getValueState("window", "opened long, n long", 10 * self.window_ms if self.evict else None)
 
     def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timerValues: object) -> Iterator[pd.DataFrame]:
         own = pd.concat(rows).sort_values(["ms", "event_id"])
@@ -43,9 +43,14 @@ class RateLimiter(StatefulProcessor):
         pass
 
 
-def limit_stream(events: DataFrame, window_ms: int = WINDOW_MS, most: int = MOST) -> DataFrame:
-    """events (user_id, event_id, ms), a stream -> with allowed; needs the RocksDB state store."""
-    return events.groupBy("user_id").transformWithStateInPandas(RateLimiter(window_ms, most), "user_id long, event_id long, allowed boolean", "Append", "ProcessingTime")
+def limit_stream(events: DataFrame, window_ms: int = WINDOW_MS, most: int = MOST, evict: bool = False) -> DataFrame:
+    """events (user_id, event_id, ms), a stream -> with allowed; needs the RocksDB state store.
+
+    evict drops the state of keys that are idle for ten windows. It needs processing time, so it is for streams that run
+    on; with an availableNow trigger such a query would not end.
+    """
+    limiter = RateLimiter(window_ms, most, evict)
+    return events.groupBy("user_id").transformWithStateInPandas(limiter, "user_id long, event_id long, allowed boolean", "Append", "ProcessingTime" if evict else "none")
 
 
 def limit_batch(events: DataFrame, window_ms: int = WINDOW_MS, most: int = MOST) -> DataFrame:
