@@ -222,13 +222,18 @@ def simhash_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     return marked.join(of_fp, marked["fp"] == of_fp["_fp"]).select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
-#: Bins of the sketch, bands of bins that make candidates, bits by which fingerprints of similar texts may differ, and
-#: members of a band that are compared with each new one besides all the members that were linked to none before them.
-BINS, BANDS, LOOSE_RADIUS, WINDOW = 256, 20, 24, 1024
+#: Bins of the sketch, bands of bins that make candidates, and bits by which fingerprints of similar texts may differ.
+BINS, BANDS, LOOSE_RADIUS = 256, 20, 24
+#: Members of a band compared pair by pair, and members of a portion of a larger band than that.
+DIRECT, PORTION = 64, 65536
+#: Bands over PORTION up to which their table is broadcast (24 bytes a row).
+BROADCAST_ROWS = 200000
 SIMILARITY, NEAR_SHINGLE = 0.8, 5
 BAND_BINS = 5
 #: Bits in the union of two bitmaps up to which they are compared; beyond, the min-hash bits are.
 SMALL = 120
+#: How far the sketches of similar texts may fall short: by min-hash bits and by bitmaps.
+LARGE_ERROR, SMALL_ERROR = 0.09, 0.06
 
 
 def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -260,46 +265,86 @@ def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
 
 def similar(others: np.ndarray, own: np.ndarray, similarity: float) -> np.ndarray:
     """Which of the others' sketches are of a set that is as similar as `similarity`, but for the sketch's error."""
-    both, either = np.bitwise_count(others[:, 4:] & own[4:]).sum(axis=1), np.bitwise_count(others[:, 4:] | own[4:]).sum(axis=1)
+    both, either = np.bitwise_count(others[:, 4:] & own[:, 4:]).sum(axis=1), np.bitwise_count(others[:, 4:] | own[:, 4:]).sum(axis=1)
     # of the bins that differ, half have equal bits
-    agreeing = 1 - 2 * np.bitwise_count(others[:, :4] ^ own[:4]).sum(axis=1) / BINS
-    return np.where(either <= SMALL, both >= (similarity - 0.06) * either, agreeing >= similarity - 0.09)
-
-
-class Band:
-    """The members of one band so far, in order of their distance to the first pivot."""
-
-    def __init__(self) -> None:
-        self.fp, self.bits = np.zeros(0, np.uint64), np.zeros((0, 8), np.uint64)
-        self.pivots, self.rep, self.group = np.zeros((0, PIVOTS), np.int16), np.zeros(0, object), np.zeros(0, np.int64)
-        self.leader, self.n = np.zeros(0, bool), 0
-
-    def add(self, rep: bytes, fp: np.uint64, bits: np.ndarray, similarity: float) -> list[bytes]:
-        """Members of distinct groups that the new one is linked to; they become one group."""
-        pivots = np.bitwise_count(fp ^ PIVOT_BITS).astype(np.int16)
-        near = np.flatnonzero(np.abs(self.pivots - pivots).max(axis=1, initial=0) <= LOOSE_RADIUS)
-        near = near[np.bitwise_count(self.fp[near] ^ fp) <= LOOSE_RADIUS]
-        near = near[similar(self.bits[near], bits, similarity)]
-        groups, first = np.unique(self.group[near], return_index=True)
-        self.group[np.isin(self.group, groups)] = self.n
-        linked = self.rep[near[first]].tolist()
-        if len(self.fp) >= 2 * WINDOW:
-            # members out of reach of any later one, and then the oldest that aren't leaders, go
-            keep = (pivots[0] - self.pivots[:, 0] <= LOOSE_RADIUS) & (self.leader | (np.arange(len(self.fp)) >= len(self.fp) - WINDOW))
-            self.fp, self.bits, self.pivots, self.rep, self.group, self.leader = (x[keep] for x in (self.fp, self.bits, self.pivots, self.rep, self.group, self.leader))
-        for name, value in (("fp", fp), ("rep", rep), ("group", self.n), ("leader", not linked)):
-            old = getattr(self, name)
-            setattr(self, name, np.append(old, np.array([value], old.dtype)))
-        self.bits, self.pivots, self.n = np.vstack([self.bits, bits]), np.vstack([self.pivots, pivots]), self.n + 1
-        return linked
+    agreeing = 1 - 2 * np.bitwise_count(others[:, :4] ^ own[:, :4]).sum(axis=1) / BINS
+    return np.where(either <= SMALL, both >= (similarity - SMALL_ERROR) * either, agreeing >= similarity - LARGE_ERROR)
+
+
+def band_links(fps: np.ndarray, bits: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Linked pairs (as indices) that connect whatever the members of a band are connected by, with no limit on members.
+
+    A pair is linked if neither the pivot table nor the fingerprints discard it and the sketches are similar. A few members
+    are compared pair by pair. More are grouped around leaders, each with all that are linked to it and to none before;
+    then two groups that are still apart are searched for a link. Differing min-hash bits and the Jaccard distance of
+    bitmaps are metrics, so the distances of members to leaders tell which groups, and which members, can have one.
+    """
+    table = np.bitwise_count(fps[:, None] ^ PIVOT_BITS).astype(np.int8)
+
+    def linked(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        at = np.flatnonzero(np.abs(table[x] - table[y]).max(axis=1, initial=0) <= LOOSE_RADIUS)
+        at = at[np.bitwise_count(fps[x[at]] ^ fps[y[at]]) <= LOOSE_RADIUS]
+        out = np.zeros(len(x), bool)
+        out[at] = similar(bits[x[at]], bits[y[at]], similarity)
+        return out
+
+    def distances(x: np.ndarray, y: int) -> tuple[np.ndarray, np.ndarray]:
+        both, either = np.bitwise_count(bits[x, 4:] & bits[y, 4:]).sum(axis=1), np.bitwise_count(bits[x, 4:] | bits[y, 4:]).sum(axis=1)
+        return np.bitwise_count(bits[x, :4] ^ bits[y, :4]).sum(axis=1).astype(np.int64), 1 - both / np.maximum(either, 1)
+
+    def constant(y: int, x: np.ndarray) -> np.ndarray:
+        return np.broadcast_to(np.int64(y), x.shape)
+
+    n = len(fps)
+    if n <= DIRECT:
+        x, y = np.triu_indices(n, 1)
+        ok = linked(x, y)
+        return y[ok], x[ok]
+    reach = (BINS * (1 - (similarity - LARGE_ERROR)) / 2 + 1e-6, 1 - (similarity - SMALL_ERROR) + 1e-6)
+    lead, members, radius, a, b = [], [], [], [], []
+    rest = np.arange(n)
+    while len(rest):
+        own = linked(rest, constant(rest[0], rest))
+        own[0] = True
+        lead.append(rest[0])
+        members.append(rest[own])
+        radius.append([d.max() for d in distances(members[-1], rest[0])])
+        a.append(members[-1][1:])
+        b.append(constant(rest[0], a[-1]))
+        rest = rest[~own]
+    lead, radius, size = np.array(lead), np.array(radius), np.array([len(m) for m in members])
+    group = np.arange(len(lead))
+
+    def border(i: int, c: int) -> np.ndarray:
+        """Members of group i that may be linked to one of group c."""
+        h, j = distances(members[i], lead[c])
+        return members[i][(h <= reach[0] + radius[c, 0]) | (j <= reach[1] + radius[c, 1])]
+
+    for i in range(len(lead)):
+        other = np.arange(i + 1, len(lead))
+        # two leaders alone are known to be apart
+        other = other[(group[other] != group[i]) & ((size[other] > 1) | (size[i] > 1))]
+        h, j = distances(lead[other], lead[i])
+        for c in other[(h <= reach[0] + radius[i, 0] + radius[other, 0]) | (j <= reach[1] + radius[i, 1] + radius[other, 1])]:
+            if group[c] == group[i]:
+                continue
+            few, many = sorted((border(i, c), border(c, i)), key=len)
+            for x in few:
+                found = many[linked(many, constant(x, many))]
+                if len(found):
+                    a.append(found[:1])
+                    b.append(np.array([x]))
+                    group[group == group[c]] = group[i]
+                    break
+    return np.concatenate(a), np.concatenate(b)
 
 
 def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, digest) of each row of docs, and (digest, component) of the digests that have similar ones.
 
-    A digest is the md5 of a text; equal texts are one candidate. A band's candidates come sorted by their fingerprints'
-    distance to the first pivot. Up to WINDOW of them are compared pair by pair; in a larger band each is compared with
-    the WINDOW before it and with all those that began a group, so a band of any size is one scan of a sorted partition.
+    A digest is the md5 of a text; equal texts are one candidate. A band of over PORTION candidates is cut into portions,
+    and each two of them meet in a task of their own; so a task holds at most 2 * PORTION sketches, of about 100 bytes
+    each, however large a group is, and every pair of a band is judged.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -315,29 +360,45 @@ def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, Da
 
     with_digest = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest"), "text")
     marked = materialize(with_digest.mapInArrow(run, "doc_id long, digest binary, fp long, keys array<long>, bits binary"), "sketches")
-    pivot = int(PIVOT_BITS[0])
-    distance = F.bit_count(F.col("fp").bitwiseXOR(F.lit(pivot - (1 << 64) if pivot >> 63 else pivot)))
     one_each = marked.groupBy("digest").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
-    keyed = one_each.select(F.explode("keys").alias("key"), distance.alias("d"), F.col("digest").alias("rep"), "fp", "bits")
+    keyed = one_each.select(F.explode("keys").alias("key"), F.lit(0).cast("long").alias("part"), F.col("digest").alias("rep"), "fp", "bits")
+    bands = marked.select("digest", "keys").distinct().select(F.explode("keys").alias("_key")).groupBy("_key").count()
+    hot = materialize(bands.filter(F.col("count") > PORTION).select("_key", F.ceil(F.col("count") / PORTION).alias("n")), "hot-bands")
+    known = hot.count()
+    if known:
+        # a row for each PORTION candidates at most; the plain join is for more of them than can be sent around
+        parted = keyed.join(F.broadcast(hot) if known <= BROADCAST_ROWS else hot, F.col("key") == F.col("_key"), "left").withColumn("n", F.coalesce("n", F.lit(1).cast("long")))
+        own = F.pmod(F.xxhash64("rep"), F.col("n"))
+        meets = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda q: F.least(own, q) * F.col("n") + F.greatest(own, q))
+        keyed = parted.select("key", F.explode(meets).alias("part"), "rep", "fp", "bits")
+
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held, band = None, Band()
+        held_group, held = None, []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            fps, bits, rep = (np.concatenate([h[i] for h in held]) for i in range(3))
+            a, b = band_links(fps, bits, similarity)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(rep[a], pa.binary()), pa.array(rep[b], pa.binary())], ["a", "b"])
+
         for batch in batches:
-            key, unsigned = batch.column("key").to_numpy(), batch.column("fp").to_numpy().view(np.uint64)
-            rep, bits, a, b = batch.column("rep"), batch.column("bits"), [], []
-            cuts = [0, *(np.flatnonzero(key[1:] != key[:-1]) + 1).tolist(), len(key)]
+            key, part, fps = batch.column("key").to_numpy(), batch.column("part").to_numpy(), batch.column("fp").to_numpy().view(np.uint64)
+            bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(-1, 8)
+            rep = np.array(batch.column("rep").to_pylist(), object)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1).tolist(), len(key)]
             for s, e in zip(cuts, cuts[1:], strict=False):
-                if s == e or (e - s == 1 and e < len(key) and key[s] != held):
+                if s == e:
                     continue
-                if key[s] != held:
-                    held, band = key[s], Band()
-                for i in range(s, e):
-                    own = rep[i].as_py()
-                    others = band.add(own, unsigned[i], np.frombuffer(bits[i].as_py(), np.uint64), similarity)
-                    a += [own] * len(others)
-                    b += others
-            yield pa.RecordBatch.from_arrays([pa.array(a, pa.binary()), pa.array(b, pa.binary())], ["a", "b"])
-
-    sorted_bands = keyed.repartition("key").sortWithinPartitions("key", "d", "rep").select("key", "rep", "fp", "bits")
+                group = (key[s], part[s])
+                if group != held_group:
+                    if sum(len(h[0]) for h in held) > 1:
+                        yield from close()
+                    held_group, held = group, []
+                held.append((fps[s:e], bits[s:e], rep[s:e]))
+        if sum(len(h[0]) for h in held) > 1:
+            yield from close()
+
+    sorted_bands = keyed.repartition("key", "part").sortWithinPartitions("key", "part", "rep")
     edges = materialize(sorted_bands.mapInArrow(compare, "a binary, b binary"), "near-links")
     return marked.select("doc_id", "digest"), connected_components(edges).select(F.col("node").alias("_node"), "component")
 

@@ -213,6 +213,54 @@ def test_near_duplicates(spark, docs, none):
     assert simhash.keep_one(none).count() == 0
 
 
+def drifting(n, seed, size=160, step=4):
+    """Word lists in a few chains, each a small edit of one before it, so that groups reach far beyond their first member."""
+    rng = np.random.default_rng(seed)
+    lists = [[f"{c}w{i}" for i in range(size)] for c in range(3)]
+    while len(lists) < n:
+        own = list(lists[rng.integers(max(0, len(lists) - 40), len(lists))])
+        for _ in range(step if rng.random() < 0.7 else 1):
+            own[rng.integers(size)] = f"n{rng.integers(1 << 30)}"
+        lists.append(own)
+    return [" ".join(w) for w in lists]
+
+
+def least_reachable(n, pairs):
+    label = list(range(n))
+    moved = True
+    while moved:
+        moved = False
+        for a, b in pairs:
+            low = min(label[a], label[b])
+            moved |= label[a] != low or label[b] != low
+            label[a] = label[b] = low
+    return label
+
+
+@pytest.mark.parametrize("size", [160, 20])
+def test_band_links_are_complete(size):
+    hashes = [simhash.shingle_hashes(t, 5) for t in drifting(400, 5, size, 4 if size > 100 else 1)]
+    fps, bits = np.array([simhash.fingerprint(h) for h in hashes], np.uint64), np.array([simhash.sketch(h)[1] for h in hashes])
+    every = [(i, j) for i in range(400) for j in range(i) if int(fps[i] ^ fps[j]).bit_count() <= simhash.LOOSE_RADIUS and simhash.similar(bits[i : i + 1], bits[j : j + 1], 0.8)[0]]
+    found = list(zip(*(x.tolist() for x in simhash.band_links(fps, bits, 0.8)), strict=True))
+    assert set(found) <= set(every) | {(j, i) for i, j in every} and len(found) < 400
+    assert least_reachable(400, found) == least_reachable(400, every)
+
+
+def test_large_bands_are_whole(spark, monkeypatch):
+    texts = drifting(300, 9)
+    table = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    whole = sorted(map(tuple, simhash.near_duplicates(table).collect()))
+    for rows in (simhash.BROADCAST_ROWS, 0):
+        monkeypatch.setattr(simhash, "PORTION", 7)
+        monkeypatch.setattr(simhash, "BROADCAST_ROWS", rows)
+        assert sorted(map(tuple, simhash.near_duplicates(table).collect())) == whole
+    sets = [set(zip(*(t.split()[i:] for i in range(5)), strict=False)) for t in texts]
+    group = dict(whole)
+    # the error of sketches aside, similar texts share a group
+    assert all(group[i] == group[j] for i in range(300) for j in range(i) if len(sets[i] & sets[j]) >= 0.85 * len(sets[i] | sets[j]))
+
+
 def test_quality_classifier(spark, docs, none):
     rng = np.random.default_rng(5)
     good = lambda: " ".join(rng.choice(["river", "stone", "walks", "under", "light", "moves"], 60))
