@@ -17,7 +17,7 @@ def capitalize_first(c: Column) -> Column:
 
 def strip_markup(c: Column) -> Column:
     """Without HTML comments and ref elements, self-closing or paired."""
-    return F.regexp_replace(F.regexp_replace(c, "(?s)<!--.*?-->", ""), "(?is)<ref[^>]*/>|<ref[^>]*>.*?</ref>", "")
+    return F.regexp_replace(F.regexp_replace(c, "(?s)<!--.*?-->", ""), "(?is)<ref[^>/]*/>|<ref[^>]*>.*?</ref>", "")
 
 
 def _strip_templates(text: str) -> str:
@@ -46,11 +46,52 @@ def lead(c: Column) -> Column:
     return F.split(c, "\n==[^=]", 2)[0]
 
 
+# fixed values: headings that end the running text, and prefixes of links that are no articles
+END_SECTIONS = ["See also", "References", "Notes", "Further reading", "External links", "Bibliography", "Sources", "Citations"]
+SKIPPED_PREFIXES = ["file:", "image:", "category:", "wikipedia:", "wp:", "help:", "template:", "portal:", "wikt:", "wiktionary:", "s:", "commons:", "special:", "media:", ":"]
+
+
+def body(c: Column) -> Column:
+    """Text before the first section of references and the like."""
+    return F.split(c, r"(?i)\n==\s*(?:" + "|".join(END_SECTIONS) + r")\s*==", 2)[0]
+
+
 def link_targets(c: Column) -> Column:
-    """Targets of [[..]] links: before `#` or `|`, trimmed, `_` as space, first letter upper; namespaces dropped."""
-    raw = F.regexp_extract_all(c, F.lit(r"\[\[([^\[\]|#]+)"), 1)
-    kept = F.filter(raw, lambda t: ~F.lower(F.trim(t)).rlike("^:|^(file|image|category|template|help|wikipedia|s|wikt|portal):"))
-    return F.filter(F.transform(kept, lambda t: capitalize_first(F.trim(F.translate(t, "_", " ")))), lambda t: t != "")
+    """Targets of closed [[..]] links: before `#` or `|`, trimmed, `_` as space, first letter upper; namespaces dropped."""
+    raw = F.regexp_extract_all(c, F.lit(r"\[\[([^\[\]|#]+)(?:#[^\[\]|]*)?(?:\|[^\[\]]*)?\]\]"), 1)
+    named = F.transform(raw, lambda t: F.translate(F.regexp_replace(t, r"^\s+|\s+$", ""), "_", " "))
+    kept = F.filter(named, lambda t: (t != "") & ~F.lower(t).rlike("^(?:" + "|".join(SKIPPED_PREFIXES) + ")"))
+    return F.transform(kept, capitalize_first)
+
+
+def regions(names: Column, anchors: list[str], barred_starts: list[str], barred: list[str]) -> Column:
+    """Sorted distinct X of the names `<anchor> in <X>`, without those that begin with or hold a barred phrase."""
+    found = F.transform(names, lambda n: F.regexp_extract(n, "(?i)^(?:" + "|".join(anchors) + ") in (.+)$", 1))
+    fine = lambda x: (x != "") & ~F.lower(x).rlike("^(?:" + "|".join(barred_starts) + ")|" + "|".join(barred))
+    return F.array_sort(F.array_distinct(F.transform(F.filter(found, fine), lambda x: F.trim(x))))
+
+
+def bilingual(local: Column, original: Column) -> Column:
+    """The local name, capitalised, before the original where they differ in more than case."""
+    name = F.trim(local)
+    differs = (name != "") & (F.lower(name) != F.lower(original))
+    return F.when(differs, F.concat(capitalize_first(name), F.lit(" · "), original)).otherwise(original)
+
+
+def claim_ids(claims: Column, prop: str) -> Column:
+    """Ids of a property's claims in an entity's JSON, in order; claims without a value or id are left out."""
+    return F.filter(F.transform(_claim_values(claims, prop), lambda v: F.get_json_object(v, "$.id")), lambda i: i.isNotNull())
+
+
+def claim_date(claims: Column, *props: str) -> Column:
+    """The first time of the first property that has one: without its plus sign, 10 characters."""
+    times = [F.get(F.filter(F.transform(_claim_values(claims, p), lambda v: F.get_json_object(v, "$.time")), lambda t: t.isNotNull()), F.lit(0)) for p in props]
+    return F.substring(F.regexp_replace(F.coalesce(*times), r"^\++", ""), 1, 10)
+
+
+def _claim_values(claims: Column, prop: str) -> Column:
+    shape = "struct<claims: map<string, array<struct<mainsnak: struct<datavalue: struct<value: string>>>>>>"
+    return F.transform(F.coalesce(F.from_json(claims, shape)["claims"][prop], F.array()), lambda c: c["mainsnak"]["datavalue"]["value"])
 
 
 def url_title(c: Column) -> Column:

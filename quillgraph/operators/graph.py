@@ -60,6 +60,34 @@ def distances(canonical: DataFrame, start: str, most: int = 64) -> DataFrame:
     return seen
 
 
+def crawl(edges: DataFrame, roots: list, noisy: DataFrame, most: int = 4) -> DataFrame:
+    """(node, depth, parent, noise, path) of a breadth-first crawl over edges (parent, child) from the roots.
+
+    A node is discovered by the parent that comes first in the queue; it is noise if that parent is or if it is in `noisy`
+    (node). Noise and nodes of depth `most` are recorded but not descended. `path` orders nodes as the queue does.
+    """
+    spark = edges.sparkSession
+    order = lambda c: F.lpad(c.cast("string"), 12, "0")
+    steps = settle(edges.filter("parent != child").distinct())
+    marks = noisy.select(F.col("node").alias("child"), F.lit(True).alias("marked")).distinct()
+    front = spark.createDataFrame([(r, 0, None, False, f"{i:012d}") for i, r in enumerate(roots)], "node long, depth int, parent long, noise boolean, path string")
+    seen = front = settle(front)
+    for depth in range(1, most + 1):
+        step = steps.join(front.filter("not noise").select(F.col("node").alias("parent"), "path"), "parent").join(seen.select(F.col("node").alias("child")), "child", "left_anti")
+        best = step.groupBy("child").agg(F.min(F.struct(F.concat_ws("/", "path", order(F.col("child"))).alias("path"), "parent")).alias("first"))
+        front = settle(best.join(marks, "child", "left").select(F.col("child").alias("node"), F.lit(depth).alias("depth"), F.col("first.parent").alias("parent"), F.coalesce("marked", F.lit(False)).alias("noise"), F.col("first.path").alias("path")))
+        if front.isEmpty():
+            break
+        seen = seen.union(front)
+    return seen
+
+
+def crawled_pages(crawled: DataFrame, members: DataFrame, most: int = 4) -> DataFrame:
+    """(page, categories) of members (page, node): all the descended categories a page is in, sorted."""
+    descended = crawled.filter((F.col("depth") < most) & ~F.col("noise")).select("node")
+    return members.join(descended, "node").groupBy("page").agg(F.array_sort(F.collect_set("node")).alias("categories"))
+
+
 def reach(dist: DataFrame) -> DataFrame:
     return dist.groupBy("dist").agg(F.count("*").alias("nodes"))
 

@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillgraph.functions import text as T
+
 
 def aggregate(raw: DataFrame) -> DataFrame:
     """(source, target, n, in_lead), one row for each pair."""
@@ -50,3 +52,12 @@ def top(scored: DataFrame, k: int, by: str = "score") -> DataFrame:
 
 def mention_code(in_lead: Column, n: Column) -> Column:
     return F.concat(F.when(in_lead, "L").otherwise(""), n.cast("string"))
+
+
+def parse_links(docs: DataFrame, key: str, markup: str) -> DataFrame:
+    """(source, target, n, in_lead) of the links in wiki markup, without comments, references, templates and end sections."""
+    text = docs.select(F.col(key).alias("source"), T.body(T.strip_templates(T.strip_markup(F.col(markup)))).alias("text"))
+    parts = text.withColumn("lead", T.lead(F.col("text")))
+    rest = F.col("text").substr(F.length("lead") + 1, F.length("text"))
+    tagged = lambda c, flag: F.transform(T.link_targets(c), lambda t: F.struct(t.alias("target"), F.lit(flag).alias("in_lead")))
+    return aggregate(parts.select("source", F.explode(F.concat(tagged(F.col("lead"), True), tagged(rest, False))).alias("l")).select("source", "l.*"))

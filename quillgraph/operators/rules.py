@@ -108,3 +108,55 @@ def translate(nodes: DataFrame, done: DataFrame) -> DataFrame:
     joined = nodes.join(done, "id", "left")
     use = blank_to_null(F.col("s")).isNotNull() & (blank_to_null(F.col("summary")).isNull() | (F.col("summary") == F.col("s")))
     return joined.select("id", F.coalesce(blank_to_null(F.col("t")), F.col("lt")).alias("lt"), F.when(use, F.col("s")).otherwise(F.col("summary")).alias("summary"), use.cast("int").alias("ltm"))
+
+
+def emitted(items: DataFrame, entities: DataFrame, reviewed: DataFrame, least: int = 2) -> DataFrame:
+    """(id, kind): the items (id, role) that were kept, and entities (id, kind, n) that are no items and have enough
+    mentions or a review (id). An item's kind is its role."""
+    kept = items.filter("role != 'dropped'").select("id", F.col("role").alias("kind"))
+    known = reviewed.select("id", F.lit(True).alias("seen")).distinct()
+    others = entities.join(items, "id", "left_anti").join(known, "id", "left").filter((F.col("n") >= least) | F.col("seen"))
+    return kept.union(others.select("id", F.coalesce(blank_to_null(F.col("kind")), F.lit("concept"))))
+
+
+def with_labels(df: DataFrame, key: str, ids: str, labels: DataFrame) -> DataFrame:
+    """(key, labels): the array `ids` as labels (id, label), in order; an id without one stands for itself."""
+    flat = df.select(key, F.posexplode(ids).alias("pos", "id")).join(labels, "id", "left")
+    found = flat.groupBy(key).agg(F.array_sort(F.collect_list(F.struct("pos", F.coalesce(blank_to_null(F.col("label")), F.col("id").cast("string")).alias("label")))).alias("l"))
+    return found.select(key, F.transform("l", lambda x: x["label"]).alias("labels"))
+
+
+def unique_slugs(df: DataFrame, order: str) -> DataFrame:
+    """df (id, slug) where a slug that an earlier row has is replaced by the id."""
+    rank = F.row_number().over(Window.partitionBy("slug").orderBy(order))
+    return df.withColumn("slug", F.when(rank > 1, F.col("id")).otherwise(F.col("slug")))
+
+
+def overrides(maps: DataFrame, column: str) -> DataFrame:
+    """(key, value) of a map column: keys that begin with `_` are notes, and empty values override nothing."""
+    return maps.select(F.explode(column)).filter(~F.col("key").startswith("_") & blank_to_null(F.col("value")).isNotNull())
+
+
+def translation_violations(cases: DataFrame, done: DataFrame, most: int = 700) -> DataFrame:
+    """(rule, id) of cases (id, local) and done (id, t, s): no title; else no summary where there is no local article,
+    or one that is too long; and ids that are no cases."""
+    joined = cases.join(done, "id", "left").withColumns({"t": blank_to_null(F.col("t")), "s": blank_to_null(F.col("s"))})
+    bad = F.array_compact(F.array(F.when(F.col("t").isNull(), "no title"), F.when(F.col("t").isNotNull() & F.col("s").isNull() & ~F.col("local"), "no summary"), F.when(F.col("t").isNotNull() & (F.length("s") > most), "too long")))
+    return joined.select(F.explode(bad).alias("rule"), "id").union(done.join(cases, "id", "left_anti").select(F.lit("unknown id"), "id"))
+
+
+def entity_translation_violations(cases: DataFrame, done: DataFrame) -> DataFrame:
+    """(rule, id) of cases (id) and done (id, t, keep): not reviewed, neither translated nor kept, and unknown ids."""
+    joined = cases.select("id").join(done.withColumn("seen", F.lit(True)), "id", "left")
+    empty = blank_to_null(F.col("t")).isNull() & (F.coalesce("keep", F.lit(0)) == 0)
+    rule = F.when(F.col("seen").isNull(), "not reviewed").when(empty, "empty")
+    return joined.select(rule.alias("rule"), "id").filter("rule is not null").union(done.join(cases, "id", "left_anti").select(F.lit("unknown id"), "id"))
+
+
+def split_matches(pages: DataFrame, titles: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """pages (id, lang, title) by the titles (id, name) of their ids: (name, languages) of those that have one, and for
+    each other id the titles by language."""
+    joined = pages.join(titles, "id", "left")
+    matched = joined.filter("name is not null").groupBy("name").agg(F.array_sort(F.collect_set("lang")).alias("languages"))
+    unmatched = joined.filter("name is null").groupBy("id").agg(F.array_sort(F.collect_set(F.struct("lang", "title"))).alias("titles"))
+    return matched, unmatched

@@ -454,3 +454,144 @@ def force_layout(spark, sf):
 @query()
 def seed_script(spark, sf):
     return exports.seed_statements(sparse_edges(spark, sf))
+
+
+_CATEGORIES = "steps AS (SELECT p_partkey // 4 AS parent, p_partkey AS child FROM part WHERE p_partkey > 0 UNION SELECT p_partkey // 7, p_partkey FROM part WHERE p_partkey % 3 = 1), marks AS (SELECT p_partkey AS node FROM part WHERE p_name LIKE '%red%'), l0 AS (SELECT 0 AS node, 0 AS depth, NULL::BIGINT AS parent, false AS noise, '000000000000' AS path)" + "".join(
+    f", l{d} AS (SELECT child AS node, {d} AS depth, arg_min(parent, path || '/' || lpad('' || child, 12, '0')) AS parent, child IN (FROM marks) AS noise, min(path || '/' || lpad('' || child, 12, '0')) AS path FROM (SELECT s.parent, child, path FROM steps s JOIN l{d - 1} p ON p.node = s.parent AND NOT noise WHERE s.parent != child) WHERE child NOT IN ({' UNION ALL '.join(f'SELECT node FROM l{i}' for i in range(d))}) GROUP BY child)" for d in range(1, 5)
+) + ", crawled AS (" + " UNION ALL ".join(f"SELECT * FROM l{d}" for d in range(5)) + ")"
+
+
+def crawled(spark, sf):
+    k, p = F.col("p_partkey"), table(spark, sf, "part")
+    edges = p.filter(k > 0).select(F.floor(k / 4).alias("parent"), k.alias("child")).union(p.filter(k % 3 == 1).select(F.floor(k / 7), k))
+    return graph.crawl(edges, [0], p.filter(F.col("p_name").contains("red")).select(k.alias("node")))
+
+
+@query(f"WITH {_CATEGORIES} SELECT node, depth, parent, noise FROM crawled")
+def category_crawl(spark, sf):
+    return crawled(spark, sf).select("node", "depth", "parent", "noise")
+
+
+@query(f"WITH {_CATEGORIES}, members AS (SELECT DISTINCT l_orderkey AS page, l_partkey AS node FROM lineitem) SELECT page, array_to_string(list_sort(list(node)), ',') AS categories FROM members JOIN crawled USING (node) WHERE depth < 4 AND NOT noise GROUP BY 1")
+def category_pages(spark, sf):
+    members = table(spark, sf, "lineitem").select(F.col("l_orderkey").alias("page"), F.col("l_partkey").alias("node"))
+    return graph.crawled_pages(crawled(spark, sf), members).withColumn("categories", F.array_join(F.col("categories").cast("array<string>"), ","))
+
+
+@query("""WITH d AS (SELECT doc_id, lang, source FROM documents WHERE lang IS NOT NULL AND source IS NOT NULL)
+SELECT doc_id, 'Lang ' || lang AS target, 2 AS n, true AS in_lead FROM d UNION ALL SELECT doc_id, 'Source ' || source || ' é', 1, false FROM d""")
+def wikitext_links(spark, sf):
+    d = table(spark, sf, "documents").filter("lang is not null and source is not null")
+    markup = F.concat(F.lit("A [[lang_"), "lang", F.lit("#x|y]] {{t [[Z]] {{u}} }}<ref>[[Q]]</ref><!-- [[R]] --> [[File:p]] [[open\n== H ==\n[[ source_"), "source", F.lit(" é ]] [[Lang "), "lang", F.lit("]] {{box}}\n== See also ==\n[[S]]"))
+    return mentions.parse_links(d.withColumn("markup", markup), "doc_id", "markup").withColumnRenamed("source", "doc_id")
+
+
+@query("WITH c AS (SELECT doc_id, text[1:900] AS cut, length(text) AS n, text FROM documents), p AS (SELECT *, length(cut) - length(string_split(cut, '. ')[-1]) AS stop FROM c) SELECT doc_id, CASE WHEN n <= 900 THEN text WHEN stop > 0 THEN cut[1:stop - 2] || '.' ELSE cut END AS summary FROM p")
+def cut_summary(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", T.cut_sentence(F.col("text")).alias("summary"))
+
+
+@query("SELECT p_partkey FROM part WHERE contains(lower(p_name), 'red')")
+def accent_search(spark, sf):
+    return table(spark, sf, "part").filter(T.search(F.col("p_name"), "RÉD")).select("p_partkey")
+
+
+_NAMES = "n AS (SELECT c_custkey, unnest(['hoaxes in ' || n_name, 'Hoaxes in the ' || lower(c_mktsegment) || ' war', 'denialism in popular ' || n_name, 'films in ' || n_name, 'Propaganda in ' || c_mktsegment || ' ']) AS name FROM customer JOIN nation ON c_nationkey = n_nationkey)"
+
+
+@query(f"WITH {_NAMES}, x AS (SELECT DISTINCT c_custkey, regexp_extract(name, '(?i)^(?:hoaxes|propaganda|denialism) in (.+)$', 1) AS r FROM n) SELECT c_custkey, string_agg(trim(r), '|' ORDER BY trim(r)) AS regions FROM x WHERE r != '' AND NOT starts_with(lower(r), 'popular') AND NOT contains(lower(r), ' war') GROUP BY 1")
+def region_names(spark, sf):
+    c = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    names = F.array(F.concat(F.lit("hoaxes in "), "n_name"), F.concat(F.lit("Hoaxes in the "), F.lower("c_mktsegment"), F.lit(" war")), F.concat(F.lit("denialism in popular "), "n_name"), F.concat(F.lit("films in "), "n_name"), F.concat(F.lit("Propaganda in "), "c_mktsegment", F.lit(" ")))
+    return c.select("c_custkey", F.array_join(T.regions(names, ["hoaxes", "propaganda", "denialism"], ["popular"], [" war"]), "|").alias("regions"))
+
+
+@query(f"WITH {D}, items AS (SELECT 'P' || p_partkey AS id, CASE p_partkey % 3 WHEN 0 THEN 'theory' ELSE 'dropped' END AS role FROM part WHERE p_size < 20) SELECT id, role AS kind FROM items WHERE role != 'dropped' UNION ALL SELECT target, coalesce(nullif(CASE WHEN p_size % 2 = 0 THEN '' ELSE lower(p_type) END, ''), 'concept') FROM d JOIN part ON target = 'P' || p_partkey WHERE target NOT IN (SELECT id FROM items) AND (df >= 30 OR p_partkey % 10 = 0)")
+def node_emission(spark, sf):
+    p = table(spark, sf, "part").withColumn("id", F.concat(F.lit("P"), F.col("p_partkey").cast("string")))
+    items = p.filter("p_size < 20").select("id", F.when(F.col("p_partkey") % 3 == 0, "theory").otherwise("dropped").alias("role"))
+    df = mentions.document_frequency(base_mentions(spark, sf)).withColumnsRenamed({"target": "id", "df": "n"})
+    entities = df.join(p, "id").select("id", F.when(F.col("p_size") % 2 == 0, "").otherwise(F.lower("p_type")).alias("kind"), "n")
+    return rules.emitted(items, entities, p.filter("p_partkey % 10 = 0").select("id"), 30)
+
+
+@query("WITH o AS (SELECT l_orderkey, l_partkey, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey) AS pos FROM lineitem) SELECT l_orderkey, string_agg(coalesce(CASE WHEN l_partkey % 3 > 0 THEN p_name END, '' || l_partkey), '|' ORDER BY pos) AS labels FROM o LEFT JOIN part ON l_partkey = p_partkey GROUP BY 1")
+def label_arrays(spark, sf):
+    pairs = F.array_sort(F.collect_list(F.struct("l_linenumber", "l_partkey")))
+    orders = table(spark, sf, "lineitem").groupBy("l_orderkey").agg(F.transform(pairs, lambda x: x["l_partkey"]).alias("ids"))
+    labels = table(spark, sf, "part").select(F.col("p_partkey").alias("id"), F.when(F.col("p_partkey") % 3 > 0, F.col("p_name")).otherwise("").alias("label"))
+    return rules.with_labels(orders, "l_orderkey", "ids", labels).withColumn("labels", F.array_join("labels", "|"))
+
+
+@query("SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN p_name WHEN 1 THEN p_name ELSE upper(p_brand[1]) || p_brand[2:] || ' · ' || p_name END AS title FROM part")
+def bilingual_title(spark, sf):
+    k = F.col("p_partkey") % 3
+    local = F.when(k == 0, "").when(k == 1, F.upper("p_name")).otherwise(F.concat(F.lit(" "), F.lower(F.substring("p_brand", 1, 1)), F.col("p_brand").substr(F.lit(2), F.lit(99))))
+    return table(spark, sf, "part").select("p_partkey", T.bilingual(local, F.col("p_name")).alias("title"))
+
+
+@query("SELECT '' || p_partkey AS id, CASE WHEN row_number() OVER (PARTITION BY p_name ORDER BY p_partkey) > 1 THEN '' || p_partkey ELSE replace(p_name, ' ', '-') END AS slug FROM part")
+def slug_collisions(spark, sf):
+    p = table(spark, sf, "part").select(F.col("p_partkey").cast("string").alias("id"), "p_partkey", F.replace("p_name", F.lit(" "), F.lit("-")).alias("slug"))
+    return rules.unique_slugs(p, "p_partkey").drop("p_partkey")
+
+
+@query("SELECT user_id, arg_max('v' || event_id, event_id) AS value FROM events WHERE event_type != 'error' AND user_id % 5 > 0 GROUP BY 1")
+def override_map(spark, sf):
+    e = table(spark, sf, "events").groupBy("user_id", "event_type").agg(F.max("event_id").alias("event_id"))
+    key = F.when(F.col("event_type") == "error", F.concat(F.lit("_"), F.col("user_id").cast("string"))).otherwise(F.col("user_id").cast("string"))
+    value = F.when(F.col("user_id") % 5 == 0, "").otherwise(F.concat(F.lit("v"), F.col("event_id").cast("string")))
+    found = rules.overrides(e.select(F.create_map(key, value).alias("m"), "event_id"), "m").withColumn("n", F.substring("value", 2, 20).cast("long"))
+    return rules.last_wins(found, "key", ["n"]).select(F.col("key").cast("long").alias("user_id"), "value")
+
+
+@query("""SELECT 'no title' AS rule, doc_id AS id FROM documents WHERE doc_id % 4 = 1 OR doc_id % 6 = 0 UNION ALL SELECT 'no summary', doc_id FROM documents WHERE NOT (doc_id % 4 = 1 OR doc_id % 6 = 0) AND length(text) = 0 AND doc_id % 2 > 0
+UNION ALL SELECT 'too long', doc_id FROM documents WHERE NOT (doc_id % 4 = 1 OR doc_id % 6 = 0) AND length(text) > 700 UNION ALL SELECT 'unknown id', -1 - doc_id FROM documents WHERE doc_id % 50 = 0""")
+def translation_check(spark, sf):
+    d, k = table(spark, sf, "documents"), F.col("doc_id")
+    done = d.filter(k % 4 != 1).select(k.alias("id"), F.when(k % 6 == 0, "").otherwise("t").alias("t"), F.col("text").alias("s")).union(d.filter(k % 50 == 0).select(-1 - k, F.lit("t"), F.lit("s")))
+    return rules.translation_violations(d.select(k.alias("id"), (k % 2 == 0).alias("local")), done)
+
+
+@query("SELECT CASE WHEN doc_id % 4 = 1 THEN 'not reviewed' ELSE 'empty' END AS rule, doc_id AS id FROM documents WHERE doc_id % 4 = 1 OR (doc_id % 6 = 0 AND doc_id % 5 > 0) UNION ALL SELECT 'unknown id', -1 - doc_id FROM documents WHERE doc_id % 50 = 0")
+def entity_translation_check(spark, sf):
+    d, k = table(spark, sf, "documents"), F.col("doc_id")
+    done = d.filter(k % 4 != 1).select(k.alias("id"), F.when(k % 6 == 0, "").otherwise("t").alias("t"), (k % 5 == 0).cast("int").alias("keep")).union(d.filter(k % 50 == 0).select(-1 - k, F.lit("t"), F.lit(0)))
+    return rules.entity_translation_violations(d.select(k.alias("id")), done)
+
+
+@query("SELECT doc_id AS id, CASE WHEN doc_id % 3 = 0 THEN 't' || doc_id ELSE 'l' END AS lt, CASE WHEN doc_id % 5 = 0 THEN 'own' WHEN doc_id % 3 = 0 THEN text ELSE '' END AS summary, (doc_id % 3 = 0 AND doc_id % 5 > 0 AND text != '')::INT AS ltm FROM documents")
+def translation_merge(spark, sf):
+    d, k = table(spark, sf, "documents"), F.col("doc_id")
+    nodes = d.select(k.alias("id"), F.lit("l").alias("lt"), F.when(k % 5 == 0, "own").otherwise("").alias("summary"))
+    out = rules.translate(nodes, d.filter(k % 3 == 0).select(k.alias("id"), F.concat(F.lit("t"), k.cast("string")).alias("t"), F.col("text").alias("s")))
+    return out.withColumn("ltm", F.coalesce("ltm", F.lit(0)))
+
+
+@query("SELECT n_name AS name, string_agg(DISTINCT c_mktsegment, ',' ORDER BY c_mktsegment) AS languages, true AS matched FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_nationkey % 4 > 0 GROUP BY 1 UNION ALL SELECT '' || c_nationkey, string_agg(DISTINCT c_mktsegment || ':' || c_name, ',' ORDER BY c_mktsegment || ':' || c_name), false FROM customer WHERE c_nationkey % 4 = 0 GROUP BY 1")
+def foreign_titles(spark, sf):
+    pages = table(spark, sf, "customer").select(F.col("c_nationkey").alias("id"), F.col("c_mktsegment").alias("lang"), F.col("c_name").alias("title"))
+    yes, no = rules.split_matches(pages, table(spark, sf, "nation").filter("n_nationkey % 4 > 0").select(F.col("n_nationkey").alias("id"), F.col("n_name").alias("name")))
+    titles = F.array_join(F.array_sort(F.transform("titles", lambda x: F.concat(x["lang"], F.lit(":"), x["title"]))), ",")
+    return yes.select("name", F.array_join("languages", ",").alias("languages"), F.lit(True).alias("matched")).union(no.select(F.col("id").cast("string"), titles, F.lit(False)))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN '' ELSE 'Q' || json_extract_string(props, '$.k') END AS ids, CASE WHEN event_id % 2 = 0 THEN strftime(ts, '%Y-%m-%d') END AS day FROM events")
+def entity_claims(spark, sf):
+    e, k = table(spark, sf, "events"), F.get_json_object("props", "$.k")
+    snak = lambda value: F.concat(F.lit('{"mainsnak":{"datavalue":{"value":'), value, F.lit("}}}"))
+    ids = F.when(F.col("event_id") % 3 == 0, '{"mainsnak":{}}').otherwise(F.concat(snak(F.lit('"text"')), F.lit(","), snak(F.concat(F.lit('{"id":"Q'), k, F.lit('"}')))))
+    time = F.when(F.col("event_id") % 2 == 0, F.concat(F.lit(',"P580":['), snak(F.concat(F.lit('{"time":"+'), F.date_format("ts", "yyyy-MM-dd"), F.lit('T00:00:00Z"}'))), F.lit("]"))).otherwise("")
+    claims = F.concat(F.lit('{"claims":{"P31":['), ids, F.lit("]"), time, F.lit("}}"))
+    return e.select("event_id", F.array_join(T.claim_ids(claims, "P31"), ",").alias("ids"), T.claim_date(claims, "P585", "P580").alias("day"))
+
+
+@query("SELECT page_id, greatest(0, least(99, coalesce(try_cast(regexp_extract(url, '([0-9]{1,9})[^0-9]*$', 1) AS INT), 0))) AS hints FROM pages")
+def bounded_fields(spark, sf):
+    return table(spark, sf, "pages").select("page_id", board.bounded_int(F.regexp_extract("url", r"([0-9]{1,9})[^0-9]*$", 1), 0, 99).alias("hints"))
+
+
+@query("SELECT doc_id, text FROM documents WHERE text IS NOT NULL AND text != '' AND doc_id IN (SELECT doc_id FROM labels WHERE quality = 1)")
+def summary_export(spark, sf):
+    good = table(spark, sf, "labels").filter("quality = 1").select("doc_id")
+    return table(spark, sf, "documents").filter(rules.blank_to_null(F.col("text")).isNotNull()).join(good, "doc_id", "left_semi").select("doc_id", "text")
