@@ -10,7 +10,8 @@ and the pairs that are left are compared exactly. Of each bucket only the links
 
 `near_duplicates` serves a similarity of 0.8 and more of five-word shingles. There, linked fingerprints differ in up to
 about 20 bits, for which no choice of equal fields is selective, so candidates meet where min-hash sketches of their
-shingles agree in a band; the pivot table and the fingerprints discard, and the sketches verify.
+shingles agree in a band; the pivot table and the fingerprints discard, the sketches tell what is similar for sure, and
+what they leave open is verified on the shingles themselves.
 
 Defined cases: a null or empty text has no words and fingerprint zero, linked like any other; a text of fewer words
 than a shingle is one shingle; rows of a null doc_id take part and have the smallest known doc_id of their component,
@@ -233,7 +234,7 @@ BAND_BINS = 5
 #: Bits in the union of two bitmaps up to which they are compared; beyond, the min-hash bits are.
 SMALL = 120
 #: How far the sketches of similar texts may fall short: by min-hash bits and by bitmaps.
-LARGE_ERROR, SMALL_ERROR = 0.09, 0.06
+LARGE_ERROR, SMALL_ERROR = 0.13, 0.1
 
 
 def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -263,29 +264,31 @@ def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key, bits
 
 
-def similar(others: np.ndarray, own: np.ndarray, similarity: float) -> np.ndarray:
-    """Which of the others' sketches are of a set that is as similar as `similarity`, but for the sketch's error."""
+def similar(others: np.ndarray, own: np.ndarray, similarity: float, sign: int = -1) -> np.ndarray:
+    """Which of the others' sketches are of a set that is as similar as `similarity`: with a sign of -1 all that may be,
+    given the sketch's error, and with 1 only those that are for sure."""
     both, either = np.bitwise_count(others[:, 4:] & own[:, 4:]).sum(axis=1), np.bitwise_count(others[:, 4:] | own[:, 4:]).sum(axis=1)
     # of the bins that differ, half have equal bits
     agreeing = 1 - 2 * np.bitwise_count(others[:, :4] ^ own[:, :4]).sum(axis=1) / BINS
-    return np.where(either <= SMALL, both >= (similarity - SMALL_ERROR) * either, agreeing >= similarity - LARGE_ERROR)
+    return np.where(either <= SMALL, both >= (similarity + sign * SMALL_ERROR) * either, agreeing >= similarity + sign * LARGE_ERROR)
 
 
-def band_links(fps: np.ndarray, bits: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
-    """Linked pairs (as indices) that connect whatever the members of a band are connected by, with no limit on members.
+def band_links(fps: np.ndarray, bits: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(a, b, sure): pairs (as indices) of a band, with no limit on members.
 
-    A pair is linked if neither the pivot table nor the fingerprints discard it and the sketches are similar. A few members
-    are compared pair by pair. More are grouped around leaders, each with all that are linked to it and to none before;
-    then two groups that are still apart are searched for a link. Differing min-hash bits and the Jaccard distance of
-    bitmaps are metrics, so the distances of members to leaders tell which groups, and which members, can have one.
+    A pair may be linked if neither the pivot table nor the fingerprints discard it and the sketches may be similar. Sure
+    pairs are given so far as they connect what is connected by sure pairs; of the others, all whose ends those leave
+    apart. A few members are compared pair by pair. More are grouped around leaders, each with all that are surely linked
+    to it and to none before; then groups that are still apart are searched. Differing min-hash bits and the Jaccard
+    distance of bitmaps are metrics, so the distances of members to leaders tell which groups, and members, can be linked.
     """
     table = np.bitwise_count(fps[:, None] ^ PIVOT_BITS).astype(np.int8)
 
-    def linked(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    def linked(x: np.ndarray, y: np.ndarray, sign: int) -> np.ndarray:
         at = np.flatnonzero(np.abs(table[x] - table[y]).max(axis=1, initial=0) <= LOOSE_RADIUS)
         at = at[np.bitwise_count(fps[x[at]] ^ fps[y[at]]) <= LOOSE_RADIUS]
         out = np.zeros(len(x), bool)
-        out[at] = similar(bits[x[at]], bits[y[at]], similarity)
+        out[at] = similar(bits[x[at]], bits[y[at]], similarity, sign)
         return out
 
     def distances(x: np.ndarray, y: int) -> tuple[np.ndarray, np.ndarray]:
@@ -298,45 +301,80 @@ def band_links(fps: np.ndarray, bits: np.ndarray, similarity: float) -> tuple[np
     n = len(fps)
     if n <= DIRECT:
         x, y = np.triu_indices(n, 1)
-        ok = linked(x, y)
-        return y[ok], x[ok]
-    reach = (BINS * (1 - (similarity - LARGE_ERROR)) / 2 + 1e-6, 1 - (similarity - SMALL_ERROR) + 1e-6)
-    lead, members, radius, a, b = [], [], [], [], []
+        maybe = linked(x, y, -1)
+        x, y = x[maybe], y[maybe]
+        sure = similar(bits[x], bits[y], similarity, 1)
+        label = forest(n, iter([(y[sure], x[sure])]))
+        moved, apart = np.flatnonzero(label != np.arange(n)), label[x] != label[y]
+        return np.concatenate([moved, y[apart]]), np.concatenate([label[moved], x[apart]]), np.arange(len(moved) + apart.sum()) < len(moved)
+    reach = {sign: (BINS * (1 - (similarity + sign * LARGE_ERROR)) / 2 + 1e-6, 1 - (similarity + sign * SMALL_ERROR) + 1e-6) for sign in (1, -1)}
+    lead, members, radius, a, b, flags = [], [], [], [], [], []
+
+    def give(x: np.ndarray, y: np.ndarray, sure: bool) -> None:
+        a.append(x)
+        b.append(y)
+        flags.append(np.full(len(x), sure))
+
     rest = np.arange(n)
     while len(rest):
-        own = linked(rest, constant(rest[0], rest))
+        own = linked(rest, constant(rest[0], rest), 1)
         own[0] = True
         lead.append(rest[0])
         members.append(rest[own])
         radius.append([d.max() for d in distances(members[-1], rest[0])])
-        a.append(members[-1][1:])
-        b.append(constant(rest[0], a[-1]))
+        give(members[-1][1:], constant(rest[0], members[-1][1:]), True)
         rest = rest[~own]
     lead, radius, size = np.array(lead), np.array(radius), np.array([len(m) for m in members])
     group = np.arange(len(lead))
 
-    def border(i: int, c: int) -> np.ndarray:
+    def border(i: int, c: int, sign: int) -> np.ndarray:
         """Members of group i that may be linked to one of group c."""
         h, j = distances(members[i], lead[c])
-        return members[i][(h <= reach[0] + radius[c, 0]) | (j <= reach[1] + radius[c, 1])]
-
-    for i in range(len(lead)):
-        other = np.arange(i + 1, len(lead))
-        # two leaders alone are known to be apart
-        other = other[(group[other] != group[i]) & ((size[other] > 1) | (size[i] > 1))]
-        h, j = distances(lead[other], lead[i])
-        for c in other[(h <= reach[0] + radius[i, 0] + radius[other, 0]) | (j <= reach[1] + radius[i, 1] + radius[other, 1])]:
-            if group[c] == group[i]:
-                continue
-            few, many = sorted((border(i, c), border(c, i)), key=len)
-            for x in few:
-                found = many[linked(many, constant(x, many))]
-                if len(found):
-                    a.append(found[:1])
-                    b.append(np.array([x]))
-                    group[group == group[c]] = group[i]
-                    break
-    return np.concatenate(a), np.concatenate(b)
+        return members[i][(h <= reach[sign][0] + radius[c, 0]) | (j <= reach[sign][1] + radius[c, 1])]
+
+    for sign in (1, -1):
+        for i in range(len(lead)):
+            other = np.arange(i + 1, len(lead))
+            # two leaders alone are known not to be surely linked
+            other = other[(group[other] != group[i]) & ((sign < 0) | (size[other] > 1) | (size[i] > 1))]
+            h, j = distances(lead[other], lead[i])
+            for c in other[(h <= reach[sign][0] + radius[i, 0] + radius[other, 0]) | (j <= reach[sign][1] + radius[i, 1] + radius[other, 1])]:
+                if group[c] == group[i]:
+                    continue
+                few, many = sorted((border(i, c, sign), border(c, i, sign)), key=len)
+                for x in few:
+                    found = many[linked(many, constant(x, many), sign)]
+                    if sign < 0:
+                        give(found, constant(x, found), False)
+                    elif len(found):
+                        give(found[:1], np.array([x]), True)
+                        group[group == group[c]] = group[i]
+                        break
+    return np.concatenate(a), np.concatenate(b), np.concatenate(flags)
+
+
+def verified(pairs: DataFrame, texts: DataFrame, similarity: float, size: int) -> DataFrame:
+    """The pairs (a, b) of digests whose texts' shingle sets are as similar as `similarity`. texts: (digest, text)."""
+
+    def shingles(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [np.unique(shingle_hashes(t, size)).tobytes() for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("digest"), pa.array(sets, pa.binary())], ["digest", "own"])
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            good = []
+            for x, y in zip(batch.column("x"), batch.column("y"), strict=True):
+                x, y = np.frombuffer(x.as_py(), np.uint64), np.frombuffer(y.as_py(), np.uint64)
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                good.append(both >= similarity * (len(x) + len(y) - both))
+            yield batch.select(["a", "b"]).filter(pa.array(good, pa.bool_()))
+
+    asked = pairs.select(F.col("a").alias("digest")).union(pairs.select("b")).distinct()
+    sets = texts.join(asked, "digest", "left_semi").mapInArrow(shingles, "digest binary, own binary")
+    sets = materialize(sets.groupBy("digest").agg(F.first("own").alias("own")), "shingle-sets")
+    of = lambda end, name: sets.select(F.col("digest").alias(end), F.col("own").alias(name))
+    return pairs.join(of("a", "x"), "a").join(of("b", "y"), "b").select("a", "b", "x", "y").mapInArrow(judge, "a binary, b binary")
 
 
 def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, DataFrame]:
@@ -377,9 +415,10 @@ def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, Da
 
         def close() -> Iterator[pa.RecordBatch]:
             fps, bits, rep = (np.concatenate([h[i] for h in held]) for i in range(3))
-            a, b = band_links(fps, bits, similarity)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(rep[a], pa.binary()), pa.array(rep[b], pa.binary())], ["a", "b"])
+            a, b, sure = band_links(fps, bits, similarity)
+            for i in range(0, len(a), 10_000):
+                part = slice(i, i + 10_000)
+                yield pa.RecordBatch.from_arrays([pa.array(rep[a[part]], pa.binary()), pa.array(rep[b[part]], pa.binary()), pa.array(sure[part])], ["a", "b", "sure"])
 
         for batch in batches:
             key, part, fps = batch.column("key").to_numpy(), batch.column("part").to_numpy(), batch.column("fp").to_numpy().view(np.uint64)
@@ -399,7 +438,10 @@ def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, Da
             yield from close()
 
     sorted_bands = keyed.repartition("key", "part").sortWithinPartitions("key", "part", "rep")
-    edges = materialize(sorted_bands.mapInArrow(compare, "a binary, b binary"), "near-links")
+    found = materialize(sorted_bands.mapInArrow(compare, "a binary, b binary, sure boolean"), "near-links")
+    open_pairs = found.filter("not sure").select(F.greatest("a", "b").alias("a"), F.least("a", "b").alias("b")).distinct()
+    exact = materialize(verified(open_pairs, with_digest.select("digest", "text"), similarity, size), "verified-links")
+    edges = found.filter("sure").select("a", "b").union(exact)
     return marked.select("doc_id", "digest"), connected_components(edges).select(F.col("node").alias("_node"), "component")
 
 

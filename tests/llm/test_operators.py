@@ -241,10 +241,13 @@ def least_reachable(n, pairs):
 def test_band_links_are_complete(size):
     hashes = [simhash.shingle_hashes(t, 5) for t in drifting(400, 5, size, 4 if size > 100 else 1)]
     fps, bits = np.array([simhash.fingerprint(h) for h in hashes], np.uint64), np.array([simhash.sketch(h)[1] for h in hashes])
-    every = [(i, j) for i in range(400) for j in range(i) if int(fps[i] ^ fps[j]).bit_count() <= simhash.LOOSE_RADIUS and simhash.similar(bits[i : i + 1], bits[j : j + 1], 0.8)[0]]
-    found = list(zip(*(x.tolist() for x in simhash.band_links(fps, bits, 0.8)), strict=True))
-    assert set(found) <= set(every) | {(j, i) for i, j in every} and len(found) < 400
-    assert least_reachable(400, found) == least_reachable(400, every)
+    near = [(i, j) for i in range(400) for j in range(i) if int(fps[i] ^ fps[j]).bit_count() <= simhash.LOOSE_RADIUS]
+    like = lambda sign: {(i, j) for i, j in near if simhash.similar(bits[i : i + 1], bits[j : j + 1], 0.8, sign)[0]}
+    sure, maybe = like(1), like(-1)
+    found = [(max(a, b), min(a, b), s) for a, b, s in zip(*(x.tolist() for x in simhash.band_links(fps, bits, 0.8)), strict=True)]
+    label = least_reachable(400, sure)
+    assert least_reachable(400, [f[:2] for f in found if f[2]]) == label and sum(f[2] for f in found) < 400
+    assert {f[:2] for f in found if not f[2]} == {(i, j) for i, j in maybe if label[i] != label[j]}
 
 
 def test_large_bands_are_whole(spark, monkeypatch):
@@ -257,8 +260,12 @@ def test_large_bands_are_whole(spark, monkeypatch):
         assert sorted(map(tuple, simhash.near_duplicates(table).collect())) == whole
     sets = [set(zip(*(t.split()[i:] for i in range(5)), strict=False)) for t in texts]
     group = dict(whole)
-    # the error of sketches aside, similar texts share a group
-    assert all(group[i] == group[j] for i in range(300) for j in range(i) if len(sets[i] & sets[j]) >= 0.85 * len(sets[i] | sets[j]))
+    like = {(i, j): len(sets[i] & sets[j]) / len(sets[i] | sets[j]) for i in range(300) for j in range(i)}
+    # bands may miss a pair that is barely similar enough
+    assert all(group[i] == group[j] for (i, j), s in like.items() if s >= 0.85)
+    # sure links may be a little below, others are exact
+    apart = least_reachable(300, [p for p, s in like.items() if s >= 0.75])
+    assert all(apart[i] == apart[group[i]] for i in range(300))
 
 
 def test_quality_classifier(spark, docs, none):
