@@ -10,7 +10,8 @@ and the pairs that are left are compared exactly. Of each bucket only the links
 
 `near_duplicates` serves a similarity of 0.8 and more of five-word shingles. There, linked fingerprints differ in up to
 about 20 bits, for which no choice of equal fields is selective, so candidates meet where min-hash sketches of their
-shingles agree in a band; the pivot table and the fingerprints discard, and the sketches verify.
+shingles agree in a band; the pivot table and the fingerprints discard, and the sketches tell which groups may hold similar
+texts. In each such group the texts are then compared on the shingles themselves, so only exact links are left.
 
 Defined cases: a null or empty text has no words and fingerprint zero, linked like any other; a text of fewer words
 than a shingle is one shingle; rows of a null doc_id take part and have the smallest known doc_id of their component,
@@ -28,7 +29,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import materialize
+from quillgraph.llm.common import drop_path, materialize, release
 from quillgraph.llm.components import connected_components
 
 RADIUS, FIELDS, BUCKET, PIVOTS, BATCH_ROWS = 3, 6, 4096, 12, 400
@@ -233,7 +234,9 @@ BAND_BINS = 5
 #: Bits in the union of two bitmaps up to which they are compared; beyond, the min-hash bits are.
 SMALL = 120
 #: How far the sketches of similar texts may fall short: by min-hash bits and by bitmaps.
-LARGE_ERROR, SMALL_ERROR = 0.09, 0.06
+LARGE_ERROR, SMALL_ERROR = 0.13, 0.1
+#: Texts and bytes of a portion of a group whose texts are compared; two portions at most are in a task.
+GROUP_PORTION, GROUP_BYTES = 8192, 32_000_000
 
 
 def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -339,6 +342,88 @@ def band_links(fps: np.ndarray, bits: np.ndarray, similarity: float) -> tuple[np
     return np.concatenate(a), np.concatenate(b)
 
 
+def exact_links(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray, np.ndarray]:
+    """Pairs (as indices) of a spanning forest of the sets (sorted, distinct) whose Jaccard similarity is `similarity`.
+
+    Each pair in the forest is compared exactly, and so is each pair whose ends it leaves apart, unless their sizes or, in a
+    group of over DIRECT, their sketches rule the pair out. There, sets are first gathered around leaders; then those outside
+    the largest part are compared with all that are still apart.
+    """
+    n = len(sets)
+    length, label, a, b = np.array([len(s) for s in sets], np.int64), np.arange(n), [], []
+
+    def alike(i: int, j: int) -> bool:
+        x, y = (sets[i], sets[j]) if length[i] <= length[j] else (sets[j], sets[i])
+        both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
+        return both >= similarity * (len(x) + len(y) - both)
+
+    def join(i: int, j: int) -> None:
+        a.append(i)
+        b.append(j)
+        label[label == label[i]] = label[j]
+
+    def possible(x: int, others: np.ndarray) -> np.ndarray:
+        low, high = np.minimum(length[others], length[x]), np.maximum(length[others], length[x])
+        others = others[low >= similarity * high]
+        return others if n <= DIRECT else others[similar(bits[others], bits[x : x + 1], similarity)]
+
+    if n > DIRECT:
+        bits = np.array([sketch(s)[1] for s in sets])
+    rest = np.arange(n)
+    while len(rest):
+        x, rest = int(rest[0]), rest[1:]
+        for y in possible(x, rest).tolist():
+            if alike(x, y):
+                join(y, x)
+        rest = rest[label[rest] != label[x]]
+    # two leaders alone are known to be apart
+    several, largest = np.bincount(label, minlength=n)[label] > 1, np.bincount(label, minlength=n).argmax() if n else 0
+    for x in np.flatnonzero(label != largest).tolist():
+        others = np.flatnonzero((label != label[x]) & (several | several[x]))
+        for y in possible(x, others).tolist():
+            if label[y] != label[x] and alike(x, y):
+                join(y, x)
+    return np.array(a, np.int64), np.array(b, np.int64)
+
+
+def verified(texts: DataFrame, similarity: float, size: int) -> DataFrame:
+    """(a, b): links of digests that connect whatever similar texts connect. texts: (digest, component, text), a row for
+    each digest; similar texts are of one component.
+
+    A component that is too large for a task is cut into portions, each two of which meet in a task of their own.
+    """
+    sizes = texts.groupBy("component").agg(F.count("*").alias("rows"), F.sum(F.octet_length("text")).alias("bytes"))
+    parts = F.greatest(F.ceil(F.col("rows") / GROUP_PORTION), F.ceil(F.col("bytes") / GROUP_BYTES))
+    large = materialize(sizes.select(F.col("component").alias("_component"), parts.alias("n")).filter("n > 1"), "large-groups")
+    parted, known = texts.select("component", F.lit(0).cast("long").alias("part"), "digest", "text"), large.count()
+    if known:
+        n = F.coalesce("n", F.lit(1).cast("long"))
+        joined = texts.join(F.broadcast(large) if known <= BROADCAST_ROWS else large, F.col("component") == F.col("_component"), "left").withColumn("n", n)
+        own = F.pmod(F.xxhash64("digest"), F.col("n"))
+        meets = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda q: F.least(own, q) * F.col("n") + F.greatest(own, q))
+        parted = joined.select("component", F.explode(meets).alias("part"), "digest", "text")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        group, digests, sets = None, [], []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            a, b = exact_links(sets, similarity)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array([digests[i] for i in end], pa.binary()) for end in (a, b)], ["a", "b"])
+
+        for batch in batches:
+            for component, part, digest, text in zip(*(batch.column(c) for c in ("component", "part", "digest", "text")), strict=True):
+                now = (component.as_py(), part.as_py())
+                if now != group:
+                    yield from close()
+                    group, digests, sets = now, [], []
+                digests.append(digest.as_py())
+                sets.append(np.unique(shingle_hashes(text.as_py(), size)))
+        yield from close()
+
+    return parted.repartition("component", "part").sortWithinPartitions("component", "part", "digest").mapInArrow(run, "a binary, b binary")
+
+
 def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, digest) of each row of docs, and (digest, component) of the digests that have similar ones.
 
@@ -399,7 +484,17 @@ def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, Da
             yield from close()
 
     sorted_bands = keyed.repartition("key", "part").sortWithinPartitions("key", "part", "rep")
-    edges = materialize(sorted_bands.mapInArrow(compare, "a binary, b binary"), "near-links")
+    loose = materialize(sorted_bands.mapInArrow(compare, "a binary, b binary"), "near-links")
+    maybe = connected_components(loose)
+    drop_path(loose)
+    release(docs.sparkSession)
+    grouped = with_digest.select("digest", "text").join(maybe, F.col("digest") == F.col("node"))
+    texts = materialize(grouped.groupBy("digest").agg(F.first("component").alias("component"), F.first("text").alias("text")), "grouped-texts")
+    drop_path(maybe)
+    release(docs.sparkSession)
+    edges = materialize(verified(texts, similarity, size), "near-links")
+    drop_path(texts)
+    release(docs.sparkSession)
     return marked.select("doc_id", "digest"), connected_components(edges).select(F.col("node").alias("_node"), "component")
 
 
@@ -427,6 +522,9 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, size: int = NEAR_S
     named = digests.join(nodes, digests["digest"] == nodes["_node"], "left")
     chosen = named.groupBy(F.coalesce("component", "digest").alias("component")).agg(F.min("first").alias("first"))
     wanted = materialize(chosen.select(F.col("first.id").alias("_id"), F.col("first.digest").alias("_digest")), "kept")
+    drop_path(rows)
+    drop_path(nodes)
+    release(docs.sparkSession)
     marked = docs.withColumn("_own", text_digest())
     kept = marked.join(wanted, (marked["_own"] == wanted["_digest"]) & marked["doc_id"].cast("long").eqNullSafe(wanted["_id"]), "left_semi")
     return kept.dropDuplicates(["doc_id", "_own"]).select(*docs.columns)
