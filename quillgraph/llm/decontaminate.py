@@ -89,10 +89,10 @@ class Patterns:
         chosen = np.unique(chosen[chosen >= 0])
         return chosen // span, (chosen % span) * self.band - LONGEST
 
-    def distances(self, data: np.ndarray, pattern: np.ndarray, diagonal: np.ndarray) -> np.ndarray:
-        """Least edits between each pattern and a part of data on the diagonals from `diagonal` to 2 * band further,
-        widened by the edits."""
-        out = np.zeros(len(pattern), np.int64)
+    def distances(self, data: np.ndarray, pattern: np.ndarray, diagonal: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(edits, end): least edits between each pattern and a part of data on the diagonals from `diagonal` to 2 * band
+        further, widened by the edits; and the first position at which such a part ends."""
+        out, end = np.zeros(len(pattern), np.int64), np.zeros(len(pattern), np.int64)
         width = 2 * self.band + 2 * int(self.edits.max(initial=0)) + 1
         padded = np.concatenate([np.full(LONGEST + width, 255, np.uint8), data, np.full(2 * LONGEST + 2 * width, 255, np.uint8)])
         for m in np.unique(self.length[pattern]):
@@ -109,16 +109,17 @@ class Patterns:
                     best[:, :-1] = np.minimum(best[:, :-1], row[:, 1:] + 1)
                     row = (np.minimum.accumulate(best - ramp, axis=1) + ramp).astype(np.int16)
                 out[own] = row.min(axis=1)
-        return out
+                end[own] = diagonal[own] - int(self.edits.max()) + int(m) + row.argmin(axis=1)
+        return out, end
 
     def matches(self, data: np.ndarray) -> list[tuple[int, int, int]]:
-        """(position, pattern, edits) of the verified regions."""
+        """(end, pattern, edits) of the verified regions; the end is that of the aligned part of data."""
         pattern, diagonal = self.regions(data)
         if not len(pattern):
             return []
-        edits = self.distances(data, pattern, diagonal)
+        edits, end = self.distances(data, pattern, diagonal)
         good = edits <= self.edits[pattern]
-        return list(zip(diagonal[good].tolist(), pattern[good].tolist(), edits[good].tolist(), strict=True))
+        return list(zip(end[good].tolist(), pattern[good].tolist(), edits[good].tolist(), strict=True))
 
     def search(self, texts: list[str | None]) -> list[dict[int, int]]:
         """For each text the items that it contains, with the least edits."""
@@ -132,8 +133,9 @@ class Patterns:
             gap = b"\xff" * (2 * LONGEST)
             data = np.frombuffer(gap.join(x for _, _, x in held) + gap, np.uint8)
             starts = np.cumsum([0, *[len(x) + len(gap) for _, _, x in held]])[:-1]
-            for position, pattern, edits in self.matches(data):
-                own = out[held[max(0, int(np.searchsorted(starts, position + self.length[pattern] // 2, "right")) - 1)][0]]
+            for end, pattern, edits in self.matches(data):
+                # edits at the end are taken as missing bytes, so the last byte of the part is never in a gap
+                own = out[held[int(np.searchsorted(starts, end - 1, "right")) - 1][0]]
                 own[self.item[pattern]] = min(edits, own.get(self.item[pattern], edits))
 
         size = 0

@@ -2,7 +2,7 @@
 
 import numpy as np
 
-from quillgraph.llm import simhash
+from quillgraph.llm import decontaminate, simhash
 
 
 def shingle_set(text, size=5):
@@ -56,3 +56,16 @@ def test_exact_links_of_a_large_group():
     assert all(map(linked, a.tolist(), b.tolist()))
     found = {frozenset(p) for p in zip(a.tolist(), b.tolist(), strict=True)}
     assert components_of(240, lambda i, j: frozenset((i, j)) in found) == components_of(240, linked)
+
+
+def test_leaks_are_of_the_text_that_holds_them():
+    rng = np.random.default_rng(2)
+    word = lambda n: "".join(chr(97 + c) for c in rng.integers(0, 26, n))
+    # an item of 190 bytes makes the bands 20 wide
+    items = [(0, word(190)), *((i, word(24 + i)) for i in range(1, 50))]
+    texts, expected = [], []
+    for i, item in items:
+        for text in (item + " " + word(90), word(61 + i) + " " + item, item[: len(item) * 19 // 20] + " " + word(33)):
+            texts += [word(70 + i), text]
+            expected += [set(), {i}]
+    assert [set(f) for f in decontaminate.Patterns(items).search(texts)] == expected
