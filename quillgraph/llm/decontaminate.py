@@ -1,8 +1,9 @@
 """Benchmark decontamination: q-gram lemma filtering over diagonal bands, then banded alignment.
 
 Texts are compared as UTF-8 bytes with A-Z in lower case and white space runs as one space. A benchmark item of up to
-LONGEST bytes is one pattern; a longer one is cut into patterns of PATTERN bytes that overlap by half, so an excerpt is
-found too. A document is contaminated if a part of it is within `edits` of a pattern (a tenth of its length). By the
+LONGEST bytes is one pattern; one of over PATTERN bytes is also cut into patterns of PATTERN bytes, STEP apart (the edits
+that a pattern may have), so each excerpt of PATTERN bytes lacks at most STEP / 2 bytes of one, and each of
+PATTERN + STEP - 1 bytes has a whole one. A document is contaminated if a part of it is within `edits` of a pattern (a tenth of its length). By the
 q-gram lemma such a part shares at least length - Q + 1 - Q * edits q-grams with it, all on diagonals at most `edits`
 apart. So shared q-grams are counted in overlapping bands of diagonals, only bands that reach this number are kept, and
 each is verified by an alignment within the band.
@@ -25,7 +26,9 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 Q, RATE, PATTERN, LONGEST, SHORTEST = 8, 0.1, 128, 192, 24
-BLOCK_BYTES, SCAN, ALIGN = 16_000_000, 1_000_000, 4096
+STEP = int(PATTERN * RATE)
+#: A byte of an item is in PATTERN / STEP patterns.
+BLOCK_BYTES, SCAN, ALIGN = 3_000_000, 1_000_000, 4096
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 FILTER_BITS = 20
 
@@ -49,10 +52,10 @@ class Patterns:
             x = normalized(text)
             if len(x) < SHORTEST:
                 continue
-            starts = [0] if len(x) <= LONGEST else [*range(0, len(x) - PATTERN, PATTERN // 2), len(x) - PATTERN]
-            for s in starts:
+            cuts = [x[s : s + PATTERN] for s in [*range(0, len(x) - PATTERN, STEP), len(x) - PATTERN]] if len(x) > PATTERN else []
+            for part in [*[x] * (len(x) <= LONGEST), *cuts]:
                 self.item.append(item_id)
-                self.text.append(x if len(x) <= LONGEST else x[s : s + PATTERN])
+                self.text.append(part)
         self.length = np.array([len(x) for x in self.text], np.int64)
         self.edits = np.minimum((self.length * RATE).astype(np.int64), (self.length - Q) // Q)
         self.least = self.length - Q + 1 - Q * self.edits

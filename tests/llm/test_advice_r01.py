@@ -69,3 +69,14 @@ def test_leaks_are_of_the_text_that_holds_them():
             texts += [word(70 + i), text]
             expected += [set(), {i}]
     assert [set(f) for f in decontaminate.Patterns(items).search(texts)] == expected
+
+
+def test_excerpts_of_a_pattern_are_found():
+    rng = np.random.default_rng(6)
+    word = lambda n: "".join(chr(97 + c) for c in rng.integers(0, 26, n))
+    items = [(1, word(129)), (2, word(190)), (3, word(400))]
+    patterns = decontaminate.Patterns(items)
+    for i, item in items:
+        excerpts = [f"{word(50)} {item[s : s + 128]} {word(50)}" for s in range(len(item) - 127)]
+        assert patterns.search(excerpts) and all(set(f) == {i} for f in patterns.search(excerpts))
+    assert not any(patterns.search([word(300) for _ in range(50)]))
