@@ -108,12 +108,12 @@ class Plan:
             group += 1
 
 
-def tokenize(docs: DataFrame, tokenizer: tuple, end_id: int) -> DataFrame:
+def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """(chunk, source, doc_id, position, n, ids): a chunk is a task, position counts a source's tokens in it."""
     names = ["chunk", "source", "doc_id", "position", "n", "ids"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        chunk, bpe, end, at = TaskContext.get().partitionId(), byte_bpe(*tokenizer), struct.pack("<H", end_id), {}
+        chunk, bpe, end, at = TaskContext.get().partitionId(), byte_bpe(tokenizer), struct.pack("<H", end_id), {}
         for whole in batches:
             for i in range(0, whole.num_rows, BATCH_ROWS):
                 batch = whole.slice(i, BATCH_ROWS)
@@ -129,7 +129,7 @@ def tokenize(docs: DataFrame, tokenizer: tuple, end_id: int) -> DataFrame:
     return materialize(wanted.mapInArrow(run, "chunk int, source string, doc_id long, position long, n long, ids binary"), "packing-ids")
 
 
-def pack(docs: DataFrame, tokenizer: tuple, end_id: int = 0, with_ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, with_ids: bool = False) -> DataFrame:
     """Pieces of docs (doc_id, text, source): doc_id, start, length, ids_crc32, doc_tokens, sequence_id, offset, and ids."""
     ids = tokenize(docs, tokenizer, end_id)
     per_chunk = ids.groupBy("chunk", "source").agg(F.sum("n").alias("n"))

@@ -10,8 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from quillgraph.llm import class_lm, decontaminate, packing, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts, token_files, url_filter
 from quillgraph.llm.common import table
 
-#: Tokenizer file, the same vocabulary as ranks, and its pattern.
-BYTE_BPE = (public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
 WORD_BPE, TOKEN_LIMIT = public_tokenizers.path("word_bpe_49k.json"), 2048
 URL_RULES = [("net/", "block"), ("example.net/en/", "allow"), ("example.com/de/", "block"), ("org/fr/", "allow")]
 #: Canonical URLs of known spam: a host with `/` lists the whole site.

@@ -162,7 +162,7 @@ def unpack_file(payload: bytes) -> Iterator[tuple[list[int | None], np.ndarray,
 FILE_SCHEMA = "part int, file int, start long, n_tokens long, payload binary"
 
 
-def write_files(docs: DataFrame, tokenizer: tuple, end_id: int = 0) -> DataFrame:
+def write_files(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
     """Encode docs (doc_id, text) in ascending doc_id order; the table of files, written to the shared folder.
 
     The texts are range-partitioned by doc_id before they are tokenized, so each is tokenized once; a worker holds the
@@ -170,7 +170,7 @@ def write_files(docs: DataFrame, tokenizer: tuple, end_id: int = 0) -> DataFrame
     """
 
     def encode(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        part, bpe, end = TaskContext.get().partitionId(), byte_bpe(*tokenizer), struct.pack("<H", end_id)
+        part, bpe, end = TaskContext.get().partitionId(), byte_bpe(tokenizer), struct.pack("<H", end_id)
         held: list[tuple[int | None, bytes]] = []
         size = start = file = 0
 

@@ -1,56 +1,128 @@
 """Exact token ids of whole texts, as the tokenizers library gives them.
 
-A text of ASCII and Latin letters goes to tiktoken with the same vocabulary and pattern, which makes the same ids
-several times faster (the tests compare both). A text with any other character, for which the two libraries' Unicode
-tables might differ, or with a special token's string goes to the tokenizers library itself.
+The library encodes each distinct piece of the texts once; a text's ids are those of its pieces, one after the other.
+A text is cut only where, whatever is around, one pre-token of the byte-level pattern ends and another begins: before a
+single space or line feed between two characters that aren't white space, and before a full stop or comma that follows a
+Latin letter or a digit. A text that can't be cut so, or that holds the string of an added token, goes to the library
+in longer pieces or whole.
 """
 
 from __future__ import annotations
 
-import base64
 import os
 import re
 
 import numpy as np
 
-_other = re.compile("[^\t\n\r -~\xa1-ɏ]")
+#: Pieces that a worker keeps, the longest of them, and pieces encoded in one call.
+CACHE_PIECES, KEPT_LENGTH, CALL_PIECES = 700_000, 64, 2000
+#: Begins a piece that no space precedes. A key is a piece without its leading space, or with MARK in front if it has
+#: none; a piece that begins with a line feed is its own key.
+MARK = "\x01"
+_edge = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
 class ByteBpe:
     """ids(texts): for each text its token ids as little-endian uint16 bytes."""
 
-    def __init__(self, path: str, ranks_path: str | None = None, pattern: str | None = None):
+    def __init__(self, path: str):
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16:
             raise ValueError("ids need more than 16 bits")
-        self.special = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
-        self.quick = None
-        if ranks_path:
-            import tiktoken
-
-            with open(ranks_path, "rb") as lines:
-                ranks = {base64.b64decode(token): int(rank) for token, rank in (line.split() for line in lines if line.strip())}
-            self.quick = tiktoken.Encoding("same", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
-
-    def _one(self, text: str | None) -> bytes:
-        if not text:
-            return b""
-        if self.quick and not _other.search(text) and not any(s in text for s in self.special):
-            return self.quick.encode_to_numpy(text, disallowed_special=()).astype("<u2").tobytes()
+        added = self.tokenizer.get_added_tokens_decoder()
+        self.added = [t.content for t in added.values()]
+        #: An added token that takes no neighbouring space: its string parts the pieces of one call.
+        self.border = next(((i, t.content) for i, t in added.items() if not (t.lstrip or t.rstrip or t.single_word or t.normalized)), None)
+        #: Ids of keys after which any piece may follow, and of those that a MARK piece can't follow.
+        self.known: dict[str, bytes] = {}
+        self.fragile: dict[str, bytes] = {}
+        self.long: list[str] = []
+
+    def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2").tobytes()
 
-    def ids(self, texts: list[str | None]) -> list[bytes]:
-        return [self._one(t) for t in texts]
-
-
-_loaded: dict[tuple, ByteBpe] = {}
+    def _encode(self, pieces: list[str]) -> list[bytes]:
+        if self.border is None:
+            return [self._whole(p) for p in pieces]
+        out, (number, string) = [], self.border
+        for i in range(0, len(pieces), CALL_PIECES):
+            ids = np.array(self.tokenizer.encode_batch_fast([string.join(pieces[i : i + CALL_PIECES])], add_special_tokens=False)[0].ids, "<u2")
+            ends, raw = [*np.flatnonzero(ids == number).tolist(), len(ids)], ids.tobytes()
+            out += [raw[2 * a : 2 * z] for a, z in zip([0, *(e + 1 for e in ends[:-1])], ends, strict=True)]
+        return out
+
+    def _learn(self, keys: set[str]) -> None:
+        """Add the ids of keys; those at whose edges a text must not be cut stay unknown."""
+        if len(self.known) + len(self.fragile) > CACHE_PIECES:
+            self.known.clear()
+            self.fragile.clear()
+        plain, marked = [], []
+        for k in keys.difference(self.known, self.fragile):
+            (marked if k[:1] in ("\n", MARK) else plain).append(k)
+        plain = [k for k, own in zip(plain, map(str.strip, plain), strict=True) if own is k and k]
+        marked = [k for k in marked if (own := k[1:]) and own.strip() is own]
+        found = zip([*plain, *marked], self._encode([*[" " + k for k in plain], *[k if k[0] == "\n" else k[1:] for k in marked]]), strict=True)
+        stops = {MARK + c for c in ".,"}
+        for k, ids in found:
+            last = k[-1]
+            (self.known if last < "\u0250" and last.isalnum() or k in stops else self.fragile)[k] = ids
+            if len(k) > KEPT_LENGTH:
+                self.long.append(k)
+
+    def _joined(self, keys: list[str]) -> bytes | None:
+        """The ids of a text's keys, None if some can't be told apart."""
+        out, known = [], self.known
+        for k, after in zip(keys, [*keys[1:], ""], strict=True):
+            if k in known:
+                out.append(known[k])
+            elif k in self.fragile and after[:1] != MARK:
+                out.append(self.fragile[k])
+            else:
+                return None
+        return b"".join(out)
+
+    def _cut_again(self, text: str) -> bytes:
+        """The ids of a text with white space other than single spaces and line feeds, or with rows of stops."""
+        return b"".join(self._encode(_edge.split(text)))
 
-
-def byte_bpe(*paths: str) -> ByteBpe:
+    def ids(self, texts: list[str | None]) -> list[bytes]:
+        out: list[bytes] = [b""] * len(texts)
+        cut: dict[int, list[str]] = {}
+        for i, t in enumerate(texts):
+            if not t:
+                continue
+            if MARK in t or any(a in t for a in self.added):
+                out[i] = self._whole(t)
+                continue
+            marked = t.replace(".", " \x01.").replace(",", " \x01,").replace("\n", " \n")
+            if "\x01. \x01" in marked or "\x01, \x01" in marked:
+                out[i] = self._cut_again(t)
+                continue
+            cut[i] = marked.split(" ")
+            cut[i][0] = cut[i][0] if marked[0] in " \n" else MARK + cut[i][0]
+        self._learn({k for keys in cut.values() for k in keys})
+        get = self.known.__getitem__
+        for i, keys in cut.items():
+            try:
+                out[i] = b"".join(map(get, keys))
+            except KeyError:
+                found = self._joined(keys)
+                out[i] = self._cut_again(texts[i]) if found is None else found
+        for k in self.long:
+            self.known.pop(k, None)
+            self.fragile.pop(k, None)
+        self.long.clear()
+        return out
+
+
+_loaded: dict[str, ByteBpe] = {}
+
+
+def byte_bpe(path: str) -> ByteBpe:
     """One for each Python worker."""
-    if paths not in _loaded:
-        _loaded[paths] = ByteBpe(*paths)
-    return _loaded[paths]
+    if path not in _loaded:
+        _loaded[path] = ByteBpe(path)
+    return _loaded[path]

@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from tokenizers import Tokenizer
 
-from quillgraph.llm import class_lm, components, decontaminate, packing, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts, token_files, url_filter
+from quillgraph.llm import class_lm, components, decontaminate, packing, quality_classifier, quality_rules, simhash, suffix_dedup, token_counts, token_files, token_ids, url_filter
 from quillgraph.llm.registry import BYTE_BPE, LISTED_URLS, URL_RULES, WORD_BPE
 from quillgraph.llm.token_ids import ByteBpe
 
@@ -34,7 +34,7 @@ def none(spark):
 
 
 def expected_tokens():
-    t = Tokenizer.from_file(BYTE_BPE[0])
+    t = Tokenizer.from_file(BYTE_BPE)
     return lambda text: np.array([*t.encode(text or "", add_special_tokens=False).ids, 0], "<u4")
 
 
@@ -275,10 +275,16 @@ def test_quality_classifier(spark, docs, none):
     assert {r.score for r in quality_classifier.classify(docs, constant).collect()} == {0.5} and quality_classifier.classify(none, model).count() == 0
 
 
-def test_token_ids_equal_the_library():
-    ids, bpe = expected_tokens(), ByteBpe(*BYTE_BPE)
-    for x in TEXTS:
-        assert np.frombuffer(bpe.ids([x])[0], "<u2").tolist() == ids(x)[:-1].tolist()
+def test_token_ids_equal_the_library(monkeypatch):
+    ids, bpe = expected_tokens(), ByteBpe(BYTE_BPE)
+    rng = np.random.default_rng(3)
+    parts = ["a", "don't", "I'll", " ", "  ", "\n", "\n\n", "\t", "\r", "\x01", "\x1c", "\x85", "\xa0", "\u3000", "日本語", "é", "e\u0301", "1234", "!?", ".", ",", "..", "3.14", "<|endoftext|>", "x" * 100, "'s", "Foo.", "\u200b", "🙂", "\x0b", "٣"]
+    mixed = ["".join(rng.choice(parts, rng.integers(0, 14))) for _ in range(4000)]
+    for cache in (None, 50):
+        monkeypatch.setattr(token_ids, "CACHE_PIECES", cache or token_ids.CACHE_PIECES)
+        for batch in (TEXTS, *(mixed[i : i + 100] for i in range(0, 4000, 100))):
+            for x, own in zip(batch, bpe.ids(batch), strict=True):
+                assert np.frombuffer(own, "<u2").tolist() == ids(x)[:-1].tolist()
 
 
 def test_token_files(spark, docs, none, monkeypatch):
