@@ -4,22 +4,20 @@ The library encodes each distinct piece of the texts once; a text's ids are thos
 A text is cut only where, whatever is around, one pre-token of the byte-level pattern ends and another begins: before a
 single space or line feed between two characters that aren't white space, and before a full stop or comma that follows a
 Latin letter or a digit. A text that can't be cut so, or that holds the string of an added token, goes to the library
-in longer pieces or whole.
+whole.
 """
 
 from __future__ import annotations
 
 import os
-import re
 
 import numpy as np
 
 #: Pieces that a worker keeps, the longest of them, and pieces encoded in one call.
-CACHE_PIECES, KEPT_LENGTH, CALL_PIECES = 700_000, 64, 2000
+CACHE_PIECES, KEPT_LENGTH, CALL_PIECES = 700_000, 64, 500
 #: Begins a piece that no space precedes. A key is a piece without its leading space, or with MARK in front if it has
 #: none; a piece that begins with a line feed is its own key.
 MARK = "\x01"
-_edge = re.compile(r"(?<=\S)(?=[ \n]\S)")
 
 
 class ByteBpe:
@@ -32,65 +30,60 @@ class ByteBpe:
         self.tokenizer = Tokenizer.from_file(path)
         if self.tokenizer.get_vocab_size(with_added_tokens=True) > 1 << 16:
             raise ValueError("ids need more than 16 bits")
-        added = self.tokenizer.get_added_tokens_decoder()
-        self.added = [t.content for t in added.values()]
-        #: An added token that takes no neighbouring space: its string parts the pieces of one call.
-        self.border = next(((i, t.content) for i, t in added.items() if not (t.lstrip or t.rstrip or t.single_word or t.normalized)), None)
-        #: Ids of keys after which any piece may follow, and of those that a MARK piece can't follow.
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
+        #: Bytes of each id: a character of the byte-level alphabet is a byte.
+        self.bytes_of = np.zeros(1 << 16, np.int64)
+        for token, i in self.tokenizer.get_vocab(with_added_tokens=False).items():
+            self.bytes_of[i] = len(token)
         self.known: dict[str, bytes] = {}
-        self.fragile: dict[str, bytes] = {}
         self.long: list[str] = []
+        self.may_stop: set[str] = set()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2").tobytes()
 
     def _encode(self, pieces: list[str]) -> list[bytes]:
-        if self.border is None:
-            return [self._whole(p) for p in pieces]
-        out, (number, string) = [], self.border
+        """Ids of pieces that may stand one after the other. Their tokens are told apart by their lengths."""
+        out = []
         for i in range(0, len(pieces), CALL_PIECES):
-            ids = np.array(self.tokenizer.encode_batch_fast([string.join(pieces[i : i + CALL_PIECES])], add_special_tokens=False)[0].ids, "<u2")
-            ends, raw = [*np.flatnonzero(ids == number).tolist(), len(ids)], ids.tobytes()
-            out += [raw[2 * a : 2 * z] for a, z in zip([0, *(e + 1 for e in ends[:-1])], ends, strict=True)]
+            own = pieces[i : i + CALL_PIECES]
+            raw = self._whole("".join(own))
+            at = np.cumsum(self.bytes_of[np.frombuffer(raw, "<u2")])
+            ends = np.cumsum([len(p.encode()) for p in own])
+            cuts = np.searchsorted(at, ends)
+            if len(at) and (at[np.minimum(cuts, len(at) - 1)] == ends).all() and cuts[-1] == len(at) - 1:
+                cuts = (2 * cuts + 2).tolist()
+                out += [raw[a:z] for a, z in zip([0, *cuts[:-1]], cuts, strict=True)]
+            else:
+                out += map(self._whole, own)
         return out
 
     def _learn(self, keys: set[str]) -> None:
         """Add the ids of keys; those at whose edges a text must not be cut stay unknown."""
-        if len(self.known) + len(self.fragile) > CACHE_PIECES:
+        if len(self.known) > CACHE_PIECES:
             self.known.clear()
-            self.fragile.clear()
         plain, marked = [], []
-        for k in keys.difference(self.known, self.fragile):
+        for k in keys.difference(self.known):
             (marked if k[:1] in ("\n", MARK) else plain).append(k)
         plain = [k for k, own in zip(plain, map(str.strip, plain), strict=True) if own is k and k]
         marked = [k for k in marked if (own := k[1:]) and own.strip() is own]
-        found = zip([*plain, *marked], self._encode([*[" " + k for k in plain], *[k if k[0] == "\n" else k[1:] for k in marked]]), strict=True)
-        stops = {MARK + c for c in ".,"}
-        for k, ids in found:
-            last = k[-1]
-            (self.known if last < "\u0250" and last.isalnum() or k in stops else self.fragile)[k] = ids
-            if len(k) > KEPT_LENGTH:
-                self.long.append(k)
-
-    def _joined(self, keys: list[str]) -> bytes | None:
-        """The ids of a text's keys, None if some can't be told apart."""
-        out, known = [], self.known
-        for k, after in zip(keys, [*keys[1:], ""], strict=True):
-            if k in known:
-                out.append(known[k])
-            elif k in self.fragile and after[:1] != MARK:
-                out.append(self.fragile[k])
-            else:
-                return None
-        return b"".join(out)
-
-    def _cut_again(self, text: str) -> bytes:
-        """The ids of a text with white space other than single spaces and line feeds, or with rows of stops."""
-        return b"".join(self._encode(_edge.split(text)))
+        self.known.update(zip(plain, self._encode([" " + k for k in plain]), strict=True))
+        lines, rest = [k for k in marked if k[0] == "\n"], [k for k in marked if k[0] == MARK]
+        self.known.update(zip(lines, self._encode(lines), strict=True))
+        self.known.update((k, self._whole(k[1:])) for k in rest)
+        self.long = [k for k in (*plain, *marked) if len(k) > KEPT_LENGTH]
+
+    def _stops_alone(self, marked: str) -> bool:
+        """Whether each marked full stop and comma follows a Latin letter or a digit."""
+        new = {p[-1:] for p in marked.split(" " + MARK)[:-1]} - self.may_stop
+        good = {c for c in new if c and c < "\u0250" and c.isalnum()}
+        self.may_stop |= good
+        return len(good) == len(new)
 
     def ids(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         cut: dict[int, list[str]] = {}
+        again = []
         for i, t in enumerate(texts):
             if not t:
                 continue
@@ -98,23 +91,23 @@ class ByteBpe:
                 out[i] = self._whole(t)
                 continue
             marked = t.replace(".", " \x01.").replace(",", " \x01,").replace("\n", " \n")
-            if "\x01. \x01" in marked or "\x01, \x01" in marked:
-                out[i] = self._cut_again(t)
-                continue
-            cut[i] = marked.split(" ")
-            cut[i][0] = cut[i][0] if marked[0] in " \n" else MARK + cut[i][0]
-        self._learn({k for keys in cut.values() for k in keys})
+            if self._stops_alone(marked) and marked[0] != " ":
+                cut[i] = marked.split(" ")
+                cut[i][0] = MARK + cut[i][0]
+            else:
+                again.append(i)
+        self._learn(set().union(*cut.values()))
         get = self.known.__getitem__
         for i, keys in cut.items():
             try:
                 out[i] = b"".join(map(get, keys))
             except KeyError:
-                found = self._joined(keys)
-                out[i] = self._cut_again(texts[i]) if found is None else found
+                again.append(i)
+        for i in again:
+            # other white space than single spaces and line feeds, or rows of stops
+            out[i] = self._whole(texts[i])
         for k in self.long:
-            self.known.pop(k, None)
-            self.fragile.pop(k, None)
-        self.long.clear()
+            del self.known[k]
         return out
 
 
