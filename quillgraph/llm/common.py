@@ -7,7 +7,8 @@ import tempfile
 import time
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _own_dir: list[str] = []
 
@@ -48,6 +49,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def text_digest(text: str = "text") -> Column:
+    """The md5 of a text; a null text counts as empty."""
+    return F.unhex(F.md5(F.coalesce(text, F.lit("")).cast("binary")))
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark's cleaner delete the shuffle files of finished phases before the next one writes its own.
 

@@ -26,10 +26,10 @@ from itertools import combinations
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import drop_path, materialize, release
+from quillgraph.llm.common import drop_path, materialize, release, text_digest
 from quillgraph.llm.components import connected_components
 
 RADIUS, FIELDS, BUCKET, PIVOTS, BATCH_ROWS = 3, 6, 4096, 12, 400
@@ -498,10 +498,6 @@ def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, Da
     return marked.select("doc_id", "digest"), connected_components(edges).select(F.col("node").alias("_node"), "component")
 
 
-def text_digest() -> Column:
-    return F.unhex(F.md5(F.coalesce("text", F.lit("")).cast("binary")))
-
-
 def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int = NEAR_SHINGLE) -> DataFrame:
     """(doc_id, component_id): rows of docs whose shingle sets are similar, directly or through others, share the
     smallest doc_id among them."""

@@ -80,3 +80,84 @@ def test_excerpts_of_a_pattern_are_found():
         excerpts = [f"{word(50)} {item[s : s + 128]} {word(50)}" for s in range(len(item) - 127)]
         assert patterns.search(excerpts) and all(set(f) == {i} for f in patterns.search(excerpts))
     assert not any(patterns.search([word(300) for _ in range(50)]))
+
+
+def part_edits(unit, text):
+    """Least edits between unit and any part of text."""
+    row = np.zeros(len(text) + 1, int)
+    data = np.frombuffer(text, np.uint8)
+    for i, c in enumerate(unit, 1):
+        best = np.minimum(row[:-1] + (data != c), row[1:] + 1)
+        row = np.minimum.accumulate(np.concatenate([[i], best]) - np.arange(len(text) + 1)) + np.arange(len(text) + 1)
+    return int(row.min())
+
+
+def held_by(item, text):
+    """Whether some unit of the item lies in the text within its edits."""
+    x, y = decontaminate.normalized(item), decontaminate.normalized(text)
+    m = min(len(x), decontaminate.UNIT)
+    budget = min(int(m * decontaminate.RATE), (m - decontaminate.Q) // decontaminate.Q)
+    return bool(y) and any(part_edits(x[s : s + m], y) <= budget for s in range(len(x) - m + 1))
+
+
+def mutated(rng, text, edits):
+    own = list(text)
+    for _ in range(edits):
+        at, kind = rng.integers(len(own)), rng.integers(3)
+        if kind == 0:
+            own[at] = chr(97 + rng.integers(26))
+        elif kind == 1:
+            own.insert(at, chr(97 + rng.integers(26)))
+        else:
+            own.pop(at)
+    return "".join(own)
+
+
+def test_leaks_are_those_of_an_edit_distance():
+    rng = np.random.default_rng(12)
+    word = lambda n: " ".join("".join(chr(97 + c) for c in rng.integers(0, 8, rng.integers(2, 7))) for _ in range(n))
+    items = [(i, word(n)) for i, n in enumerate((6, 8, 12, 20, 25, 27, 30, 40))] + [(90, "ab " * 60), (91, "the " * 9)]
+    texts, sure = [None, "", "ab", "ab " * 900, "the the the", "the " * 40], 0
+    for i, item in items[:8] * 3:
+        for edits in (0, 3, 7, 11, 13, 16):
+            n = min(len(item), 128)
+            start = int(rng.integers(0, len(item) - n + 1))
+            texts.append(f"{word(int(rng.integers(0, 9)))} {mutated(rng, item[start : start + n], edits)} {word(int(rng.integers(0, 9)))}")
+    patterns = decontaminate.Patterns(items)
+    for text, found in zip(texts, patterns.search(texts), strict=True):
+        want = {i for i, item in items if held_by(item, text)}
+        assert set(found) == want, text
+        sure += len(want)
+    assert 60 < sure < 150
+    assert [bool(f) for f in patterns.search(texts, all_items=False)] == [bool(f) for f in patterns.search(texts)]
+
+
+def test_short_items_are_found_as_words():
+    patterns = decontaminate.Patterns([(1, "Red fox"), (2, "ox"), (3, " "), (4, None)])
+    assert [set(f) for f in patterns.search(["a red\nFOX ran", "the ox", "box", "red foxes", "red fox. ox"])] == [{1}, {2}, set(), set(), {2}]
+
+
+def test_repeated_periods_stay_bounded(monkeypatch):
+    import tracemalloc
+
+    text, item = "ab" * 100_000, "ab" * 90
+    patterns = decontaminate.Patterns([(1, item), (2, "xyz " * 400_000)])
+    assert len(patterns.text) < 10
+    monkeypatch.setattr(decontaminate, "SLICE", 300_000)
+    tracemalloc.start()
+    assert [set(f) for f in patterns.search([text, "xyz " * 50_000, "clean words"])] == [{1}, {2}, set()]
+    assert tracemalloc.get_traced_memory()[1] < 150_000_000
+    tracemalloc.stop()
+
+
+def test_a_leak_is_one_row_whatever_its_blocks(spark, monkeypatch):
+    rng = np.random.default_rng(1)
+    word = lambda n: "".join(chr(97 + c) for c in rng.integers(0, 26, n))
+    items = [(i, word(200)) for i in range(8)]
+    docs = [(1, " ".join(x for _, x in items)), (1, " ".join(x for _, x in items)), (2, items[3][1]), (None, items[0][1]), (4, word(300))]
+    table, bench = spark.createDataFrame(docs, "doc_id long, text string"), spark.createDataFrame(items, "item_id long, text string")
+    whole = sorted(map(repr, decontaminate.leaks(table, bench).collect()))
+    assert len(whole) == 4
+    monkeypatch.setattr(decontaminate, "BLOCK_BYTES", 400)
+    assert sorted(map(repr, decontaminate.leaks(table, bench).collect())) == whole
+    assert decontaminate.remove_contaminated(table, bench).count() == 1
