@@ -6,18 +6,23 @@ A suffix array over all texts would need one machine to hold them. Here equal st
    ones. The minimizers of all documents, packed into one row for each batch and bucket, are grouped by value; those
    that only one doc_id has can't lie in a repeated window, and go.
 2. The windows whose minimizer is shared are cut out as runs, with K + 2 * (LENGTH - K) bytes or so each, and meet in a
-   task by their minimizer. A minimizer of over HOT places doesn't form one group: its windows meet by their own
-   hash, and equal ones of a batch are one row with all its places.
+   task by their minimizer. The number of buckets grows with the bytes of all texts, so a task's share doesn't.
 3. A task joins its distinct runs in portions of about PORTION bytes into one text, sorts its suffixes to depth LENGTH,
    and expands intervals on its Burrows-Wheeler transform: breadth first, every interval of a prefix is extended
    backwards by a character, which yields the longest common prefixes by increasing value; it stops at LENGTH. What is
    then undivided are the strings of LENGTH bytes; each gets the smallest doc_id that has it.
 4. The bytes covered by strings of an earlier document return to their documents.
 
+A minimizer of over HOT places forms no group: its windows are aggregated where they are, one row for each batch and
+distinct window with the smallest doc_id of its places, so a passage that a third of all documents have leaves few rows.
+The least of those by window (a partial aggregation) is joined back to the rows, which Spark may split, and each row
+answers for its own places.
+
 Defined cases: a null or empty text, or one shorter than LENGTH, loses nothing; a null doc_id counts as larger than all
 others, and rows of equal doc_id (also null ones) are never earlier than each other; repeated rows are answered each;
-texts of any length are cut into overlapping portions; an empty table gives no rows; extra columns are ignored by
-`find_spans` and `report` and kept by `remove_repeats`, but for columns named _did, _dig, _spans.
+rows of equal doc_id are told apart by a 32-bit hash of their text, rows of null doc_id by 96 bits; texts of any length
+are cut into overlapping portions; an empty table gives no rows; extra columns are ignored by `find_spans` and `report`
+and kept by `remove_repeats`, but for columns named _did, _dig, _null, _spans.
 """
 
 from __future__ import annotations
@@ -34,10 +39,11 @@ from pyspark.sql import functions as F
 from quillgraph.llm.common import drop_path, materialize, release
 
 LENGTH, K = 50, 16
-#: Places of one minimizer beyond which its windows are spread; windows in a run; bytes handled at once by a scan and
-#: by a suffix sort.
-HOT, RUN, SCAN, PORTION = 20_000, 64, 2_000_000, 300_000
-NO_ID = (1 << 63) - 1
+#: Places of one minimizer beyond which its windows are aggregated first; windows in a run; bytes handled at once by a
+#: scan and by a suffix sort; bytes of texts to a bucket; windows of places compared at once.
+HOT, RUN, SCAN, PORTION, BUCKET_BYTES, COMPARED = 20_000, 64, 2_000_000, 300_000, 16_000_000, 2_000_000
+#: Owner of what only rows without a doc_id have. A text has less than 2**31 bytes, so the top bit of a place tells them.
+NO_ID, NULL = (1 << 63) - 1, np.uint32(1 << 31)
 PLACE = np.dtype([("did", "<i8"), ("dig", "<i4"), ("at", "<u4")])
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 
@@ -96,6 +102,11 @@ def _texts(column: pa.Array) -> list[bytes]:
     return [x or b"" for x in column.cast(pa.binary()).to_pylist()]
 
 
+def _owners(places: np.ndarray) -> np.ndarray:
+    """The doc_id of each place."""
+    return np.where(places["at"] & NULL, NO_ID, places["did"])
+
+
 def codes(low: np.ndarray, buckets: int) -> np.ndarray:
     """Bucket and 40 bits of each minimizer, as one number. Two that share a code only make needless candidates."""
     mixed = low * _ODD
@@ -103,7 +114,7 @@ def codes(low: np.ndarray, buckets: int) -> np.ndarray:
 
 
 def shared_minimizers(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
-    """(_did, code) of each minimizer code that at least two doc_ids have; -1 - code if it has over `hot` places.
+    """(_did, _null, code) of each minimizer code that at least two doc_ids have; -1 - code if it has over `hot` places.
 
     A packed row holds a batch's codes of one bucket: the doc_ids, how many codes each has, and 5 bytes a code.
     """
@@ -115,6 +126,7 @@ def shared_minimizers(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
                 continue
             text, low = (np.concatenate(c) for c in zip(*found, strict=True))
             did, code = batch.column("_did").to_numpy(), codes(low, buckets)
+            null = batch.column("_null").to_numpy(zero_copy_only=False).astype("u1")
             bucket = (code >> np.uint64(40)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
             cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
@@ -124,26 +136,28 @@ def shared_minimizers(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
                 if len(own):
                     used, n = np.unique(text[own], return_counts=True)
                     packed = np.ascontiguousarray(code[own].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :5]
-                    rows.append((b, did[used].tobytes(), n.astype("<u4").tobytes(), packed.tobytes()))
-            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 3), strict=True)], ["bucket", "dids", "counts", "packed"])
+                    rows.append((b, did[used].tobytes(), null[used].tobytes(), n.astype("<u4").tobytes(), packed.tobytes()))
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], ["bucket", "dids", "nulls", "counts", "packed"])
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(bucket: int, parts: list[tuple]) -> pa.RecordBatch:
-            did = np.concatenate([np.repeat(np.frombuffer(d, np.int64), np.frombuffer(n, "<u4")) for d, n, _ in parts])
+            did = np.concatenate([np.repeat(np.frombuffer(d, np.int64), np.frombuffer(n, "<u4")) for d, _, n, _ in parts])
+            null = np.concatenate([np.repeat(np.frombuffer(d, "u1"), np.frombuffer(n, "<u4")) for _, d, n, _ in parts]) > 0
             wide = np.zeros((len(did), 8), np.uint8)
-            wide[:, :5] = np.concatenate([np.frombuffer(x, np.uint8) for _, _, x in parts]).reshape(-1, 5)
+            wide[:, :5] = np.concatenate([np.frombuffer(x, np.uint8) for *_, x in parts]).reshape(-1, 5)
             code = wide.view("<u8").ravel()
             order = np.argsort(code)
-            did, code = did[order], code[order]
+            did, null, code = did[order], null[order], code[order]
+            owner = np.where(null, NO_ID, did)
             first = np.flatnonzero(np.concatenate([[True], code[1:] != code[:-1]]))
             n = np.diff(np.append(first, len(code)))
-            shared = np.minimum.reduceat(did, first) != np.maximum.reduceat(did, first)
+            shared = np.minimum.reduceat(owner, first) != np.maximum.reduceat(owner, first)
             keep, own = np.repeat(shared, n), code.astype(np.int64) | (bucket << 40)
-            return pa.RecordBatch.from_arrays([pa.array(did[keep]), pa.array(np.where(np.repeat(n > hot, n), -1 - own, own)[keep])], ["_did", "code"])
+            return pa.RecordBatch.from_arrays([pa.array(did[keep]), pa.array(null[keep]), pa.array(np.where(np.repeat(n > hot, n), -1 - own, own)[keep])], ["_did", "_null", "code"])
 
         held, now = [], None
         for batch in batches:
-            for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "dids", "counts", "packed")), strict=True):
+            for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "dids", "nulls", "counts", "packed")), strict=True):
                 if row[0] != now and held:
                     yield close(now, held)
                     held = []
@@ -152,8 +166,8 @@ def shared_minimizers(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
         if held:
             yield close(now, held)
 
-    packed = docs.mapInArrow(pack, "bucket int, dids binary, counts binary, packed binary")
-    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(group, "_did long, code long")
+    packed = docs.mapInArrow(pack, "bucket int, dids binary, nulls binary, counts binary, packed binary")
+    return packed.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(group, "_did long, _null boolean, code long")
 
 
 RUNS = "bucket int, keys binary, lengths binary, strings binary, counts binary, places binary"
@@ -178,36 +192,81 @@ def runs(candidates: DataFrame, buckets: int) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            did, dig = batch.column("_did").to_numpy(), batch.column("_dig").to_numpy()
-            wanted = np.unique(batch.column("codes").flatten().to_numpy())
-            cool, hot = wanted[wanted >= 0].view(np.uint64), np.unique(-1 - wanted[wanted < 0]).view(np.uint64)
-            spread: dict[bytes, list] = {}
+            rows, wanted = _rows(batch), np.unique(batch.column("codes").flatten().to_numpy())
             for data, text, place, begin, count, low in portions(_texts(batch.column("text"))):
                 code = codes(low, buckets)
-                own = np.flatnonzero(np.isin(code, cool))
+                own = np.flatnonzero(np.isin(code, wanted[wanted >= 0].view(np.uint64)))
                 if len(own):
                     # runs of at most RUN windows
                     parts = -(-count[own] // RUN)
                     run_of = np.repeat(own, parts)
                     inner = (np.arange(len(run_of)) - np.repeat(np.cumsum(parts) - parts, parts)) * RUN
                     n = np.minimum(count[run_of] - inner, RUN)
-                    where = np.zeros(len(run_of), PLACE)
-                    where["did"], where["dig"], where["at"] = did[text[run_of]], dig[text[run_of]], place[run_of] + inner
+                    where = rows[text[run_of]]
+                    where["at"] += (place[run_of] + inner).astype(np.uint32)
                     yield pack(code[run_of], n + LENGTH - 1, data, begin[run_of] + inner, np.ones(len(run_of), np.int64), where)
-                raw = None
-                for r in np.flatnonzero(np.isin(code, hot)).tolist() if len(hot) else ():
-                    raw = raw or data.tobytes()
-                    b, t, at = int(begin[r]), int(text[r]), int(place[r])
-                    for i in range(int(count[r])):
-                        spread.setdefault(raw[b + i : b + i + LENGTH], []).append((did[t], dig[t], at + i))
-            if spread:
-                key, n = np.array([xxhash.xxh64_intdigest(s) for s in spread], np.uint64), np.full(len(spread), LENGTH)
-                every = np.array([x for own in spread.values() for x in own], PLACE)
-                yield pack(key, n, np.frombuffer(b"".join(spread), np.uint8), np.arange(len(spread)) * LENGTH, np.array([len(x) for x in spread.values()]), every)
 
     return candidates.mapInArrow(run, RUNS)
 
 
+def _rows(batch: pa.RecordBatch) -> np.ndarray:
+    """The place at which each text of a batch begins."""
+    out = np.zeros(batch.num_rows, PLACE)
+    out["did"], out["dig"] = batch.column("_did").to_numpy(), batch.column("_dig").to_numpy()
+    out["at"] = batch.column("_null").to_numpy(zero_copy_only=False).astype(np.uint32) * NULL
+    return out
+
+
+def hot_windows(candidates: DataFrame, buckets: int) -> DataFrame:
+    """(window, low, places): each distinct window of a batch whose minimizer has over HOT places, by its 128-bit hash, with
+    the smallest doc_id that has it there, and its places. A row is of one scanned portion, so its size has a bound."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows, wanted = _rows(batch), np.unique(batch.column("codes").flatten().to_numpy())
+            hot = np.unique(-1 - wanted[wanted < 0]).view(np.uint64)
+            for data, text, place, begin, count, low in portions(_texts(batch.column("text"))):
+                own = np.flatnonzero(np.isin(codes(low, buckets), hot))
+                if not len(own):
+                    continue
+                raw, n = data.tobytes(), count[own]
+                at = _ranges(begin[own], n)
+                number: dict[bytes, int] = {}
+                window = np.array([number.setdefault(raw[b : b + LENGTH], len(number)) for b in at.tolist()])
+                where = rows[np.repeat(text[own], n)]
+                where["at"] += _ranges(place[own], n).astype(np.uint32)
+                order = np.argsort(window, kind="stable")
+                where, first = where[order], np.searchsorted(window[order], np.arange(len(number)))
+                least = np.minimum.reduceat(_owners(where), first)
+                places = [x.tobytes() for x in np.split(where, first[1:])]
+                yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(w) for w in number], pa.binary()), pa.array(least), pa.array(places, pa.binary())], ["window", "low", "places"])
+
+    return candidates.filter(F.exists("codes", lambda c: c < 0)).mapInArrow(run, "window binary, low long, places binary")
+
+
+SPANS = "_did long, _null boolean, _dig int, start long, n int"
+
+
+def _spans(places: np.ndarray, more: np.ndarray, n: np.ndarray) -> pa.RecordBatch:
+    """Spans that begin `more` bytes after the places and have n windows."""
+    null, at = (places["at"] & NULL) > 0, (places["at"] & ~NULL).astype(np.int64)
+    return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(places["did"])), pa.array(null), pa.array(np.ascontiguousarray(places["dig"])), pa.array(at + more), pa.array((n + LENGTH - 1).astype(np.int32))], ["_did", "_null", "_dig", "start", "n"])
+
+
+def hot_covered(rows: DataFrame) -> DataFrame:
+    """The spans of the places of hot windows that a smaller doc_id has."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for owner, raw in zip(batch.column("owner").to_pylist(), batch.column("places").to_pylist(), strict=True):
+                places = np.frombuffer(raw, PLACE)
+                places = places[_owners(places) > owner]
+                yield _spans(places, np.zeros(len(places), np.int64), np.ones(len(places), np.int64))
+
+    owners = rows.groupBy("window").agg(F.min("low").alias("owner"))
+    return rows.join(owners, "window").select("owner", "places").mapInArrow(run, SPANS)
+
+
 def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     """All numbers of begin .. begin + length - 1, range after range."""
     ends = np.cumsum(length)
@@ -262,46 +321,58 @@ def long_intervals(data: np.ndarray, order: np.ndarray, depth: int) -> np.ndarra
     return np.cumsum(border, dtype=np.int64) - 1
 
 
-def earliest(strings: list[bytes], owner: np.ndarray) -> list[np.ndarray]:
-    """For each string, for each of its windows of LENGTH bytes, the smallest owner of a string with that window."""
+def earliest(strings: list[bytes], owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(least, size): for each window of LENGTH bytes of each string, string after string, the smallest owner of a string
+    with that window; and the strings' numbers of windows."""
     lengths = np.array([len(s) + 1 for s in strings])
     data = np.frombuffer(b"\0".join(strings) + b"\0" * (LENGTH + 1), np.uint8)
     order = suffix_order(data)
     interval = long_intervals(data, order, LENGTH)
-    begin = np.cumsum(lengths) - lengths
-    text = np.minimum(np.repeat(np.arange(len(strings)), lengths), len(strings) - 1)
-    text = np.concatenate([text, np.full(len(data) - len(text), len(strings) - 1)])
-    valid = np.arange(len(data)) + LENGTH <= (begin + lengths - 1)[text]
-    value = np.where(valid, owner[text], NO_ID)[order]
-    least = np.minimum.reduceat(value, np.flatnonzero(np.concatenate([[True], interval[1:] != interval[:-1]])))
+    begin, size = np.cumsum(lengths) - lengths, lengths - LENGTH
+    windows = _ranges(begin, size)
+    value = np.full(len(data), NO_ID)
+    value[windows] = np.repeat(owner, size)
+    least = np.minimum.reduceat(value[order], np.flatnonzero(np.concatenate([[True], interval[1:] != interval[:-1]])))
     out = np.empty(len(data), np.int64)
     out[order] = least[interval]
-    return [out[b : b + n - LENGTH] for b, n in zip(begin.tolist(), lengths.tolist(), strict=True)]
+    return out[windows], size
+
+
+def earlier_runs(least: np.ndarray, first: np.ndarray, size: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(which, begin, n): runs of windows with a smaller least owner than their place's. A place has the `size` windows from
+    `first`; `which` is its number, and begin counts from its first window."""
+    low = least[_ranges(first, size)] < np.repeat(owner, size)
+    begins, ends = np.cumsum(size) - size, np.cumsum(size) - 1
+    before, after = np.concatenate([[False], low[:-1]]), np.concatenate([low[1:], [False]])
+    before[begins] = False
+    after[ends] = False
+    start, end = np.flatnonzero(low & ~before), np.flatnonzero(low & ~after)
+    which = np.searchsorted(begins, start, "right") - 1
+    return which, start - begins[which], end - start + 1
 
 
 def covered(met: DataFrame, buckets: int) -> DataFrame:
-    """(_did, _dig, start, n) of byte spans that strings of an earlier doc_id cover: n bytes from start."""
+    """(_did, _null, _dig, start, n) of byte spans that strings of an earlier doc_id cover: n bytes from start."""
 
-    def portion(strings: list[bytes], counts: np.ndarray, every: np.ndarray) -> pa.RecordBatch:
+    def portion(strings: list[bytes], counts: np.ndarray, every: np.ndarray) -> Iterator[pa.RecordBatch]:
         code: dict[bytes, int] = {}
         number = np.repeat(np.array([code.setdefault(s, len(code)) for s in strings]), counts)
-        owner = np.full(len(code), NO_ID)
-        np.minimum.at(owner, number, every["did"])
-        windows = earliest(list(code), owner)
-        low, high = np.array([w.min() for w in windows]), np.array([w.max() for w in windows])
-        size = np.array([len(w) for w in windows])
-        whole = high[number] < every["did"]
-        some = ~whole & (low[number] < every["did"])
-        out = [(every["did"][whole], every["dig"][whole], every["at"][whole], size[number[whole]])]
-        mixed = []
-        for i in np.flatnonzero(some).tolist():
-            did, dig, at = every[i].item()
-            edge = np.flatnonzero(np.diff((windows[number[i]] < did).astype(np.int8), prepend=0, append=0))
-            mixed += [(did, dig, at + a, z - a) for a, z in edge.reshape(-1, 2).tolist()]
-        if mixed:
-            out.append(tuple(np.array(c, np.int64) for c in zip(*mixed, strict=True)))
-        did, dig, at, n = (np.concatenate(c) for c in zip(*out, strict=True))
-        return pa.RecordBatch.from_arrays([pa.array(did, pa.int64()), pa.array(dig.astype(np.int32)), pa.array(at.astype(np.int64)), pa.array((n + LENGTH - 1).astype(np.int32))], ["_did", "_dig", "start", "n"])
+        owner, own = np.full(len(code), NO_ID), _owners(every)
+        np.minimum.at(owner, number, own)
+        least, size = earliest(list(code), owner)
+        first = np.cumsum(size) - size
+        low, high = np.minimum.reduceat(least, first), np.maximum.reduceat(least, first)
+        whole = high[number] < own
+        yield _spans(every[whole], np.zeros(int(whole.sum()), np.int64), size[number[whole]])
+        some = np.flatnonzero(~whole & (low[number] < own))
+        ends = np.cumsum(size[number[some]])
+        at = 0
+        while at < len(some):
+            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + COMPARED)))
+            part = some[at:end]
+            which, begin, n = earlier_runs(least, first[number[part]], size[number[part]], own[part])
+            yield _spans(every[part[which]], begin, n)
+            at = end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
@@ -317,7 +388,7 @@ def covered(met: DataFrame, buckets: int) -> DataFrame:
                 end = int(borders[min(np.searchsorted(borders, max(past, at + 1)), len(borders) - 1)])
                 own = order[at:end]
                 strings = [raw[z - n : z] for z, n in zip(ends[own].tolist(), lengths[own].tolist(), strict=True)]
-                yield portion(strings, counts[own], places[_ranges(last[own] - counts[own], counts[own].astype(np.int64))])
+                yield from portion(strings, counts[own], places[_ranges(last[own] - counts[own], counts[own].astype(np.int64))])
                 at = end
 
         held, now = [], None
@@ -331,25 +402,37 @@ def covered(met: DataFrame, buckets: int) -> DataFrame:
         if held:
             yield from close(held)
 
-    return met.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, "_did long, _dig int, start long, n int")
+    return met.repartition(buckets, "bucket").sortWithinPartitions("bucket").mapInArrow(run, SPANS)
+
+
+KEYS = ["_did", "_null", "_dig"]
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
-    return docs.withColumns({"_did": F.coalesce(F.col("doc_id").cast("long"), F.lit(NO_ID)), "_dig": F.hash(F.coalesce("text", F.lit("")))})
+    text = F.coalesce("text", F.lit(""))
+    return docs.withColumns({"_did": F.coalesce(F.col("doc_id").cast("long"), F.xxhash64(text)), "_null": F.col("doc_id").cast("long").isNull(), "_dig": F.hash(text)})
 
 
 def find_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
-    """(_did, _dig, _spans array of (start, n)): the covered byte spans of documents that have any, unmerged."""
+    """(_did, _null, _dig, _spans array of (start, n)): the covered byte spans of documents that have any, unmerged."""
     spark = docs.sparkSession
-    texts = _keyed(docs).select("_did", "_dig", "text")
-    buckets = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    shared = materialize(shared_minimizers(texts.select("_did", "text"), buckets, hot).groupBy("_did").agg(F.collect_list("code").alias("codes")), "shared")
+    texts = _keyed(docs).select(*KEYS, "text")
+    size = texts.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    buckets = max(int(spark.conf.get("spark.sql.shuffle.partitions")), -(-size // BUCKET_BYTES))
+    shared = materialize(shared_minimizers(texts.select("_did", "_null", "text"), buckets, hot).groupBy("_did", "_null").agg(F.collect_list("code").alias("codes")), "shared")
     release(spark)
-    spans = materialize(covered(runs(texts.join(shared, "_did").select("_did", "_dig", "codes", "text"), buckets), buckets), "covered")
+    candidates = texts.join(shared, ["_did", "_null"]).select(*KEYS, "codes", "text")
+    parts = [materialize(covered(runs(candidates, buckets), buckets), "covered")]
+    if not shared.filter(F.exists("codes", lambda c: c < 0)).isEmpty():
+        release(spark)
+        hot_rows = materialize(hot_windows(candidates, buckets), "hot-windows")
+        parts.append(materialize(hot_covered(hot_rows), "hot-covered"))
+        drop_path(hot_rows)
     drop_path(shared)
-    del shared, texts
+    del shared, texts, candidates
     release(spark)
-    return spans.groupBy("_did", "_dig").agg(F.collect_list(F.struct("start", "n")).alias("_spans"))
+    spans = parts[0] if len(parts) == 1 else parts[0].union(parts[1])
+    return spans.groupBy(*KEYS).agg(F.collect_list(F.struct("start", "n")).alias("_spans"))
 
 
 def merged(spans: np.ndarray) -> np.ndarray:
@@ -392,7 +475,7 @@ def report(docs: DataFrame, hot: int = HOT) -> DataFrame:
                 sha.append(hashlib.sha256(without(x, spans)).hexdigest())
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(n, pa.int64()), pa.array(removed, pa.int64()), pa.array(count, pa.int64()), pa.array(sha, pa.string())], names)
 
-    joined = _keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).join(find_spans(docs, hot), ["_did", "_dig"], "left").select("doc_id", "text", "_spans")
+    joined = _keyed(docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")).join(find_spans(docs, hot), KEYS, "left").select("doc_id", "text", "_spans")
     return joined.mapInArrow(run, "doc_id long, n_bytes long, n_removed long, n_spans long, kept_sha256 string")
 
 
@@ -414,5 +497,5 @@ def remove_repeats(docs: DataFrame, hot: int = HOT) -> DataFrame:
                 texts.append(without(x, np.array(inner).reshape(-1, 2)).decode() if known else None)
             yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if c == "text" else batch.column(c) for c in names], names)
 
-    joined = _keyed(docs).join(find_spans(docs, hot), ["_did", "_dig"], "left").select(*names, "_spans")
+    joined = _keyed(docs).join(find_spans(docs, hot), KEYS, "left").select(*names, "_spans")
     return joined.mapInArrow(run, docs.schema)
