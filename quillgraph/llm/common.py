@@ -45,7 +45,14 @@ def drop_path(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
+#: Rows in a batch for Python workers: as whole texts of any length are in it, far fewer than Spark's default of 10,000.
+BATCH_RECORDS = 1000
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
+    """A table of the folder. Where the session has Spark's own batch size for Python workers, it gets BATCH_RECORDS."""
+    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
+        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_RECORDS))
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 

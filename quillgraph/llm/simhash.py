@@ -29,6 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from quillgraph.llm import bloom
 from quillgraph.llm.common import drop_path, materialize, release, text_digest
 from quillgraph.llm.components import connected_components
 
@@ -62,11 +63,17 @@ def fingerprint(hashes: np.ndarray) -> int:
     return int(np.packbits(2 * ones > len(hashes), bitorder="little").view(np.uint64)[0])
 
 
+def _parts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for batch in batches:
+        for i in range(0, batch.num_rows, BATCH_ROWS):
+            yield batch.slice(i, BATCH_ROWS)
+
+
 def fingerprints(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
     """(doc_id, fp long) of each row of docs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             fps = np.array([fingerprint(shingle_hashes(t, size)) for t in batch.column("text").to_pylist()], np.uint64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(fps.view(np.int64))], ["doc_id", "fp"])
 
@@ -227,7 +234,7 @@ def simhash_components(docs: DataFrame, size: int = SHINGLE) -> DataFrame:
 BINS, BANDS, LOOSE_RADIUS = 256, 20, 24
 #: Members of a band compared pair by pair, and members of a portion of a larger band than that.
 DIRECT, PORTION = 64, 65536
-#: Bands over PORTION up to which their table is broadcast (24 bytes a row).
+#: Groups over GROUP_PORTION up to which their table is broadcast (24 bytes a row).
 BROADCAST_ROWS = 200000
 SIMILARITY, NEAR_SHINGLE = 0.8, 5
 BAND_BINS = 5
@@ -433,7 +440,7 @@ def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, Da
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in _parts(batches):
             fps, keys, bits = [], [], []
             for t in batch.column("text").to_pylist():
                 h = shingle_hashes(t, size)
@@ -445,17 +452,16 @@ def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, Da
 
     with_digest = docs.select(F.col("doc_id").cast("long").alias("doc_id"), text_digest().alias("digest"), "text")
     marked = materialize(with_digest.mapInArrow(run, "doc_id long, digest binary, fp long, keys array<long>, bits binary"), "sketches")
-    one_each = marked.groupBy("digest").agg(F.first("fp").alias("fp"), F.first("keys").alias("keys"), F.first("bits").alias("bits"))
-    keyed = one_each.select(F.explode("keys").alias("key"), F.lit(0).cast("long").alias("part"), F.col("digest").alias("rep"), "fp", "bits")
-    bands = marked.select("digest", "keys").distinct().select(F.explode("keys").alias("_key")).groupBy("_key").count()
-    hot = materialize(bands.filter(F.col("count") > PORTION).select("_key", F.ceil(F.col("count") / PORTION).alias("n")), "hot-bands")
-    known = hot.count()
-    if known:
-        # a row for each PORTION candidates at most; the plain join is for more of them than can be sent around
-        parted = keyed.join(F.broadcast(hot) if known <= BROADCAST_ROWS else hot, F.col("key") == F.col("_key"), "left").withColumn("n", F.coalesce("n", F.lit(1).cast("long")))
-        own = F.pmod(F.xxhash64("rep"), F.col("n"))
-        meets = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda q: F.least(own, q) * F.col("n") + F.greatest(own, q))
-        keyed = parted.select("key", F.explode(meets).alias("part"), "rep", "fp", "bits")
+    distinct = materialize(marked.select("digest", "fp", "keys", "bits").dropDuplicates(["digest"]), "distinct-sketches")
+    # only bands with two candidates or more are compared, so the sketches of the others stay where they are
+    bands = distinct.select(F.explode("keys").alias("key")).groupBy("key").count().filter("count > 1")
+    bands = materialize(bands.select("key", F.ceil(F.col("count") / PORTION).alias("n")), "bands")
+    n_blocks = bloom.size_for(bands.count())
+    keyed = bloom.asked(distinct.select(F.explode("keys").alias("key"), F.col("digest").alias("rep"), "fp", "bits"), bloom.build(bands, n_blocks), n_blocks, admitted=True)
+    parted = keyed.join(bands, "key")
+    own = F.pmod(F.xxhash64("rep"), F.col("n"))
+    meets = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda q: F.least(own, q) * F.col("n") + F.greatest(own, q))
+    keyed = parted.select("key", F.explode(meets).alias("part"), "rep", "fp", "bits")
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_group, held = None, []
@@ -488,8 +494,13 @@ def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, Da
     maybe = connected_components(loose)
     drop_path(loose)
     release(docs.sparkSession)
-    grouped = with_digest.select("digest", "text").join(maybe, F.col("digest") == F.col("node"))
-    texts = materialize(grouped.groupBy("digest").agg(F.first("component").alias("component"), F.first("text").alias("text")), "grouped-texts")
+    drop_path(distinct)
+    drop_path(bands)
+    # of the texts only those of these groups are shuffled, one of each digest from a task
+    n_blocks = bloom.size_for(maybe.count())
+    possible = bloom.asked(with_digest.select("digest", "text", F.col("digest").alias("key")), bloom.build(maybe.select(F.col("node").alias("key")), n_blocks), n_blocks, admitted=True)
+    one_each = possible.groupBy("digest").agg(F.first("text").alias("text"))
+    texts = materialize(one_each.join(maybe, F.col("digest") == F.col("node")).select("digest", "component", "text"), "grouped-texts")
     drop_path(maybe)
     release(docs.sparkSession)
     edges = materialize(verified(texts, similarity, size), "near-links")
@@ -511,16 +522,27 @@ def near_duplicates(docs: DataFrame, similarity: float = SIMILARITY, size: int =
 
 def keep_one(docs: DataFrame, similarity: float = SIMILARITY, size: int = NEAR_SHINGLE) -> DataFrame:
     """docs with one row of each group of equal or similar texts: that of the smallest doc_id (null last), of those the
-    one with the smallest digest."""
+    one with the smallest digest. Only rows that may go, or that are repeated, are shuffled; the others pass a Bloom filter
+    of them."""
     rows, nodes = _alike(docs, similarity, size)
-    order = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("id"), F.col("digest").alias("digest"))
-    digests = rows.groupBy("digest").agg(F.min(order).alias("first"))
-    named = digests.join(nodes, digests["digest"] == nodes["_node"], "left")
-    chosen = named.groupBy(F.coalesce("component", "digest").alias("component")).agg(F.min("first").alias("first"))
-    wanted = materialize(chosen.select(F.col("first.id").alias("_id"), F.col("first.digest").alias("_digest")), "kept")
+    order = F.struct(F.col("doc_id").isNull().alias("null"), F.col("doc_id").alias("id"), "digest")
+    each = rows.groupBy("doc_id", "digest").count()
+    digests = each.groupBy("digest").agg(F.min(order).alias("first"))
+    named = digests.join(nodes, digests["digest"] == nodes["_node"], "left").select("digest", "first", F.coalesce("component", "digest").alias("component"))
+    chosen = named.groupBy("component").agg(F.min("first").alias("first"))
+    wanted = chosen.select(F.struct("first.id", "first.digest").alias("key"), F.lit(True).alias("wanted"))
+    judged = each.select(F.struct(F.col("doc_id").alias("id"), "digest").alias("key"), "count").join(wanted, "key", "left")
+    # rows that go, and kept ones that are there more than once
+    suspects = materialize(judged.filter("wanted is null or count > 1").select("key", F.coalesce("wanted", F.lit(False)).alias("wanted")), "suspects")
     drop_path(rows)
     drop_path(nodes)
     release(docs.sparkSession)
-    marked = docs.withColumn("_own", text_digest())
-    kept = marked.join(wanted, (marked["_own"] == wanted["_digest"]) & marked["doc_id"].cast("long").eqNullSafe(wanted["_id"]), "left_semi")
-    return kept.dropDuplicates(["doc_id", "_own"]).select(*docs.columns)
+    n_blocks = bloom.size_for(suspects.count())
+    keyed = docs.select(F.struct("*").alias("doc"), F.struct(F.col("doc_id").cast("long").alias("id"), text_digest().alias("digest")).alias("key"))
+    filled = bloom.build(suspects, n_blocks)
+    possible = bloom.asked(keyed, filled, n_blocks, admitted=True)
+    # `whether` is null for a row that only the filter took for a suspect: it stays, however often it is there
+    told = possible.join(suspects.withColumnRenamed("wanted", "whether"), "key", "left")
+    single = told.filter("whether is null").select("doc.*")
+    several = told.filter("whether").dropDuplicates(["key"]).select("doc.*")
+    return bloom.asked(keyed, filled, n_blocks, admitted=False).select("doc.*").union(single).union(several)

@@ -3,13 +3,13 @@
 Only DataFrame functions are used. Two listings are tables (key, verdict): `rules`, which are reported, and `listed`
 canonical URLs, which only decide where no rule fits. A key is `host/path`, and it fits a URL if the URL's host is the
 key's host or a subdomain of it and the URL's path starts with the key's path. Every URL is turned
-into its candidate keys (each host suffix with each path prefix of a length that the listing has). The Bloom filter, a table
+into its candidate keys (each host suffix with each path prefix of a length that the listing has). The Bloom filter (`bloom.py`), a table
 of bounded size, drops most of them; the rest meet the listing in an exact hash join, which removes false positives.
 
 Defined cases: a null URL, or one without `://`, has an empty host and path and fits nothing; an empty listing fits
 nothing; of the keys that fit, the longest wins, among equally long ones the one with the longer host, then `block`;
-a key listed twice with both verdicts blocks. Repeated rows and extra columns stay as they are, except that columns
-named host, path, rule or verdict are replaced.
+a key listed twice with both verdicts blocks. Rules and URLs may be of any length. Repeated rows and extra columns stay as
+they are, except that columns named host, path, rule or verdict are replaced.
 """
 
 from __future__ import annotations
@@ -17,15 +17,10 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-#: 64-bit words in a block (512 bits, one cache line), and the odd multipliers that pick a bit in each of them.
-WORDS = 8
-MULTIPLIERS = [2 * (1_640_531_527 + 97_531 * i) + 1 for i in range(WORDS)]
-#: Bits for each listed key, and the largest filter: 2**17 blocks are 8 MB, whatever the listing's size.
-BITS_PER_KEY, MAX_BLOCKS = 24, 1 << 17
+from quillgraph.llm import bloom
+
 #: A listing of at most so many rows is broadcast; a longer one is joined by a salted shuffle.
 BROADCAST_ROWS, SALTS = 200_000, 16
-#: Longest path prefix that a listing may use.
-MAX_PREFIX = 2048
 
 _UPPER, _LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -40,38 +35,12 @@ def url_path(url: Column) -> Column:
     return F.coalesce(F.regexp_extract(url, "://([^/?#]*)([^?#]*)", 2), F.lit(""))
 
 
-def _block(key: Column, n_blocks: int) -> Column:
-    return F.pmod(F.shiftrightunsigned(F.xxhash64(key), 32), F.lit(n_blocks)).cast("int")
-
-
-def _bit(key: Column, word: int) -> Column:
-    low = F.xxhash64(key).bitwiseAND(F.lit(0x7FFFFFFF))
-    return F.shiftrightunsigned((low * F.lit(MULTIPLIERS[word])).bitwiseAND(F.lit(0xFFFFFFFF)), 26).cast("int")
-
-
-def build_bloom(keys: DataFrame, n_blocks: int) -> DataFrame:
-    """(block, w0 .. w7): the filter of the column `key`, at most n_blocks rows; an absent block is all zero."""
-    bit = lambda w: F.call_function("shiftleft", F.lit(1).cast("long"), _bit(F.col("key"), w))
-    return keys.filter("key is not null").groupBy(_block(F.col("key"), n_blocks).alias("block")).agg(*[F.bit_or(bit(w)).alias(f"w{w}") for w in range(WORDS)])
-
-
-def possible_hits(candidates: DataFrame, bloom: DataFrame, n_blocks: int) -> DataFrame:
-    """The rows of candidates whose `key` the filter admits: every word of the key's block has the key's bit.
-
-    The filter has at most MAX_BLOCKS rows of 72 bytes, so it is always broadcast.
-    """
-    admitted = F.lit(True)
-    for w in range(WORDS):
-        admitted &= F.call_function("shiftright", F.col(f"w{w}"), _bit(F.col("key"), w)).bitwiseAND(F.lit(1)) == 1
-    with_block = candidates.withColumn("block", _block(F.col("key"), n_blocks))
-    return with_block.join(F.broadcast(bloom), "block").filter(admitted).select(*candidates.columns)
-
-
 def candidate_keys(host: Column, path: Column, path_lengths: list[int]) -> Column:
     """Each suffix of host at a dot, with each prefix of path whose length the listing has."""
     labels = F.split(host, "\\.")
     hosts = F.transform(F.sequence(F.lit(1), F.size(labels)), lambda i: F.array_join(F.slice(labels, i, F.size(labels)), "."))
-    lengths = F.filter(F.array(*[F.lit(n) for n in path_lengths]), lambda n: n <= F.char_length(path))
+    known = F.split(F.lit(",".join(map(str, path_lengths))), ",").cast("array<int>")
+    lengths = F.filter(known, lambda n: n <= F.char_length(path))
     return F.array_distinct(F.flatten(F.transform(hosts, lambda h: F.transform(lengths, lambda n: F.concat(h, F.substring(path, F.lit(1), n))))))
 
 
@@ -85,14 +54,16 @@ def filter_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, default:
     both = rules.select("key", "verdict", F.lit(True).alias("is_rule")).unionByName(listed.select("key", "verdict", F.lit(False).alias("is_rule")))
     keys = both.filter(F.col("key").contains("/")).groupBy("key", "is_rule").agg(F.max("verdict").alias("listed")).withColumn("cut", F.instr("key", "/"))
     stats = keys.agg(F.count("*").alias("n"), F.collect_set(F.char_length("key") - F.col("cut") + 1).alias("lengths")).first()
-    n_keys, lengths = stats["n"], sorted(x for x in stats["lengths"] if x <= MAX_PREFIX)
-    out = pages.drop("host", "path", "rule", "verdict").withColumns({"host": url_host(F.col(url)), "path": url_path(F.col(url))})
+    n_keys, lengths = stats["n"], sorted(stats["lengths"])
+    names = [c for c in pages.columns if c not in ("host", "path", "rule", "verdict")]
+    whole = pages.select(F.struct(*names).alias("row"), F.col(url).alias("url"))
+    answers = [url_host(F.col("url")).alias("host"), url_path(F.col("url")).alias("path")]
     if not n_keys:
-        return out.withColumns({"rule": F.lit(None).cast("string"), "verdict": F.lit(default)})
-    n_blocks = max(1, min(MAX_BLOCKS, -(-n_keys * BITS_PER_KEY // (64 * WORDS))))
+        return whole.select("row.*", *answers, F.lit(None).cast("string").alias("rule"), F.lit(default).alias("verdict"))
+    n_blocks = bloom.size_for(n_keys)
     urls = pages.select(F.col(url).alias("_url")).filter("_url is not null").distinct()
     cands = urls.select("_url", F.explode(candidate_keys(url_host(F.col("_url")), url_path(F.col("_url")), lengths)).alias("key"))
-    hits = possible_hits(cands, build_bloom(keys, n_blocks), n_blocks)
+    hits = bloom.asked(cands, bloom.build(keys, n_blocks), n_blocks, admitted=True)
     if n_keys <= BROADCAST_ROWS:
         exact = hits.join(F.broadcast(keys), "key")
     else:
@@ -100,6 +71,6 @@ def filter_urls(pages: DataFrame, rules: DataFrame, listed: DataFrame, default:
         exact = hits.withColumn("salt", F.pmod(F.xxhash64("_url"), F.lit(SALTS)).cast("int")).join(salted, ["key", "salt"])
     longest = lambda wanted: F.max(F.when(F.col("is_rule") == wanted, F.struct(F.char_length("key").alias("n"), F.col("cut"), F.col("listed"), F.col("key"))))
     judged = exact.groupBy("_url").agg(longest(True).alias("rule_"), longest(False).alias("url_"))
-    joined = out.join(judged, out[url] == judged["_url"], "left").drop("_url")
+    joined = whole.join(judged, whole["url"] == judged["_url"], "left")
     verdict = F.coalesce("rule_.listed", "url_.listed", F.lit(default))
-    return joined.withColumns({"rule": F.col("rule_.key"), "verdict": verdict}).drop("rule_", "url_")
+    return joined.select("row.*", *answers, F.col("rule_.key").alias("rule"), verdict.alias("verdict"))
