@@ -73,14 +73,25 @@ def test_token_counts(spark, docs, none):
         assert (r.n_bytes, r.n_tokens) in {(len(x.encode()), len(t.encode(x, add_special_tokens=False).ids)) for x in text_of[r.doc_id]}
         assert r.over_limit == (r.n_tokens > 20)
     counter = token_counts.PrefixCounter(WORD_BPE)
-    for x in [*TEXTS[:9], TEXTS[-1], "they're I'd we'll don't"]:
+    rng = np.random.default_rng(4)
+    parts = ["a", "don't", "I'll", " ", "  ", "\n", "\t", "\x85", "日本語", "é", "e\u0301", "1234", "!?", "<|endoftext|>", "<|endof", "text|>", "<|startoftext|>", "x" * 40, "'s", "'re", "ﬁ", "\u200b", "🙂", "İ", "ß", "ΑΣ", "...", "--", "'", "''", "\u0301", "´"]
+    mixed = ["".join(rng.choice(parts, rng.integers(0, 9))) for _ in range(400)]
+    for x, own in zip(mixed, counter.steps(mixed), strict=True):
+        assert own[-1] == len(t.encode(x, add_special_tokens=False).ids)
+    for x in [*TEXTS[:9], TEXTS[-1], "they're I'd we'll don't", *mixed]:
         n = counter.normalize((x or "")[:200])
         table = counter.table((x or "")[:200])
         assert [len(t.encode(n[:i], add_special_tokens=False).ids) for i in range(len(n) + 1)] == table.tolist()
         cut = token_counts.longest_prefix(table, 3)
         assert token_counts.tokens_at(table, cut) <= 3
     stored = token_counts.count_tokens(docs.filter("doc_id = 4"), WORD_BPE, 20, store=True).first()
-    assert stored.prefix_tokens[-1] == stored.n_tokens and counter.differed == 0
+    assert stored.prefix_tokens[-1] == stored.n_tokens
+    words = token_counts.count_tokens(docs.filter("doc_id = 4"), WORD_BPE, 10).first()
+    assert words.over_limit and len(t.encode(" ".join(BASE.split()[: words.n_within]), add_special_tokens=False).ids) <= 10 < len(t.encode(" ".join(BASE.split()[: words.n_within + 1]), add_special_tokens=False).ids)
+    import time
+
+    began = time.time()
+    assert len(counter.table("<|endoftext|>" + "ab1 " * 10 + "y" * 20_000)) == 20_054 and time.time() - began < 5
     assert token_counts.count_tokens(none, WORD_BPE, 20).count() == 0
 
 
