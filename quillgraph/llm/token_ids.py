@@ -59,19 +59,18 @@ class ByteBpe:
         return out
 
     def _learn(self, keys: set[str]) -> None:
-        """Add the ids of keys; those at whose edges a text must not be cut stay unknown."""
+        """Add the ids of new keys; those at whose edges a text must not be cut stay unknown."""
+        plain, lines, rest = [], [], []
+        for k in keys:
+            (rest if k[:1] == MARK else lines if k[:1] == "\n" else plain).append(k)
+        plain = [k for k, own in zip(plain, map(str.strip, plain), strict=True) if own is k and k]
+        lines, rest = ([k for k in some if (own := k[1:]) and own.strip() is own] for some in (lines, rest))
         if len(self.known) > CACHE_PIECES:
             self.known.clear()
-        plain, marked = [], []
-        for k in keys.difference(self.known):
-            (marked if k[:1] in ("\n", MARK) else plain).append(k)
-        plain = [k for k, own in zip(plain, map(str.strip, plain), strict=True) if own is k and k]
-        marked = [k for k in marked if (own := k[1:]) and own.strip() is own]
         self.known.update(zip(plain, self._encode([" " + k for k in plain]), strict=True))
-        lines, rest = [k for k in marked if k[0] == "\n"], [k for k in marked if k[0] == MARK]
         self.known.update(zip(lines, self._encode(lines), strict=True))
         self.known.update((k, self._whole(k[1:])) for k in rest)
-        self.long = [k for k in (*plain, *marked) if len(k) > KEPT_LENGTH]
+        self.long = [k for k in (*plain, *lines, *rest) if len(k) > KEPT_LENGTH]
 
     def _stops_alone(self, marked: str) -> bool:
         """Whether each marked full stop and comma follows a Latin letter or a digit."""
@@ -96,13 +95,17 @@ class ByteBpe:
                 cut[i][0] = MARK + cut[i][0]
             else:
                 again.append(i)
-        self._learn(set().union(*cut.values()))
-        get = self.known.__getitem__
-        for i, keys in cut.items():
-            try:
-                out[i] = b"".join(map(get, keys))
-            except KeyError:
+        parts = {i: list(map(self.known.get, keys)) for i, keys in cut.items()}
+        missing = {i: [j for j, part in enumerate(own) if part is None] for i, own in parts.items() if None in own}
+        self._learn({cut[i][j] for i, own in missing.items() for j in own})
+        for i, own in missing.items():
+            for j in own:
+                parts[i][j] = self.known.get(cut[i][j])
+        for i, own in parts.items():
+            if i in missing and None in own:
                 again.append(i)
+            else:
+                out[i] = b"".join(own)
         for i in again:
             # other white space than single spaces and line feeds, or rows of stops
             out[i] = self._whole(texts[i])
