@@ -1,23 +1,24 @@
 """Language-model scoring with Brown classes: exchange clustering, class transitions, word emissions.
 
-Tokens are words (A-Z in lower case) and one end for each text. All counts are exact and cover all training rows. The
-VOCABULARY most frequent words have classes: the CORE most frequent ones by exchange clustering (each word in turn
-moves to the class that makes the class-bigram likelihood of the training text largest, until none moves), every other
-by one such exchange, given the core's classes. All rarer words share the class `rare`, each with its own exact count;
-`end` is a class of its own. A token's probability is that of its class after the class before it, times that of the
-word in its class:
+Tokens are words (A-Z in lower case) and one end for each text. All counts are exact and cover all training rows. Every
+word that training has twice or more has a class. The CORE most frequent ones are clustered by exchange (each word in
+turn moves to the class that makes the class-bigram likelihood of the training text largest, until none moves); every
+other, however many there are, makes one such exchange, by the core's classes to its left and right. Words seen once stand for
+those never seen and share the class `rare`; `end` is a class of its own. A token's probability is that of its class
+after the class before it, times that of the word in its class:
 
     P(k | j) = (n(j, k) + SMOOTH * P(k)) / (n(j) + SMOOTH),  P(k) = (N(k) + 1) / (N + number of classes)
-    P(w | k) = c(w) / N(k);  in `rare` (Witten-Bell): c(w) / (N(rare) + V(rare)), or V(rare) / (N(rare) + V(rare))
-    for a word never seen, as one more type
+    P(w | k) = c(w) / N(k);  in `rare` (Witten-Bell): 1 / (N(rare) + V(rare)), or V(rare) / (N(rare) + V(rare)) for a
+    word never seen, as one more type
 
-What depends on frequent words is summed in the scan of the texts; the rare words' counts come from a join by word, of
-which each text needs only sums. Only tables of bounded size leave the executors: VOCABULARY words, CORE ** 2 pairs of
-words, pairs of classes.
+Neighbours are summed in the scan of the texts and meet by word in a shuffle, so what is gathered grows with the corpus.
+The CACHED most frequent words are sent to the executors with class and count; other words get theirs by a join, which
+returns them to their texts. A text is then one byte a token, its classes, from which transitions are counted and scores
+summed. CACHED only decides where a word is looked up, never what is found.
 
 Defined cases: a null or empty text has one token, its end; without training rows every class probability is uniform
 and N and V are 0; rows of null doc_id are not held out; repeated rows count and are scored each; words and texts may
-be of any length; extra columns are ignored.
+be of any length; of words of equal count, the smaller in bytes is the more frequent; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -31,11 +32,15 @@ from pyspark import TaskContext
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quillgraph.llm.common import materialize, release
+from quillgraph.llm.common import drop_path, materialize
 
-VOCABULARY, CORE, CLASSES, SMOOTH, SWEEPS = 200_000, 1500, 48, 5.0, 12
-#: Distinct words that a counting task holds before it hands them on.
-HELD_WORDS = 300_000
+CORE, CLASSES, SMOOTH, SWEEPS = 1500, 48, 5.0, 12
+#: Words whose class and count every executor holds.
+CACHED = 200_000
+#: Distinct words, and neighbours, that a counting task holds before it hands them on.
+HELD_WORDS, HELD_CODES = 300_000, 4_000_000
+#: Class of a token that is looked up by a join.
+OPEN = 255
 #: Texts that a task cuts into words at once.
 BATCH_ROWS = 300
 END = b""
@@ -77,19 +82,16 @@ def count_words(train: DataFrame) -> DataFrame:
     return train.mapInArrow(run, "word binary, c long").groupBy("word").agg(F.sum("c").alias("c"))
 
 
-def frequent(counts: DataFrame, n: int) -> list[tuple[bytes, int]]:
-    """The most frequent words that were seen twice or more, with their counts, at most n, whole ties only; the end first."""
+def frequent(counts: DataFrame, n: int) -> DataFrame:
+    """The n most frequent words that were seen twice or more, in order."""
     real = counts.filter((F.length("word") > 0) & (F.col("c") > 1))
-    levels = real.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).limit(n).collect()
-    least, seen = None, 0
-    for r in levels:
-        seen += r["n"]
-        if seen > n:
+    # a histogram of counts first, so that only rows of the last one needed are sorted beyond n
+    least, seen = 2, 0
+    for r in real.groupBy("c").agg(F.count("*").alias("n")).orderBy(F.desc("c")).limit(n).collect():
+        least, seen = r["c"], seen + r["n"]
+        if seen >= n:
             break
-        least = r["c"]
-    rows = real.filter(F.col("c") >= least).collect() if least is not None else []
-    ends = counts.filter(F.length("word") == 0).collect()
-    return [(END, ends[0]["c"] if ends else 0), *sorted(((bytes(r["word"]), r["c"]) for r in rows), key=lambda x: (-x[1], x[0]))]
+    return real.filter(F.col("c") >= least).orderBy(F.desc("c"), "word").limit(n)
 
 
 def _ids(texts: list[str | None], number: dict[bytes, int]) -> np.ndarray:
@@ -107,11 +109,17 @@ def core_pairs(train: DataFrame, core: list[bytes]) -> np.ndarray:
     number, n = {w: i for i, w in enumerate(core)}, len(core)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n * n, np.int64)
+        total, held, size = np.zeros(n * n, np.int64), [], 0
         for batch in _parts(batches):
             ids = _ids(batch.column("text").to_pylist(), number)
             both = (ids[:-1] >= 0) & (ids[1:] >= 0)
-            total += np.bincount(ids[:-1][both].astype(np.int64) * n + ids[1:][both], minlength=n * n)
+            held.append(ids[:-1][both] * n + ids[1:][both])
+            size += len(held[-1])
+            if size > HELD_CODES:
+                total += np.bincount(np.concatenate(held), minlength=n * n)
+                held, size = [], 0
+        if held:
+            total += np.bincount(np.concatenate(held), minlength=n * n)
         pair = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], ["pair", "n"])
 
@@ -171,126 +179,206 @@ def exchange(pairs: np.ndarray, classes: int, sweeps: int = SWEEPS) -> np.ndarra
     return of
 
 
-def assign(train: DataFrame, vocabulary: list[bytes], of_core: np.ndarray, pairs: np.ndarray, classes: int) -> np.ndarray:
-    """Class of each vocabulary word: the core's, and for the others the one that one exchange gives.
+def exchanged(train: DataFrame, core: list[bytes], of_core: np.ndarray, pairs: np.ndarray, classes: int) -> DataFrame:
+    """(word binary, k): the class that one exchange gives to each word outside the core that has a core neighbour.
 
-    Each task sums a table of its words' left neighbours' classes; the tables meet by ranges of words.
+    A task hands on a row for each word, with its neighbours' classes, left ones and right ones, and how often each was
+    there; the rows meet by word.
     """
-    number, n_core, n, span = {w: i for i, w in enumerate(vocabulary)}, len(of_core), len(vocabulary), 4096
+    number, n_core, wide = {w: i for i, w in enumerate(core)}, len(of_core), 2 * classes
     table = np.ones((classes, classes))
     np.add.at(table, (of_core[:, None].repeat(n_core, 1), of_core[None, :].repeat(n_core, 0)), pairs)
-    weight = np.log(table) - np.log(table.sum(axis=1))[:, None] - np.log(table.sum(axis=0))[None, :]
-    weight[:, 0] = -np.inf
+    gain = np.log(table) - np.log(table.sum(axis=1))[:, None] - np.log(table.sum(axis=0))[None, :]
+    weight = np.concatenate([gain, gain.T])
+    weight[:, 0] = -1e12
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros(n * classes, np.int32)
-        for batch in _parts(batches):
-            ids = _ids(batch.column("text").to_pylist(), number)
-            here = (ids[1:] >= n_core) & (ids[:-1] >= 0) & (ids[:-1] < n_core)
-            at, uses = np.unique(ids[1:][here].astype(np.int64) * classes + of_core[ids[:-1][here]], return_counts=True)
-            total[at] += uses.astype(np.int32)
-        at = np.flatnonzero(total)
-        part = at // (span * classes)
-        cuts = np.searchsorted(part, np.arange(n // span + 2))
-        rows = [(p, (at[a:z] - p * span * classes).astype("<u4").tobytes(), total[at[a:z]].astype("<u4").tobytes()) for p, (a, z) in enumerate(zip(cuts, cuts[1:], strict=False)) if z > a]
-        yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int32()), pa.array([r[1] for r in rows], pa.binary()), pa.array([r[2] for r in rows], pa.binary())], ["part", "at", "n"])
+        held: dict[bytes, int] = {}
+        codes, uses, size = [], [], 0
 
-    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, total = None, np.zeros(span * classes)
+        def fold() -> None:
+            nonlocal codes, uses, size
+            every, n = np.concatenate(codes), np.concatenate(uses)
+            order = np.argsort(every, kind="stable")
+            first = np.flatnonzero(np.concatenate([[True], every[order][1:] != every[order][:-1]]))
+            codes, uses = [every[order][first]], [np.add.reduceat(n[order], first)]
+            size = len(first)
 
         def out() -> pa.RecordBatch:
-            uses = total.reshape(span, classes)
-            some = np.flatnonzero(uses.any(axis=1))
-            best = np.argmax(np.nan_to_num(uses[some] @ np.where(np.isinf(weight), -1e12, weight)), axis=1)
-            return pa.RecordBatch.from_arrays([pa.array(some + now * span), pa.array(best)], ["id", "of"])
+            fold()
+            word, at = np.divmod(codes[0], wide)
+            first = np.flatnonzero(np.concatenate([[True], word[1:] != word[:-1]]))
+            names, ends = list(held), np.append(first[1:], len(word))
+            offsets = pa.array(np.append(first, len(word)), pa.int32())
+            columns = [pa.array([names[w] for w in word[first].tolist()], pa.binary()), pa.ListArray.from_arrays(offsets, pa.array(at, pa.int32())), pa.ListArray.from_arrays(offsets, pa.array(uses[0], pa.int64()))]
+            held.clear()
+            codes.clear()
+            uses.clear()
+            return pa.RecordBatch.from_arrays(columns, ["word", "at", "n"]) if len(ends) else None
+
+        for batch in _parts(batches):
+            tokens = [END]
+            for t in batch.column("text").to_pylist():
+                tokens += words(t)
+                tokens.append(END)
+            ids = np.array([number.get(w, -1) for w in tokens], np.int32)
+            place = np.flatnonzero(ids < 0)
+            own = np.array([held.setdefault(tokens[p], len(held)) for p in place.tolist()], np.int64) * wide
+            left, right = ids[place - 1], ids[(place + 1) % len(ids)]
+            new = np.concatenate([own[left >= 0] + of_core[left[left >= 0]], own[right >= 0] + classes + of_core[right[right >= 0]]])
+            codes.append(new)
+            uses.append(np.ones(len(new), np.int64))
+            size += len(new)
+            if size > HELD_CODES:
+                fold()
+            if (len(held) > HELD_WORDS or size > HELD_CODES // 2) and size:
+                yield out()
+                size = 0
+        if size:
+            yield out()
 
+    def choose(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, total = None, np.zeros(wide)
         for batch in batches:
-            for part, at, uses in zip(*(batch.column(c).to_pylist() for c in ("part", "at", "n")), strict=True):
-                if part != now:
-                    if now is not None:
-                        yield out()
-                    now, total = part, np.zeros(span * classes)
-                total[np.frombuffer(at, "<u4")] += np.frombuffer(uses, "<u4")
+            names = batch.column("word").to_pylist()
+            at, n = batch.column("at"), batch.column("n")
+            lengths = np.diff(at.offsets.to_numpy())
+            new = np.array([a != b for a, b in zip(names, [now, *names[:-1]], strict=True)])
+            group = np.cumsum(new)
+            # group 0 goes on from the batch before
+            uses = np.zeros((int(group[-1]) + 1 if len(group) else 1, wide))
+            uses[0] = total
+            np.add.at(uses, (np.repeat(group, lengths), at.flatten().to_numpy()), n.flatten().to_numpy())
+            done = [*([now] if now is not None else []), *(w for w, fresh in zip(names, new.tolist(), strict=True) if fresh)]
+            rows = uses if now is not None else uses[1:]
+            if done:
+                yield pa.RecordBatch.from_arrays([pa.array(done[:-1], pa.binary()), pa.array(np.argmax(rows[:-1] @ weight, axis=1), pa.int32())], ["word", "k"])
+                now, total = done[-1], rows[-1]
         if now is not None:
-            yield out()
+            yield pa.RecordBatch.from_arrays([pa.array([now], pa.binary()), pa.array([int(np.argmax(total @ weight))], pa.int32())], ["word", "k"])
 
-    # the class that most core words' neighbours would choose, for words that never follow a core word
-    of = np.full(n, int(np.bincount(of_core[1:], minlength=2)[1:].argmax()) + 1 if n_core > 1 else 0, np.int64)
-    of[:n_core] = of_core
-    chosen = train.mapInArrow(count, "part int, at binary, n binary").repartition("part").sortWithinPartitions("part").mapInArrow(choose, "id long, of long").toArrow()
-    of[chosen.column("id").to_numpy()] = chosen.column("of").to_numpy()
-    return of
+    met = train.mapInArrow(count, "word binary, at array<int>, n array<long>").repartition("word").sortWithinPartitions("word")
+    return met.mapInArrow(choose, "word binary, k int")
 
 
-def transitions(train: DataFrame, number: dict[bytes, int], of: np.ndarray, classes: int) -> np.ndarray:
-    """Counts of neighbouring classes; `rare` is the class after the last."""
-    k, with_rare = classes + 1, np.append(of, classes)
+def transitions(train: DataFrame, k: int) -> np.ndarray:
+    """Counts of neighbouring classes, k x k, of texts as their classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(k * k, np.int64)
         for batch in _parts(batches):
-            own = with_rare[_ids(batch.column("text").to_pylist(), number)]
+            own = _flat(batch.column("classes"))
             total += np.bincount(own[:-1] * k + own[1:], minlength=k * k)
         pair = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(pair), pa.array(total[pair])], ["pair", "n"])
 
     out = np.zeros(k * k, np.int64)
-    for r in train.mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
+    for r in train.select("classes").mapInArrow(run, "pair long, n long").groupBy("pair").agg(F.sum("n").alias("n")).collect():
         out[r["pair"]] = r["n"]
     return out.reshape(k, k)
 
 
-def score(docs: DataFrame, is_held_out: Column | None = None, vocabulary: int = VOCABULARY, core: int = CORE, classes: int = CLASSES) -> DataFrame:
+def _flat(classes: pa.Array) -> np.ndarray:
+    """The classes of all texts, each text after an end: the first begins with one more, the others follow one."""
+    return np.frombuffer(b"".join([b"\0", *classes.to_pylist()]), np.uint8).astype(np.int64)
+
+
+def score(docs: DataFrame, is_held_out: Column | None = None, cached: int = CACHED, core: int = CORE, classes: int = CLASSES) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score and perplexity of each row of docs."""
-    spark = docs.sparkSession
+    if classes > OPEN - 1:
+        raise ValueError("a class is a byte")
     marked = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text", (held_out() if is_held_out is None else is_held_out).alias("held_out"))
     train = marked.filter(~F.col("held_out")).select("text")
     counts = materialize(count_words(train), "word-counts")
-    release(spark)
     n_all, n_distinct = counts.agg(F.coalesce(F.sum("c"), F.lit(0)), F.count("*")).first()
-    known = frequent(counts, vocabulary)
-    names = [w for w, _ in known]
-    pairs = core_pairs(train, names[: core + 1])
+    ends = counts.filter(F.length("word") == 0).agg(F.coalesce(F.sum("c"), F.lit(0))).first()[0]
+    first = [(bytes(r["word"]), r["c"]) for r in frequent(counts, core).collect()]
+    names = [END, *(w for w, _ in first)]
+    pairs = core_pairs(train, names)
     of_core = exchange(pairs, classes)
-    of = assign(train, names, of_core, pairs, classes)
-    release(spark)
-    number = {w: i for i, w in enumerate(names)}
-    table = transitions(train, number, of, classes)
-    c = np.array([x for _, x in known], np.float64)
-    size = np.append(np.bincount(of, c, classes), n_all - c.sum())
-    v_rare = n_distinct - sum(x > 0 for _, x in known)
+    # for words without a core neighbour the class that most core words have
+    usual = int(np.bincount(of_core[1:], minlength=2)[1:].argmax()) + 1 if len(names) > 1 else min(1, classes - 1)
+    chosen = exchanged(train, names, of_core, pairs, classes)
+    joined = counts.filter(F.length("word") > 0).join(chosen, "word", "left")
+    lexicon = materialize(joined.select("word", "c", F.when(F.col("c") > 1, F.coalesce("k", F.lit(usual))).otherwise(classes).alias("k")), "lexicon")
+    in_core = set(names)
+    known = {END: (0, ends)} | {w: (int(k), c) for (w, c), k in zip(first, of_core[1:], strict=True)}
+    known |= {w: (r["k"], r["c"]) for r in frequent(lexicon, cached).collect() if (w := bytes(r["word"])) not in in_core}
+    size = np.zeros(classes + 1)
+    for r in lexicon.groupBy("k").agg(F.sum("c").alias("c")).collect():
+        size[r["k"]] = r["c"]
+    # the core's words are in the lexicon with a class of their neighbours; theirs is of the exchange
+    core_rows = lexicon.join(F.broadcast(docs.sparkSession.createDataFrame([(bytearray(w),) for w, _ in first], "word binary")), "word")
+    for r in core_rows.groupBy("k").agg(F.sum("c").alias("c")).collect():
+        size[r["k"]] -= r["c"]
+    np.add.at(size, of_core, [ends, *(c for _, c in first)])
+    v_rare = int(size[classes])
     share = (size + 1) / (n_all + classes + 1)
-    step = np.log10((table + SMOOTH * share[None, :]) / (table.sum(axis=1)[:, None] + SMOOTH)).ravel()
-    rare_log = -float(np.log10(max(size[-1] + v_rare, 1)))
-    emission = np.append(np.log10(np.maximum(c, 1) / np.maximum(size[of], 1)), rare_log)
-    base_log, with_rare, k = np.append(np.log10(c + 1), 0.0), np.append(of, classes), classes + 1
-    all_log, seen = float(np.log10(n_all + n_distinct + 1)), np.append(c > 0, False)
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    all_log, rare_log = float(np.log10(n_all + n_distinct + 1)), -float(np.log10(max(size[classes] + v_rare, 1)))
+    new_log = rare_log + float(np.log10(max(v_rare, 1)))
+    log_size = np.log10(np.maximum(size, 1))
+    number = {w: i for i, w in enumerate(known)}
+    of = np.array([k for k, _ in known.values()] + [OPEN], np.int64)
+    c = np.array([n for _, n in known.values()], np.float64)
+    emission = np.append(np.log10(np.maximum(c, 1)) - log_size[of[:-1]], 0.0)
+    base_log, seen = np.append(np.log10(c + 1), 0.0), np.append(c > 0, False)
+
+    def scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         row = TaskContext.get().partitionId() << 33
         for batch in _parts(batches):
-            texts = batch.column("text").to_pylist()
-            tokens, rare = [words(t) for t in texts], []
-            for own in tokens:
-                rare.append([w for w in own if w not in number])
-            ids = _ids(texts, number)
-            of_token = with_rare[ids]
-            value = emission[ids[1:]] + step[of_token[:-1] * k + of_token[1:]]
+            tokens = [words(t) for t in batch.column("text").to_pylist()]
+            ids = np.array([number.get(w, -1) for own in tokens for w in (*own, END)], np.int32)
             lengths = np.array([len(own) + 1 for own in tokens])
             begin = np.cumsum(lengths) - lengths
-            sums = [np.add.reduceat(x, begin) if len(begin) else x[:0] for x in (value, base_log[ids[1:]], seen[ids[1:]].astype(np.int64))]
-            columns = [pa.array(row + np.arange(len(texts))), batch.column("doc_id"), batch.column("held_out"), pa.array(lengths, pa.int64()), pa.array(sums[2], pa.int64()), pa.array(sums[1], pa.float64()), pa.array(sums[0], pa.float64()), pa.array(rare, pa.list_(pa.binary()))]
-            row += len(texts)
-            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "held_out", "n_tokens", "known", "base", "model", "rare"])
-
-    scanned = materialize(marked.mapInArrow(run, "row long, doc_id long, held_out boolean, n_tokens long, known long, base double, model double, rare array<binary>"), "scanned")
-    # an unseen word adds log10(0 + 1) to the base score, so an inner join is enough
-    looked_up = scanned.select("row", F.explode("rare").alias("word")).join(counts, "word")
-    sums = looked_up.groupBy("row").agg(F.count("*").alias("rare_known"), F.sum(F.log10(F.col("c") + 1)).alias("rare_base"), F.sum(F.log10("c")).alias("rare_model"))
-    joined = scanned.withColumn("n_rare", F.size("rare")).drop("rare").join(sums, "row", "left")
-    rare_known, extra = F.coalesce("rare_known", F.lit(0)), F.coalesce("rare_base", F.lit(0.0))
-    total = F.col("model") + F.coalesce("rare_model", F.lit(0.0)) + (F.col("n_rare") - rare_known) * float(np.log10(max(v_rare, 1)))
-    return joined.select(
-        "doc_id", "held_out", "n_tokens", (F.col("known") + rare_known).alias("n_known"), F.lit(n_all).cast("long").alias("train_tokens"),
-        (F.col("base") + extra - F.col("n_tokens") * all_log).alias("base_score"), total.alias("score"), F.pow(F.lit(10.0), -total / F.col("n_tokens")).alias("perplexity"),
-    )
+            sums = [np.add.reduceat(x, begin) if len(begin) else x[:0] for x in (emission[ids], base_log[ids], seen[ids].astype(np.int64))]
+            raw, ends = of[ids].astype(np.uint8).tobytes(), np.cumsum(lengths).tolist()
+            rare = [[w for w in own if w not in number] for own in tokens]
+            columns = [pa.array(row + np.arange(len(tokens))), batch.column("doc_id"), batch.column("held_out"), pa.array(lengths, pa.int64()), *(pa.array(x, t) for x, t in zip(sums, (pa.float64(), pa.float64(), pa.int64()), strict=True))]
+            columns += [pa.array([raw[z - n : z] for z, n in zip(ends, lengths.tolist(), strict=True)], pa.binary()), pa.array(rare, pa.list_(pa.binary()))]
+            row += len(tokens)
+            yield pa.RecordBatch.from_arrays(columns, ["row", "doc_id", "held_out", "n_tokens", "emission", "base", "known", "classes", "rare"])
+
+    scanned = materialize(marked.mapInArrow(scan, "row long, doc_id long, held_out boolean, n_tokens long, emission double, base double, known long, classes binary, rare array<binary>"), "scanned")
+    looked_up = scanned.select("row", F.posexplode("rare").alias("at", "word")).join(lexicon, "word")
+    found = looked_up.groupBy("row").agg(F.collect_list(F.struct("at", "k", "c")).alias("found"))
+    columns = ["doc_id", "held_out", "n_tokens", "known", "base", "emission", "classes"]
+
+    def fill(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches):
+            own = dict(zip(columns, (batch.column(c).to_pylist() for c in columns), strict=True))
+            for i, list_ in enumerate(batch.column("found")):
+                whole = np.frombuffer(own["classes"][i], np.uint8)
+                open_ = np.flatnonzero(whole == OPEN)
+                if not len(open_):
+                    continue
+                k = np.full(len(open_), classes)
+                value = np.full(len(open_), new_log)
+                if list_.is_valid:
+                    at, k_, n = (list_.values.field(f).to_numpy() for f in ("at", "k", "c"))
+                    k[at] = k_
+                    value[at] = np.where(k_ < classes, np.log10(n) - log_size[k_], rare_log)
+                    own["known"][i] += len(at)
+                    own["base"][i] += float(np.log10(n + 1.0).sum())
+                whole = whole.copy()
+                whole[open_] = k
+                own["classes"][i] = whole.tobytes()
+                own["emission"][i] += float(value.sum())
+            yield pa.RecordBatch.from_arrays([pa.array(own[c], batch.schema.field(c).type) for c in columns], columns)
+
+    joined = scanned.drop("rare").join(found, "row", "left").select(*columns, "found")
+    filled = materialize(joined.mapInArrow(fill, "doc_id long, held_out boolean, n_tokens long, known long, base double, emission double, classes binary"), "classes")
+    for used in (counts, lexicon, scanned):
+        drop_path(used)
+    k = classes + 1
+    table = transitions(filled.filter(~F.col("held_out")), k)
+    step = np.log10((table + SMOOTH * share[None, :]) / (table.sum(axis=1)[:, None] + SMOOTH)).ravel()
+
+    def sum_up(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in _parts(batches):
+            own, lengths = _flat(batch.column("classes")), batch.column("n_tokens").to_numpy()
+            total = np.add.reduceat(step[own[:-1] * k + own[1:]], np.cumsum(lengths) - lengths) if len(lengths) else np.zeros(0)
+            value = total + batch.column("emission").to_numpy()
+            names = ["doc_id", "held_out", "n_tokens", "n_known"]
+            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in ("doc_id", "held_out", "n_tokens", "known")), pa.array(np.full(len(lengths), n_all), pa.int64()), pa.array(batch.column("base").to_numpy() - lengths * all_log), pa.array(value), pa.array(10 ** (-value / lengths))], [*names, "train_tokens", "base_score", "score", "perplexity"])
+
+    return filled.mapInArrow(sum_up, "doc_id long, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double, perplexity double")

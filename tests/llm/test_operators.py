@@ -118,19 +118,79 @@ def test_suffix_dedup(docs, none, hot):
     assert cleaned.columns == docs.columns and cleaned.count() == len(AWKWARD)
 
 
-def test_class_lm(docs, none):
-    rows = class_lm.score(docs, vocabulary=60, core=20, classes=6).collect()
+def scores_by_definition(rows, core, classes):
+    """The class model's score of each row, from its docstring."""
+    cut = lambda x: [b"", *re.findall(rb"[^\x20\x09-\x0D]+", (x or "").encode().lower()), b""]
+    held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 7 == 2
+    train = [cut(a[1]) for a in rows if not held(a[0])]
+    c = Counter(w for t in train for w in t[1:])
+    repeated = sorted((w for w in c if w and c[w] > 1), key=lambda w: (-c[w], w))
+    names = [b"", *repeated[:core]]
+    pairs = np.zeros((len(names), len(names)), np.int64)
+    for t in train:
+        for a, b in zip(t, t[1:], strict=False):
+            if a in names and b in names:
+                pairs[names.index(a), names.index(b)] += 1
+    of = dict(zip(names, class_lm.exchange(pairs, classes).tolist(), strict=True))
+    table = np.ones((classes, classes))
+    for i, a in enumerate(names):
+        for j, b in enumerate(names):
+            table[of[a], of[b]] += pairs[i, j]
+    gain = np.log(table) - np.log(table.sum(axis=1))[:, None] - np.log(table.sum(axis=0))[None, :]
+    usual = Counter(k for w, k in of.items() if w)
+    usual = min(usual, key=lambda k: (-usual[k], k)) if usual else 1
+    for w in repeated[core:]:
+        total, some = np.zeros(classes), False
+        for t in train:
+            for i, x in enumerate(t):
+                if x == w:
+                    if t[i - 1] in names:
+                        total, some = total + gain[of[t[i - 1]]], True
+                    if t[i + 1] in names:
+                        total, some = total + gain[:, of[t[i + 1]]], True
+        of[w] = 1 + int(np.argmax(total[1:])) if some else usual
+    class_of = lambda w: of.get(w, classes)
+    size, steps, n = Counter(), Counter(), sum(c.values())
+    for w, k in c.items():
+        size[class_of(w)] += k
+    for t in train:
+        steps.update((class_of(a), class_of(b)) for a, b in zip(t, t[1:], strict=False))
+    after = Counter()
+    for (a, _), k in steps.items():
+        after[a] += k
+    rare = sum(1 for w in c if class_of(w) == classes)
+
+    def log_p(a, b):
+        j, k = class_of(a), class_of(b)
+        move = (steps[j, k] + class_lm.SMOOTH * (size[k] + 1) / (n + classes + 1)) / (after[j] + class_lm.SMOOTH)
+        return math.log10(move) + (math.log10(c[b] / size[k]) if k < classes else math.log10((1 if c[b] else rare) / (size[k] + rare)))
+
+    return [sum(log_p(a, b) for a, b in zip(t, t[1:], strict=False)) for t in (cut(a[1]) for a in rows)]
+
+
+@pytest.mark.parametrize("cached", [0, 40, 100_000])
+def test_class_lm(docs, none, cached, monkeypatch):
+    monkeypatch.setattr(class_lm, "BATCH_ROWS", 3)
+    rows = class_lm.score(docs, cached=cached, core=20, classes=6).collect()
     assert len(rows) == len(AWKWARD)
     cut = lambda x: [*re.findall(rb"[^\x20\x09-\x0D]+", (x or "").encode().lower()), b""]
     held = lambda d: d is not None and zlib.crc32(str(d).encode()) % 7 == 2
     c = Counter(w for a in AWKWARD if not held(a[0]) for w in cut(a[1]))
     n, v = sum(c.values()), len(c)
-    want = {(a[0], held(a[0]), len(cut(a[1])), sum(c[w] > 0 for w in cut(a[1])), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in cut(a[1])), 3)) for a in AWKWARD}
-    assert {(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 3)) for r in rows} == want
-    assert all(r.score < 0 and r.perplexity > 1 for r in rows)
+    scores = scores_by_definition(AWKWARD, 20, 6)
+    want = {(a[0], held(a[0]), len(cut(a[1])), sum(c[w] > 0 for w in cut(a[1])), n, round(sum(math.log10((c[w] + 1) / (n + v + 1)) for w in cut(a[1])), 3), round(s, 3)) for a, s in zip(AWKWARD, scores, strict=True)}
+    assert {(r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 3), round(r.score, 3)) for r in rows} == want
+    assert all(r.perplexity == pytest.approx(10 ** (-r.score / r.n_tokens)) for r in rows)
     assert class_lm.score(none).count() == 0
 
 
+def test_class_lm_without_training_rows(spark):
+    from pyspark.sql import functions as F
+
+    rows = class_lm.score(spark.createDataFrame([(1, "a b"), (2, None)], "doc_id long, text string"), F.lit(True)).collect()
+    assert {(r.n_tokens, r.n_known, r.train_tokens) for r in rows} == {(3, 0, 0), (1, 0, 0)} and all(r.score < 0 for r in rows)
+
+
 def test_exchange_reaches_an_optimum():
     rng = np.random.default_rng(1)
     words = [0] + [w for _ in range(3000) for w in (1 + rng.integers(0, 8), 9 + rng.integers(0, 8), 17 + rng.integers(0, 4))]
