@@ -13,10 +13,10 @@ A suffix array over all texts would need one machine to hold them. Here equal st
    then undivided are the strings of LENGTH bytes; each gets the smallest doc_id that has it.
 4. The bytes covered by strings of an earlier document return to their documents.
 
-A minimizer of over HOT places forms no group: its windows are aggregated where they are, one row for each batch and
-distinct window with the smallest doc_id of its places, so a passage that a third of all documents have leaves few rows.
-The least of those by window (a partial aggregation) is joined back to the rows, which Spark may split, and each row
-answers for its own places.
+Equal runs of a scanned portion are one row. Of their places, those of a larger doc_id than the smallest there are known to
+be covered, and are told at once; only the smallest one's have to meet others. A minimizer of over HOT places forms no
+group: its windows meet by their own hash, as rows of that kind too. So a passage that a third of all documents have sends a
+place for each portion and window, not for each document.
 
 Defined cases: a null or empty text, or one shorter than LENGTH, loses nothing; a null doc_id counts as larger than all
 others, and rows of equal doc_id (also null ones) are never earlier than each other; repeated rows are answered each;
@@ -39,8 +39,8 @@ from pyspark.sql import functions as F
 from quillgraph.llm.common import drop_path, materialize, release
 
 LENGTH, K = 50, 16
-#: Places of one minimizer beyond which its windows are aggregated first; windows in a run; bytes handled at once by a
-#: scan and by a suffix sort; bytes of texts to a bucket; windows of places compared at once.
+#: Places of one minimizer beyond which its windows are spread; windows in a run; bytes handled at once by a scan and by
+#: a suffix sort; bytes of texts to a bucket; windows of places compared at once.
 HOT, RUN, SCAN, PORTION, BUCKET_BYTES, COMPARED = 20_000, 64, 2_000_000, 300_000, 16_000_000, 2_000_000
 #: Owner of what only rows without a doc_id have. A text has less than 2**31 bytes, so the top bit of a place tells them.
 NO_ID, NULL = (1 << 63) - 1, np.uint32(1 << 31)
@@ -129,14 +129,12 @@ def shared_minimizers(docs: DataFrame, buckets: int, hot: int) -> DataFrame:
             null = batch.column("_null").to_numpy(zero_copy_only=False).astype("u1")
             bucket = (code >> np.uint64(40)).astype(np.int32)
             order = np.argsort(bucket, kind="stable")
-            cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
+            present, first = np.unique(bucket[order], return_index=True)
             rows = []
-            for b in range(buckets):
-                own = order[cuts[b] : cuts[b + 1]]
-                if len(own):
-                    used, n = np.unique(text[own], return_counts=True)
-                    packed = np.ascontiguousarray(code[own].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :5]
-                    rows.append((b, did[used].tobytes(), null[used].tobytes(), n.astype("<u4").tobytes(), packed.tobytes()))
+            for b, own in zip(present.tolist(), np.split(order, first[1:]), strict=True):
+                used, n = np.unique(text[own], return_counts=True)
+                packed = np.ascontiguousarray(code[own].astype("<u8")).view(np.uint8).reshape(-1, 8)[:, :5]
+                rows.append((b, did[used].tobytes(), null[used].tobytes(), n.astype("<u4").tobytes(), packed.tobytes()))
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 4), strict=True)], ["bucket", "dids", "nulls", "counts", "packed"])
 
     def group(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -174,28 +172,48 @@ RUNS = "bucket int, keys binary, lengths binary, strings binary, counts binary,
 
 
 def runs(candidates: DataFrame, buckets: int) -> DataFrame:
-    """The runs of windows with shared minimizers, packed: a row holds a batch's runs of one bucket, that is their keys
-    (uint64), lengths (uint8), strings, numbers of places (uint32) and places (PLACE)."""
-
-    def pack(key: np.ndarray, lengths: np.ndarray, data: np.ndarray, begin: np.ndarray, counts: np.ndarray, places: np.ndarray) -> pa.RecordBatch:
-        bucket = (key % np.uint64(buckets)).astype(np.int32)
+    """The runs of windows with shared minimizers, packed: a row holds a portion's distinct runs of one bucket, that is their
+    keys (uint64), lengths (uint8), strings, numbers of places (uint32) and places (PLACE). A row without keys holds places
+    that are known to be covered, with the numbers of their windows as counts."""
+    names = ["bucket", "keys", "lengths", "strings", "counts", "places"]
+
+    def batch_of(rows: list[tuple]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 5), strict=True)], names)
+
+    def pack(key: np.ndarray, strings: list[bytes], number: np.ndarray, windows: np.ndarray, places: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """key and strings of each distinct run; number of its run, and windows, for each place."""
+        owner, least = _owners(places), np.full(len(strings), NO_ID)
+        np.minimum.at(least, number, owner)
+        decided = owner > least[number]
+        if decided.any():
+            done, n = places[decided], windows[decided].astype(np.int64)
+            same = (done["did"][1:] == done["did"][:-1]) & (done["dig"][1:] == done["dig"][:-1]) & (done["at"][1:] == done["at"][:-1] + n[:-1])
+            first = np.flatnonzero(np.concatenate([[True], ~same]))
+            yield batch_of([(int(done["at"][0]) % buckets, None, None, None, np.add.reduceat(n, first).astype("<u4").tobytes(), done[first].tobytes())])
+        rest = np.flatnonzero(~decided)
+        rest = rest[np.argsort(number[rest], kind="stable")]
+        counts = np.bincount(number[rest], minlength=len(strings))
+        begin, bucket = np.cumsum(counts) - counts, (key % np.uint64(buckets)).astype(np.int32)
         order = np.lexsort((key, bucket))
-        cuts = np.searchsorted(bucket[order], np.arange(buckets + 1))
-        first = np.cumsum(counts) - counts
+        used, first = np.unique(bucket[order], return_index=True)
         rows = []
-        for b in range(buckets):
-            own = order[cuts[b] : cuts[b + 1]]
-            if len(own):
-                at, n = _ranges(begin[own], lengths[own]), _ranges(first[own], counts[own])
-                rows.append((b, key[own].tobytes(), lengths[own].astype(np.uint8).tobytes(), data[at].tobytes(), counts[own].astype("<u4").tobytes(), places[n].tobytes()))
-        return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*rows, strict=True), (pa.int32(), *[pa.binary()] * 5), strict=True)], ["bucket", "keys", "lengths", "strings", "counts", "places"])
+        for b, own in zip(used.tolist(), np.split(order, first[1:]), strict=True):
+            text = [strings[i] for i in own.tolist()]
+            rows.append((b, key[own].tobytes(), bytes(map(len, text)), b"".join(text), counts[own].astype("<u4").tobytes(), places[rest[_ranges(begin[own], counts[own])]].tobytes()))
+        yield batch_of(rows)
+
+    def numbered(raw: bytes, begin: np.ndarray, length: np.ndarray) -> tuple[list[bytes], np.ndarray]:
+        found: dict[bytes, int] = {}
+        number = np.array([found.setdefault(raw[b:z], len(found)) for b, z in zip(begin.tolist(), (begin + length).tolist(), strict=True)])
+        return list(found), number
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             rows, wanted = _rows(batch), np.unique(batch.column("codes").flatten().to_numpy())
+            cool, hot = wanted[wanted >= 0].view(np.uint64), np.unique(-1 - wanted[wanted < 0]).view(np.uint64)
             for data, text, place, begin, count, low in portions(_texts(batch.column("text"))):
-                code = codes(low, buckets)
-                own = np.flatnonzero(np.isin(code, wanted[wanted >= 0].view(np.uint64)))
+                code, raw = codes(low, buckets), data.tobytes()
+                own = np.flatnonzero(np.isin(code, cool))
                 if len(own):
                     # runs of at most RUN windows
                     parts = -(-count[own] // RUN)
@@ -204,7 +222,17 @@ def runs(candidates: DataFrame, buckets: int) -> DataFrame:
                     n = np.minimum(count[run_of] - inner, RUN)
                     where = rows[text[run_of]]
                     where["at"] += (place[run_of] + inner).astype(np.uint32)
-                    yield pack(code[run_of], n + LENGTH - 1, data, begin[run_of] + inner, np.ones(len(run_of), np.int64), where)
+                    strings, number = numbered(raw, begin[run_of] + inner, n + LENGTH - 1)
+                    key = np.zeros(len(strings), np.uint64)
+                    key[number] = code[run_of]
+                    yield from pack(key, strings, number, n, where)
+                own = np.flatnonzero(np.isin(code, hot))
+                if len(own):
+                    n = count[own]
+                    where = rows[np.repeat(text[own], n)]
+                    where["at"] += _ranges(place[own], n).astype(np.uint32)
+                    strings, number = numbered(raw, _ranges(begin[own], n), np.full(int(n.sum()), LENGTH))
+                    yield from pack(np.array([xxhash.xxh64_intdigest(x) for x in strings], np.uint64), strings, number, np.ones(len(where), np.int64), where)
 
     return candidates.mapInArrow(run, RUNS)
 
@@ -217,33 +245,6 @@ def _rows(batch: pa.RecordBatch) -> np.ndarray:
     return out
 
 
-def hot_windows(candidates: DataFrame, buckets: int) -> DataFrame:
-    """(window, low, places): each distinct window of a batch whose minimizer has over HOT places, by its 128-bit hash, with
-    the smallest doc_id that has it there, and its places. A row is of one scanned portion, so its size has a bound."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            rows, wanted = _rows(batch), np.unique(batch.column("codes").flatten().to_numpy())
-            hot = np.unique(-1 - wanted[wanted < 0]).view(np.uint64)
-            for data, text, place, begin, count, low in portions(_texts(batch.column("text"))):
-                own = np.flatnonzero(np.isin(codes(low, buckets), hot))
-                if not len(own):
-                    continue
-                raw, n = data.tobytes(), count[own]
-                at = _ranges(begin[own], n)
-                number: dict[bytes, int] = {}
-                window = np.array([number.setdefault(raw[b : b + LENGTH], len(number)) for b in at.tolist()])
-                where = rows[np.repeat(text[own], n)]
-                where["at"] += _ranges(place[own], n).astype(np.uint32)
-                order = np.argsort(window, kind="stable")
-                where, first = where[order], np.searchsorted(window[order], np.arange(len(number)))
-                least = np.minimum.reduceat(_owners(where), first)
-                places = [x.tobytes() for x in np.split(where, first[1:])]
-                yield pa.RecordBatch.from_arrays([pa.array([xxhash.xxh3_128_digest(w) for w in number], pa.binary()), pa.array(least), pa.array(places, pa.binary())], ["window", "low", "places"])
-
-    return candidates.filter(F.exists("codes", lambda c: c < 0)).mapInArrow(run, "window binary, low long, places binary")
-
-
 SPANS = "_did long, _null boolean, _dig int, start long, n int"
 
 
@@ -253,20 +254,6 @@ def _spans(places: np.ndarray, more: np.ndarray, n: np.ndarray) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([pa.array(np.ascontiguousarray(places["did"])), pa.array(null), pa.array(np.ascontiguousarray(places["dig"])), pa.array(at + more), pa.array((n + LENGTH - 1).astype(np.int32))], ["_did", "_null", "_dig", "start", "n"])
 
 
-def hot_covered(rows: DataFrame) -> DataFrame:
-    """The spans of the places of hot windows that a smaller doc_id has."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for owner, raw in zip(batch.column("owner").to_pylist(), batch.column("places").to_pylist(), strict=True):
-                places = np.frombuffer(raw, PLACE)
-                places = places[_owners(places) > owner]
-                yield _spans(places, np.zeros(len(places), np.int64), np.ones(len(places), np.int64))
-
-    owners = rows.groupBy("window").agg(F.min("low").alias("owner"))
-    return rows.join(owners, "window").select("owner", "places").mapInArrow(run, SPANS)
-
-
 def _ranges(begin: np.ndarray, length: np.ndarray) -> np.ndarray:
     """All numbers of begin .. begin + length - 1, range after range."""
     ends = np.cumsum(length)
@@ -394,6 +381,9 @@ def covered(met: DataFrame, buckets: int) -> DataFrame:
         held, now = [], None
         for batch in batches:
             for row in zip(*(batch.column(c).to_pylist() for c in ("bucket", "keys", "lengths", "strings", "counts", "places")), strict=True):
+                if row[1] is None:
+                    yield _spans(done := np.frombuffer(row[5], PLACE), np.zeros(len(done), np.int64), np.frombuffer(row[4], "<u4").astype(np.int64))
+                    continue
                 if row[0] != now and held:
                     yield from close(held)
                     held = []
@@ -422,16 +412,10 @@ def find_spans(docs: DataFrame, hot: int = HOT) -> DataFrame:
     shared = materialize(shared_minimizers(texts.select("_did", "_null", "text"), buckets, hot).groupBy("_did", "_null").agg(F.collect_list("code").alias("codes")), "shared")
     release(spark)
     candidates = texts.join(shared, ["_did", "_null"]).select(*KEYS, "codes", "text")
-    parts = [materialize(covered(runs(candidates, buckets), buckets), "covered")]
-    if not shared.filter(F.exists("codes", lambda c: c < 0)).isEmpty():
-        release(spark)
-        hot_rows = materialize(hot_windows(candidates, buckets), "hot-windows")
-        parts.append(materialize(hot_covered(hot_rows), "hot-covered"))
-        drop_path(hot_rows)
+    spans = materialize(covered(runs(candidates, buckets), buckets), "covered")
     drop_path(shared)
     del shared, texts, candidates
     release(spark)
-    spans = parts[0] if len(parts) == 1 else parts[0].union(parts[1])
     return spans.groupBy(*KEYS).agg(F.collect_list(F.struct("start", "n")).alias("_spans"))
 
 

@@ -96,7 +96,11 @@ def test_token_counts(spark, docs, none):
 
 
 @pytest.mark.parametrize("hot", [20_000, 1])
-def test_suffix_dedup(docs, none, hot):
+def test_suffix_dedup(docs, none, hot, monkeypatch):
+    if hot == 1:
+        monkeypatch.setattr(suffix_dedup, "SCAN", 4000)
+        monkeypatch.setattr(suffix_dedup, "PORTION", 3000)
+        monkeypatch.setattr(suffix_dedup, "COMPARED", 500)
     seen, want = {}, {}
     big = suffix_dedup.NO_ID
     rows = sorted({(a[0] if a[0] is not None else big, a[1] or "") for a in AWKWARD})
