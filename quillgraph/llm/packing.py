@@ -124,6 +124,7 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
                     at[source] = position[-1] + len(b) // 2
                 columns = [pa.array([chunk] * len(ids), pa.int32()), batch.column("source"), batch.column("doc_id"), pa.array(position, pa.int64()), pa.array([len(b) // 2 for b in ids], pa.int64()), pa.array(ids, pa.binary())]
                 yield pa.RecordBatch.from_arrays(columns, names)
+        bpe.forget()
 
     wanted = docs.select(F.col("source").cast("string").alias("source"), F.col("doc_id").cast("long").alias("doc_id"), "text")
     return materialize(wanted.mapInArrow(run, "chunk int, source string, doc_id long, position long, n long, ids binary"), "packing-ids")

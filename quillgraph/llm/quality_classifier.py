@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 #: Bounds of what is learnt from, words with a vector of their own, and the width of vectors and of the hidden layer.
 TRAIN_ROWS, TRAIN_BYTES, VOCABULARY, WIDTH, HIDDEN = 4000, 24_000_000, 20_000, 48, 32
 NEAR, NONZERO, EPOCHS, BATCH, RATE = 2, 6, 60, 64, 0.01
-CACHE_WORDS, BATCH_ROWS = 400_000, 500
+CACHE_WORDS, BATCH_ROWS = 200_000, 200
 
 
 def held_out() -> Column:

@@ -41,7 +41,7 @@ from quillgraph.llm.common import drop_path, materialize, release
 LENGTH, K = 50, 16
 #: Places of one minimizer beyond which its windows are spread; windows in a run; bytes handled at once by a scan and by
 #: a suffix sort; bytes of texts to a bucket; windows of places compared at once.
-HOT, RUN, SCAN, PORTION, BUCKET_BYTES, COMPARED = 20_000, 64, 2_000_000, 300_000, 16_000_000, 2_000_000
+HOT, RUN, SCAN, PORTION, BUCKET_BYTES, COMPARED = 20_000, 64, 2_000_000, 300_000, 8_000_000, 2_000_000
 #: Owner of what only rows without a doc_id have. A text has less than 2**31 bytes, so the top bit of a place tells them.
 NO_ID, NULL = (1 << 63) - 1, np.uint32(1 << 31)
 PLACE = np.dtype([("did", "<i8"), ("dig", "<i4"), ("at", "<u4")])

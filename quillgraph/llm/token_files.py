@@ -190,6 +190,7 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
                     size += len(ids) // 2 + 1
                     if size >= FILE_TOKENS:
                         yield flush()
+        bpe.forget()
         if held:
             yield flush()
 

@@ -13,8 +13,8 @@ import os
 
 import numpy as np
 
-#: Pieces that a worker keeps, the longest of them, and pieces encoded in one call.
-CACHE_PIECES, KEPT_LENGTH, CALL_PIECES = 700_000, 64, 500
+#: Pieces that a worker keeps during a task, the longest of them, and pieces encoded in one call.
+CACHE_PIECES, KEPT_LENGTH, CALL_PIECES = 300_000, 64, 500
 #: Begins a piece that no space precedes. A key is a piece without its leading space, or with MARK in front if it has
 #: none; a piece that begins with a line feed is its own key.
 MARK = "\x01"
@@ -79,6 +79,10 @@ class ByteBpe:
         self.may_stop |= good
         return len(good) == len(new)
 
+    def forget(self) -> None:
+        """Drop the pieces, at the end of a task: a worker that goes on has other uses for the memory."""
+        self.known = {}
+
     def ids(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
         cut: dict[int, list[str]] = {}
