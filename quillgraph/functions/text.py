@@ -15,9 +15,16 @@ def capitalize_first(c: Column) -> Column:
     return F.concat(F.upper(F.substring(c, 1, 1)), c.substr(F.lit(2), F.length(c)))
 
 
+# fixed values: the markup's comments, references and links
+COMMENT = "<!--.*?-->"
+REFERENCE = "<ref[^>]*?(?:/>|>.*?</ref>)"
+LINK = r"(?s)\[\[([^\[\]]+)\]\]"
+
+
 def strip_markup(c: Column) -> Column:
     """Without HTML comments and ref elements, self-closing or paired."""
-    return F.regexp_replace(F.regexp_replace(c, "(?s)<!--.*?-->", ""), "(?is)<ref[^>/]*/>|<ref[^>]*>.*?</ref>", "")
+    without = F.regexp_replace(c, "(?s)" + COMMENT, "")
+    return F.regexp_replace(without, "(?is)" + REFERENCE, "")
 
 
 def _strip_templates(text: str) -> str:
@@ -43,7 +50,7 @@ def strip_templates(s: pd.Series) -> pd.Series:
 
 def lead(c: Column) -> Column:
     """Text before the first level-2 heading."""
-    return F.split(c, "\n==[^=]", 2)[0]
+    return F.split(c, "\n==(?!=)", 2)[0]
 
 
 # fixed values: headings that end the running text, and prefixes of links that are no articles
@@ -58,7 +65,7 @@ def body(c: Column) -> Column:
 
 def link_targets(c: Column) -> Column:
     """Targets of closed [[..]] links: before `#` or `|`, trimmed, `_` as space, first letter upper; namespaces dropped."""
-    raw = F.regexp_extract_all(c, F.lit(r"\[\[([^\[\]|#]+)(?:#[^\[\]|]*)?(?:\|[^\[\]]*)?\]\]"), 1)
+    raw = F.transform(F.regexp_extract_all(c, F.lit(LINK), 1), lambda t: F.regexp_replace(t, "(?s)[#|].*$", ""))
     named = F.transform(raw, lambda t: F.translate(F.regexp_replace(t, r"^\s+|\s+$", ""), "_", " "))
     kept = F.filter(named, lambda t: (t != "") & ~F.lower(t).rlike("^(?:" + "|".join(SKIPPED_PREFIXES) + ")"))
     return F.transform(kept, capitalize_first)
@@ -83,6 +90,12 @@ def claim_ids(claims: Column, prop: str) -> Column:
     return F.filter(F.transform(_claim_values(claims, prop), lambda v: F.get_json_object(v, "$.id")), lambda i: i.isNotNull())
 
 
+def claim_place(claims: Column, prop: str) -> Column:
+    """(lat, lon) of the first of a property's claims that has both; null if none does."""
+    place = F.transform(_claim_values(claims, prop), lambda v: F.struct(F.get_json_object(v, "$.latitude").cast("double").alias("lat"), F.get_json_object(v, "$.longitude").cast("double").alias("lon")))
+    return F.get(F.filter(place, lambda p: p["lat"].isNotNull() & p["lon"].isNotNull()), F.lit(0))
+
+
 def claim_date(claims: Column, *props: str) -> Column:
     """The first time of the first property that has one: without its plus sign, 10 characters."""
     times = [F.get(F.filter(F.transform(_claim_values(claims, p), lambda v: F.get_json_object(v, "$.time")), lambda t: t.isNotNull()), F.lit(0)) for p in props]

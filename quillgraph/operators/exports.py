@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quillgraph.functions.text import html_escape
+from quillgraph.operators.rules import in_batches
 
 
 def compact_json(df: DataFrame) -> DataFrame:
@@ -27,12 +28,43 @@ def write_batches(df: DataFrame, path: str) -> None:
     df.write.mode("overwrite").partitionBy("batch").json(path)
 
 
-def seed_statements(edges: DataFrame, size: int = 500) -> DataFrame:
-    """INSERT statements of `size` rows or fewer, dealt by the hash of the edge so that no task holds them all."""
-    quoted = F.concat(F.lit("('"), F.replace("a", F.lit("'"), F.lit("''")), F.lit("','"), F.replace("b", F.lit("'"), F.lit("''")), F.lit("')"))
-    n = F.greatest(F.ceil(edges.agg(F.count("*")).scalar() / size), F.lit(1))
-    dealt = edges.select(F.pmod(F.xxhash64("a", "b"), n).alias("batch"), quoted.alias("row"))
-    return dealt.groupBy("batch").agg(F.concat(F.lit("INSERT OR IGNORE INTO edges(a,b) VALUES "), F.concat_ws(",", F.array_sort(F.collect_list("row"))), F.lit(";")).alias("sql"))
+def _tuples(columns: list[Column]) -> Column:
+    return F.concat(F.lit("("), F.concat_ws(",", *columns), F.lit(")"))
+
+
+def _quoted(c: Column) -> Column:
+    return F.concat(F.lit("'"), F.replace(c, F.lit("'"), F.lit("''")), F.lit("'"))
+
+
+def _statements(rows: DataFrame, head: str, order: list[str], size: int) -> DataFrame:
+    """rows (row, order ..) as statements of `size` rows, the last of fewer."""
+    dealt = in_batches(rows, order, size)
+    one = F.transform(F.array_sort(F.collect_list(F.struct(*order, "row"))), lambda x: x["row"])
+    return dealt.groupBy("batch").agg(F.concat(F.lit(f"INSERT OR IGNORE INTO {head} VALUES "), F.concat_ws(",", one), F.lit(";")).alias("sql"))
+
+
+def seed_statements(edges: DataFrame, levels: DataFrame | None = None, size: int = 500) -> DataFrame:
+    """(kind, batch, sql): INSERT statements of `size` edges (a, b) each, and one of the levels (lvl, start, dist, budget)."""
+    out = _statements(edges.select("a", "b", _tuples([_quoted(F.col("a")), _quoted(F.col("b"))]).alias("row")), "edges(a,b)", ["a", "b"], size).select(F.lit("edges").alias("kind"), "batch", "sql")
+    if levels is None:
+        return out
+    rows = levels.select("lvl", _tuples([F.col("lvl").cast("string"), _quoted(F.col("start")), F.col("dist").cast("string"), F.col("budget").cast("string")]).alias("row"))
+    return out.union(_statements(rows, "levels(lvl,start,dist,budget)", ["lvl"], size).select(F.lit("levels"), "batch", "sql"))
+
+
+def graph_document(nodes: DataFrame, edges: DataFrame, themes: list[str], clusters: DataFrame) -> DataFrame:
+    """(document): one row with the whole graph as JSON. It is for a graph that a browser loads, some ten thousand nodes;
+    nulls and empty arrays of nodes are left out."""
+    some = [F.when(F.size(c) > 0, F.col(c)).alias(c) if kind.startswith("array") else F.col(c) for c, kind in nodes.dtypes]
+    all_nodes = nodes.agg(F.sort_array(F.collect_list(F.to_json(F.struct(*some)))).alias("nodes"))
+    # a tuple of unlike values: each as the only member of an array, without its brackets
+    member = lambda c: F.regexp_replace(F.to_json(F.array(c)), r"^\[|\]$", "")
+    each = F.concat(F.lit("["), F.concat_ws(",", *[member(c) for c in edges.columns]), F.lit("]"))
+    all_edges = edges.agg(F.sort_array(F.collect_list(each)).alias("edges"))
+    all_clusters = clusters.agg(F.sort_array(F.collect_list(F.to_json(F.struct("*")))).alias("clusters"))
+    one = all_nodes.join(all_edges).join(all_clusters)
+    joined = lambda c: F.concat(F.lit("["), F.concat_ws(",", c), F.lit("]"))
+    return one.select(F.concat(F.lit('{"nodes":'), joined("nodes"), F.lit(',"edges":'), joined("edges"), F.lit(',"themes":'), F.to_json(F.array(*map(F.lit, themes))), F.lit(',"clusters":'), joined("clusters"), F.lit("}")).alias("document"))
 
 
 def pages(nodes: DataFrame, site: str) -> DataFrame:

@@ -5,16 +5,19 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 _own: list[str] = []
 
 
 def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage of an iteration: a table in the folder of spark.checkpoint.dir (a temporary one if unset)."""
+    """Cut the lineage of an iteration: a table in the folder of spark.checkpoint.dir. Where that is unset, a local session
+    has a temporary folder; on a cluster, whose executors don't share one, it is an error."""
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not folder:
         _own[:] = _own or [tempfile.mkdtemp(prefix="quillgraph-")]
         folder = "file://" + _own[0]
@@ -50,10 +53,13 @@ def distances(canonical: DataFrame, start: str, most: int = 64) -> DataFrame:
     spark = canonical.sparkSession
     both = settle(neighbours(canonical))
     front = spark.createDataFrame([(start, 0)], "node string, dist int")
-    seen = settle(front)
+    seen = front = settle(front)
+    before = front.limit(0)
     for d in range(1, most + 1):
         step = both.join(front.select("node"), "node").select(F.col("other").alias("node")).distinct()
-        front = settle(step.join(seen.select("node"), "node", "left_anti").withColumn("dist", F.lit(d)))
+        # edges lead both ways, so a neighbour that was seen before is of this level or the last
+        near = front.union(before).select("node")
+        before, front = front, settle(step.join(near, "node", "left_anti").withColumn("dist", F.lit(d)))
         if front.isEmpty():
             break
         seen = seen.union(front)
@@ -118,13 +124,19 @@ def nearest_root(parent: DataFrame, roots: DataFrame, depth: int = 6) -> DataFra
     return best.select("node", "best.kind", "best.dist")
 
 
-def closure(spark: SparkSession, parent_view: str, depth: int) -> DataFrame:
-    """Transitive (node, ancestor) pairs by a recursive query; for trees and DAGs of bounded depth."""
-    return spark.sql(f"""
-        WITH RECURSIVE up(node, ancestor, d) AS (
-            SELECT node, parent, 1 FROM {parent_view} WHERE parent IS NOT NULL
-            UNION ALL SELECT up.node, p.parent, d + 1 FROM up JOIN {parent_view} p ON p.node = up.ancestor WHERE p.parent IS NOT NULL AND d < {depth})
-        SELECT DISTINCT node, ancestor FROM up""")
+def closure(parent: DataFrame, depth: int = 64) -> DataFrame:
+    """Transitive (node, ancestor) pairs of parent (node, parent), a graph that may have several parents and circles: one
+    join and one written table for each level, in which only pairs that are new are followed."""
+    up = settle(parent.filter("parent is not null").select("node", F.col("parent").alias("ancestor")).distinct())
+    follow = up.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("next"))
+    seen = front = up
+    for _ in range(depth - 1):
+        step = front.join(follow, "ancestor").select("node", F.col("next").alias("ancestor")).distinct()
+        front = settle(step.join(seen, ["node", "ancestor"], "left_anti"))
+        if front.isEmpty():
+            break
+        seen = seen.union(front)
+    return seen
 
 
 def co_mentions(mentions: DataFrame, most: int = 60) -> DataFrame:
@@ -158,14 +170,53 @@ def check_paths(paths: DataFrame, canonical: DataFrame) -> DataFrame:
     return paths.select("id").join(bad, "id", "left")
 
 
-def communities(pairs: DataFrame, rounds: int = 10) -> DataFrame:
-    """(node, community): each node takes the label of most weight among its neighbours (and itself), ties to the smaller
-    label; every second node in turn, so labels don't swap for ever. Deterministic; a table is written each round."""
-    both = settle(pairs.select(F.col("a").alias("node"), F.col("b").alias("other"), "weight").union(pairs.select("b", "a", "weight")))
-    label = settle(both.select("node", F.col("node").alias("community")).distinct())
-    for r in range(rounds):
-        near = both.join(label.select(F.col("node").alias("other"), "community"), "other").groupBy("node", "community").agg(F.round(F.sum("weight"), 6).alias("w"))
-        best = near.groupBy("node").agg(F.max(F.struct("w", F.expr("-xxhash64(community)").alias("h"), "community")).alias("best"))
-        turn = F.pmod(F.xxhash64("node"), F.lit(2)) == r % 2
-        label = settle(label.join(best, "node").select("node", F.when(turn, F.col("best.community")).otherwise(F.col("community")).alias("community")))
-    return label
+def modularity(both: DataFrame, label: DataFrame, resolution: float) -> float:
+    """Of labels (node, community) over weighted edges in both directions (node, other, weight)."""
+    own = both.join(label, "node").join(label.select(F.col("node").alias("other"), F.col("community").alias("c2")), "other")
+    per = own.groupBy("community").agg(F.sum(F.when(F.col("community") == F.col("c2"), F.col("weight")).otherwise(0.0)).alias("w_in"), F.sum("weight").alias("w"))
+    row = per.agg(F.sum("w_in").alias("w_in"), F.sum("w").alias("w"), F.sum(F.col("w") ** 2).alias("q")).first()
+    return row["w_in"] / row["w"] - resolution * row["q"] / row["w"] ** 2 if row["w"] else 0.0
+
+
+def communities(pairs: DataFrame, resolution: float = 1.2, rounds: int = 12, levels: int = 4) -> DataFrame:
+    """(node, community) by modularity (Louvain): in each round every second node, by a hash that changes from round to
+    round, moves to the neighbouring community of most gain if that is positive; rounds end when modularity no longer
+    grows, and the best labels stay. Then communities become nodes, and so on until a level gains nothing. Ties go to
+    the smaller label, so the result is the same each time; a table is written each round.
+
+    pairs (a, b, weight), each pair once.
+    """
+    both = settle(pairs.select(F.col("a").alias("node"), F.col("b").alias("other"), F.col("weight").cast("double").alias("weight")).union(pairs.select("b", "a", F.col("weight").cast("double"))))
+    found = settle(both.select("node", F.col("node").alias("community")).distinct())
+    whole = both.agg(F.sum("weight")).first()[0] or 1.0
+    edges, reached = both, modularity(both, found, resolution)
+    for level in range(levels):
+        strength = settle(edges.groupBy("node").agg(F.sum("weight").alias("k")))
+        label = best = settle(edges.select("node", F.col("node").alias("community")).distinct())
+        quality, still = modularity(edges, label, resolution), 0
+        for r in range(rounds):
+            size = label.join(strength, "node").groupBy("community").agg(F.sum("k").alias("total"))
+            near = edges.filter("node != other").join(label.select(F.col("node").alias("other"), "community"), "other").groupBy("node", "community").agg(F.sum("weight").alias("w"))
+            own = label.select("node", F.col("community").alias("now"))
+            # its own community is a choice too, also without an edge into it
+            choices = near.union(own.select("node", F.col("now").alias("community"), F.lit(0.0).alias("w"))).groupBy("node", "community").agg(F.sum("w").alias("w"))
+            rated = choices.join(own, "node").join(strength, "node").join(size, "community")
+            rest = F.col("total") - F.when(F.col("community") == F.col("now"), F.col("k")).otherwise(0.0)
+            gain = F.round(F.col("w") - resolution * F.col("k") * rest / whole, 9)
+            chosen = rated.withColumn("gain", gain).groupBy("node").agg(F.min(F.struct((-F.col("gain")).alias("g"), (F.col("community") != F.col("now")).alias("m"), "community")).alias("b"))
+            turn = F.pmod(F.xxhash64("node", F.lit(level * rounds + r)), F.lit(2)) == 0
+            label = settle(label.join(chosen, "node").select("node", F.when(turn, F.col("b.community")).otherwise(F.col("community")).alias("community")))
+            now = modularity(edges, label, resolution)
+            still = 0 if now > quality + 1e-9 else still + 1
+            if now > quality + 1e-9:
+                quality, best = now, label
+            if still == 3:
+                break
+        if quality <= reached + 1e-9:
+            break
+        reached = quality
+        found = settle(found.join(best.select(F.col("node").alias("community"), F.col("community").alias("next")), "community").select("node", F.col("next").alias("community")))
+        outer = edges.join(best, "node").join(best.select(F.col("node").alias("other"), F.col("community").alias("c2")), "other")
+        edges = settle(outer.groupBy(F.col("community").alias("node"), F.col("c2").alias("other")).agg(F.sum("weight").alias("weight")))
+    # a community's name is its smallest node
+    return found.join(found.groupBy("community").agg(F.min("node").alias("least")), "community").select("node", F.col("least").alias("community"))

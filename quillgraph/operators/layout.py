@@ -2,13 +2,13 @@
 
 from __future__ import annotations
 
-import math
-
 import numpy as np
 import pandas as pd
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillgraph.operators.rules import running
+
 
 def weighted_centroids(links: DataFrame) -> DataFrame:
     """links (id, x, y, w, cluster) -> id, x, y and the cluster of most weight, ties to the smaller."""
@@ -33,11 +33,11 @@ def separation(points: DataFrame) -> DataFrame:
 
 
 def nearest_rank(df: DataFrame, value: str, q: float) -> DataFrame:
-    """The value at sorted position floor(q * n), from counts of distinct values: one row."""
+    """The value at sorted position floor(q * n), from running counts of distinct values: one row."""
     counts = df.groupBy(value).agg(F.count("*").alias("c"))
     n = df.agg(F.count("*")).scalar()
-    ranged = counts.withColumn("below", F.sum("c").over(Window.orderBy(value)))
-    return ranged.filter(F.col("below") > F.floor(q * n)).agg(F.min(value).alias("quantile"))
+    upto = running(counts, [value], F.col("c"))
+    return upto.filter(F.col("before") + F.col("c") > F.floor(q * n)).agg(F.min(value).alias("quantile"))
 
 
 def normalize(points: DataFrame, radius: float = 1000.0) -> DataFrame:
@@ -49,15 +49,28 @@ def normalize(points: DataFrame, radius: float = 1000.0) -> DataFrame:
     return scaled.withColumns({"x": F.col("x") * factor, "y": F.col("y") * factor}).drop("d", "quantile")
 
 
-def place(nodes: DataFrame, centroids: DataFrame) -> DataFrame:
-    """nodes (id, n) at their centroid with a jitter of 18 + 30 / sqrt(n); those without one on a ring of radius 1200 at
-    golden angles by the hash of their id."""
-    unit = lambda salt: (F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(1_000_003)) / 1_000_003.0)
-    spread, angle = 18 + 30 / F.sqrt(F.greatest("n", F.lit(1))), unit(1) * 2 * math.pi
-    ring = F.pmod(F.xxhash64("id"), F.lit(100_003)) * 2.399963
-    joined = nodes.join(centroids, "id", "left")
-    at = lambda c, f: F.when(F.col(c).isNotNull(), F.col(c) + f(angle) * spread * unit(2)).otherwise(1200 * f(ring))
-    return joined.select("id", at("x", F.cos).alias("x"), at("y", F.sin).alias("y"))
+def place(nodes: DataFrame, centroids: DataFrame, order: list) -> DataFrame:
+    """nodes (id, n) at their centroid with a jitter of 18 + 30 / sqrt(n), seeded by the id; those without one, in their
+    order, on a ring of radius 1200, each a golden angle on from the last."""
+    unit = lambda salt: (F.pmod(F.xxhash64("id", F.lit(salt)), F.lit(1_000_003)) / 1_000_003.0 - 0.5)
+    spread = 18 + 30 / F.sqrt(F.greatest("n", F.lit(1)))
+    joined = nodes.join(centroids.select("id", "x", "y"), "id", "left")
+    near = joined.filter("x is not null").select("id", (F.col("x") + unit(1) * spread * 2).alias("x"), (F.col("y") + unit(2) * spread * 2).alias("y"))
+    angle = F.col("before") * F.lit(2.399963)
+    ring = running(joined.filter("x is null").drop("x", "y"), order, F.lit(1)).select("id", (F.cos(angle) * 1200).alias("x"), (F.sin(angle) * 1200).alias("y"))
+    return near.union(ring)
+
+
+def rounded(c: Column, places: int = 1) -> Column:
+    """Halves go up, also below zero."""
+    return F.floor(c * 10**places + 0.5) / 10**places
+
+
+def within_clusters(pairs: DataFrame, label: DataFrame, inside: float = 5.0, between: float = 0.2) -> DataFrame:
+    """pairs (a, b, weight) with weights times `inside` in a community of label (node, community), else times `between`."""
+    ends = [label.select(F.col("node").alias(end), F.col("community").alias(f"c{end}")) for end in ("a", "b")]
+    joined = pairs.join(ends[0], "a").join(ends[1], "b")
+    return joined.select("a", "b", (F.col("weight") * F.when(F.col("ca") == F.col("cb"), inside).otherwise(between)).alias("weight"))
 
 
 def force_layout(edges: DataFrame, part: str, iterations: int = 200, scaling: float = 10.0, gravity: float = 1.0, slow: float = 3.0) -> DataFrame:

@@ -50,13 +50,21 @@ def last_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:
     return best.select(key, *[F.col(f"best.{c}") for c in others])
 
 
+def running(df: DataFrame, order: list, amount: Column) -> DataFrame:
+    """df with `before`, the sum of amount over the rows before each in order, without one task for all rows: sums of
+    ranges first, then sums in them."""
+    ranged = df.withColumn("_amount", amount).repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    upto = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    local = ranged.withColumn("_own", F.coalesce(F.sum("_amount").over(upto), F.lit(0)))
+    # a row for each part
+    sums = local.groupBy("_part").agg(F.sum("_amount").alias("_sum"))
+    starts = sums.withColumn("_start", F.coalesce(F.sum("_sum").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_sum")
+    return local.join(F.broadcast(starts), "_part").withColumn("before", F.col("_start") + F.col("_own")).drop("_part", "_own", "_start", "_amount")
+
+
 def in_batches(df: DataFrame, order: list, size: int) -> DataFrame:
-    """A 1-based batch number of rows in order, without one task for all rows: counts of ranges first, then ranks in them."""
-    ranged = df.repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
-    local = ranged.withColumn("_rn", F.row_number().over(Window.partitionBy("_part").orderBy(*order)))
-    counts = local.groupBy("_part").agg(F.count("*").alias("_c"))
-    starts = counts.withColumn("_start", F.coalesce(F.sum("_c").over(Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))).drop("_c")
-    return local.join(F.broadcast(starts), "_part").withColumn("batch", F.floor((F.col("_start") + F.col("_rn") - 1) / size) + 1).drop("_part", "_rn", "_start")
+    """A 1-based batch number of rows in order."""
+    return running(df, order, F.lit(1)).withColumn("batch", F.floor(F.col("before") / size) + 1).drop("before")
 
 
 def merge_reviews(mentions: DataFrame, items: DataFrame, reviews: DataFrame, roles: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -29,7 +29,7 @@ def query(sql: str | None = None) -> Callable:
 RAW = "raw AS (SELECT 'C' || o_custkey AS source, 'P' || l_partkey AS target, l_linenumber = 1 AS in_lead, l_returnflag AS kind, l_quantity FROM lineitem JOIN orders ON l_orderkey = o_orderkey)"
 M = RAW + ", m AS (SELECT source, target, count(*) AS n, bool_or(in_lead) AS in_lead FROM raw GROUP BY 1, 2)"
 D = M + ", d AS (SELECT target, count(*) AS df FROM m GROUP BY 1), t AS (SELECT count(DISTINCT source) AS total FROM m)"
-E = RAW + ", e AS (SELECT DISTINCT least(source, target) AS a, greatest(source, target) AS b FROM raw WHERE l_quantity <= 10)"
+E = RAW + ", e AS (SELECT DISTINCT least(source, target) AS a, greatest(source, target) AS b FROM raw)"
 #: Weight of an entity type, and the default.
 PRIORS, PRIOR = {"ECONOMY": 0.8, "STANDARD": 1.0, "PROMO": 1.2, "MEDIUM": 0.9}, 0.7
 SCORED = D + (
@@ -57,8 +57,8 @@ def scored(spark: SparkSession, sf: str) -> DataFrame:
     return joined.select("source", "target", "n", "in_lead", base.alias("base"), mentions.specificity(F.col("df")).alias("spec"), F.coalesce("mutual", F.lit(1.0)).alias("mutual"))
 
 
-def sparse_edges(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.canonical_edges(raw_mentions(spark, sf, max_quantity=10))
+def all_edges(spark: SparkSession, sf: str) -> DataFrame:
+    return graph.canonical_edges(raw_mentions(spark, sf))
 
 
 @query(f"WITH {M} SELECT * FROM m")
@@ -140,12 +140,12 @@ def alias_resolve(spark, sf):
 
 #: Theme rules of the synthetic corpus.
 THEMES = {"law": "licen[sc]e|copyright", "number": "[0-9]{3}", "the": "\\bthe\\b", "marks": "[#$%&]{3}", "shout": "[A-Z]{5}"}
-_TAGGED = "tagged AS (" + " UNION ALL ".join(f"SELECT doc_id, '{k}' AS theme, 2 * regexp_matches(text, '{v}')::INT + regexp_matches(substr(text, 1, 200), '{v}')::INT AS score FROM documents" for k, v in THEMES.items()) + ")"
+_TAGGED = "heads AS (SELECT doc_id, text, array_to_string(string_split(regexp_replace(text, '([.!?])[ \\t\\n\\r]', '\\1' || chr(1), 'g'), chr(1))[1:2], ' ') AS head FROM documents), tagged AS (" + " UNION ALL ".join(f"SELECT doc_id, '{k}' AS theme, 2 * regexp_matches(text, '{v}')::INT + regexp_matches(head, '{v}')::INT AS score FROM heads" for k, v in THEMES.items()) + ")"
 
 
 def tagged(spark, sf):
-    d = table(spark, sf, "documents")
-    one = lambda k, v: F.struct(F.lit(k).alias("theme"), (2 * F.col("text").rlike(v).cast("int") + F.substring("text", 1, 200).rlike(v).cast("int")).alias("score"))
+    d = table(spark, sf, "documents").withColumn("head", T.first_sentences(F.col("text")))
+    one = lambda k, v: F.struct(F.lit(k).alias("theme"), (2 * F.col("text").rlike(v).cast("int") + F.col("head").rlike(v).cast("int")).alias("score"))
     return d.select("doc_id", F.explode(F.array(*[one(k, v) for k, v in THEMES.items()])).alias("t")).select("doc_id", "t.theme", "t.score")
 
 
@@ -171,10 +171,10 @@ def snippet(spark, sf):
     return table(spark, sf, "documents").select("doc_id", T.snippet(F.col("text")).alias("short"))
 
 
-@query("""WITH s AS (SELECT doc_id, regexp_replace(regexp_replace(lower(strip_accents(substr(text, 1, 80))), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS b FROM documents), t AS (SELECT doc_id, regexp_replace(b[1:60], '^-+|-+$', '', 'g') AS b FROM s)
+@query("""WITH s AS (SELECT doc_id, regexp_replace(regexp_replace(lower(strip_accents(text)), '[^a-z0-9]+', '-', 'g'), '^-+|-+$', '', 'g') AS b FROM documents), t AS (SELECT doc_id, regexp_replace(b[1:60], '^-+|-+$', '', 'g') AS b FROM s)
 SELECT doc_id, CASE WHEN b = '' THEN '' || doc_id ELSE b || '-' || doc_id END AS slug FROM t""")
 def slug(spark, sf):
-    return table(spark, sf, "documents").select("doc_id", T.slug(F.substring("text", 1, 80), F.col("doc_id").cast("string")).alias("slug"))
+    return table(spark, sf, "documents").select("doc_id", T.slug(F.col("text"), F.col("doc_id").cast("string")).alias("slug"))
 
 
 @query("SELECT page_id, replace(replace(replace(replace(replace(html, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), '''', '&#x27;') AS escaped FROM pages")
@@ -239,8 +239,7 @@ def ancestor_chain(spark, sf):
 
 @query(f"WITH RECURSIVE {_TREE}, up AS (SELECT node, parent AS ancestor FROM tree WHERE parent IS NOT NULL UNION SELECT up.node, t.parent FROM up JOIN tree t ON t.node = up.ancestor WHERE t.parent IS NOT NULL) SELECT * FROM up")
 def class_closure(spark, sf):
-    part_tree(spark, sf).createOrReplaceTempView("quillgraph_tree")
-    return graph.closure(spark, "quillgraph_tree", 40)
+    return graph.closure(part_tree(spark, sf))
 
 
 @query(f"WITH RECURSIVE {_TREE}, roots AS (SELECT * FROM (VALUES (1, 'person', 0), (2, 'work', 1), (5, 'place', 2), (9, 'event', 3)) AS r(root, kind, priority)), up AS (SELECT node, node AS spot, 0 AS dist FROM tree UNION SELECT up.node, t.parent, dist + 1 FROM up JOIN tree t ON t.node = up.spot WHERE t.parent IS NOT NULL AND dist < 6 AND up.spot NOT IN (SELECT root FROM roots)) SELECT node, arg_min(kind, (dist, priority)) AS kind, min(dist) AS dist FROM up JOIN roots ON spot = root GROUP BY 1")
@@ -251,12 +250,12 @@ def nearest_root(spark, sf):
 
 @query(f"WITH {E} SELECT * FROM e")
 def canonical_edges(spark, sf):
-    return sparse_edges(spark, sf)
+    return all_edges(spark, sf)
 
 
 @query(f"WITH {E} SELECT node, count(*) AS degree FROM (SELECT a AS node FROM e UNION ALL SELECT b FROM e) GROUP BY 1")
 def degree(spark, sf):
-    return graph.degrees(sparse_edges(spark, sf))
+    return graph.degrees(all_edges(spark, sf))
 
 
 _GAME = E + ", deg AS (SELECT node, count(*) AS k FROM (SELECT a AS node FROM e UNION ALL SELECT b FROM e) GROUP BY 1), ok AS (SELECT node FROM deg WHERE k >= 10 OR node = 'P1')"
@@ -264,7 +263,7 @@ _GAME = E + ", deg AS (SELECT node, count(*) AS k FROM (SELECT a AS node FROM e
 
 @query(f"WITH {_GAME} SELECT a, b FROM e WHERE a IN (FROM ok) AND b IN (FROM ok)")
 def game_graph(spark, sf):
-    return graph.game_graph(sparse_edges(spark, sf), "P1", least=10)
+    return graph.game_graph(all_edges(spark, sf), "P1", least=10)
 
 
 _BFS = E + ", n AS (SELECT a AS x, b AS y FROM e UNION ALL SELECT b, a FROM e), bfs AS (SELECT 'P1' AS node, 0 AS dist UNION SELECT y, dist + 1 FROM bfs JOIN n ON x = node WHERE dist < 12), dist AS (SELECT node, min(dist) AS dist FROM bfs GROUP BY 1)"
@@ -272,28 +271,29 @@ _BFS = E + ", n AS (SELECT a AS x, b AS y FROM e UNION ALL SELECT b, a FROM e),
 
 @query(f"WITH RECURSIVE {_BFS} SELECT * FROM dist")
 def bfs_distance(spark, sf):
-    return graph.distances(sparse_edges(spark, sf), "P1")
+    return graph.distances(all_edges(spark, sf), "P1")
 
 
 @query(f"WITH RECURSIVE {_BFS} SELECT dist, count(*) AS nodes FROM dist GROUP BY 1")
 def reach_histogram(spark, sf):
-    return graph.reach(graph.distances(sparse_edges(spark, sf), "P1"))
+    return graph.reach(graph.distances(all_edges(spark, sf), "P1"))
 
 
-_WANTED = [(i + 1, f"P{p}", s, None) for i, (p, s) in enumerate([(2, 3), (7, 2), (11, 3), (19, 2), (23, 3), (31, 2), (47, 3), (59, 2), (83, 1), (999_999_999, 1)])]
+_WANTED = [(i + 1, f"P{p}", s, e) for i, (p, s, e) in enumerate([(2, 3, None), (7, 2, 2), (11, 3, None), (19, 2, 9), (23, 3, None), (31, 2, None), (47, 3, None), (59, 2, None), (83, 1, None), (999_999_999, 1, 3)])]
+_LEVELS = "w(lvl, start, slack, expected) AS (VALUES " + ", ".join(f"({a}, '{b}', {c}, {d or 'NULL'}::INT)" for a, b, c, d in _WANTED) + ")"
 
 
-@query(f"WITH RECURSIVE {_BFS}, w(lvl, start, slack) AS (VALUES " + ", ".join(f"({a}, '{b}', {c})" for a, b, c, _ in _WANTED) + ") SELECT lvl, start, dist, dist + slack AS budget, CASE WHEN dist IS NULL THEN 'unreachable' END AS error FROM w LEFT JOIN dist ON node = start")
+@query(f"WITH RECURSIVE {_BFS}, {_LEVELS} SELECT lvl, start, dist, dist + slack AS budget, CASE WHEN dist IS NULL THEN 'unreachable' WHEN dist != expected THEN 'unexpected distance' END AS error FROM w LEFT JOIN dist ON node = start")
 def levels(spark, sf):
-    return graph.levels(graph.distances(sparse_edges(spark, sf), "P1"), spark.createDataFrame(_WANTED, "lvl int, start string, slack int, expected int"))
+    return graph.levels(graph.distances(all_edges(spark, sf), "P1"), spark.createDataFrame(_WANTED, "lvl int, start string, slack int, expected int"))
 
 
-_PAIRS = RAW + ", g AS (SELECT source, target, count(*) AS n FROM raw WHERE l_quantity <= 10 GROUP BY 1, 2), k AS (SELECT target, count(*) AS k FROM g GROUP BY 1 HAVING count(*) BETWEEN 2 AND 60), p AS (SELECT x.source AS a, y.source AS b, round(sum(ln(1 + 60.0 / k) * sqrt(x.n * y.n)), 6) AS weight FROM g x JOIN g y ON x.target = y.target AND x.source < y.source JOIN k ON k.target = x.target GROUP BY 1, 2)"
+_PAIRS = RAW + ", g AS (SELECT source, target, count(*) AS n FROM raw GROUP BY 1, 2), k AS (SELECT target, count(*) AS k FROM g GROUP BY 1 HAVING count(*) BETWEEN 2 AND 60), p AS (SELECT x.source AS a, y.source AS b, round(sum(ln(1 + 60.0 / k) * sqrt(x.n * y.n)), 6) AS weight FROM g x JOIN g y ON x.target = y.target AND x.source < y.source JOIN k ON k.target = x.target GROUP BY 1, 2)"
 _TOP = _PAIRS + ", bb AS (SELECT a, b, weight, a AS me, b AS it FROM p UNION ALL SELECT a, b, weight, b, a FROM p), top AS (SELECT DISTINCT a, b, weight FROM (SELECT *, row_number() OVER (PARTITION BY me ORDER BY weight DESC, it) AS r FROM bb) WHERE r <= 8)"
 
 
 def hub_pairs(spark, sf):
-    return graph.co_mentions(mentions.aggregate(raw_mentions(spark, sf, max_quantity=10))).withColumn("weight", F.round("weight", 6))
+    return graph.co_mentions(mentions.aggregate(raw_mentions(spark, sf))).withColumn("weight", F.round("weight", 6))
 
 
 @query(f"WITH {_PAIRS} SELECT * FROM p")
@@ -317,7 +317,7 @@ _PATHS = E + ", paths AS (SELECT o_orderkey AS id, ['C' || o_custkey, 'P' || (o_
 @query(f"WITH {_PATHS}, bad AS (SELECT id, min(step) AS bad_step FROM st WHERE NOT EXISTS (SELECT 1 FROM e WHERE a = least(x, y) AND b = greatest(x, y)) GROUP BY 1) SELECT id, bad_step FROM paths LEFT JOIN bad USING (id)")
 def path_validate(spark, sf):
     path = F.array(F.concat(F.lit("C"), F.col("o_custkey").cast("string")), F.concat(F.lit("P"), (F.col("o_orderkey") % 50 + 1).cast("string")), F.concat(F.lit("C"), (F.col("o_custkey") % 40 + 1).cast("string")))
-    return graph.check_paths(table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), path.alias("path")), sparse_edges(spark, sf))
+    return graph.check_paths(table(spark, sf, "orders").select(F.col("o_orderkey").alias("id"), path.alias("path")), all_edges(spark, sf))
 
 
 _RUNS = "runs AS (SELECT o_orderkey AS id, substr(o_orderpriority, 1, 1)::INT AS lvl, 'C' || o_custkey AS nick, o_orderkey % 9 + 3 AS moves, o_orderkey % 4 AS hints, o_orderkey % 301 AS secs, greatest(100, 1000 - 120 * (o_orderkey % 9) - 100 * (o_orderkey % 4)) AS score FROM orders)"
@@ -349,27 +349,39 @@ def best_run(spark, sf):
     return board.best_runs(runs(spark, sf))
 
 
-_REVIEW = M + ", items AS (SELECT 'C' || c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN 'theory' ELSE 'related' END AS role, NULL::VARCHAR AS status, c_custkey % 10 = 0 AS manual FROM customer), rv AS (SELECT 'C' || c_custkey AS id, CASE c_custkey % 4 WHEN 0 THEN 'not_theory' WHEN 1 THEN 'debunked' WHEN 2 THEN 'disputed' ELSE 'confirmed' END AS status FROM customer WHERE c_custkey % 2 = 0), ro AS (SELECT source, target, 'sub' AS code FROM m WHERE n >= 2)"
+_REVIEW = M + ", items AS (SELECT 'C' || c_custkey AS id, CASE WHEN c_custkey % 3 = 0 THEN 'theory' ELSE 'related' END AS role, CASE WHEN c_custkey % 7 = 0 THEN 'confirmed' END AS status, c_custkey % 10 = 0 AS manual FROM customer UNION ALL SELECT 'P' || p_partkey, CASE WHEN p_partkey % 5 = 0 THEN 'theory' ELSE 'related' END, NULL, false FROM part), rv AS (SELECT 'C' || c_custkey AS id, CASE WHEN c_custkey % 4 = 0 THEN 'not_theory' ELSE 'disputed' END AS status FROM customer WHERE c_custkey % 2 = 0), ro AS (SELECT source, target, 'sub' AS code FROM m WHERE n >= 2), i2 AS (SELECT id, CASE WHEN rv.status = 'not_theory' AND role = 'theory' THEN 'related' ELSE role END AS role, CASE WHEN rv.status != 'not_theory' AND NOT manual THEN rv.status ELSE items.status END AS status, manual FROM items LEFT JOIN rv USING (id))"
 
 
-@query(f"""WITH {_REVIEW}, c AS (SELECT m.source, m.target, ro.code, rv.id IS NOT NULL AS seen FROM m LEFT JOIN ro ON ro.source = m.source AND ro.target = m.target LEFT JOIN rv ON rv.id = m.source), anchored AS (SELECT DISTINCT target FROM c WHERE seen AND code IS NOT NULL)
-SELECT source, target, CASE WHEN seen THEN code END AS code, CASE WHEN (seen AND code IS NOT NULL) OR (NOT seen AND target IN (FROM anchored)) THEN 'core' ELSE 'extended' END AS tier FROM c""")
-def review_merge(spark, sf):
-    m = base_mentions(spark, sf)
-    k = F.col("c_custkey")
+def reviewed_tables(spark, sf):
+    m, k, p = base_mentions(spark, sf), F.col("c_custkey"), F.col("p_partkey")
     c = table(spark, sf, "customer").select(k, F.concat(F.lit("C"), k.cast("string")).alias("id"))
-    items = c.select("id", F.when(k % 3 == 0, "theory").otherwise("related").alias("role"), F.lit(None).cast("string").alias("status"), (k % 10 == 0).alias("manual"))
+    items = c.select("id", F.when(k % 3 == 0, "theory").otherwise("related").alias("role"), F.when(k % 7 == 0, "confirmed").alias("status"), (k % 10 == 0).alias("manual"))
+    items = items.union(table(spark, sf, "part").select(F.concat(F.lit("P"), p.cast("string")), F.when(p % 5 == 0, "theory").otherwise("related"), F.lit(None).cast("string"), F.lit(False)))
     reviews = c.filter(k % 2 == 0).select("id", F.when(k % 4 == 0, "not_theory").otherwise("disputed").alias("status"))
-    out, _ = rules.merge_reviews(m.withColumn("code", F.lit(None)), items, reviews, m.filter("n >= 2").select("source", "target", F.lit("sub").alias("code")))
-    return out
+    return rules.merge_reviews(m.withColumn("code", F.lit(None)), items, reviews, m.filter("n >= 2").select("source", "target", F.lit("sub").alias("code")))
+
+
+@query(f"""WITH {_REVIEW}, c AS (SELECT m.source, m.target, ro.code, rv.id IS NOT NULL AS seen FROM m LEFT JOIN ro ON ro.source = m.source AND ro.target = m.target LEFT JOIN rv ON rv.id = m.source), anchored AS (SELECT DISTINCT target FROM c WHERE seen AND code IS NOT NULL)
+SELECT source, target, CASE WHEN seen THEN code END AS code, CASE WHEN (seen AND code IS NOT NULL) OR (NOT seen AND (target IN (FROM anchored) OR target IN (SELECT id FROM i2 WHERE role = 'theory'))) THEN 'core' ELSE 'extended' END AS tier FROM c""")
+def review_merge(spark, sf):
+    return reviewed_tables(spark, sf)[0]
+
+
+@query(f"WITH {_REVIEW} SELECT * FROM i2")
+def review_items(spark, sf):
+    return reviewed_tables(spark, sf)[1]
 
 
-@query("SELECT 'unknown theory' AS rule, doc_id FROM labels WHERE doc_id NOT IN (SELECT doc_id FROM documents WHERE lang = 'en') UNION ALL SELECT 'status', doc_id FROM labels WHERE quality = 0 AND toxic = 1 UNION ALL SELECT 'missing', doc_id FROM documents WHERE lang = 'en' AND doc_id NOT IN (SELECT doc_id FROM labels)")
+_CHECKED = M + ", known AS (SELECT 'C' || c_custkey AS id FROM customer WHERE c_custkey % 2 = 0), rv AS (SELECT 'C' || c_custkey AS id, CASE c_custkey % 7 WHEN 0 THEN 'odd' WHEN 1 THEN NULL ELSE 'debunked' END AS status FROM customer WHERE c_custkey % 4 < 3), ro AS (SELECT source, target, CASE WHEN n % 2 = 0 THEN 'sub' WHEN n % 3 = 0 THEN 'xyz' ELSE 'acc' END AS code, n FROM m WHERE n >= 2)"
+
+
+@query(f"WITH {_CHECKED} SELECT 'unknown theory' AS rule, id FROM rv WHERE id NOT IN (FROM known) UNION ALL SELECT 'status', id FROM rv WHERE coalesce(status, 'odd') = 'odd' UNION ALL SELECT 'not a candidate', source FROM ro WHERE target LIKE '%7' UNION ALL SELECT 'code', source FROM ro WHERE code = 'xyz' UNION ALL SELECT 'missing', id FROM known WHERE id NOT IN (SELECT id FROM rv)")
 def role_violations(spark, sf):
-    lab = table(spark, sf, "labels").select(F.col("doc_id").alias("id"), F.when((F.col("quality") == 0) & (F.col("toxic") == 1), "odd").otherwise("debunked").alias("status"))
-    known = table(spark, sf, "documents").filter("lang = 'en'").select(F.col("doc_id").alias("id"))
-    none = spark.createDataFrame([], "source long, target long, code string")
-    return rules.role_violations(lab, none, known, none.select("source", "target")).withColumnRenamed("id", "doc_id")
+    m, k = base_mentions(spark, sf).filter("n >= 2"), F.col("c_custkey")
+    c = table(spark, sf, "customer").select(k, F.concat(F.lit("C"), k.cast("string")).alias("id"))
+    reviews = c.filter(k % 4 < 3).select("id", F.when(k % 7 == 0, "odd").when(k % 7 != 1, "debunked").alias("status"))
+    roles = m.select("source", "target", F.when(F.col("n") % 2 == 0, "sub").when(F.col("n") % 3 == 0, "xyz").otherwise("acc").alias("code"))
+    return rules.role_violations(reviews, roles, c.filter(k % 2 == 0).select("id"), m.filter("target not like '%7'").select("source", "target"))
 
 
 @query("SELECT doc_id, (row_number() OVER (ORDER BY doc_id) - 1) // 20 + 1 AS batch FROM documents WHERE doc_id NOT IN (SELECT doc_id FROM labels)")
@@ -424,14 +436,14 @@ def rate_limit(spark, sf):
     return limits.limit_batch(events, 86_400_000, 3)
 
 
-@query(f"WITH RECURSIVE {_BFS}, w(lvl, start, slack) AS (VALUES " + ", ".join(f"({a}, '{b}', {c})" for a, b, c, _ in _WANTED) + "), l AS (SELECT lvl, dist, dist + slack AS budget FROM w JOIN dist ON node = start), g AS (SELECT unnest(['en', 'lt']) AS lang) SELECT lang, lvl, unnest([NULL] || range(dist, budget + 1))::INT AS moves FROM g CROSS JOIN l UNION ALL SELECT lang, NULL, NULL FROM g")
+@query(f"WITH RECURSIVE {_BFS}, {_LEVELS}, l AS (SELECT lvl, dist, dist + slack AS budget FROM w JOIN dist ON node = start WHERE dist = coalesce(expected, dist)), g AS (SELECT unnest(['en', 'lt']) AS lang) SELECT lang, lvl, unnest([NULL] || range(dist, budget + 1))::INT AS moves FROM g CROSS JOIN l UNION ALL SELECT lang, NULL, NULL FROM g")
 def game_pages(spark, sf):
     return exports.level_pages(levels(spark, sf).filter("error is null"), ["en", "lt"])
 
 
 @query(f"WITH {E} SELECT count(*) AS edges, count(DISTINCT a) > 0 AS ready FROM e")
 def health(spark, sf):
-    return sparse_edges(spark, sf).agg(F.count("*").alias("edges"), (F.count_distinct("a") > 0).alias("ready"))
+    return all_edges(spark, sf).agg(F.count("*").alias("edges"), (F.count_distinct("a") > 0).alias("ready"))
 
 
 @query("SELECT lang, source, count(*) AS n, count(DISTINCT md5(text)) AS distinct_texts, round(avg(CASE WHEN n_chars > 1000 THEN 1.0 ELSE 0.0 END), 6) AS long_share FROM documents GROUP BY 1, 2")
@@ -447,13 +459,18 @@ def communities(spark, sf):
 
 @query()
 def force_layout(spark, sf):
-    pairs = graph.strongest_neighbours(hub_pairs(spark, sf)).withColumn("theme", F.substring("a", 2, 2))
-    return layout.force_layout(pairs, "theme", iterations=100)
+    pairs = graph.normalized(graph.strongest_neighbours(hub_pairs(spark, sf)))
+    return layout.force_layout(layout.within_clusters(pairs, communities(spark, sf)).withColumn("theme", F.substring("a", 2, 2)), "theme", iterations=100)
 
 
-@query()
+_Q = "chr(39)"
+
+
+@query(f"""WITH RECURSIVE {_BFS}, {_LEVELS}, r AS (SELECT 'edges' AS kind, 'edges(a,b)' AS head, '(' || {_Q} || a || {_Q} || ',' || {_Q} || b || {_Q} || ')' AS tup, row_number() OVER (ORDER BY a, b) AS rn FROM e
+UNION ALL SELECT 'levels', 'levels(lvl,start,dist,budget)', '(' || lvl || ',' || {_Q} || start || {_Q} || ',' || dist || ',' || (dist + slack) || ')', row_number() OVER (ORDER BY lvl) FROM w JOIN dist ON node = start WHERE dist = coalesce(expected, dist))
+SELECT kind, (rn - 1) // 500 + 1 AS batch, 'INSERT OR IGNORE INTO ' || any_value(head) || ' VALUES ' || string_agg(tup, ',' ORDER BY rn) || ';' AS sql FROM r GROUP BY 1, 2""")
 def seed_script(spark, sf):
-    return exports.seed_statements(sparse_edges(spark, sf))
+    return exports.seed_statements(all_edges(spark, sf), levels(spark, sf).filter("error is null"))
 
 
 _CATEGORIES = "steps AS (SELECT p_partkey // 4 AS parent, p_partkey AS child FROM part WHERE p_partkey > 0 UNION SELECT p_partkey // 7, p_partkey FROM part WHERE p_partkey % 3 = 1), marks AS (SELECT p_partkey AS node FROM part WHERE p_name LIKE '%red%'), l0 AS (SELECT 0 AS node, 0 AS depth, NULL::BIGINT AS parent, false AS noise, '000000000000' AS path)" + "".join(
@@ -595,3 +612,6 @@ def bounded_fields(spark, sf):
 def summary_export(spark, sf):
     good = table(spark, sf, "labels").filter("quality = 1").select("doc_id")
     return table(spark, sf, "documents").filter(rules.blank_to_null(F.col("text")).isNotNull()).join(good, "doc_id", "left_semi").select("doc_id", "text")
+
+
+from quillgraph.plans import build_queries  # noqa: E402, F401  adds its queries

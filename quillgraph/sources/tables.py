@@ -5,7 +5,8 @@ from __future__ import annotations
 import json
 import time
 from collections.abc import Callable, Iterator
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
+from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -17,11 +18,9 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def raw_mentions(spark: SparkSession, sf_dir: str, max_quantity: float | None = None) -> DataFrame:
+def raw_mentions(spark: SparkSession, sf_dir: str) -> DataFrame:
     """(source, target, in_lead, kind): one row for each link of a document (customer) to an entity (part)."""
     lines = table(spark, sf_dir, "lineitem")
-    if max_quantity is not None:
-        lines = lines.filter(F.col("l_quantity") <= max_quantity)
     orders = table(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     joined = lines.select("l_orderkey", "l_partkey", "l_linenumber", "l_returnflag").join(orders, F.col("l_orderkey") == F.col("o_orderkey"))
     name = lambda prefix, key: F.concat(F.lit(prefix), F.col(key).cast("string"))
@@ -33,11 +32,14 @@ def json_array(spark: SparkSession, path: str, schema: StructType | str) -> Data
     return spark.read.schema(schema).option("multiLine", True).json(path)
 
 
-def keyed_json(spark: SparkSession, folder: str, value_schema: str) -> DataFrame:
-    """(key, value, file) of a folder of JSON objects; of a key in several files, the last file by name wins."""
-    raw = spark.read.text(folder, wholetext=True).select("value", F.col("_metadata.file_name").alias("file"))
-    parsed = raw.select("file", F.explode(F.from_json("value", f"map<string,{value_schema}>")).alias("key", "value"))
-    return parsed.groupBy("key").agg(F.max_by("value", "file").alias("value"), F.max("file").alias("file"))
+def keyed_json(spark: SparkSession, *folders: str, value_schema: str) -> DataFrame:
+    """(key, value, file) of folders of JSON objects; of a key in several files, the last file by name wins, and a file of a
+    later folder before any of an earlier one."""
+    parts = [spark.read.text(f, wholetext=True).select("value", F.lit(i).alias("rank"), F.col("_metadata.file_name").alias("file")) for i, f in enumerate(folders)]
+    raw = reduce(DataFrame.union, parts)
+    parsed = raw.select("rank", "file", F.explode(F.from_json("value", f"map<string,{value_schema}>")).alias("key", "value"))
+    best = parsed.groupBy("key").agg(F.max_by(F.struct("value", "file"), F.struct("rank", "file")).alias("best"))
+    return best.select("key", "best.value", "best.file")
 
 
 def optional(read: Callable[[], DataFrame], spark: SparkSession, schema: str) -> DataFrame:
@@ -55,15 +57,52 @@ class Keys(InputPartition):
     keys: list[str]
 
 
-def fetch_with_retries(get: Callable[[], str], tries: int = 8, sleep: Callable[[float], None] = time.sleep) -> str:
-    """get(), again after 1, 2, 4 .. 60 seconds; an error's `retry_after` is waited for instead; the last error is raised."""
+@dataclass(frozen=True)
+class Settings:
+    """What a run can be told: layout iterations, neighbours kept of a node, hubs of a shared entity at most, seed, weights
+    inside and between clusters, and candidates and core mentions of a source."""
+
+    iterations: int = 2000
+    neighbours: int = 8
+    most_hubs: int = 60
+    seed: int = 20260922
+    inside: float = 5.0
+    between: float = 0.2
+    candidates: int = 40
+    core: int = 20
+
+    @classmethod
+    def read(cls, given: dict[str, str]) -> Settings:
+        """Of names to texts, such as the environment; names are in capitals, others are left alone."""
+        return cls(**{f.name: type(f.default)(given[f.name.upper()]) for f in fields(cls) if given.get(f.name.upper())})
+
+
+class Pace:
+    """At least `gap` seconds between one call's begin and the next."""
+
+    def __init__(self, gap: float = 1.0, clock: Callable[[], float] = time.monotonic, sleep: Callable[[float], None] = time.sleep):
+        self.gap, self.clock, self.sleep, self.last = gap, clock, sleep, float("-inf")
+
+    def __call__(self) -> None:
+        wait = self.last + self.gap - self.clock()
+        if wait > 0:
+            self.sleep(wait)
+        self.last = self.clock()
+
+
+def fetch_with_retries(get: Callable[[], str], tries: int = 8, sleep: Callable[[float], None] = time.sleep, pace: Callable[[], None] = lambda: None) -> str:
+    """get(), again after an OSError: after its `retry_after` seconds if it has that; else, if it has the `status` of an
+    answer, after 5, 10, 20 .. 60 seconds, and after 1, 2, 4 .. 60 otherwise. The last error is raised. get's own time limit
+    counts as such an error."""
     for k in range(tries):
+        pace()
         try:
             return get()
         except OSError as e:
             if k == tries - 1:
                 raise
-            sleep(getattr(e, "retry_after", None) or min(60, 2**k))
+            first = 5 if getattr(e, "status", None) is not None else 1
+            sleep(getattr(e, "retry_after", None) or min(60, first * 2**k))
     raise AssertionError
 
 
@@ -76,14 +115,14 @@ class PagedReader(DataSourceReader):
         return [Keys(self.keys[i : i + self.batch]) for i in range(0, len(self.keys), self.batch)]
 
     def read(self, partition: Keys) -> Iterator[tuple]:
+        pace = Pace(self.gap)
         for key in partition.keys:
             page: str | None = "0"
             while page is not None:
                 with open(f"{self.pages}/{key}.{page}.json", encoding="utf-8") as f:
-                    body = json.loads(fetch_with_retries(f.read))
+                    body = json.loads(fetch_with_retries(f.read, pace=pace))
                 yield from ((key, r["title"], int(r["ns"])) for r in body["members"] if r["ns"] in (0, 14))
                 page = body.get("continue")
-                time.sleep(self.gap)
 
 
 class PagedSource(DataSource):

@@ -73,13 +73,17 @@ def limit_batch(events: DataFrame, window_ms: int = WINDOW_MS, most: int = MOST)
 
 def feed_board(runs: DataFrame, folder: str, checkpoint: str) -> None:
     """Append each micro-batch's runs and keep the best of each (lvl, nick): generations of a table in folder, the last
-    of which is the board. A batch that runs again after a failure writes the same generation again."""
+    of which is the board. A batch that runs again after a failure writes the same generation again, from the one before,
+    so two generations stay and older ones are deleted."""
 
     def upsert(batch: DataFrame, number: int) -> None:
         spark = batch.sparkSession
         if number:
             batch = batch.unionByName(spark.read.schema(batch.schema).parquet(f"{folder}/{number - 1}"))
         best_runs(batch).write.mode("overwrite").parquet(f"{folder}/{number}")
+        old = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{number - 2}")
+        if number > 1:
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
 
     runs.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 

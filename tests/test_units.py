@@ -1,6 +1,7 @@
 """Literal frames for the rules that are easy to get wrong."""
 
 import json
+import math
 import os
 import re
 from pathlib import Path
@@ -94,8 +95,14 @@ def test_sources(spark, tmp_path):
     (tmp_path / "done").mkdir()
     (tmp_path / "done/b1.json").write_text(json.dumps({"k": {"y": 1, "p": "year"}, "l": {"y": 3, "p": "none"}}))
     (tmp_path / "done/b2.json").write_text(json.dumps({"k": {"y": 2, "p": "decade"}}))
-    got = {r.key: (r.value.y, r.file) for r in tables.keyed_json(spark, str(tmp_path / "done"), "struct<y:int,p:string>").collect()}
+    got = {r.key: (r.value.y, r.file) for r in tables.keyed_json(spark, str(tmp_path / "done"), value_schema="struct<y:int,p:string>").collect()}
     assert got == {"k": (2, "b2.json"), "l": (3, "b1.json")}
+    (tmp_path / "done_ents").mkdir()
+    (tmp_path / "done_ents/a.json").write_text(json.dumps({"k": {"y": 9, "p": "year"}}))
+    both = tables.keyed_json(spark, str(tmp_path / "done"), str(tmp_path / "done_ents"), value_schema="struct<y:int,p:string>")
+    assert {r.key: r.value.y for r in both.collect()} == {"k": 9, "l": 3}
+    (tmp_path / "whole.json").write_text(json.dumps([{"id": "a", "n": 1}, {"id": "b"}]))
+    assert [tuple(r) for r in tables.json_array(spark, str(tmp_path / "whole.json"), "id string, n int").collect()] == [("a", 1), ("b", None)]
     assert tables.optional(lambda: spark.read.parquet(str(tmp_path / "none")), spark, "a int").count() == 0
     (tmp_path / "A.0.json").write_text(json.dumps({"members": [{"title": "x", "ns": 0}, {"title": "t", "ns": 1}], "continue": "p2"}))
     (tmp_path / "A.p2.json").write_text(json.dumps({"members": [{"title": "y", "ns": 14}]}))
@@ -112,13 +119,31 @@ def test_sources(spark, tmp_path):
 
     assert tables.fetch_with_retries(get, sleep=waits.append) == "ok" and waits == [1, 2]
 
+    def answered(**known):
+        e = OSError()
+        e.__dict__.update(known)
+        return e
+
+    tries, waits[:] = iter([answered(status=503), answered(status=429, retry_after=7), answered(status=500), "ok"]), []
+    assert tables.fetch_with_retries(get, sleep=waits.append) == "ok" and waits == [5, 7, 20]
+    tries = iter([OSError("last")] * 8)
+    with pytest.raises(OSError, match="last"):
+        tables.fetch_with_retries(get, sleep=waits.append)
+    now, slept = [0.0], []
+    pace = tables.Pace(1.0, lambda: now[0], slept.append)
+    for t in (0.0, 0.25, 5.0):
+        now[0] = t
+        pace()
+    assert slept == [0.75]
+    assert tables.Settings.read({"SEED": "5", "INSIDE": "2.5", "other": "x"}) == tables.Settings(seed=5, inside=2.5)
+
 
 def test_exports_and_layout(spark, tmp_path):
     df = spark.createDataFrame([("a", None, [], 1)], "id string, d string, c array<string>, n int")
     assert [r.json for r in exports.compact_json(df).collect()] == ['{"id":"a","n":1}']
     exports.write_json(df, str(tmp_path / "j"), ["id"])
     edges = spark.createDataFrame([(f"a{i}", "it's") for i in range(7)], "a string, b string")
-    rows = "".join(r.sql for r in exports.seed_statements(edges, 3).collect())
+    rows = "".join(r.sql for r in exports.seed_statements(edges, size=3).collect())
     assert len(re.findall(r"\('a\d','it''s'\)", rows)) == 7
     pages = exports.pages(spark.createDataFrame([("s", "a<b", "x&y")], "slug string, title string, description string"), "https://e.org").first()
     assert pages.path == "s.html" and "a&lt;b" in pages.html and "x&amp;y" in pages.html
@@ -127,6 +152,68 @@ def test_exports_and_layout(spark, tmp_path):
     assert abs(sum(r.x for r in placed)) < 1e-6 and max((r.x**2 + r.y**2) ** 0.5 for r in placed) < 1100
 
 
+def test_files_are_what_they_should_be(spark, tmp_path):
+    df = spark.createDataFrame([("b", 2), ("a", 1)], "id string, n int")
+    exports.write_json(df, str(tmp_path / "j"), ["id"])
+    assert [json.loads(r.value)["id"] for r in spark.read.text(str(tmp_path / "j")).orderBy("value").collect()] == ["a", "b"]
+    exports.write_tables({"t": df}, str(tmp_path / "store"))
+    exports.write_tables({"t": df.limit(1)}, str(tmp_path / "store"))
+    assert spark.read.parquet(str(tmp_path / "store/t")).count() == 1
+    exports.write_batches(rules.in_batches(df, ["id"], 1), str(tmp_path / "batches"))
+    assert sorted(p.name for p in (tmp_path / "batches").iterdir() if p.name.startswith("batch=")) == ["batch=1", "batch=2"]
+    edges = spark.createDataFrame([(f"a{i:04}", f"b{i:04}") for i in range(1203)], "a string, b string")
+    sizes = {r.batch: r.sql.count("('") for r in exports.seed_statements(edges).collect()}
+    assert sizes == {1: 500, 2: 500, 3: 203}
+
+
+def test_closure_of_a_large_tree_and_of_a_circle(spark):
+    n = 120_000
+    tree = spark.range(1, n).select(F.col("id").alias("node"), F.floor(F.col("id") / 8).alias("parent"))
+    depth, last, want = 1, 7, 0
+    for node in range(1, n):
+        while node > last:
+            depth, last = depth + 1, last * 8 + 7
+        want += depth
+    assert graph.closure(tree).count() == want > 400_000
+    circle = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "node string, parent string")
+    assert graph.closure(circle).count() == 9
+
+
+def test_communities_are_of_high_modularity(spark):
+    """Two rings of cliques, against each partition that a plain greedy search finds."""
+    pairs = [(f"n{c}{i}", f"n{c}{j}", 1.0) for c in range(4) for i in range(5) for j in range(i + 1, 5)] + [(f"n{c}0", f"n{(c + 1) % 4}1", 0.5) for c in range(4)]
+    got = {r.node: r.community for r in graph.communities(spark.createDataFrame(pairs, "a string, b string, weight double")).collect()}
+    assert len(got) == 20 and {frozenset(n for n in got if got[n] == c) for c in set(got.values())} == {frozenset(f"n{c}{i}" for i in range(5)) for c in range(4)}
+    both = [(a, b, w) for a, b, w in pairs] + [(b, a, w) for a, b, w in pairs]
+    total = sum(w for *_, w in both)
+    strength = {n: sum(w for a, _, w in both if a == n) for n in got}
+    brute = sum((sum(w for x, y, w in both if (x, y) == (a, b)) - 1.2 * strength[a] * strength[b] / total) / total for a in got for b in got if got[a] == got[b])
+    edges, label = (spark.createDataFrame(x, s) for x, s in ((both, "node string, other string, weight double"), (list(got.items()), "node string, community string")))
+    assert graph.modularity(edges, label, 1.2) == pytest.approx(brute)
+
+
+def test_running_sums(spark):
+    df = spark.range(1000).select((F.col("id") * 7 % 1000).alias("k"), F.lit(2).alias("v")).repartition(7)
+    assert all(r.before == 2 * r.k for r in rules.running(df, ["k"], F.col("v")).collect())
+    assert layout.nearest_rank(df, "k", 0.98).first()[0] == 980
+
+
+def test_placement(spark):
+    nodes = spark.createDataFrame([(i, 4) for i in range(6)], "id long, n int")
+    centres = spark.createDataFrame([(0, 10.0, 20.0), (1, -5.0, 0.0)], "id long, x double, y double")
+    at = {r.id: (r.x, r.y) for r in layout.place(nodes, centres, ["id"]).collect()}
+    assert len(at) == 6 and abs(at[0][0] - 10) <= 33 and abs(at[0][1] - 20) <= 33
+    assert at[2] == (1200.0, 0.0) and at[3] == pytest.approx((1200 * math.cos(2.399963), 1200 * math.sin(2.399963)))
+    assert [r.x for r in spark.createDataFrame([(-0.25,), (0.25,)], "x double").select(layout.rounded(F.col("x")).alias("x")).collect()] == [-0.2, 0.3]
+
+
+def test_settle_needs_a_shared_folder(spark, monkeypatch):
+    monkeypatch.setattr(spark.sparkContext, "master", "spark://somewhere:7077")
+    if spark.conf.get("spark.checkpoint.dir", None) is None:
+        with pytest.raises(RuntimeError):
+            graph.settle(spark.range(1))
+
+
 @pytest.mark.skipif(not os.path.isdir(GOLDEN), reason="no golden data")
 def test_golden_distances(spark):
     seed = next(x for x in (p.read_text() for p in sorted(Path(GOLDEN).rglob("*.sql"))) if "INTO edges" in x)
