@@ -14,10 +14,13 @@ _own_dir: list[str] = []
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """The folder named in spark.checkpoint.dir; only where that is unset, a temporary one of this process."""
+    """The folder named in spark.checkpoint.dir. Where that is unset, a local session has a temporary folder; on a cluster,
+    whose executors don't share one, it is an error."""
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
+    if not spark.sparkContext.master.startswith("local["):
+        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
     if not _own_dir:
         _own_dir.append(tempfile.mkdtemp(prefix="quillgraph-"))
     return "file://" + _own_dir[0]

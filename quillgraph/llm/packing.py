@@ -7,7 +7,10 @@ Windows come in groups of GROUP tokens. What each queue is owed at the begin of
 and thus partitions, are planned independently while deficits carry over exactly. The very last tokens, too few for a
 window, fill sequences whose lengths are powers of two, so no sequence needs padding.
 
-Sources with less than SMALL of all tokens share one queue, so at most 1 / SMALL + 1 queues are planned.
+Sources with less than a token in a window (SMALL of all tokens) share one queue, so at most 1 / SMALL + 1 queues are
+planned, and how many sources there are doesn't matter. In that queue a source's tokens of each chunk, a task's documents,
+stand where its share of its tokens is reached; so each such source keeps its proportion too, over stretches of about a
+chunk instead of a window.
 
 Defined cases: a null text is empty and has only its end id; a null source is a source of its own; an empty table
 gives no pieces; documents of null or repeated ids are packed like any other, each in its own pieces; extra columns
@@ -29,10 +32,13 @@ from pyspark.sql import functions as F
 
 from quillgraph.llm.common import materialize
 from quillgraph.llm.token_ids import byte_bpe
+from quillgraph.operators.rules import running
 
-SEQUENCE, GROUP, SMALL = 1024, 1 << 20, 1e-4
+SEQUENCE, GROUP = 1024, 1 << 20
+SMALL = 1 / SEQUENCE
 BATCH_ROWS = 500
-GROUPS_KEPT = 64
+#: Numbers of planned groups that a worker keeps.
+KEPT_CELLS, STARTS_KEPT = 6_000_000, 5000
 #: A table of so many (chunk, source) rows is broadcast; a longer one is joined by a shuffle.
 BROADCAST_ROWS = 200_000
 
@@ -43,9 +49,17 @@ class Plan:
     def __init__(self, totals: list[int]):
         self.totals, self.total = totals, sum(totals)
         self.kept: OrderedDict[int, tuple] = OrderedDict()
+        self.starts: dict[int, list[int]] = {}
 
     def served_before(self, group: int) -> list[int]:
         """Tokens of each queue before the group: its exact share rounded down, the rest to the largest remainders."""
+        if group not in self.starts:
+            if len(self.starts) * len(self.totals) > KEPT_CELLS // 10 or len(self.starts) > STARTS_KEPT:
+                self.starts.clear()
+            self.starts[group] = self._served_before(group)
+        return self.starts[group]
+
+    def _served_before(self, group: int) -> list[int]:
         n = min(group * GROUP, self.total)
         exact = [divmod(n * t, self.total) for t in self.totals]
         served = [whole for whole, _ in exact]
@@ -82,7 +96,7 @@ class Plan:
         counts = np.diff(bounds, axis=0)
         out = bounds + first, np.cumsum(counts, axis=1) - counts
         self.kept[group] = out
-        if len(self.kept) > GROUPS_KEPT:
+        while len(self.kept) > 1 and sum(b.size + o.size for b, o in self.kept.values()) > KEPT_CELLS:
             self.kept.popitem(last=False)
         return out
 
@@ -139,18 +153,19 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, with_ids: bool = Fals
     # at most 1 / SMALL rows
     large = per_source.filter(F.col("n") >= SMALL * total).orderBy("source").collect()
     totals = [r["n"] for r in large]
-    small, largest = total - sum(totals), max(range(len(totals)), key=lambda i: totals[i], default=0)
     rest = len(totals)
-    if 0 < small < SMALL * total and totals:
-        totals[largest] += small
-        rest = largest
-    elif small:
-        totals.append(small)
+    if total > sum(totals):
+        totals.append(total - sum(totals))
     spark = docs.sparkSession
     queues = spark.createDataFrame([(r["source"], i) for i, r in enumerate(large)], "source string, queue int")
     with_queue = per_chunk.alias("c").join(F.broadcast(queues).alias("q"), F.expr("c.source <=> q.source"), "left").select("c.chunk", "c.source", "c.n", F.coalesce("q.queue", F.lit(rest)).alias("queue"))
-    before = F.sum("n").over(Window.partitionBy("queue").orderBy("chunk", "source").rowsBetween(Window.unboundedPreceding, -1))
-    bases = materialize(with_queue.select("chunk", F.col("source").alias("_source"), "queue", F.coalesce(before, F.lit(0)).alias("base")), "packing-bases")
+    # where in its source a chunk's tokens lie: a row for each chunk
+    own = Window.partitionBy("source").orderBy("chunk")
+    middle = F.coalesce(F.sum("n").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("n") / 2
+    spread = with_queue.withColumn("at", F.when(F.col("queue") == rest, middle / F.sum("n").over(Window.partitionBy("source"))).otherwise(0.0))
+    starts = spark.createDataFrame([(i, sum(totals[:i])) for i in range(len(totals))], "queue int, start long")
+    placed = running(spread, ["queue", "at", "chunk", "source"], F.col("n")).join(F.broadcast(starts), "queue")
+    bases = materialize(placed.select("chunk", F.col("source").alias("_source"), "queue", (F.col("before") - F.col("start")).alias("base")), "packing-bases")
     if bases.count() <= BROADCAST_ROWS:
         bases = F.broadcast(bases)
     placed = ids.join(bases, (ids["chunk"] == bases["chunk"]) & ids["source"].eqNullSafe(bases["_source"])).select("doc_id", "queue", (F.col("base") + F.col("position")).alias("position"), "n", "ids")

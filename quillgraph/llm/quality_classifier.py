@@ -7,7 +7,8 @@ of its words' vectors, with its logarithmic length and the spread of its words o
 scores it, and a temperature fitted on labelled rows apart from the network's makes the scores probabilities.
 
 Learning reads only labelled rows that `is_training` admits, at most TRAIN_ROWS of them (those of smallest hash of
-doc_id), and at most TRAIN_BYTES of their texts; scoring covers every row. labels, lang, source and doc_id are never
+doc_id), one text each (of several rows of a doc_id the smallest text), and at most TRAIN_BYTES of whole texts: one that no
+longer fits is passed over before anything is sent to the driver. Scoring covers every row. labels, lang, source and doc_id are never
 inputs of a score.
 
 Defined cases: a null or empty text is a document without words and gets a score like any other; label rows with a null
@@ -18,6 +19,7 @@ columns named score or predicted are replaced.
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter
 from collections.abc import Iterator
@@ -28,6 +30,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quillgraph.llm.common import drop_path, materialize
+
 #: Bounds of what is learnt from, words with a vector of their own, and the width of vectors and of the hidden layer.
 TRAIN_ROWS, TRAIN_BYTES, VOCABULARY, WIDTH, HIDDEN = 4000, 24_000_000, 20_000, 48, 32
 NEAR, NONZERO, EPOCHS, BATCH, RATE = 2, 6, 60, 64, 0.01
@@ -35,21 +39,19 @@ CACHE_WORDS, BATCH_ROWS = 200_000, 200
 
 
 def held_out() -> Column:
-    """Rows never learnt from: crc32 of doc_id as text, modulo 3, is 1."""
-    return F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    """Rows never learnt from: crc32 of doc_id as text, modulo 3, is 1; a null doc_id is not held out."""
+    return F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1, F.lit(False))
 
 
 _CLASS = bytes.maketrans(bytes(range(256)), bytes(ord("a") if 97 <= b <= 122 or b >= 128 else ord("A") if 65 <= b <= 90 else ord("0") if 48 <= b <= 57 else ord("*") if chr(b) in "#*$%&|<>@^~=_+/\\" else b if chr(b) in ".,;:!?-" else ord("-") for b in range(256)))
 
 
+_RUN = re.compile(rb"(.)\1+", re.S)
+
+
 def shape(word: bytes) -> str:
     """Runs of letters, capitals, digits and signs, each run as one sign; lengths only as short, middle or long."""
-    runs, last = [], 0
-    for b in word[:64].translate(_CLASS):
-        if b != last:
-            runs.append(b)
-            last = b
-    return bytes(runs[:8]).decode() + (":1" if len(word) < 3 else ":2" if len(word) < 9 else ":3" if len(word) < 20 else ":4")
+    return _RUN.sub(rb"\1", word.translate(_CLASS)).decode() + (":1" if len(word) < 3 else ":2" if len(word) < 9 else ":3" if len(word) < 20 else ":4")
 
 
 def index_vector(name: str, width: int) -> np.ndarray:
@@ -159,16 +161,23 @@ def fit(texts: list[str | None], labels: list[int], width: int = WIDTH) -> Model
 def train(docs: DataFrame, labels: DataFrame, is_training: Column, label: str = "quality") -> Model:
     """Fit on a bounded sample. Its label rows are few enough to broadcast, so the texts aren't shuffled."""
     sample = labels.filter(F.col(label).isNotNull() & F.col("doc_id").isNotNull() & is_training).select("doc_id", F.col(label).cast("int").alias("y")).orderBy(F.xxhash64("doc_id"), "doc_id", "y").limit(TRAIN_ROWS)
-    rows = docs.select("doc_id", "text").join(F.broadcast(sample), "doc_id").withColumn("order", F.xxhash64("doc_id"))
-    texts, ys, size = [], [], 0
-    # whole texts only; TRAIN_ROWS bounds how many there are
-    for r in sorted(rows.collect(), key=lambda r: (r["order"], r["doc_id"], r["y"])):
-        size += len(r["text"] or "")
-        if size > TRAIN_BYTES:
-            break
-        texts.append(r["text"])
-        ys.append(r["y"])
-    return fit(texts, ys)
+    known = sample.collect()
+    spark = docs.sparkSession
+    wanted = spark.createDataFrame([(i,) for i in sorted({r["doc_id"] for r in known})], sample.select("doc_id").schema)
+    found = docs.select("doc_id", "text").join(F.broadcast(wanted), "doc_id").groupBy("doc_id").agg(F.min(F.coalesce("text", F.lit(""))).alias("text"))
+    # at most TRAIN_ROWS rows
+    one_each = materialize(found.select("doc_id", F.xxhash64("doc_id").alias("order"), F.octet_length("text").alias("size"), "text"), "training-texts")
+    chosen, size = [], 0
+    for r in sorted(one_each.select("order", "doc_id", "size").collect(), key=lambda r: (r["order"], r["doc_id"])):
+        if size + r["size"] <= TRAIN_BYTES:
+            chosen.append(r["doc_id"])
+            size += r["size"]
+    fitting = spark.createDataFrame([(i,) for i in chosen], wanted.schema)
+    text_of = {r["doc_id"]: r["text"] for r in one_each.select("doc_id", "text").join(F.broadcast(fitting), "doc_id").collect()}
+    drop_path(one_each)
+    place = {i: n for n, i in enumerate(chosen)}
+    learnt = sorted(((place[r["doc_id"]], r["y"]) for r in known if r["doc_id"] in text_of))
+    return fit([text_of[chosen[n]] for n, _ in learnt], [y for _, y in learnt])
 
 
 def classify(docs: DataFrame, model: Model) -> DataFrame:

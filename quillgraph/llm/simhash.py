@@ -30,7 +30,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from quillgraph.llm import bloom
-from quillgraph.llm.common import drop_path, materialize, release, text_digest
+from quillgraph.llm.common import drop_path, materialize, text_digest
 from quillgraph.llm.components import connected_components
 
 RADIUS, FIELDS, BUCKET, PIVOTS, BATCH_ROWS = 3, 6, 4096, 12, 400
@@ -493,7 +493,6 @@ def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, Da
     loose = materialize(sorted_bands.mapInArrow(compare, "a binary, b binary"), "near-links")
     maybe = connected_components(loose)
     drop_path(loose)
-    release(docs.sparkSession)
     drop_path(distinct)
     drop_path(bands)
     # of the texts only those of these groups are shuffled, one of each digest from a task
@@ -502,10 +501,8 @@ def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, Da
     one_each = possible.groupBy("digest").agg(F.first("text").alias("text"))
     texts = materialize(one_each.join(maybe, F.col("digest") == F.col("node")).select("digest", "component", "text"), "grouped-texts")
     drop_path(maybe)
-    release(docs.sparkSession)
     edges = materialize(verified(texts, similarity, size), "near-links")
     drop_path(texts)
-    release(docs.sparkSession)
     return marked.select("doc_id", "digest"), connected_components(edges).select(F.col("node").alias("_node"), "component")
 
 
@@ -536,7 +533,6 @@ def keep_one(docs: DataFrame, similarity: float = SIMILARITY, size: int = NEAR_S
     suspects = materialize(judged.filter("wanted is null or count > 1").select("key", F.coalesce("wanted", F.lit(False)).alias("wanted")), "suspects")
     drop_path(rows)
     drop_path(nodes)
-    release(docs.sparkSession)
     n_blocks = bloom.size_for(suspects.count())
     keyed = docs.select(F.struct("*").alias("doc"), F.struct(F.col("doc_id").cast("long").alias("id"), text_digest().alias("digest")).alias("key"))
     filled = bloom.build(suspects, n_blocks)
