@@ -270,3 +270,60 @@ def bindings(bodies: DataFrame, body: str, variables: list[str]) -> DataFrame:
     shape = "struct<results: struct<bindings: array<map<string, struct<value: string>>>>>"
     each = bodies.select(F.explode(F.from_json(body, shape)["results"]["bindings"]).alias("b"))
     return each.select(*[F.try_element_at("b", F.lit(v))["value"].alias(v) for v in variables])
+
+
+def supported(links: DataFrame, ids: DataFrame, hubs: DataFrame, least: int = 2) -> DataFrame:
+    """resolved_mentions of links whose title, and then whose target, enough hubs and sources have."""
+    titles = links.groupBy("title").agg(F.count("*").alias("k")).filter(F.col("k") >= least).select("title")
+    merged = resolved_mentions(links.join(titles, "title", "left_semi"), ids, hubs)
+    targets = merged.groupBy("target").agg(F.count("*").alias("k")).filter(F.col("k") >= least).select("target")
+    return merged.join(targets, "target", "left_semi").select("source", "target", "n", "in_lead")
+
+
+def kept_and_rejected(candidates: DataFrame, rules: list[tuple[Column, str]]) -> tuple[DataFrame, DataFrame]:
+    """Candidates with `why`, the first rule that keeps them, and those that none does."""
+    marked = candidates.withColumn("why", cascade(rules))
+    return marked.filter("why is not null"), marked.filter("why is null").drop("why")
+
+
+def expansion_confidence(languages: Column) -> Column:
+    """One more than the languages that have an article."""
+    return F.size(F.array_distinct(languages)) + 1
+
+
+def pending(queue: DataFrame, done: DataFrame, key: str) -> DataFrame:
+    """What a run that was broken off still has to do."""
+    return queue.join(done.select(key).distinct(), key, "left_anti")
+
+
+def insert_or_ignore(table: DataFrame, rows: DataFrame, keys: list[str]) -> DataFrame:
+    """table with the rows whose keys it lacks, each once."""
+    return table.unionByName(rows.dropDuplicates(keys).join(table.select(keys), keys, "left_anti"))
+
+
+def entity_records(entities: DataFrame, body: str, languages: list[str], sites: list[str]) -> DataFrame:
+    """The columns of entities but for body (JSON), with a label for each language, a title for each site, and all labels'
+    number."""
+    shape = "labels: map<string, struct<value: string>>, sitelinks: map<string, struct<title: string>>"
+    read = entities.withColumn("_e", F.from_json(body, f"struct<{shape}>"))
+    labels = [F.try_element_at("_e.labels", F.lit(x))["value"].alias(f"label_{x}") for x in languages]
+    titles = [F.try_element_at("_e.sitelinks", F.lit(x))["title"].alias(x) for x in sites]
+    return read.select(*[c for c in entities.columns if c != body], *labels, *titles, F.coalesce(F.size("_e.labels"), F.lit(0)).alias("n_labels"))
+
+
+def stamped(df: DataFrame) -> DataFrame:
+    """With the time of the run, as ISO seconds and as milliseconds."""
+    now = F.current_timestamp()
+    return df.withColumns({"built": F.date_format(now, "yyyy-MM-dd'T'HH:mm:ss"), "ms": F.unix_millis(now)})
+
+
+def review_case(text: Column, n: int = 300) -> Column:
+    """The first two sentences of a text on one line, at most n characters."""
+    parts = F.split(F.translate(text, "\n", " "), "\\. ", 3)
+    return F.substring(F.array_join(F.slice(parts, 1, 2), ". "), 1, n)
+
+
+def summary_map(nodes: DataFrame) -> DataFrame:
+    """(lang, summaries): a map of id to summary for each language, without empty ones. It is for a graph that a browser loads."""
+    known = nodes.filter(blank_to_null(F.col("summary")).isNotNull())
+    return known.groupBy("lang").agg(F.map_from_entries(F.array_sort(F.collect_list(F.struct("id", "summary")))).alias("summaries"))

@@ -88,6 +88,27 @@ def crawl(edges: DataFrame, roots: list, noisy: DataFrame, most: int = 4) -> Dat
     return seen
 
 
+def crawl_roots(edges: DataFrame, roots: list[tuple[int, int]], noisy: DataFrame) -> DataFrame:
+    """(node, root, depth, parent, noise) of crawls from (root, depth) pairs, in order: each has a depth of its own and
+    passes over what an earlier one has seen. A root without anything below it leaves its place to the next."""
+    seen = None
+    for root, most in roots:
+        below = edges if seen is None else edges.join(seen.select(F.col("node").alias("child")), "child", "left_anti").select("parent", "child")
+        found = crawl(below, [root], noisy, most).drop("path").withColumn("root", F.lit(root).cast("long"))
+        if seen is not None:
+            found = found.join(seen.select("node"), "node", "left_anti")
+        found = found.select("node", "root", "depth", "parent", "noise")
+        seen = settle(found if seen is None else seen.union(found))
+    return seen
+
+
+def first_with_members(names: list, members: DataFrame) -> DataFrame:
+    """The members (name, page) of the first of the names that has any."""
+    order = members.sparkSession.createDataFrame([(n, i) for i, n in enumerate(names)], "name string, place int")
+    known = members.join(F.broadcast(order), "name")
+    return known.filter(F.col("place") == known.agg(F.min("place")).scalar()).select("name", "page")
+
+
 def crawled_pages(crawled: DataFrame, members: DataFrame, most: int = 4) -> DataFrame:
     """(page, categories) of members (page, node): all the descended categories a page is in, sorted."""
     descended = crawled.filter((F.col("depth") < most) & ~F.col("noise")).select("node")
@@ -150,6 +171,23 @@ def co_mentions(mentions: DataFrame, most: int = 60) -> DataFrame:
     return pairs.groupBy("a", "b").agg(F.sum(value).alias("weight"))
 
 
+def pair_weights(mentions: DataFrame, hubs: DataFrame, generic: DataFrame, most: int = 60) -> DataFrame:
+    """(a, b, weight) of hubs (id): idf-weighted shared entities that aren't generic (id), and three times the weight of
+    direct mentions of one hub by another. mentions: (source, target, n), of hubs and others."""
+    own = mentions.join(hubs.withColumnRenamed("id", "source"), "source", "left_semi")
+    inside = hubs.withColumnRenamed("id", "target")
+    shared = own.join(inside, "target", "left_anti").join(generic.withColumnRenamed("id", "target"), "target", "left_anti")
+    direct = own.join(inside, "target", "left_semi").filter("source != target")
+    ends = direct.select(F.least("source", "target").alias("a"), F.greatest("source", "target").alias("b"), (F.col("n") * 3.0).alias("weight"))
+    return co_mentions(shared, most).union(ends).groupBy("a", "b").agg(F.sum("weight").alias("weight"))
+
+
+def isolates(hubs: DataFrame, pairs: DataFrame) -> DataFrame:
+    """The hubs (id) that no pair has."""
+    ends = pairs.select(F.col("a").alias("id")).union(pairs.select("b"))
+    return hubs.join(ends, "id", "left_anti")
+
+
 def strongest_neighbours(pairs: DataFrame, k: int = 8) -> DataFrame:
     """Pairs that are among the k strongest of either end; ties by the neighbour."""
     both = pairs.select("a", "b", "weight", F.col("a").alias("me"), F.col("b").alias("it")).union(pairs.select("a", "b", "weight", "b", "a"))

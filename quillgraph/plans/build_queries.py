@@ -456,3 +456,132 @@ def reach_map(spark, sf):
     return graph.distances(all_edges(spark, sf), "P1").groupBy("dist").agg(F.count("*").alias("nodes"), F.min("node").alias("first"))
 
 
+
+
+# second passes over what is there
+
+
+@query(f"WITH {M}, {_RESOLVED}, w AS (SELECT target FROM m GROUP BY 1 HAVING count(*) >= 25), j AS (SELECT 'H' || substr(source, 2)::BIGINT // 2 AS source, id AS target, n, in_lead FROM m JOIN res ON title = 'T' || substr(target, 2) WHERE m.target IN (FROM w)), k AS (SELECT source, target, sum(n)::BIGINT AS n, bool_or(in_lead) AS in_lead FROM j WHERE target IS NOT NULL GROUP BY 1, 2) SELECT * FROM k WHERE target IN (SELECT target FROM k GROUP BY 1 HAVING count(*) >= 25)")
+def support_twice(spark, sf):
+    m = base_mentions(spark, sf).select(F.col("source").alias("hub"), F.concat(F.lit("T"), F.col("target").substr(2, 20)).alias("title"), "n", "in_lead")
+    hub_ids = m.select("hub").distinct().withColumn("id", F.concat(F.lit("H"), F.floor(F.col("hub").substr(2, 20).cast("long") / 2).cast("string")))
+    return build.supported(m, resolved_ids(spark, sf), hub_ids, 25)
+
+
+@query("SELECT p_partkey, CASE WHEN p_type = 'PROMO' THEN 'class' WHEN regexp_matches(p_name, 'red|blue') THEN 'title' WHEN p_size >= 40 THEN 'languages' END AS why, 1 + p_size % 4 AS confidence FROM part")
+def keep_and_reject(spark, sf):
+    found = [(F.col("p_type") == "PROMO", "class"), (F.col("p_name").rlike("red|blue"), "title"), (F.col("p_size") >= 40, "languages")]
+    yes, no = build.kept_and_rejected(table(spark, sf, "part"), found)
+    languages = F.slice(F.array(F.lit("en"), F.lit("fr"), F.lit("lt"), F.lit("en")), F.lit(1), F.col("p_size") % 4)
+    return yes.select("p_partkey", "why", build.expansion_confidence(languages).alias("confidence")).union(no.select("p_partkey", F.lit(None), build.expansion_confidence(languages)))
+
+
+@query("SELECT p_partkey FROM part WHERE p_partkey NOT IN (SELECT l_partkey FROM lineitem WHERE l_quantity > 45)")
+def pending_items(spark, sf):
+    return build.pending(table(spark, sf, "part").select("p_partkey"), table(spark, sf, "lineitem").filter("l_quantity > 45").select(F.col("l_partkey").alias("p_partkey")), "p_partkey")
+
+
+@query("SELECT DISTINCT o_custkey AS a, o_orderkey % 50 AS b FROM orders")
+def insert_or_ignore(spark, sf):
+    o = table(spark, sf, "orders").select(F.col("o_custkey").alias("a"), (F.col("o_orderkey") % 50).alias("b"), "o_orderkey")
+    return build.insert_or_ignore(o.filter("o_orderkey % 2 = 0").select("a", "b").distinct(), o.select("a", "b"), ["a", "b"])
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 > 0 THEN 'e' || event_id END AS label_en, CASE WHEN event_id % 2 = 0 THEN 'l' || event_id END AS label_lt, CASE WHEN event_id % 5 = 0 THEN 'T ' || event_type END AS enwiki, (event_id % 3 > 0)::INT + (event_id % 2 = 0)::INT AS n_labels FROM events")
+def entity_records(spark, sf):
+    k = F.col("event_id")
+    value = lambda name, c: F.concat(F.lit(f'"{name}":{{"value":"'), c, F.lit('"}'))
+    labels = F.concat_ws(",", F.when(k % 3 > 0, value("en", F.concat(F.lit("e"), k.cast("string")))), F.when(k % 2 == 0, value("lt", F.concat(F.lit("l"), k.cast("string")))))
+    links = F.when(k % 5 == 0, F.concat(F.lit('"enwiki":{"title":"T '), "event_type", F.lit('"}'))).otherwise("")
+    body = F.concat(F.lit('{"labels":{'), labels, F.lit('},"sitelinks":{'), links, F.lit("}}"))
+    return build.entity_records(table(spark, sf, "events").select("event_id", body.alias("body")), "body", ["en", "lt"], ["enwiki"])
+
+
+@query("SELECT doc_id, substr(array_to_string(string_split(replace(text, chr(10), ' '), '. ')[1:2], '. '), 1, 300) AS summary FROM documents")
+def review_cases(spark, sf):
+    return table(spark, sf, "documents").select("doc_id", build.review_case(F.col("text")).alias("summary"))
+
+
+@query("SELECT lang, count(*) AS n, sum(length(text))::BIGINT AS chars FROM documents WHERE text != '' GROUP BY 1")
+def summary_map(spark, sf):
+    maps = build.summary_map(table(spark, sf, "documents").select("lang", F.col("doc_id").alias("id"), F.col("text").alias("summary")))
+    chars = F.aggregate(F.map_values("summaries"), F.lit(0).cast("long"), lambda acc, x: acc + F.length(x))
+    return maps.select("lang", F.size("summaries").cast("long").alias("n"), chars.alias("chars"))
+
+
+@query("SELECT DISTINCT unnest(regexp_extract_all(html, '<a href=\"/([^\"]+)\"', 1)) AS title FROM pages")
+def list_page_links(spark, sf):
+    return table(spark, sf, "pages").select(F.explode(F.regexp_extract_all("html", F.lit('<a href="/([^"]+)"'), 1)).alias("title")).distinct()
+
+
+@query("SELECT DISTINCT k FROM (SELECT l_partkey AS k FROM lineitem UNION ALL SELECT l_suppkey FROM lineitem)")
+def required_keys(spark, sf):
+    lines = table(spark, sf, "lineitem")
+    return lines.select(F.col("l_partkey").alias("k")).union(lines.select("l_suppkey")).distinct()
+
+
+_WEIGHTS = M + ", hub AS (SELECT DISTINCT source AS id FROM m WHERE substr(source, 2)::BIGINT % 3 > 0), mm AS (SELECT * FROM m UNION ALL SELECT source, 'C' || (substr(target, 2)::BIGINT % 90), n, in_lead FROM m WHERE n > 1), own AS (SELECT source, target, sum(n)::BIGINT AS n FROM mm WHERE source IN (FROM hub) GROUP BY 1, 2), sh AS (SELECT * FROM own WHERE target NOT IN (FROM hub) AND target NOT LIKE '%3'), k AS (SELECT target, count(*) AS k FROM sh GROUP BY 1 HAVING count(*) BETWEEN 2 AND 60), pr AS (SELECT x.source AS a, y.source AS b, ln(1 + 60.0 / k) * sqrt(x.n * y.n) AS w FROM sh x JOIN sh y ON x.target = y.target AND x.source < y.source JOIN k ON k.target = x.target UNION ALL SELECT least(source, target), greatest(source, target), 3.0 * n FROM own WHERE target IN (FROM hub) AND source != target), pw AS (SELECT a, b, round(sum(w), 5) AS weight FROM pr GROUP BY 1, 2)"
+
+
+def weighted_pairs(spark, sf):
+    m = base_mentions(spark, sf)
+    hubs = m.select(F.col("source").alias("id")).distinct().filter(F.col("id").substr(2, 20).cast("long") % 3 > 0)
+    more = m.filter("n > 1").select("source", F.concat(F.lit("C"), (F.col("target").substr(2, 20).cast("long") % 90).cast("string")).alias("target"), "n")
+    every = m.select("source", "target", "n").union(more).groupBy("source", "target").agg(F.sum("n").alias("n"))
+    generic = every.select(F.col("target").alias("id")).distinct().filter("id like '%3'")
+    return hubs, graph.pair_weights(every, hubs, generic)
+
+
+@query(f"WITH {_WEIGHTS} SELECT * FROM pw")
+def pair_weights(spark, sf):
+    return weighted_pairs(spark, sf)[1].withColumn("weight", F.round("weight", 5))
+
+
+@query(f"WITH {_WEIGHTS} SELECT id FROM hub WHERE id NOT IN (SELECT a FROM pw WHERE weight > 60 UNION SELECT b FROM pw WHERE weight > 60)")
+def isolates(spark, sf):
+    hubs, pairs = weighted_pairs(spark, sf)
+    return graph.isolates(hubs, pairs.filter(F.round("weight", 5) > 60))
+
+
+@query(f"WITH {E}, deg AS (SELECT node, count(*) AS k FROM (SELECT a AS node FROM e UNION ALL SELECT b FROM e) GROUP BY 1), ok AS (SELECT node FROM deg WHERE (k >= 2 OR node = 'P1') AND node NOT IN (SELECT 'P' || p_partkey FROM part WHERE p_type = 'PROMO' OR p_size > 45)) SELECT a, b FROM e WHERE a IN (FROM ok) AND b IN (FROM ok)")
+def game_graph_plain(spark, sf):
+    generic = part_ids(spark, sf).filter("p_type = 'PROMO' or p_size > 45").select(F.col("id").alias("node"))
+    return graph.game_graph(all_edges(spark, sf), "P1", generic)
+
+
+@query(f"WITH {D} SELECT source, target, p_type = 'PROMO' OR df > 0.05 * total AS generic FROM m JOIN d USING (target) JOIN part ON target = 'P' || p_partkey CROSS JOIN t")
+def generic_targets(spark, sf):
+    m = base_mentions(spark, sf).join(part_ids(spark, sf).select(F.col("id").alias("target"), "p_type"), "target")
+    return mentions.weighted(m, 0.05, F.col("p_type") == "PROMO").select("source", "target", "generic")
+
+
+_TWO = "par AS (SELECT p_partkey AS node, p_partkey // 3 AS parent FROM part WHERE p_partkey > 2 UNION SELECT p_partkey, p_partkey // 5 FROM part WHERE p_partkey % 4 = 1 AND p_partkey > 4)"
+
+
+@query(f"WITH RECURSIVE {_TWO}, up AS (SELECT DISTINCT p_partkey AS node, p_partkey AS ancestor, 0 AS dist FROM part WHERE p_partkey IN (SELECT node FROM par) UNION SELECT up.node, par.parent, dist + 1 FROM up JOIN par ON par.node = up.ancestor WHERE dist < 7) SELECT node, ancestor, min(dist) AS dist FROM up GROUP BY 1, 2")
+def class_tree(spark, sf):
+    k, p = F.col("p_partkey"), table(spark, sf, "part")
+    parent = p.filter(k > 2).select(k.alias("node"), F.floor(k / 3).alias("parent")).union(p.filter((k % 4 == 1) & (k > 4)).select(k, F.floor(k / 5))).distinct()
+    return graph.ancestors(parent, 7)
+
+
+_ROOTS = "st AS (SELECT p_partkey // 4 AS parent, p_partkey AS child FROM part WHERE p_partkey > 0), a1 AS (SELECT child AS node FROM st WHERE parent = 2), a2 AS (SELECT child AS node FROM st WHERE parent IN (FROM a1)), one AS (SELECT 2 AS node, 0 AS depth UNION ALL SELECT node, 1 FROM a1 UNION ALL SELECT node, 2 FROM a2), b1 AS (SELECT child AS node FROM st WHERE parent = 0 AND child NOT IN (SELECT node FROM one) AND child != 0), b2 AS (SELECT child AS node FROM st WHERE parent IN (FROM b1) AND child NOT IN (SELECT node FROM one))"
+
+
+@query(f"WITH {_ROOTS} SELECT node, 2 AS root, depth FROM one UNION ALL SELECT 0, 0, 0 UNION ALL SELECT node, 0, 1 FROM b1 UNION ALL SELECT node, 0, 2 FROM b2")
+def crawl_roots(spark, sf):
+    k = F.col("p_partkey")
+    edges = table(spark, sf, "part").filter(k > 0).select(F.floor(k / 4).alias("parent"), k.alias("child"))
+    return graph.crawl_roots(edges, [(2, 2), (0, 2)], edges.select(F.col("child").alias("node")).limit(0)).select("node", "root", "depth")
+
+
+@query("SELECT n_name AS name, c_custkey AS page FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name = 'NATION_7'")
+def first_language_with_members(spark, sf):
+    c = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return graph.first_with_members(["none", "NATION_99", "NATION_7", "NATION_3"], c.select(F.col("n_name").alias("name"), F.col("c_custkey").alias("page")))
+
+
+@query("SELECT '' || page_id || '.html' AS path, '<!doctype html><html><head><meta charset=\"utf-8\"><title>' || replace(replace(replace(replace(replace(url, '&', '&amp;'), '<', '&lt;'), '>', '&gt;'), '\"', '&quot;'), chr(39), '&#x27;') || '</title><meta name=\"description\" content=\"a &amp; b\"><link rel=\"canonical\" href=\"https://e.org/' || page_id || '.html\"></head></html>' AS html FROM pages")
+def share_pages(spark, sf):
+    nodes = table(spark, sf, "pages").select(F.col("page_id").cast("string").alias("slug"), F.col("url").alias("title"), F.lit("a & b").alias("description"))
+    return exports.pages(nodes, "https://e.org")

@@ -390,12 +390,12 @@ def todo_batches(spark, sf):
     return rules.in_batches(todo, ["doc_id"], 20)
 
 
-@query("SELECT doc_id, CASE WHEN doc_id % 3 > 0 AND doc_id % 5 > 0 AND doc_id % 7 > 0 THEN '' || (1900 + doc_id % 5) WHEN doc_id % 3 = 0 THEN '1800' END AS d FROM documents")
+@query("SELECT doc_id, CASE WHEN doc_id % 3 > 0 AND doc_id % 5 > 0 AND doc_id % 7 > 0 THEN '' || (1900 + doc_id % 5) WHEN doc_id % 3 = 0 THEN '1800' END AS d, CASE WHEN doc_id % 3 > 0 AND doc_id % 5 > 0 AND doc_id % 7 > 0 THEN 'year' END AS dp FROM documents")
 def date_merge(spark, sf):
     k = F.col("doc_id")
     nodes = table(spark, sf, "documents").select(k.alias("id"), F.when(k % 3 == 0, "1800").alias("d"))
     dates = table(spark, sf, "documents").select(k.alias("id"), F.when(k % 5 > 0, 1900 + k % 5).otherwise(0).alias("y"), F.when(k % 7 > 0, "year").otherwise("none").alias("p"))
-    return rules.merge_dates(nodes, dates).select(F.col("id").alias("doc_id"), "d")
+    return rules.merge_dates(nodes, dates).select(F.col("id").alias("doc_id"), "d", "dp")
 
 
 _POINTS = "pts AS (SELECT vec_id AS id, embedding[1]::DOUBLE AS x, embedding[2]::DOUBLE AS y, label AS cluster FROM embeddings)"

@@ -5,10 +5,11 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from quillgraph.operators import service
 from quillgraph.operators.board import best_runs
 
 WINDOW_MS, MOST = 60_000, 20
@@ -81,13 +82,42 @@ def feed_board(runs: DataFrame, folder: str, checkpoint: str) -> None:
         if number:
             batch = batch.unionByName(spark.read.schema(batch.schema).parquet(f"{folder}/{number - 1}"))
         best_runs(batch).write.mode("overwrite").parquet(f"{folder}/{number}")
-        old = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/{number - 2}")
         if number > 1:
-            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+            _drop(spark, f"{folder}/{number - 2}")
 
     runs.writeStream.foreachBatch(upsert).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
 
 
+def feed_service(bodies: DataFrame, levels: DataFrame, canonical: DataFrame, target: str, folder: str, checkpoint: str) -> None:
+    """bodies (id, body, allowed), a stream of submissions: each micro-batch is validated; its answers (folder/answers, one
+    folder for each batch) have the error, or the score, best and rank; the runs that are kept are generations in
+    folder/board, as those of feed_board. A batch that runs again overwrites what it wrote."""
+    spark = bodies.sparkSession
+    schema = "id long, lvl int, nick string, moves int, hints int, secs int, score int, path string"
+
+    def serve(batch: DataFrame, number: int) -> None:
+        judged = service.validated(service.parsed(batch).join(batch.select("id", "allowed"), "id"), levels, canonical, target)
+        judged.write.mode("overwrite").parquet(f"{folder}/judged/{number}")
+        judged = spark.read.schema(judged.schema).parquet(f"{folder}/judged/{number}")
+        before = spark.read.schema(schema).parquet(f"{folder}/board/{number - 1}") if number else spark.createDataFrame([], schema)
+        new = service.accepted(judged).select(*[F.col(c).cast(t) for c, t in before.dtypes])
+        best_runs(before.unionByName(new)).write.mode("overwrite").parquet(f"{folder}/board/{number}")
+        board = spark.read.schema(schema).parquet(f"{folder}/board/{number}").withColumn("error", F.lit(None).cast("string"))
+        places = service.ranked(board).select("lvl", "nick", "best", "rank")
+        answers = judged.join(places, ["lvl", "nick"], "left")
+        known = F.col("error").isNull()
+        answers.select("id", "lvl", "nick", "error", "step", "score", F.when(known, F.col("best")).alias("best"), F.when(known, F.col("rank")).alias("rank")).write.mode("overwrite").parquet(f"{folder}/answers/{number}")
+        _drop(spark, f"{folder}/board/{number - 2}", f"{folder}/judged/{number - 1}")
+
+    bodies.writeStream.foreachBatch(serve).option("checkpointLocation", checkpoint).trigger(availableNow=True).start().awaitTermination()
+
+
+def _drop(spark: SparkSession, *folders: str) -> None:
+    for folder in folders:
+        path = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def event_stream(spark, sf_dir: str) -> DataFrame:
     """The events table as a stream of new files."""
     schema = spark.read.parquet(f"{sf_dir}/events.parquet").schema

@@ -91,6 +91,24 @@ def test_board_stream(spark, tmp_path):
     assert {(r.nick, r.id) for r in spark.read.parquet(str(tmp_path / "board/0")).collect()} == {("x", 100), ("y", 102)}
 
 
+def test_service_stream(spark, tmp_path):
+    levels = spark.createDataFrame([(1, "a", 2, 3)], "lvl int, start string, dist int, budget int")
+    edges = spark.createDataFrame([("a", "b"), ("b", "t"), ("b", "c"), ("c", "t")], "a string, b string")
+    sent = lambda i, nick, path, allowed=True, lvl="1": (i, json.dumps({"lvl": lvl, "nick": nick, "path": path, "hints": 1}), allowed)
+    first = [sent(1, "x", ["a", "b", "t"]), sent(2, "y", ["a", "b", "c", "t"]), sent(3, "", ["a", "t"]), (4, "{", True), sent(5, "x", ["a", "t"], False), sent(6, "x", ["a", "t"])]
+    second = [sent(7, "y", ["a", "b", "t"]), sent(8, "x", ["a", "a", "t"]), sent(9, "z", ["a", "b", "t"], lvl="7"), sent(10, "x", ["a", "b", "c", "t"])]
+    shape, source = "id long, body string, allowed boolean", str(tmp_path / "in")
+    for rows in (first, second):
+        spark.createDataFrame(rows, shape).coalesce(1).write.mode("append").parquet(source)
+        limits.feed_service(spark.readStream.schema(shape).parquet(source), levels, edges, "t", str(tmp_path / "out"), str(tmp_path / "c"))
+    got = {r.id: (r.error, r.step, r.score, r.best, r.rank) for i in (0, 1) for r in spark.read.parquet(str(tmp_path / f"out/answers/{i}")).collect()}
+    assert got == {
+        1: (None, None, 900, 900, 1), 2: (None, None, 780, 780, 2), 3: ("no_nick", None, None, None, None), 4: ("bad_json", None, None, None, None), 5: ("too_many", None, None, None, None),
+        6: ("no_such_link", 1, None, None, None), 7: (None, None, 900, 900, 1), 8: ("repeat", 1, None, None, None), 9: ("no_level", None, None, None, None), 10: (None, None, 780, 900, 1),
+    }
+    assert {(r.nick, r.score, r.path) for r in spark.read.parquet(str(tmp_path / "out/board/1")).collect()} == {("x", 900, "a,b,t"), ("y", 900, "a,b,t")}
+
+
 def test_sources(spark, tmp_path):
     (tmp_path / "done").mkdir()
     (tmp_path / "done/b1.json").write_text(json.dumps({"k": {"y": 1, "p": "year"}, "l": {"y": 3, "p": "none"}}))
