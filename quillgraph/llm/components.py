@@ -13,9 +13,10 @@ MAX_ROUNDS = 60
 def connected_components(edges: DataFrame) -> DataFrame:
     """edges (a, b), of one orderable type, without nulls -> (node, component): the smallest node that node reaches.
 
-    A large star links each node's larger neighbours to its smallest one, a small star its smaller ones. Neighbourhoods
-    are aggregated before they are joined to the smallest member, and no list of a node's neighbours is ever collected,
-    so a hub costs no more than its edges. Rounds grow with the logarithm of the longest path. No edges: no rows.
+    A large star links each node's larger neighbours to its smallest one, a small star its smaller ones. The smallest
+    member of a neighbourhood is found by a partial aggregation, and no list of a node's neighbours is ever collected. A
+    hub's edges do meet that member in one partition of a join; as nothing above the join needs its order, Spark's skew
+    handling may split it. Rounds grow with the logarithm of the longest path. No edges: no rows.
     """
 
     def star(e: DataFrame, large: bool) -> DataFrame:

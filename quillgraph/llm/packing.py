@@ -36,7 +36,7 @@ from quillgraph.operators.rules import running
 
 SEQUENCE, GROUP = 1024, 1 << 20
 SMALL = 1 / SEQUENCE
-BATCH_ROWS = 500
+BATCH_ROWS = 1000
 #: Numbers of planned groups that a worker keeps.
 KEPT_CELLS, STARTS_KEPT = 6_000_000, 5000
 #: A table of so many (chunk, source) rows is broadcast; a longer one is joined by a shuffle.
@@ -100,27 +100,35 @@ class Plan:
             self.kept.popitem(last=False)
         return out
 
-    def pieces(self, queue: int, position: int, length: int) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """(start, length, sequence, offset) of the pieces of `length` tokens of a queue, from `position`."""
-        out, end = [], position + length
+    def borders(self, queue: int, position: int, end: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(edges, windows, offsets) of a queue from some window at or before `position` to one past `end`: positions at
+        which its windows begin, and after the last; the windows' numbers; and where the queue's tokens begin in them."""
         group = position * self.total // (self.totals[queue] * GROUP)
         while group and self.served_before(group)[queue] > position:
             group -= 1
+        edges, windows, offsets = [], [], []
         while True:
-            bounds, offsets = self.group(group)
-            own = bounds[:, queue]
-            if own[-1] > position:
-                a, b = int(np.searchsorted(own, position, "right")) - 1, int(np.searchsorted(own, end, "left"))
-                begin, stop = np.maximum(own[a:b], position), np.minimum(own[a + 1 : b + 1], end)
-                n = min(len(begin), len(stop))
-                begin, stop, w = begin[:n], stop[:n], np.arange(a, a + n)
-                some = stop > begin
-                begin, stop, w = begin[some], stop[some], w[some]
-                out.append((begin - position, stop - begin, w + group * (GROUP // SEQUENCE), offsets[w, queue] + begin - own[w]))
-                if own[-1] >= end:
-                    return tuple(map(np.concatenate, zip(*out, strict=True)))
+            bounds, begins = self.group(group)
+            edges.append(bounds[:-1, queue])
+            offsets.append(begins[:, queue])
+            windows.append(np.arange(len(begins)) + group * (GROUP // SEQUENCE))
+            if bounds[-1, queue] >= end:
+                return np.append(np.concatenate(edges), bounds[-1, queue]), np.concatenate(windows), np.concatenate(offsets)
             group += 1
 
+    def pieces(self, queue: int, position: np.ndarray, length: np.ndarray) -> tuple[np.ndarray, ...]:
+        """(which, start, length, sequence, offset) of the pieces of runs of `length` tokens of a queue, from `position`."""
+        end = position + length
+        edges, windows, offsets = self.borders(queue, int(position.min()), int(end.max()))
+        first, last = np.searchsorted(edges, position, "right") - 1, np.searchsorted(edges, end, "left")
+        n = last - first
+        which = np.repeat(np.arange(len(n)), n)
+        w = np.arange(len(which)) + np.repeat(first - (np.cumsum(n) - n), n)
+        begin, stop = np.maximum(edges[w], position[which]), np.minimum(edges[w + 1], end[which])
+        some = stop > begin
+        which, w, begin, stop = which[some], w[some], begin[some], stop[some]
+        return which, begin - position[which], stop - begin, windows[w], offsets[w] + begin - edges[w]
+
 
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int) -> DataFrame:
     """(chunk, source, doc_id, position, n, ids): a chunk is a task, position counts a source's tokens in it."""
@@ -176,18 +184,25 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, with_ids: bool = Fals
         for whole in batches:
             for i in range(0, whole.num_rows, BATCH_ROWS):
                 part = whole.slice(i, BATCH_ROWS)
-                doc_id, queue, position, n = (part.column(c).to_pylist() for c in ("doc_id", "queue", "position", "n"))
-                found = [plan.pieces(q, p, k) for q, p, k in zip(queue, position, n, strict=True)]
-                how_many = [len(f[0]) for f in found]
-                start, length, sequence, offset = (np.concatenate(c) for c in zip(*found, strict=True))
+                queue, position, n = (part.column(c).to_numpy() for c in ("queue", "position", "n"))
+                found = []
+                for q in np.unique(queue).tolist():
+                    own = np.flatnonzero(queue == q)
+                    which, *rest = plan.pieces(q, position[own], n[own])
+                    found.append((own[which], *rest))
+                take, start, length, sequence, offset = (np.concatenate(c) for c in zip(*found, strict=True))
+                order = np.argsort(take, kind="stable")
+                take, start, length, sequence, offset = (x[order] for x in (take, start, length, sequence, offset))
+                ends = np.cumsum(np.bincount(take, minlength=len(n))).tolist()
                 crcs, own = [], []
-                for b, f in zip(part.column("ids").to_pylist(), found, strict=True):
+                a_of, z_of, at = (4 * start).tolist(), (4 * (start + length)).tolist(), 0
+                for b, until in zip(part.column("ids").to_pylist(), ends, strict=True):
                     raw = memoryview(np.frombuffer(b, "<u2").astype("<u4").tobytes())
-                    cuts = [raw[4 * a : 4 * z] for a, z in zip(f[0].tolist(), (f[0] + f[1]).tolist(), strict=True)]
+                    cuts = [raw[a:z] for a, z in zip(a_of[at:until], z_of[at:until], strict=True)]
                     crcs += map(zlib.crc32, cuts)
                     own += map(bytes, cuts) if with_ids else ()
-                take = np.repeat(np.arange(len(n)), how_many)
-                columns = [part.column("doc_id").take(pa.array(take)), pa.array(start), pa.array(length), pa.array(crcs, pa.int64()), pa.array(np.array(n, np.int64)[take]), pa.array(sequence), pa.array(offset)]
+                    at = until
+                columns = [part.column("doc_id").take(pa.array(take)), pa.array(start), pa.array(length), pa.array(crcs, pa.int64()), pa.array(n[take]), pa.array(sequence), pa.array(offset)]
                 yield pa.RecordBatch.from_arrays([*columns, *[pa.array(own, pa.binary())] * with_ids], names)
 
     return placed.mapInArrow(run, "doc_id long, start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long" + ", ids binary" * with_ids)

@@ -33,7 +33,7 @@ from quillgraph.llm.token_ids import byte_bpe
 #: document that fills them), steps between checkpoints.
 SCALE, LANES, BLOCK_TOKENS, FILE_TOKENS, CHECKPOINT = 20, 4096, 1 << 19, 1 << 22, 64
 LOW = np.uint64(1 << 31)
-BATCH_ROWS = 500
+BATCH_ROWS = 1000
 #: A table of so many parts is broadcast; a longer one is joined by a shuffle.
 BROADCAST_ROWS = 200_000
 _HEAD = struct.Struct("<4sIIIII")

@@ -12,9 +12,11 @@ from __future__ import annotations
 import os
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.compute as pc
 
 #: Pieces that a worker keeps during a task, the longest of them, and pieces encoded in one call.
-CACHE_PIECES, KEPT_LENGTH, CALL_PIECES = 300_000, 64, 500
+CACHE_PIECES, KEPT_LENGTH, CALL_PIECES = 500_000, 64, 500
 #: Begins a piece that no space precedes. A key is a piece without its leading space, or with MARK in front if it has
 #: none; a piece that begins with a line feed is its own key.
 MARK = "\x01"
@@ -37,7 +39,6 @@ class ByteBpe:
             self.bytes_of[i] = len(token)
         self.known: dict[str, bytes] = {}
         self.long: list[str] = []
-        self.may_stop: set[str] = set()
 
     def _whole(self, text: str) -> bytes:
         return np.array(self.tokenizer.encode_batch_fast([text], add_special_tokens=False)[0].ids, "<u2").tobytes()
@@ -58,7 +59,7 @@ class ByteBpe:
                 out += map(self._whole, own)
         return out
 
-    def _learn(self, keys: set[str]) -> None:
+    def _learn(self, keys: list[str]) -> None:
         """Add the ids of new keys; those at whose edges a text must not be cut stay unknown."""
         plain, lines, rest = [], [], []
         for k in keys:
@@ -72,49 +73,51 @@ class ByteBpe:
         self.known.update((k, self._whole(k[1:])) for k in rest)
         self.long = [k for k in (*plain, *lines, *rest) if len(k) > KEPT_LENGTH]
 
-    def _stops_alone(self, marked: str) -> bool:
-        """Whether each marked full stop and comma follows a Latin letter or a digit."""
-        new = {p[-1:] for p in marked.split(" " + MARK)[:-1]} - self.may_stop
-        good = {c for c in new if c and c < "\u0250" and c.isalnum()}
-        self.may_stop |= good
-        return len(good) == len(new)
-
     def forget(self) -> None:
         """Drop the pieces, at the end of a task: a worker that goes on has other uses for the memory."""
         self.known = {}
 
+    def _cut(self, texts: list[str]) -> list[bytes | None]:
+        """Ids of texts without MARK and added tokens; None for those that can't be cut."""
+        marked = pa.array([MARK + t for t in texts], pa.large_string())
+        for c in (".", ","):
+            marked = pc.replace_substring(marked, c, f" {MARK}{c}")
+        cut = pc.split_pattern(pc.replace_substring(marked, "\n", " \n"), " ")
+        ends = cut.offsets.to_numpy()
+        coded = cut.values.slice(ends[0], ends[-1] - ends[0]).dictionary_encode()
+        ends = ends - ends[0]
+        code, keys = coded.indices.to_numpy(), coded.dictionary.to_pylist()
+        found = list(map(self.known.get, keys))
+        new = [i for i, own in enumerate(found) if own is None]
+        self._learn([keys[i] for i in new])
+        unknown = np.zeros(len(keys), bool)
+        for i in new:
+            found[i] = own = self.known.get(keys[i])
+            unknown[i] = own is None
+        # a marked stop must follow a Latin letter or a digit
+        stop = pc.starts_with(coded.dictionary, MARK).to_numpy(zero_copy_only=False)
+        last = pc.utf8_slice_codeunits(coded.dictionary, -1)
+        letter = pc.and_(pc.utf8_is_alnum(last), pc.less(last, pa.scalar("\u0250", pa.large_string()))).to_numpy(zero_copy_only=False)
+        bad = unknown[code]
+        bad[1:] |= stop[code[1:]] & ~letter[code[:-1]]
+        first = ends[:-1]
+        bad[first] = unknown[code[first]]
+        wrong = np.add.reduceat(bad.astype(np.int64), first) > 0
+        ids = pa.array(found, pa.large_binary()).take(coded.indices)
+        at, raw = np.frombuffer(ids.buffers()[1], np.int64)[: len(code) + 1][ends].tolist(), memoryview(ids.buffers()[2] or b"")
+        return [None if w else bytes(raw[a:z]) for w, a, z in zip(wrong.tolist(), at, at[1:], strict=False)]
+
     def ids(self, texts: list[str | None]) -> list[bytes]:
         out: list[bytes] = [b""] * len(texts)
-        cut: dict[int, list[str]] = {}
-        again = []
+        simple = [i for i, t in enumerate(texts) if t and MARK not in t and not any(a in t for a in self.added)]
+        found = dict(zip(simple, self._cut([texts[i] for i in simple]), strict=True)) if simple else {}
         for i, t in enumerate(texts):
-            if not t:
-                continue
-            if MARK in t or any(a in t for a in self.added):
-                out[i] = self._whole(t)
-                continue
-            marked = t.replace(".", " \x01.").replace(",", " \x01,").replace("\n", " \n")
-            if self._stops_alone(marked) and marked[0] != " ":
-                cut[i] = marked.split(" ")
-                cut[i][0] = MARK + cut[i][0]
-            else:
-                again.append(i)
-        parts = {i: list(map(self.known.get, keys)) for i, keys in cut.items()}
-        missing = {i: [j for j, part in enumerate(own) if part is None] for i, own in parts.items() if None in own}
-        self._learn({cut[i][j] for i, own in missing.items() for j in own})
-        for i, own in missing.items():
-            for j in own:
-                parts[i][j] = self.known.get(cut[i][j])
-        for i, own in parts.items():
-            if i in missing and None in own:
-                again.append(i)
-            else:
-                out[i] = b"".join(own)
-        for i in again:
-            # other white space than single spaces and line feeds, or rows of stops
-            out[i] = self._whole(texts[i])
+            if t:
+                # other white space than single spaces and line feeds, rows of stops, or an added token
+                out[i] = self._whole(t) if (own := found.get(i)) is None else own
         for k in self.long:
-            del self.known[k]
+            self.known.pop(k, None)
+        self.long = []
         return out
 
 
