@@ -46,7 +46,8 @@ def base_mentions(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def scored(spark: SparkSession, sf: str) -> DataFrame:
-    m, raw = base_mentions(spark, sf), raw_mentions(spark, sf)
+    # read three times
+    m, raw = graph.settle(base_mentions(spark, sf)), raw_mentions(spark, sf)
     total = m.agg(F.count_distinct("source")).scalar()
     kind = F.split_part(F.col("p_type"), F.lit(" "), F.lit(1))
     prior = F.coalesce(F.create_map(*[F.lit(x) for kv in PRIORS.items() for x in kv])[kind], F.lit(PRIOR))
