@@ -31,10 +31,12 @@ def new_path(spark: SparkSession, label: str) -> str:
 
 
 def materialize(df: DataFrame, label: str) -> DataFrame:
-    """Cut the lineage: write df as Parquet in the shared folder and read it again."""
+    """Cut the lineage: write df as Parquet in the shared folder and read it again. The table goes when the driver ends."""
     spark = df.sparkSession
     path = new_path(spark, label)
     df.write.parquet(path)
+    written = spark._jvm.org.apache.hadoop.fs.Path(path)
+    written.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(written)
     return spark.read.schema(df.schema).parquet(path)
 
 

@@ -162,8 +162,9 @@ def unpack_file(payload: bytes) -> Iterator[tuple[list[int | None], np.ndarray,
 FILE_SCHEMA = "part int, file int, start long, n_tokens long, payload binary"
 
 
-def write_files(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
-    """Encode docs (doc_id, text) in ascending doc_id order; the table of files, written to the shared folder.
+def write_files(docs: DataFrame, tokenizer: str, end_id: int = 0, path: str | None = None) -> DataFrame:
+    """Encode docs (doc_id, text) in ascending doc_id order; the table of files, written to `path`, where it stays, or else
+    to the shared folder until the driver ends.
 
     The texts are range-partitioned by doc_id before they are tokenized, so each is tokenized once; a worker holds the
     ids of one file (2 * FILE_TOKENS bytes, or one longer document) at a time. `start` counts from the part's begin.
@@ -195,7 +196,11 @@ def write_files(docs: DataFrame, tokenizer: str, end_id: int = 0) -> DataFrame:
             yield flush()
 
     ordered = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").repartitionByRange("doc_id").sortWithinPartitions("doc_id", "text")
-    return materialize(ordered.mapInArrow(encode, FILE_SCHEMA), "token-files")
+    files = ordered.mapInArrow(encode, FILE_SCHEMA)
+    if path is None:
+        return materialize(files, "token-files")
+    files.write.mode("overwrite").parquet(path)
+    return docs.sparkSession.read.schema(files.schema).parquet(path)
 
 
 def read_files(files: DataFrame, with_ids: bool = True) -> DataFrame:
