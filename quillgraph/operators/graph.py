@@ -13,7 +13,8 @@ _own: list[str] = []
 
 def settle(df: DataFrame) -> DataFrame:
     """Cut the lineage of an iteration: a table in the folder of spark.checkpoint.dir. Where that is unset, a local session
-    has a temporary folder; on a cluster, whose executors don't share one, it is an error."""
+    has a temporary folder; on a cluster, whose executors don't share one, it is an error. The table goes when the driver
+    ends."""
     spark = df.sparkSession
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder and not spark.sparkContext.master.startswith("local["):
@@ -23,6 +24,8 @@ def settle(df: DataFrame) -> DataFrame:
         folder = "file://" + _own[0]
     path = f"{folder.rstrip('/')}/rounds/{uuid.uuid4().hex}"
     df.write.parquet(path)
+    written = spark._jvm.org.apache.hadoop.fs.Path(path)
+    written.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(written)
     return spark.read.schema(df.schema).parquet(path)
 
 
