@@ -40,8 +40,8 @@ from quillgraph.llm.common import drop_path, materialize, release
 
 LENGTH, K = 50, 16
 #: Places of one minimizer beyond which its windows are spread; windows in a run; bytes handled at once by a scan and by
-#: a suffix sort; bytes of texts to a bucket; windows of places compared at once.
-HOT, RUN, SCAN, PORTION, BUCKET_BYTES, COMPARED = 20_000, 64, 2_000_000, 300_000, 8_000_000, 2_000_000
+#: a suffix sort; bytes of texts to a bucket; windows and places compared at once.
+HOT, RUN, SCAN, PORTION, BUCKET_BYTES, COMPARED, PLACES = 20_000, 64, 1_000_000, 300_000, 8_000_000, 1_000_000, 100_000
 #: Owner of what only rows without a doc_id have. A text has less than 2**31 bytes, so the top bit of a place tells them.
 NO_ID, NULL = (1 << 63) - 1, np.uint32(1 << 31)
 PLACE = np.dtype([("did", "<i8"), ("dig", "<i4"), ("at", "<u4")])
@@ -343,28 +343,36 @@ def covered(met: DataFrame, buckets: int) -> DataFrame:
 
     def portion(strings: list[bytes], counts: np.ndarray, every: np.ndarray) -> Iterator[pa.RecordBatch]:
         code: dict[bytes, int] = {}
-        number = np.repeat(np.array([code.setdefault(s, len(code)) for s in strings]), counts)
-        owner, own = np.full(len(code), NO_ID), _owners(every)
-        np.minimum.at(owner, number, own)
+        number = np.repeat(np.array([code.setdefault(s, len(code)) for s in strings], np.int32), counts)
+        owner = np.full(len(code), NO_ID)
+        slices = [slice(i, i + PLACES) for i in range(0, len(every), PLACES)]
+        for s in slices:
+            np.minimum.at(owner, number[s], _owners(every[s]))
         least, size = earliest(list(code), owner)
         first = np.cumsum(size) - size
         low, high = np.minimum.reduceat(least, first), np.maximum.reduceat(least, first)
-        whole = high[number] < own
-        yield _spans(every[whole], np.zeros(int(whole.sum()), np.int64), size[number[whole]])
-        some = np.flatnonzero(~whole & (low[number] < own))
-        ends = np.cumsum(size[number[some]])
-        at = 0
-        while at < len(some):
-            end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + COMPARED)))
-            part = some[at:end]
-            which, begin, n = earlier_runs(least, first[number[part]], size[number[part]], own[part])
-            yield _spans(every[part[which]], begin, n)
-            at = end
+        for s in slices:
+            of, places = number[s], every[s]
+            own = _owners(places)
+            whole = high[of] < own
+            if whole.any():
+                yield _spans(places[whole], np.zeros(int(whole.sum()), np.int64), size[of[whole]])
+            some = np.flatnonzero(~whole & (low[of] < own))
+            ends = np.cumsum(size[of[some]])
+            at = 0
+            while at < len(some):
+                end = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + COMPARED)))
+                part = some[at:end]
+                which, begin, n = earlier_runs(least, first[of[part]], size[of[part]], own[part])
+                yield _spans(places[part[which]], begin, n)
+                at = end
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def close(parts: list[tuple]) -> Iterator[pa.RecordBatch]:
             key, lengths, counts, places = (np.frombuffer(b"".join(p[i] for p in parts), t) for i, t in ((0, np.uint64), (1, np.uint8), (3, "<u4"), (4, PLACE)))
-            raw, ends, last = b"".join(p[2] for p in parts), np.cumsum(lengths, dtype=np.int64), np.cumsum(counts, dtype=np.int64)
+            raw = b"".join(p[2] for p in parts)
+            parts.clear()
+            ends, last = np.cumsum(lengths, dtype=np.int64), np.cumsum(counts, dtype=np.int64)
             order = np.argsort(key, kind="stable")
             filled, new = np.cumsum(lengths[order], dtype=np.int64), np.concatenate([[True], key[order][1:] != key[order][:-1]])
             at = 0

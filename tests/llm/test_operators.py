@@ -101,6 +101,7 @@ def test_suffix_dedup(docs, none, hot, monkeypatch):
         monkeypatch.setattr(suffix_dedup, "SCAN", 4000)
         monkeypatch.setattr(suffix_dedup, "PORTION", 3000)
         monkeypatch.setattr(suffix_dedup, "COMPARED", 500)
+        monkeypatch.setattr(suffix_dedup, "PLACES", 7)
     seen, want = {}, {}
     big = suffix_dedup.NO_ID
     rows = sorted({(a[0] if a[0] is not None else big, a[1] or "") for a in AWKWARD})
