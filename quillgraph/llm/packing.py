@@ -10,7 +10,8 @@ window, fill sequences whose lengths are powers of two, so no sequence needs pad
 Sources with less than a token in a window (SMALL of all tokens) share one queue, so at most 1 / SMALL + 1 queues are
 planned, and how many sources there are doesn't matter. In that queue a source's tokens of each chunk, a task's documents,
 stand where its share of its tokens is reached; so each such source keeps its proportion too, over stretches of about a
-chunk instead of a window.
+chunk instead of a window. If such sources have less than a token in a window all together, their tokens stand so in the
+largest source's queue.
 
 Defined cases: a null text is empty and has only its end id; a null source is a source of its own; an empty table
 gives no pieces; documents of null or repeated ids are packed like any other, each in its own pieces; extra columns
@@ -161,16 +162,20 @@ def pack(docs: DataFrame, tokenizer: str, end_id: int = 0, with_ids: bool = Fals
     # at most 1 / SMALL rows
     large = per_source.filter(F.col("n") >= SMALL * total).orderBy("source").collect()
     totals = [r["n"] for r in large]
-    rest = len(totals)
-    if total > sum(totals):
-        totals.append(total - sum(totals))
+    small, rest = total - sum(totals), len(totals)
+    if 0 < small < SMALL * total and totals:
+        # less than a token in a window together: they stand among the largest source's
+        rest = max(range(len(totals)), key=lambda i: totals[i])
+        totals[rest] += small
+    elif small:
+        totals.append(small)
     spark = docs.sparkSession
     queues = spark.createDataFrame([(r["source"], i) for i, r in enumerate(large)], "source string, queue int")
     with_queue = per_chunk.alias("c").join(F.broadcast(queues).alias("q"), F.expr("c.source <=> q.source"), "left").select("c.chunk", "c.source", "c.n", F.coalesce("q.queue", F.lit(rest)).alias("queue"))
     # where in its source a chunk's tokens lie: a row for each chunk
     own = Window.partitionBy("source").orderBy("chunk")
     middle = F.coalesce(F.sum("n").over(own.rowsBetween(Window.unboundedPreceding, -1)), F.lit(0)) + F.col("n") / 2
-    spread = with_queue.withColumn("at", F.when(F.col("queue") == rest, middle / F.sum("n").over(Window.partitionBy("source"))).otherwise(0.0))
+    spread = with_queue.withColumn("at", middle / F.sum("n").over(Window.partitionBy("source")))
     starts = spark.createDataFrame([(i, sum(totals[:i])) for i in range(len(totals))], "queue int, start long")
     placed = running(spread, ["queue", "at", "chunk", "source"], F.col("n")).join(F.broadcast(starts), "queue")
     bases = materialize(placed.select("chunk", F.col("source").alias("_source"), "queue", (F.col("before") - F.col("start")).alias("base")), "packing-bases")

@@ -87,6 +87,24 @@ def test_many_small_sources_keep_their_proportions(spark):
     assert 0.42 < shares.mean() < 0.58 and (shares > 0.1).mean() > 0.9
 
 
+def test_a_source_of_a_few_tokens(spark, monkeypatch):
+    monkeypatch.setattr(packing, "GROUP", 4096)
+    ids = expected_tokens()
+    for n in (0, 1, 4):
+        rows = [(i, "some words of the large source " * 6, "large") for i in range(900)] + [(1000 + i, "a b", f"tiny{i}") for i in range(n)]
+        pieces = packing.pack(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(5), BYTE_BPE, with_ids=True).collect()
+        own = defaultdict(list)
+        for p in pieces:
+            own[p.doc_id].append(p)
+        assert all(b"".join(bytes(p.ids) for p in sorted(own[i], key=lambda p: p.start)) == ids(t).tobytes() for i, t, _ in rows[::89] + rows[900:])
+        filled = defaultdict(list)
+        for p in pieces:
+            filled[p.sequence_id].append((p.offset, p.length))
+        total = sum(p.length for p in pieces)
+        assert all(at == end for w in filled.values() for at, end in zip([a for a, _ in sorted(w)], np.cumsum([0, *(k for _, k in sorted(w))])[:-1], strict=True))
+        assert sorted(sum(k for _, k in w) for w in filled.values() if sum(k for _, k in w) < 1024) == [1 << b for b in range(10) if total % 1024 >> b & 1]
+
+
 def test_sources_of_one_row_each(spark, docs):
     from pyspark.sql import functions as F
 
