@@ -32,7 +32,7 @@ Q, RATE, UNIT, SHORTEST = 8, 0.1, 128, 24
 EDITS = int(UNIT * RATE)
 #: Diagonals in half a band; bytes of an item indexed together; bytes between texts, which no alignment can pass.
 BAND, CHUNK, GAP = EDITS + 1, 2048, 4 * EDITS
-BLOCK_BYTES, SCAN, SLICE = 4_000_000, 1_000_000, 4_000_000
+BLOCK_BYTES, SCAN, SLICE = 2_000_000, 1_000_000, 4_000_000
 _ODD = np.uint64(0x9E3779B97F4A7C15)
 _SPACES = bytes.maketrans(b"\t\n\x0b\x0c\r", b"     ")
 
@@ -70,8 +70,8 @@ class Patterns:
         codes = [q_grams(np.frombuffer(x, np.uint8)) for x in self.text]
         code = np.concatenate(codes) if codes else np.zeros(0, np.uint64)
         order = np.argsort(code, kind="stable")
-        self.chunk = np.repeat(np.arange(len(codes)), [len(c) for c in codes])[order] if codes else np.zeros(0, np.int64)
-        self.place = np.concatenate([np.arange(len(c)) for c in codes])[order] if codes else np.zeros(0, np.int64)
+        self.chunk = np.repeat(np.arange(len(codes), dtype=np.int32), [len(c) for c in codes])[order] if codes else np.zeros(0, np.int32)
+        self.place = np.concatenate([np.arange(len(c), dtype=np.int32) for c in codes])[order] if codes else np.zeros(0, np.int32)
         self.code, self.first, self.count = np.unique(code[order], return_index=True, return_counts=True)
         self.shift = np.uint64(64 - min(26, max(16, (24 * len(self.code)).bit_length())))
         self.maybe = np.zeros(1 << (64 - int(self.shift)), bool)
