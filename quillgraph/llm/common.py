@@ -50,14 +50,16 @@ def drop_path(df: DataFrame) -> None:
             path.getFileSystem(conf).delete(path, True)
 
 
-#: Rows in a batch for Python workers: as whole texts of any length are in it, far fewer than Spark's default of 10,000.
-BATCH_RECORDS = 1000
+#: Rows and bytes in a batch for Python workers, far fewer than Spark's defaults: whole texts of any length are in it, or
+#: packed rows of many texts, and JVM and worker hold several batches each.
+BATCHES = {"spark.sql.execution.arrow.maxRecordsPerBatch": ("10000", "1000"), "spark.sql.execution.arrow.maxBytesPerBatch": ("67108864b", "4194304b")}
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A table of the folder. Where the session has Spark's own batch size for Python workers, it gets BATCH_RECORDS."""
-    if spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch") == "10000":
-        spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(BATCH_RECORDS))
+    """A table of the folder. Where the session has Spark's own batch sizes for Python workers, it gets those of BATCHES."""
+    for key, (default, own) in BATCHES.items():
+        if spark.conf.get(key, default) == default:
+            spark.conf.set(key, own)
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
