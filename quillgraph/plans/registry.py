@@ -9,9 +9,11 @@ from pyspark.sql import functions as F
 
 from quillgraph.functions import text as T
 from quillgraph.operators import board, exports, graph, layout, mentions, rules
-from quillgraph.sources.tables import raw_mentions, table
+from quillgraph.sources.tables import Settings, raw_mentions, table
 from quillgraph.streaming import limits
 
+#: What the queries are told; their SQL states the same numbers.
+SETTINGS = Settings()
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -80,13 +82,13 @@ def min_support(spark, sf):
 @query(f"WITH {SCORED}, r AS (SELECT source, target, round(base * spec * mutual, 3) AS score FROM s), k AS (SELECT *, row_number() OVER (PARTITION BY source ORDER BY score DESC, target) - 1 AS rank FROM r) SELECT *, CASE WHEN rank < 20 AND score >= 1.0 THEN 'core' ELSE 'extended' END AS tier FROM k")
 def mention_rank_tier(spark, sf):
     s = scored(spark, sf).select("source", "target", F.round(F.col("base") * F.col("spec") * F.col("mutual"), 3).alias("score"))
-    return mentions.ranked(s).withColumn("rank", F.col("rank").cast("long"))
+    return mentions.ranked(s, SETTINGS.core).withColumn("rank", F.col("rank").cast("long"))
 
 
 @query(f"WITH {SCORED}, k AS (SELECT source, target, CASE WHEN in_lead THEN 'L' ELSE '' END || n AS code, row_number() OVER (PARTITION BY source ORDER BY round(base, 6) DESC, target) AS rn FROM s) SELECT * FROM k WHERE rn <= 40")
 def top_candidates(spark, sf):
     s = scored(spark, sf).withColumn("base", F.round("base", 6))
-    return mentions.top(s, 40, "base").select("source", "target", mentions.mention_code(F.col("in_lead"), F.col("n")).alias("code"), F.col("rn").cast("long").alias("rn"))
+    return mentions.top(s, SETTINGS.candidates, "base").select("source", "target", mentions.mention_code(F.col("in_lead"), F.col("n")).alias("code"), F.col("rn").cast("long").alias("rn"))
 
 
 @query("WITH u AS (SELECT n_name AS title, 'category' AS source FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE c_acctbal < 0 UNION SELECT n_name, 'wikidata' FROM supplier JOIN nation ON s_nationkey = n_nationkey UNION SELECT n_name, 'list_page' FROM nation WHERE n_regionkey < 3 UNION SELECT n_name, 'manual' FROM nation WHERE n_nationkey = 7), g AS (SELECT title, list_sort(list(source)) AS l FROM u GROUP BY 1) SELECT title, array_to_string(l, ',') AS sources, 2 * list_contains(l, 'category')::INT + 2 * list_contains(l, 'wikidata')::INT + list_contains(l, 'list_page')::INT + 5 * list_contains(l, 'manual')::INT AS confidence FROM g")
@@ -294,7 +296,7 @@ _TOP = _PAIRS + ", bb AS (SELECT a, b, weight, a AS me, b AS it FROM p UNION ALL
 
 
 def hub_pairs(spark, sf):
-    return graph.co_mentions(mentions.aggregate(raw_mentions(spark, sf))).withColumn("weight", F.round("weight", 6))
+    return graph.co_mentions(mentions.aggregate(raw_mentions(spark, sf)), SETTINGS.most_hubs).withColumn("weight", F.round("weight", 6))
 
 
 @query(f"WITH {_PAIRS} SELECT * FROM p")
@@ -304,12 +306,12 @@ def co_mention_pairs(spark, sf):
 
 @query(f"WITH {_TOP} SELECT * FROM top")
 def topk_neighbours(spark, sf):
-    return graph.strongest_neighbours(hub_pairs(spark, sf))
+    return graph.strongest_neighbours(hub_pairs(spark, sf), SETTINGS.neighbours)
 
 
 @query(f"WITH {_TOP} SELECT a, b, round(weight / avg(weight) OVER (), 6) AS weight FROM top")
 def pair_weight_norm(spark, sf):
-    return graph.normalized(graph.strongest_neighbours(hub_pairs(spark, sf))).withColumn("weight", F.round("weight", 6))
+    return graph.normalized(graph.strongest_neighbours(hub_pairs(spark, sf), SETTINGS.neighbours)).withColumn("weight", F.round("weight", 6))
 
 
 _PATHS = E + ", paths AS (SELECT o_orderkey AS id, ['C' || o_custkey, 'P' || (o_orderkey % 50 + 1), 'C' || (o_custkey % 40 + 1)] AS path FROM orders), st AS (SELECT id, i - 1 AS step, path[i] AS x, path[i + 1] AS y FROM paths, (VALUES (1), (2)) v(i))"
@@ -455,13 +457,13 @@ def histograms(spark, sf):
 
 @query()
 def communities(spark, sf):
-    return graph.communities(graph.strongest_neighbours(hub_pairs(spark, sf)))
+    return graph.communities(graph.strongest_neighbours(hub_pairs(spark, sf), SETTINGS.neighbours))
 
 
 @query()
 def force_layout(spark, sf):
-    pairs = graph.normalized(graph.strongest_neighbours(hub_pairs(spark, sf)))
-    return layout.force_layout(layout.within_clusters(pairs, communities(spark, sf)).withColumn("theme", F.substring("a", 2, 2)), "theme", iterations=100)
+    pairs = graph.normalized(graph.strongest_neighbours(hub_pairs(spark, sf), SETTINGS.neighbours))
+    return layout.force_layout(layout.within_clusters(pairs, communities(spark, sf), SETTINGS.inside, SETTINGS.between).withColumn("theme", F.substring("a", 2, 2)), "theme", iterations=100)
 
 
 _Q = "chr(39)"
