@@ -36,7 +36,8 @@ def canonical_edges(edges: DataFrame) -> DataFrame:
 
 def neighbours(canonical: DataFrame) -> DataFrame:
     """(node, other) in both directions."""
-    return canonical.select(F.col("a").alias("node"), F.col("b").alias("other")).union(canonical.select("b", "a"))
+    end = lambda x, y: F.struct(F.col(x).alias("node"), F.col(y).alias("other"))
+    return canonical.select(F.inline(F.array(end("a", "b"), end("b", "a"))))
 
 
 def degrees(canonical: DataFrame) -> DataFrame:
@@ -193,7 +194,8 @@ def isolates(hubs: DataFrame, pairs: DataFrame) -> DataFrame:
 
 def strongest_neighbours(pairs: DataFrame, k: int = 8) -> DataFrame:
     """Pairs that are among the k strongest of either end; ties by the neighbour."""
-    both = pairs.select("a", "b", "weight", F.col("a").alias("me"), F.col("b").alias("it")).union(pairs.select("a", "b", "weight", "b", "a"))
+    end = lambda x, y: F.struct(F.col(x).alias("me"), F.col(y).alias("it"))
+    both = pairs.select("a", "b", "weight", F.inline(F.array(end("a", "b"), end("b", "a"))))
     order = Window.partitionBy("me").orderBy(F.desc("weight"), "it")
     return both.withColumn("r", F.row_number().over(order)).filter(F.col("r") <= k).select("a", "b", "weight").distinct()
 
