@@ -1,4 +1,4 @@
-"""The ten operators as registered queries, with production parameters over their whole tables, and their SQL."""
+"""The operators as registered queries, with production parameters over their whole tables, and their SQL."""
 
 from __future__ import annotations
 
@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillgraph.llm import class_lm, decontaminate, packing, quality_classifier, quality_rules, simhash, sql, suffix_dedup, token_counts, token_files, url_filter
+from quillgraph.llm import class_lm, decontaminate, packing, quality_classifier, quality_rules, simhash, sql, suffix_dedup, token_counts, token_files, url_filter, vector_codes
 from quillgraph.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -80,5 +80,9 @@ def op10_decontaminate(spark: SparkSession, sf_dir: str) -> DataFrame:
     return decontaminate.leaks(table(spark, sf_dir, "documents").select("doc_id", "text"), table(spark, sf_dir, "benchmark"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_suffix_dedup, op4_class_lm, op5_quality_rules, op6_simhash, op7_quality_classifier, op8_token_files, op9_packing, op10_decontaminate)}
-SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op3_suffix_dedup": sql.SUFFIX_DEDUP, "op5_quality_rules": sql.QUALITY_RULES}
+def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return vector_codes.report(table(spark, sf_dir, "embeddings"))
+
+
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_suffix_dedup, op4_class_lm, op5_quality_rules, op6_simhash, op7_quality_classifier, op8_token_files, op9_packing, op10_decontaminate, op13_vector_codes)}
+SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op3_suffix_dedup": sql.SUFFIX_DEDUP, "op5_quality_rules": sql.QUALITY_RULES, "op13_vector_codes": sql.VECTOR_CODES}

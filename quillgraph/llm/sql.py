@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from quillgraph.llm import quality_rules, suffix_dedup
+from quillgraph.llm import quality_rules, suffix_dedup, vector_codes
 
 #: Bytes of a text that are cut into strings together, so that a long text isn't read from its begin for each.
 _CHUNK = 1000
@@ -44,3 +44,28 @@ passed AS (SELECT *, coalesce(tail <= {quality_rules.DELTA / len(quality_rules.R
 chosen AS (SELECT lang, rule, min(cutoff) AS cutoff FROM (SELECT *, bool_and(ok) OVER (PARTITION BY lang, rule ORDER BY step) AS held FROM passed) WHERE held GROUP BY lang, rule)
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT ({_REJECTS}) AS kept FROM f
 """
+
+
+def _vector_codes(parts: int, entries: int, rounds: int, scale: int) -> str:
+    """Lloyd rounds without any bounds, a pair of tables for each."""
+    assign = "SELECT rid, p, arg_min(e, {{'d': d, 'e': e}}) AS e, min(d) AS d FROM (SELECT rid, p, e, list_sum(list_transform(list_zip(s, c), lambda z: (z[1] - z[2]) * (z[1] - z[2])))::BIGINT AS d FROM x JOIN c{0} USING (p)) GROUP BY rid, p"
+    mean = "SELECT p, e, i, CASE WHEN n > 0 THEN (t - ((t % n) + n) % n) // n END AS m FROM (SELECT p, e, i, sum(v)::HUGEINT AS t, count(*)::HUGEINT AS n FROM (SELECT p, e, unnest(s) AS v, unnest(range(len(s))) AS i FROM x JOIN a{0} USING (rid, p)) GROUP BY ALL)"
+    update = f"SELECT c.p, c.e, coalesce(u.c, c.c) AS c FROM c{{0}} c LEFT JOIN (SELECT p, e, list(m::BIGINT ORDER BY i) AS c FROM ({mean}) GROUP BY p, e) u USING (p, e)"
+    tables = [
+        f"v AS MATERIALIZED (SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label, list_transform(embedding, lambda y: floor(y::DOUBLE * {scale})::BIGINT) AS v FROM embeddings WHERE len(embedding) > 0 AND len(list_filter(embedding, lambda y: y IS NULL OR NOT isfinite(y))) = 0)",
+        f"x AS MATERIALIZED (SELECT rid, p, v[p * (len(v) // {parts}) + 1 : (p + 1) * (len(v) // {parts})] AS s FROM v, unnest(range({parts})) AS u(p))",
+        f"c0 AS MATERIALIZED (SELECT p, rid - 1 AS e, s AS c FROM x WHERE rid <= {entries})",
+    ]
+    for r in range(rounds + 1):
+        tables.append(f"a{r} AS MATERIALIZED ({assign.format(r)})")
+        if r < rounds:
+            tables.append(f"c{r + 1} AS MATERIALIZED ({update.format(r)})")
+    return f"""
+WITH {", ".join(tables)},
+book AS (SELECT sha256(string_agg(array_to_string(c, ','), ',' ORDER BY p, e)) AS h FROM c{rounds}),
+rows AS (SELECT rid, string_agg(format('{{:02x}}', e), '' ORDER BY p) AS code, sum(d)::BIGINT AS error FROM a{rounds} GROUP BY rid)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error, h AS codebooks_sha256 FROM rows JOIN v USING (rid), book
+"""
+
+
+VECTOR_CODES = _vector_codes(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS, vector_codes.SCALE)
