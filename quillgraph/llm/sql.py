@@ -69,3 +69,20 @@ SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS la
 
 
 VECTOR_CODES = _vector_codes(vector_codes.PARTS, vector_codes.ENTRIES, vector_codes.ROUNDS, vector_codes.SCALE)
+
+PREFIX_TRIE = """
+WITH bytes AS (SELECT list(list_reduce(range(8), lambda c, k: CASE WHEN c & 1 = 1 THEN xor(c >> 1, 3988292384) ELSE c >> 1 END, i) ORDER BY i) AS t FROM range(256) AS r(i)),
+own AS (SELECT conv_id, row_number() OVER (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text) AS n, role, text FROM (SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations WHERE conv_id IS NOT NULL)),
+convs AS (SELECT conv_id AS c, xor(list_reduce(list_transform(string_split(conv_id::VARCHAR, ''), lambda x: ord(x)::BIGINT), lambda a, b: xor(a >> 8, t[xor(a & 255, b) + 1]), 4294967295), 4294967295) % 9 AS h FROM (SELECT DISTINCT conv_id FROM own), bytes),
+turns AS (SELECT c, n, 0 AS later, role, text FROM convs JOIN own ON conv_id = c - c % 5 AND n <= h UNION ALL SELECT c, n, 1, role, text FROM convs JOIN own ON conv_id = c AND n > h),
+paths AS (SELECT c, row_number() OVER w AS d, md5(string_agg(md5(strlen(role) || ':' || role || text), '') OVER w) AS node, strlen(text) AS bytes FROM turns WINDOW w AS (PARTITION BY c ORDER BY later, n)),
+all_paths AS (SELECT c, d, node, coalesce(lag(node) OVER (PARTITION BY c ORDER BY d), '') AS parent, bytes FROM paths UNION ALL SELECT c, 0, '', NULL, 0 FROM convs),
+last AS (SELECT c, max(d) AS d FROM all_paths GROUP BY c),
+nodes AS (SELECT node, any_value(parent) AS parent, d AS depth, min(c) AS conv_id, count(*) AS n_convs, (count(*) - 1) * any_value(bytes) AS own FROM all_paths GROUP BY node, d),
+children AS (SELECT parent AS node, count(*) AS n FROM nodes WHERE parent IS NOT NULL GROUP BY parent),
+pairs AS (SELECT DISTINCT a.node, b.node AS below FROM all_paths a JOIN all_paths b ON a.c = b.c AND a.d <= b.d),
+sums AS (SELECT pairs.node, count(*) FILTER (children.n IS NULL) AS n_leaves, sum(own)::BIGINT AS saved FROM pairs JOIN nodes ON nodes.node = below LEFT JOIN children ON children.node = below GROUP BY pairs.node),
+ends AS (SELECT node, sha256(string_agg(c::VARCHAR, ',' ORDER BY c)) AS h FROM all_paths JOIN last USING (c, d) GROUP BY node)
+SELECT nodes.conv_id, nodes.depth, p.conv_id AS parent_conv_id, nodes.n_convs, coalesce(children.n, 0) AS n_children, n_leaves, saved AS saved_tokens, coalesce(h, sha256('')) AS ends_sha256
+FROM nodes LEFT JOIN nodes p ON p.node = nodes.parent LEFT JOIN children ON children.node = nodes.node JOIN sums ON sums.node = nodes.node LEFT JOIN ends ON ends.node = nodes.node
+"""
