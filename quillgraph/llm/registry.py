@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from quillgraph.llm import class_lm, decontaminate, packing, prefix_trie, quality_classifier, quality_rules, simhash, sql, suffix_dedup, token_counts, token_files, url_filter, vector_codes
+from quillgraph.llm import class_lm, decontaminate, lsh_forest, packing, prefix_trie, quality_classifier, quality_rules, simhash, sql, suffix_dedup, token_counts, token_files, url_filter, vector_codes
 from quillgraph.llm.common import table
 
 BYTE_BPE = public_tokenizers.path("byte_bpe_50k.json")
@@ -84,9 +84,13 @@ def op11_prefix_trie(spark: SparkSession, sf_dir: str) -> DataFrame:
     return prefix_trie.report(table(spark, sf_dir, "conversations"))
 
 
+def op12_lsh_forest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lsh_forest.report(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return vector_codes.report(table(spark, sf_dir, "embeddings"))
 
 
-QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_suffix_dedup, op4_class_lm, op5_quality_rules, op6_simhash, op7_quality_classifier, op8_token_files, op9_packing, op10_decontaminate, op11_prefix_trie, op13_vector_codes)}
+QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {f.__name__: f for f in (op1_url_filter, op2_token_counts, op3_suffix_dedup, op4_class_lm, op5_quality_rules, op6_simhash, op7_quality_classifier, op8_token_files, op9_packing, op10_decontaminate, op11_prefix_trie, op12_lsh_forest, op13_vector_codes)}
 SQL: dict[str, str] = {"op1_url_filter": OP1_SQL, "op3_suffix_dedup": sql.SUFFIX_DEDUP, "op5_quality_rules": sql.QUALITY_RULES, "op11_prefix_trie": sql.PREFIX_TRIE, "op13_vector_codes": sql.VECTOR_CODES}

@@ -244,6 +244,8 @@ SMALL = 120
 LARGE_ERROR, SMALL_ERROR = 0.13, 0.1
 #: Texts and bytes of a portion of a group whose texts are compared; two portions at most are in a task.
 GROUP_PORTION, GROUP_BYTES = 8192, 32_000_000
+#: Bits of a set's bitmap (a power of two) where a group's texts are compared.
+BITMAP = 4096
 
 
 def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -273,29 +275,31 @@ def sketch(hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return key, bits
 
 
-def similar(others: np.ndarray, own: np.ndarray, similarity: float) -> np.ndarray:
-    """Which of the others' sketches are of a set that is as similar as `similarity`, but for the sketch's error."""
+def similar(others: np.ndarray, own: np.ndarray, similarity: float, errors: tuple[float, float] = (LARGE_ERROR, SMALL_ERROR)) -> np.ndarray:
+    """Which of the others' sketches are of a set that is as similar as `similarity`, but for the sketch's errors."""
     both, either = np.bitwise_count(others[:, 4:] & own[:, 4:]).sum(axis=1), np.bitwise_count(others[:, 4:] | own[:, 4:]).sum(axis=1)
     # of the bins that differ, half have equal bits
     agreeing = 1 - 2 * np.bitwise_count(others[:, :4] ^ own[:, :4]).sum(axis=1) / BINS
-    return np.where(either <= SMALL, both >= (similarity - SMALL_ERROR) * either, agreeing >= similarity - LARGE_ERROR)
+    return np.where(either <= SMALL, both >= (similarity - errors[1]) * either, agreeing >= similarity - errors[0])
 
 
-def band_links(fps: np.ndarray, bits: np.ndarray, similarity: float) -> tuple[np.ndarray, np.ndarray]:
+def band_links(fps: np.ndarray | None, bits: np.ndarray, similarity: float, errors: tuple[float, float] = (LARGE_ERROR, SMALL_ERROR)) -> tuple[np.ndarray, np.ndarray]:
     """Linked pairs (as indices) that connect whatever the members of a band are connected by, with no limit on members.
 
-    A pair is linked if neither the pivot table nor the fingerprints discard it and the sketches are similar. A few members
+    A pair is linked if neither the pivot table nor the fingerprints (if any) discard it and the sketches are similar. A few members
     are compared pair by pair. More are grouped around leaders, each with all that are linked to it and to none before;
     then two groups that are still apart are searched for a link. Differing min-hash bits and the Jaccard distance of
     bitmaps are metrics, so the distances of members to leaders tell which groups, and which members, can have one.
     """
-    table = np.bitwise_count(fps[:, None] ^ PIVOT_BITS).astype(np.int8)
+    table = None if fps is None else np.bitwise_count(fps[:, None] ^ PIVOT_BITS).astype(np.int8)
 
     def linked(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        if fps is None:
+            return similar(bits[x], bits[y], similarity, errors)
         at = np.flatnonzero(np.abs(table[x] - table[y]).max(axis=1, initial=0) <= LOOSE_RADIUS)
         at = at[np.bitwise_count(fps[x[at]] ^ fps[y[at]]) <= LOOSE_RADIUS]
         out = np.zeros(len(x), bool)
-        out[at] = similar(bits[x[at]], bits[y[at]], similarity)
+        out[at] = similar(bits[x[at]], bits[y[at]], similarity, errors)
         return out
 
     def distances(x: np.ndarray, y: int) -> tuple[np.ndarray, np.ndarray]:
@@ -305,12 +309,12 @@ def band_links(fps: np.ndarray, bits: np.ndarray, similarity: float) -> tuple[np
     def constant(y: int, x: np.ndarray) -> np.ndarray:
         return np.broadcast_to(np.int64(y), x.shape)
 
-    n = len(fps)
+    n = len(bits)
     if n <= DIRECT:
         x, y = np.triu_indices(n, 1)
         ok = linked(x, y)
         return y[ok], x[ok]
-    reach = (BINS * (1 - (similarity - LARGE_ERROR)) / 2 + 1e-6, 1 - (similarity - SMALL_ERROR) + 1e-6)
+    reach = (BINS * (1 - (similarity - errors[0])) / 2 + 1e-6, 1 - (similarity - errors[1]) + 1e-6)
     lead, members, radius, a, b = [], [], [], [], []
     rest = np.arange(n)
     while len(rest):
@@ -353,8 +357,9 @@ def exact_links(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray,
     """Pairs (as indices) of a spanning forest of the sets (sorted, distinct) whose Jaccard similarity is `similarity`.
 
     Each pair in the forest is compared exactly, and so is each pair whose ends it leaves apart, unless their sizes or, in a
-    group of over DIRECT, their sketches rule the pair out. There, sets are first gathered around leaders; then those outside
-    the largest part are compared with all that are still apart.
+    group of over DIRECT, their bitmaps prove that it is not similar: each bit that differs stands for an element that only
+    one of them has. There, sets are first gathered around leaders; then those outside the largest part are compared with
+    all that are still apart.
     """
     n = len(sets)
     length, label, a, b = np.array([len(s) for s in sets], np.int64), np.arange(n), [], []
@@ -362,7 +367,7 @@ def exact_links(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray,
     def alike(i: int, j: int) -> bool:
         x, y = (sets[i], sets[j]) if length[i] <= length[j] else (sets[j], sets[i])
         both = int((y[np.minimum(np.searchsorted(y, x), len(y) - 1)] == x).sum())
-        return both >= similarity * (len(x) + len(y) - both)
+        return both >= similarity * (len(x) + len(y) - both) - 1e-9
 
     def join(i: int, j: int) -> None:
         a.append(i)
@@ -371,11 +376,17 @@ def exact_links(sets: list[np.ndarray], similarity: float) -> tuple[np.ndarray,
 
     def possible(x: int, others: np.ndarray) -> np.ndarray:
         low, high = np.minimum(length[others], length[x]), np.maximum(length[others], length[x])
-        others = others[low >= similarity * high]
-        return others if n <= DIRECT else others[similar(bits[others], bits[x : x + 1], similarity)]
+        others = others[low >= similarity * high - 1e-9]
+        if n <= DIRECT:
+            return others
+        differing = np.bitwise_count(maps[others] ^ maps[x]).sum(axis=1)
+        return others[differing <= (1 - similarity) / (1 + similarity) * (length[others] + length[x]) + 1e-6]
 
     if n > DIRECT:
-        bits = np.array([sketch(s)[1] for s in sets])
+        maps = np.zeros((n, BITMAP), np.uint8)
+        for i, s in enumerate(sets):
+            maps[i, (s * np.uint64(0x9E3779B97F4A7C15)) >> np.uint64(64 - BITMAP.bit_length() + 1)] = 1
+        maps = np.packbits(maps, axis=1).view(np.uint64)
     rest = np.arange(n)
     while len(rest):
         x, rest = int(rest[0]), rest[1:]
@@ -431,6 +442,44 @@ def verified(texts: DataFrame, similarity: float, size: int) -> DataFrame:
     return parted.repartition("component", "part").sortWithinPartitions("component", "part", "digest").mapInArrow(run, "a binary, b binary")
 
 
+def loose_links(keyed: DataFrame, similarity: float, errors: tuple[float, float] = (LARGE_ERROR, SMALL_ERROR)) -> DataFrame:
+    """(a, b): links that connect what the sketches of a key's members call similar. keyed: (key, n, rep, bits, and fp where
+    fingerprints may discard); a key is cut into n portions, each two of which meet in a task of their own."""
+    own = F.pmod(F.xxhash64("rep"), F.col("n"))
+    meets = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda q: F.least(own, q) * F.col("n") + F.greatest(own, q))
+    with_fp = "fp" in keyed.columns
+    parted = keyed.select("key", F.explode(meets).alias("part"), "rep", "bits", *(["fp"] if with_fp else []))
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held_group, held = None, []
+
+        def close() -> Iterator[pa.RecordBatch]:
+            bits, rep = (np.concatenate([h[i] for h in held]) for i in range(2))
+            a, b = band_links(np.concatenate([h[2] for h in held]) if with_fp else None, bits, similarity, errors)
+            if len(a):
+                yield pa.RecordBatch.from_arrays([pa.array(rep[a], pa.binary()), pa.array(rep[b], pa.binary())], ["a", "b"])
+
+        for batch in batches:
+            key, part = batch.column("key").to_numpy(), batch.column("part").to_numpy()
+            fps = batch.column("fp").to_numpy().view(np.uint64) if with_fp else key
+            bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(-1, 8)
+            rep = np.array(batch.column("rep").to_pylist(), object)
+            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1).tolist(), len(key)]
+            for s, e in zip(cuts, cuts[1:], strict=False):
+                if s == e:
+                    continue
+                group = (key[s], part[s])
+                if group != held_group:
+                    if sum(len(h[0]) for h in held) > 1:
+                        yield from close()
+                    held_group, held = group, []
+                held.append((bits[s:e], rep[s:e], fps[s:e]))
+        if sum(len(h[0]) for h in held) > 1:
+            yield from close()
+
+    return parted.repartition("key", "part").sortWithinPartitions("key", "part", "rep").mapInArrow(compare, "a binary, b binary")
+
+
 def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, DataFrame]:
     """(doc_id, digest) of each row of docs, and (digest, component) of the digests that have similar ones.
 
@@ -458,39 +507,7 @@ def _alike(docs: DataFrame, similarity: float, size: int) -> tuple[DataFrame, Da
     bands = materialize(bands.select("key", F.ceil(F.col("count") / PORTION).alias("n")), "bands")
     n_blocks = bloom.size_for(bands.count())
     keyed = bloom.asked(distinct.select(F.explode("keys").alias("key"), F.col("digest").alias("rep"), "fp", "bits"), bloom.build(bands, n_blocks), n_blocks, admitted=True)
-    parted = keyed.join(bands, "key")
-    own = F.pmod(F.xxhash64("rep"), F.col("n"))
-    meets = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda q: F.least(own, q) * F.col("n") + F.greatest(own, q))
-    keyed = parted.select("key", F.explode(meets).alias("part"), "rep", "fp", "bits")
-
-    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held_group, held = None, []
-
-        def close() -> Iterator[pa.RecordBatch]:
-            fps, bits, rep = (np.concatenate([h[i] for h in held]) for i in range(3))
-            a, b = band_links(fps, bits, similarity)
-            if len(a):
-                yield pa.RecordBatch.from_arrays([pa.array(rep[a], pa.binary()), pa.array(rep[b], pa.binary())], ["a", "b"])
-
-        for batch in batches:
-            key, part, fps = batch.column("key").to_numpy(), batch.column("part").to_numpy(), batch.column("fp").to_numpy().view(np.uint64)
-            bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(-1, 8)
-            rep = np.array(batch.column("rep").to_pylist(), object)
-            cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1).tolist(), len(key)]
-            for s, e in zip(cuts, cuts[1:], strict=False):
-                if s == e:
-                    continue
-                group = (key[s], part[s])
-                if group != held_group:
-                    if sum(len(h[0]) for h in held) > 1:
-                        yield from close()
-                    held_group, held = group, []
-                held.append((fps[s:e], bits[s:e], rep[s:e]))
-        if sum(len(h[0]) for h in held) > 1:
-            yield from close()
-
-    sorted_bands = keyed.repartition("key", "part").sortWithinPartitions("key", "part", "rep")
-    loose = materialize(sorted_bands.mapInArrow(compare, "a binary, b binary"), "near-links")
+    loose = materialize(loose_links(keyed.join(bands, "key"), similarity), "near-links")
     maybe = connected_components(loose)
     drop_path(loose)
     drop_path(distinct)
