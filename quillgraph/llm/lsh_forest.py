@@ -8,7 +8,7 @@ share that. The members of a region are each other's candidates, and none is lef
 (1 - 0.8**6)**32 = 6e-5 in the most crowded ones.
 
 Equal sets are one candidate. In a region, sketches of 64 bytes discard pairs that lie five standard errors below the
-similarity; links of a spanning forest connect the rest. The texts of each group that is connected so are then compared
+similarity; links of a spanning forest connect the rest, unless the first trees have connected them already. The texts of each group that is connected so are then compared
 on their full sets, so only exact links are left.
 
 Defined cases: a text of one word is one shingle; a null or empty text, or one without words, has the empty set and is
@@ -33,6 +33,8 @@ from quillgraph.llm.components import connected_components
 from quillgraph.llm.simhash import BATCH_ROWS, BINS, PORTION, loose_links, shingle_hashes, verified
 
 TREES, SHALLOW, DEPTH, REGION = 32, 4, 6, 16
+#: Trees that are searched first; in the others, what these have connected isn't compared again.
+FIRST_TREES = 4
 #: Bits of a level in a label; a label is the tree's number and DEPTH levels.
 LEVEL = 9
 SIMILARITY, SHINGLE = 0.8, 2
@@ -104,17 +106,28 @@ def regions(labels: DataFrame) -> DataFrame:
     return materialize(whole, "regions")
 
 
+def spanning(groups: DataFrame) -> DataFrame:
+    """(a, b): a link of each node to its component."""
+    return groups.filter("node != component").select(F.col("node").alias("a"), F.col("component").alias("b"))
+
+
 def components(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHINGLE) -> DataFrame:
     """(doc_id, n_shingles, component_id) of each row of docs."""
     marked = materialize(marks(docs, size), "marks")
     distinct = materialize(marked.filter("digest is not null").groupBy("digest").agg(F.min("text_digest").alias("text_digest"), F.min("doc_id").alias("least"), F.first("labels").alias("labels"), F.first("bits").alias("bits")), "sets")
-    labels = distinct.select(F.explode("labels").alias("label"))
-    found = regions(labels)
-    n_blocks = bloom.size_for(found.count())
-    keys = F.flatten(F.transform("labels", lambda x: F.array(*[prefix(x, d) for d in range(SHALLOW, DEPTH + 1)])))
-    asked = bloom.asked(distinct.select(F.explode(keys).alias("key"), F.col("digest").alias("rep"), "bits"), bloom.build(found, n_blocks), n_blocks, admitted=True)
-    loose = materialize(loose_links(asked.join(found, "key"), similarity, ERRORS), "near-links")
-    groups = connected_components(loose)
+    groups, links = None, None
+    for trees in ((1, FIRST_TREES), (FIRST_TREES + 1, TREES)):
+        found = regions(distinct.select(F.explode(F.slice("labels", trees[0], trees[1] - trees[0] + 1)).alias("label")))
+        n_blocks = bloom.size_for(found.count())
+        keys = F.flatten(F.transform(F.slice("labels", trees[0], trees[1] - trees[0] + 1), lambda x: F.array(*[prefix(x, d) for d in range(SHALLOW, DEPTH + 1)])))
+        members = distinct.withColumn("known", F.col("digest"))
+        if groups is not None:
+            members = distinct.join(groups, F.col("digest") == F.col("node"), "left").withColumn("known", F.coalesce("component", "digest"))
+        asked = bloom.asked(members.select(F.explode(keys).alias("key"), F.col("digest").alias("rep"), "bits", "known"), bloom.build(found, n_blocks), n_blocks, admitted=True)
+        loose = loose_links(asked.join(found, "key"), similarity, ERRORS)
+        # of what a task finds again and again, each link is kept once
+        links = materialize((loose if links is None else loose.union(spanning(groups))).distinct(), "near-links")
+        groups = connected_components(links)
     # of the texts only those of these groups are shuffled
     grouped = materialize(distinct.join(groups, F.col("digest") == F.col("node")).select("digest", F.col("text_digest").alias("key"), "component"), "groups")
     n_blocks = bloom.size_for(grouped.count())
@@ -124,10 +137,10 @@ def components(docs: DataFrame, similarity: float = SIMILARITY, size: int = SHIN
     edges = materialize(verified(held, similarity, size), "near-links")
     nodes = connected_components(edges)
     drop_path(held)
-    drop_path(loose)
     named = distinct.select("digest", "least").join(nodes, F.col("digest") == F.col("node"), "left").select("digest", "least", F.coalesce("component", "digest").alias("component"))
     smallest = named.groupBy("component").agg(F.min("least").alias("component_id"))
-    of_set = materialize(named.join(smallest, "component").select(F.col("digest").alias("_digest"), "component_id"), "component-of")
+    of_set = looked_up(materialize(named, "components"), ["component"], smallest.withColumnRenamed("component", "_component"), ["_component"])
+    of_set = materialize(of_set.select(F.col("digest").alias("_digest"), "component_id"), "component-of")
     rows = looked_up(marked.select("doc_id", "n_shingles", "digest"), ["digest"], of_set, ["_digest"])
     return rows.select("doc_id", "n_shingles", F.when(F.col("digest").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 

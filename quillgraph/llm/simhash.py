@@ -283,13 +283,14 @@ def similar(others: np.ndarray, own: np.ndarray, similarity: float, errors: tupl
     return np.where(either <= SMALL, both >= (similarity - errors[1]) * either, agreeing >= similarity - errors[0])
 
 
-def band_links(fps: np.ndarray | None, bits: np.ndarray, similarity: float, errors: tuple[float, float] = (LARGE_ERROR, SMALL_ERROR)) -> tuple[np.ndarray, np.ndarray]:
+def band_links(fps: np.ndarray | None, bits: np.ndarray, similarity: float, errors: tuple[float, float] = (LARGE_ERROR, SMALL_ERROR), known: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray]:
     """Linked pairs (as indices) that connect whatever the members of a band are connected by, with no limit on members.
 
     A pair is linked if neither the pivot table nor the fingerprints (if any) discard it and the sketches are similar. A few members
     are compared pair by pair. More are grouped around leaders, each with all that are linked to it and to none before;
     then two groups that are still apart are searched for a link. Differing min-hash bits and the Jaccard distance of
     bitmaps are metrics, so the distances of members to leaders tell which groups, and which members, can have one.
+    Members of an equal `known` are connected already; no pair of them is looked at.
     """
     table = None if fps is None else np.bitwise_count(fps[:, None] ^ PIVOT_BITS).astype(np.int8)
 
@@ -310,24 +311,28 @@ def band_links(fps: np.ndarray | None, bits: np.ndarray, similarity: float, erro
         return np.broadcast_to(np.int64(y), x.shape)
 
     n = len(bits)
+    label = np.arange(n) if known is None else np.unique(known, return_inverse=True)[1]
     if n <= DIRECT:
         x, y = np.triu_indices(n, 1)
+        apart = label[x] != label[y]
+        x, y = x[apart], y[apart]
         ok = linked(x, y)
         return y[ok], x[ok]
     reach = (BINS * (1 - (similarity - errors[0])) / 2 + 1e-6, 1 - (similarity - errors[1]) + 1e-6)
     lead, members, radius, a, b = [], [], [], [], []
     rest = np.arange(n)
     while len(rest):
-        own = linked(rest, constant(rest[0], rest))
-        own[0] = True
+        same = label[rest] == label[rest[0]]
+        own = same | linked(rest, constant(rest[0], rest))
         lead.append(rest[0])
         members.append(rest[own])
         radius.append([d.max() for d in distances(members[-1], rest[0])])
-        a.append(members[-1][1:])
+        a.append(rest[own & ~same])
         b.append(constant(rest[0], a[-1]))
+        label[np.isin(label, label[a[-1]])] = label[rest[0]]
         rest = rest[~own]
     lead, radius, size = np.array(lead), np.array(radius), np.array([len(m) for m in members])
-    group = np.arange(len(lead))
+    group = label[lead]
 
     def border(i: int, c: int) -> np.ndarray:
         """Members of group i that may be linked to one of group c."""
@@ -443,19 +448,21 @@ def verified(texts: DataFrame, similarity: float, size: int) -> DataFrame:
 
 
 def loose_links(keyed: DataFrame, similarity: float, errors: tuple[float, float] = (LARGE_ERROR, SMALL_ERROR)) -> DataFrame:
-    """(a, b): links that connect what the sketches of a key's members call similar. keyed: (key, n, rep, bits, and fp where
-    fingerprints may discard); a key is cut into n portions, each two of which meet in a task of their own."""
+    """(a, b): links that connect what the sketches of a key's members call similar. keyed: (key, n, rep, bits, fp where
+    fingerprints may discard, known where members are connected already); a key is cut into n portions, each two of which
+    meet in a task of their own."""
     own = F.pmod(F.xxhash64("rep"), F.col("n"))
     meets = F.transform(F.sequence(F.lit(0).cast("long"), F.col("n") - 1), lambda q: F.least(own, q) * F.col("n") + F.greatest(own, q))
-    with_fp = "fp" in keyed.columns
-    parted = keyed.select("key", F.explode(meets).alias("part"), "rep", "bits", *(["fp"] if with_fp else []))
+    with_fp, with_known = "fp" in keyed.columns, "known" in keyed.columns
+    more = [c for c in ("fp", "known") if c in keyed.columns]
+    parted = keyed.select("key", F.explode(meets).alias("part"), "rep", "bits", *more)
 
     def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held_group, held = None, []
 
         def close() -> Iterator[pa.RecordBatch]:
-            bits, rep = (np.concatenate([h[i] for h in held]) for i in range(2))
-            a, b = band_links(np.concatenate([h[2] for h in held]) if with_fp else None, bits, similarity, errors)
+            bits, rep, fps, known = (np.concatenate([h[i] for h in held]) for i in range(4))
+            a, b = band_links(fps if with_fp else None, bits, similarity, errors, known if with_known else None)
             if len(a):
                 yield pa.RecordBatch.from_arrays([pa.array(rep[a], pa.binary()), pa.array(rep[b], pa.binary())], ["a", "b"])
 
@@ -464,6 +471,7 @@ def loose_links(keyed: DataFrame, similarity: float, errors: tuple[float, float]
             fps = batch.column("fp").to_numpy().view(np.uint64) if with_fp else key
             bits = np.frombuffer(b"".join(batch.column("bits").to_pylist()), np.uint64).reshape(-1, 8)
             rep = np.array(batch.column("rep").to_pylist(), object)
+            known = np.array(batch.column("known").to_pylist(), object) if with_known else rep
             cuts = [0, *(np.flatnonzero((key[1:] != key[:-1]) | (part[1:] != part[:-1])) + 1).tolist(), len(key)]
             for s, e in zip(cuts, cuts[1:], strict=False):
                 if s == e:
@@ -473,7 +481,7 @@ def loose_links(keyed: DataFrame, similarity: float, errors: tuple[float, float]
                     if sum(len(h[0]) for h in held) > 1:
                         yield from close()
                     held_group, held = group, []
-                held.append((bits[s:e], rep[s:e], fps[s:e]))
+                held.append((bits[s:e], rep[s:e], fps[s:e], known[s:e]))
         if sum(len(h[0]) for h in held) > 1:
             yield from close()
 
