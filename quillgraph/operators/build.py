@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.functions.text import snippet
+from quillgraph.operators.reach import Reach, below
 from quillgraph.operators.rules import blank_to_null, cascade, first_present
 
 # fixed values: words that make a category noise, title beginnings that are no articles, and those of lists
@@ -83,10 +84,10 @@ def instances(entities: DataFrame, cls: str, most: int = 5000) -> DataFrame:
     return entities.filter(F.array_contains("p31", cls)).orderBy("id").limit(most)
 
 
-def closure_instances(entities: DataFrame, closure: DataFrame, root: str, titles: DataFrame) -> DataFrame:
-    """(id, title): the entities of a class or of any class below it that have a title. closure (node, ancestor)."""
-    classes = closure.filter(F.col("ancestor") == root).select(F.col("node").alias("cls"))
-    classes = classes.union(closure.sparkSession.createDataFrame([(root,)], classes.schema)).distinct()
+def closure_instances(entities: DataFrame, index: Reach, root: str, titles: DataFrame) -> DataFrame:
+    """(id, title): the entities of a class or of any class below it that have a title. index: of the classes."""
+    wanted = titles.sparkSession.createDataFrame([(root,)], index.labels.select(F.col("node").alias("root")).schema)
+    classes = below(index, wanted).select(F.col("node").alias("cls")).union(wanted).distinct()
     member = entities.select("id", F.explode("p31").alias("cls")).join(classes, "cls", "left_semi").select("id").distinct()
     return member.join(titles, "id")
 

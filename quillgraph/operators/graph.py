@@ -2,31 +2,10 @@
 
 from __future__ import annotations
 
-import tempfile
-import uuid
-
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-_own: list[str] = []
-
-
-def settle(df: DataFrame) -> DataFrame:
-    """Cut the lineage of an iteration: a table in the folder of spark.checkpoint.dir. Where that is unset, a local session
-    has a temporary folder; on a cluster, whose executors don't share one, it is an error. The table goes when the driver
-    ends."""
-    spark = df.sparkSession
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder and not spark.sparkContext.master.startswith("local["):
-        raise RuntimeError("spark.checkpoint.dir must name a folder that all executors share")
-    if not folder:
-        _own[:] = _own or [tempfile.mkdtemp(prefix="quillgraph-")]
-        folder = "file://" + _own[0]
-    path = f"{folder.rstrip('/')}/rounds/{uuid.uuid4().hex}"
-    df.write.parquet(path)
-    written = spark._jvm.org.apache.hadoop.fs.Path(path)
-    written.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(written)
-    return spark.read.schema(df.schema).parquet(path)
+from quillgraph.operators.rounds import discard, settle
 
 
 def canonical_edges(edges: DataFrame) -> DataFrame:
@@ -52,14 +31,17 @@ def game_graph(canonical: DataFrame, target: str, generic: DataFrame | None = No
     return canonical.join(nodes.withColumnRenamed("node", "a"), "a", "left_semi").join(nodes.withColumnRenamed("node", "b"), "b", "left_semi").select("a", "b")
 
 
-def distances(canonical: DataFrame, start: str, most: int = 64) -> DataFrame:
-    """(node, dist) of unweighted shortest distances: one join, one anti join and one written table for each level."""
+def distances(canonical: DataFrame, start: str, plain: int = 16, most: int | None = None) -> DataFrame:
+    """(node, dist) of unweighted shortest distances, however far: one join, one anti join and one written table for each of
+    the first `plain` levels. What lies further out is a graph of long paths: they are contracted by doubling, and levels
+    are then counted on what is left. `most` is a distance beyond which there must be no node; if there is one, it is an
+    error."""
     spark = canonical.sparkSession
     both = settle(neighbours(canonical))
     front = spark.createDataFrame([(start, 0)], "node string, dist int")
     seen = front = settle(front)
     before = front.limit(0)
-    for d in range(1, most + 1):
+    for d in range(1, plain + 1):
         step = both.join(front.select("node"), "node").select(F.col("other").alias("node")).distinct()
         # edges lead both ways, so a neighbour that was seen before is of this level or the last
         near = front.union(before).select("node")
@@ -67,9 +49,53 @@ def distances(canonical: DataFrame, start: str, most: int = 64) -> DataFrame:
         if front.isEmpty():
             break
         seen = seen.union(front)
+    else:
+        seen = seen.union(_far(both, seen, front))
+    if most is not None and not seen.filter(F.col("dist") > most).isEmpty():
+        raise RuntimeError(f"nodes are further than {most}")
     return seen
 
 
+def _paths(half: DataFrame, inner: DataFrame) -> DataFrame:
+    """(node, first, end, steps): from each half (node, other) along inner nodes (node), which have two neighbours, to the first
+    node that is none. Each round doubles the steps; if none comes to an end by that, those left are on circles of inner nodes alone,
+    which end nowhere and are left out."""
+    mark = inner.select(F.col("node").alias("end"), F.lit(True).alias("open"))
+    paths = half.select("node", F.col("other").alias("first"), F.col("node").alias("came"), F.col("other").alias("end"), F.lit(1).alias("steps"))
+    paths = settle(paths.join(mark, "end", "left").withColumn("open", F.coalesce("open", F.lit(False))))
+    before, left = None, paths.filter("open").count()
+    while left and left != before:
+        on = paths.select(F.col("node").alias("end"), F.col("first").alias("n_first"), F.col("came").alias("n_came"), F.col("end").alias("n_end"), F.col("steps").alias("n_steps"), F.col("open").alias("n_open"))
+        longer = paths.filter("open").join(on, "end").filter("n_first != came")
+        longer = longer.select(F.col("n_end").alias("end"), "node", "first", F.col("n_came").alias("came"), (F.col("steps") + F.col("n_steps")).alias("steps"), F.col("n_open").alias("open"))
+        after = settle(paths.filter("not open").unionByName(longer))
+        discard(paths)
+        paths, before, left = after, left, after.filter("open").count()
+    return paths.filter("not open").select("node", "first", "end", "steps")
+
+
+def _far(both: DataFrame, seen: DataFrame, front: DataFrame) -> DataFrame:
+    """(node, dist) of the nodes beyond `front`, the last level of `seen`."""
+    done = seen.join(front.select("node"), "node", "left_anti").select("node")
+    ahead = both.join(done, "node", "left_anti").join(done.withColumnRenamed("node", "other"), "other", "left_anti").select("node", "other")
+    edge = front.select("node", F.lit(True).alias("own"))
+    ahead = ahead.join(edge, "node", "left").join(edge.select(F.col("node").alias("other"), F.col("own").alias("others")), "other", "left")
+    half = settle(ahead.filter("own is null or others is null").select("node", "other"))
+    inner = half.groupBy("node").count().filter("count = 2").select("node").join(front.select("node"), "node", "left_anti")
+    inner = settle(inner)
+    paths = settle(_paths(half, inner))
+    steps = settle(paths.join(inner, "node", "left_anti").filter("node != end").groupBy("node", "end").agg(F.min("steps").alias("steps")))
+    dist = changed = settle(front.select("node", "dist"))
+    while True:
+        reached = steps.join(changed, "node").groupBy(F.col("end").alias("node")).agg(F.min(F.col("dist") + F.col("steps")).alias("dist"))
+        changed = settle(reached.join(dist.withColumnRenamed("dist", "known"), "node", "left").filter("known is null or dist < known").select("node", "dist"))
+        if changed.isEmpty():
+            break
+        dist = settle(dist.union(changed).groupBy("node").agg(F.min("dist").alias("dist")))
+    between = paths.join(inner, "node", "left_semi").join(dist.withColumnRenamed("node", "end"), "end").groupBy("node").agg(F.min(F.col("dist") + F.col("steps")).alias("dist"))
+    return settle(dist.join(front.select("node"), "node", "left_anti").union(between))
+
+
 def crawl(edges: DataFrame, roots: list, noisy: DataFrame, most: int = 4) -> DataFrame:
     """(node, depth, parent, noise, path) of a breadth-first crawl over edges (parent, child) from the roots.
 
@@ -149,21 +175,6 @@ def nearest_root(parent: DataFrame, roots: DataFrame, depth: int = 6) -> DataFra
     return best.select("node", "best.kind", "best.dist")
 
 
-def closure(parent: DataFrame, depth: int = 64) -> DataFrame:
-    """Transitive (node, ancestor) pairs of parent (node, parent), a graph that may have several parents and circles: one
-    join and one written table for each level, in which only pairs that are new are followed."""
-    up = settle(parent.filter("parent is not null").select("node", F.col("parent").alias("ancestor")).distinct())
-    follow = up.select(F.col("node").alias("ancestor"), F.col("ancestor").alias("next"))
-    seen = front = up
-    for _ in range(depth - 1):
-        step = front.join(follow, "ancestor").select("node", F.col("next").alias("ancestor")).distinct()
-        front = settle(step.join(seen, ["node", "ancestor"], "left_anti"))
-        if front.isEmpty():
-            break
-        seen = seen.union(front)
-    return seen
-
-
 def co_mentions(mentions: DataFrame, most: int = 60) -> DataFrame:
     """(a, b, weight): hubs that share an entity of 2..most hubs, idf weighted. The bound is on the entity's own hubs and
     part of the definition; it is applied before the self join, so no entity makes over most**2 pairs."""

@@ -7,6 +7,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillgraph.operators.rounds import settle
+
 
 def blank_to_null(c: Column) -> Column:
     """Empty text counts as missing wherever a fallback follows."""
@@ -52,8 +54,8 @@ def last_wins(df: DataFrame, key: str, order: list[str]) -> DataFrame:
 
 def running(df: DataFrame, order: list, amount: Column) -> DataFrame:
     """df with `before`, the sum of amount over the rows before each in order, without one task for all rows: sums of
-    ranges first, then sums in them."""
-    ranged = df.withColumn("_amount", amount).repartitionByRange(*order).withColumn("_part", F.spark_partition_id())
+    ranges first, then sums in them. The ranged rows are written with their part, as both read them."""
+    ranged = settle(df.withColumn("_amount", amount).repartitionByRange(*order).withColumn("_part", F.spark_partition_id()))
     upto = Window.partitionBy("_part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
     local = ranged.withColumn("_own", F.coalesce(F.sum("_amount").over(upto), F.lit(0)))
     # a row for each part

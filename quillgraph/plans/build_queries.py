@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from quillgraph.functions import text as T
-from quillgraph.operators import build, exports, graph, layout, mentions, rules, service
+from quillgraph.operators import build, exports, graph, layout, mentions, reach, rules, service
 from quillgraph.plans.registry import _BFS, _POINTS, D, E, M, all_edges, base_mentions, part_tree, positions, query, runs
 from quillgraph.sources.tables import raw_mentions, table
 
@@ -90,7 +90,7 @@ def statement_instances(spark, sf):
 def closure_instances(spark, sf):
     entities = table(spark, sf, "lineitem").groupBy(F.col("l_orderkey").alias("id")).agg(F.collect_set("l_partkey").alias("p31"))
     titles = table(spark, sf, "orders").filter("o_orderkey % 3 > 0").select(F.col("o_orderkey").alias("id"), F.concat(F.lit("o"), F.col("o_orderkey").cast("string")).alias("title"))
-    return build.closure_instances(entities, graph.closure(part_tree(spark, sf)), 5, titles)
+    return build.closure_instances(entities, reach.reach_index(part_tree(spark, sf)), 5, titles)
 
 
 @query("SELECT p_partkey, coalesce(n_name, '') AS label FROM part LEFT JOIN nation ON p_size = n_nationkey WHERE starts_with(p_type, 'S')")

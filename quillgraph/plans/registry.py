@@ -8,7 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from quillgraph.functions import text as T
-from quillgraph.operators import board, exports, graph, layout, mentions, rules
+from quillgraph.operators import board, exports, graph, layout, mentions, reach, rules
 from quillgraph.sources.tables import Settings, raw_mentions, table
 from quillgraph.streaming import limits
 
@@ -242,7 +242,7 @@ def ancestor_chain(spark, sf):
 
 @query(f"WITH RECURSIVE {_TREE}, up AS (SELECT node, parent AS ancestor FROM tree WHERE parent IS NOT NULL UNION SELECT up.node, t.parent FROM up JOIN tree t ON t.node = up.ancestor WHERE t.parent IS NOT NULL) SELECT * FROM up")
 def class_closure(spark, sf):
-    return graph.closure(part_tree(spark, sf))
+    return reach.closure(part_tree(spark, sf))
 
 
 @query(f"WITH RECURSIVE {_TREE}, roots AS (SELECT * FROM (VALUES (1, 'person', 0), (2, 'work', 1), (5, 'place', 2), (9, 'event', 3)) AS r(root, kind, priority)), up AS (SELECT node, node AS spot, 0 AS dist FROM tree UNION SELECT up.node, t.parent, dist + 1 FROM up JOIN tree t ON t.node = up.spot WHERE t.parent IS NOT NULL AND dist < 6 AND up.spot NOT IN (SELECT root FROM roots)) SELECT node, arg_min(kind, (dist, priority)) AS kind, min(dist) AS dist FROM up JOIN roots ON spot = root GROUP BY 1")

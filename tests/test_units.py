@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from quillgraph.functions import text as T
-from quillgraph.operators import board, exports, graph, layout, rules
+from quillgraph.operators import board, exports, graph, layout, reach, rules
 from quillgraph.sources import tables
 from quillgraph.streaming import limits
 
@@ -192,9 +192,9 @@ def test_closure_of_a_large_tree_and_of_a_circle(spark):
         while node > last:
             depth, last = depth + 1, last * 8 + 7
         want += depth
-    assert graph.closure(tree).count() == want > 400_000
+    assert reach.closure(tree).count() == want > 400_000
     circle = spark.createDataFrame([("a", "b"), ("b", "c"), ("c", "a")], "node string, parent string")
-    assert graph.closure(circle).count() == 9
+    assert reach.closure(circle).count() == 9
 
 
 def test_communities_are_of_high_modularity(spark):
