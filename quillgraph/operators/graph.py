@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from quillgraph.operators.rounds import discard, settle
+from quillgraph.operators.rules import running
 
 
 def canonical_edges(edges: DataFrame) -> DataFrame:
@@ -120,16 +121,46 @@ def crawl(edges: DataFrame, roots: list, noisy: DataFrame, most: int = 4) -> Dat
 
 def crawl_roots(edges: DataFrame, roots: list[tuple[int, int]], noisy: DataFrame) -> DataFrame:
     """(node, root, depth, parent, noise) of crawls from (root, depth) pairs, in order: each has a depth of its own and
-    passes over what an earlier one has seen. A root without anything below it leaves its place to the next."""
-    seen = None
-    for root, most in roots:
-        below = edges if seen is None else edges.join(seen.select(F.col("node").alias("child")), "child", "left_anti").select("parent", "child")
-        found = crawl(below, [root], noisy, most).drop("path").withColumn("root", F.lit(root).cast("long"))
-        if seen is not None:
-            found = found.join(seen.select("node"), "node", "left_anti")
-        found = found.select("node", "root", "depth", "parent", "noise")
-        seen = settle(found if seen is None else seen.union(found))
-    return seen
+    passes over what an earlier one has seen. A root that an earlier one has seen is descended all the same.
+
+    All crawls advance together: a node's label is the smallest (crawl, depth) that a parent's label, or a root that the
+    parent is, leads to, and each round labels anew only the children of nodes whose label has changed. An earlier crawl that
+    arrives later takes a node away, and its children are labelled again, so rounds follow the depth, not the number of
+    roots. Then each depth's nodes of all crawls are ranked as their queues would be, by (parent's rank, node).
+    """
+    spark = edges.sparkSession
+    steps = settle(edges.filter("parent != child").distinct())
+    marked = settle(noisy.select("node", F.lit(True).alias("noise")).distinct())
+    # the callers' own list
+    sources = settle(spark.createDataFrame([(root, i, most) for i, (root, most) in enumerate(roots)], "node long, crawl int, most int"))
+    limits, own = F.broadcast(sources.select("crawl", "most")), sources.select("node", "crawl", F.lit(0).alias("depth"))
+    best = F.min(F.struct("crawl", "depth")).alias("label")
+    label = changed = settle(own.groupBy("node").agg(best).select("node", "label.*"))
+    descended = lambda df: df.join(limits, "crawl").filter("depth < most").join(marked, "node", "left_anti").select("node", "crawl", "depth")
+    from_roots = settle(own.join(limits, "crawl").filter("depth < most").select("node", "crawl", "depth"))
+    while not changed.isEmpty():
+        ends = descended(label).unionByName(from_roots).select(F.col("node").alias("parent"), "crawl", (F.col("depth") + 1).alias("depth"))
+        hit = steps.join(changed.select(F.col("node").alias("parent")).distinct(), "parent", "left_semi").select("child").distinct()
+        into = steps.join(hit, "child", "left_semi").join(ends, "parent").select(F.col("child").alias("node"), "crawl", "depth")
+        again = into.unionByName(own.join(hit.withColumnRenamed("child", "node"), "node", "left_semi")).groupBy("node").agg(best).select("node", "label.*")
+        hits = hit.withColumnRenamed("child", "node")
+        told = settle(hits.join(again, "node", "left").join(label.select("node", F.col("crawl").alias("c0"), F.col("depth").alias("d0")), "node", "left"))
+        changed = told.filter("not (crawl <=> c0 and depth <=> d0)").select("node", "crawl", "depth")
+        label = settle(label.join(told.select("node"), "node", "left_anti").unionByName(told.filter("crawl is not null").select("node", "crawl", "depth")))
+    rank = settle(from_roots.select("node", "crawl", F.col("crawl").cast("long").alias("rank")))
+    out = label.filter("depth = 0").select("node", "crawl", "depth", F.lit(None).cast("long").alias("parent"))
+    for depth in range(1, max((most for _, most in roots), default=0) + 1):
+        level = label.filter(F.col("depth") == depth).select(F.col("node").alias("child"), "crawl")
+        queue = rank.withColumnRenamed("node", "parent")
+        first = steps.join(level, "child").join(queue, ["parent", "crawl"]).groupBy("child", "crawl").agg(F.min(F.struct("rank", "parent")).alias("first"))
+        ranked = settle(running(first.select("crawl", "first.rank", "child", "first.parent"), ["crawl", "rank", "child"], F.lit(1)))
+        if ranked.isEmpty():
+            break
+        out = out.unionByName(ranked.select(F.col("child").alias("node"), "crawl", F.lit(depth).alias("depth"), "parent"))
+        rank = settle(descended(ranked.select(F.col("child").alias("node"), "crawl", F.lit(depth).alias("depth"))).join(ranked.select(F.col("child").alias("node"), F.col("before").cast("long").alias("rank")), "node").select("node", "crawl", "rank"))
+    named = out.join(F.broadcast(sources.select("crawl", F.col("node").alias("root"))), "crawl").join(marked, "node", "left")
+    # a root is descended, and so no noise, whatever its name
+    return named.select("node", "root", "depth", "parent", (F.coalesce("noise", F.lit(False)) & (F.col("depth") > 0)).alias("noise"))
 
 
 def first_with_members(names: list, members: DataFrame) -> DataFrame:
@@ -232,45 +263,100 @@ def modularity(both: DataFrame, label: DataFrame, resolution: float) -> float:
     return row["w_in"] / row["w"] - resolution * row["q"] / row["w"] ** 2 if row["w"] else 0.0
 
 
-def communities(pairs: DataFrame, resolution: float = 1.2, rounds: int = 12, levels: int = 4) -> DataFrame:
-    """(node, community) by modularity (Louvain): in each round every second node, by a hash that changes from round to
-    round, moves to the neighbouring community of most gain if that is positive; rounds end when modularity no longer
-    grows, and the best labels stay. Then communities become nodes, and so on until a level gains nothing. Ties go to
-    the smaller label, so the result is the same each time; a table is written each round.
+def components(both: DataFrame) -> DataFrame:
+    """(node, least): the smallest node that each reaches over both (node, other), edges in both directions. In each round a
+    node takes its neighbours' smallest label, and then that label's own, so labels come twice as far."""
+    label = settle(both.groupBy("node").agg(F.min("other").alias("m")).select("node", F.least("node", "m").alias("least")))
+    while True:
+        near = both.join(label.select(F.col("node").alias("other"), F.col("least").alias("m")), "other").groupBy("node").agg(F.min("m").alias("m"))
+        stepped = label.join(near, "node").select("node", F.col("least").alias("was"), F.least("least", "m").alias("least"))
+        jump = label.select(F.col("node").alias("least"), F.col("least").alias("further"))
+        after = settle(stepped.join(jump, "least").select("node", "was", F.least("least", "further").alias("least")))
+        if after.filter("was != least").isEmpty():
+            return label
+        label = after.select("node", "least")
+
+
+def connected(edges: DataFrame, label: DataFrame) -> DataFrame:
+    """label (node, community) with each community split into the parts that its own edges (node, other) connect."""
+    ends = edges.filter("node != other").select("node", "other").join(label, "node").join(label.select(F.col("node").alias("other"), F.col("community").alias("c2")), "other")
+    parts = components(settle(ends.filter("community = c2").select("node", "other")))
+    return settle(label.join(parts, "node", "left").select("node", F.coalesce("least", "node").alias("community")))
+
+
+def _moved(edges: DataFrame, label: DataFrame, strength: DataFrame, whole: float, resolution: float, strict: bool, salt: int) -> DataFrame:
+    """(node, community, moved): label after one round of moves to the neighbouring community of most gain.
+
+    Of neighbours that want to move only the one with the larger (gain, hash) does. Where `strict`, a community loses or gains
+    one node in a round, so that the gains add up exactly."""
+    size = label.join(strength, "node").groupBy("community").agg(F.sum("k").alias("total"))
+    near = edges.filter("node != other").join(label.select(F.col("node").alias("other"), "community"), "other").groupBy("node", "community").agg(F.sum("weight").alias("w"))
+    own = label.select("node", F.col("community").alias("now"))
+    # its own community is a choice too, also without an edge into it
+    choices = near.union(own.select("node", F.col("now").alias("community"), F.lit(0.0).alias("w"))).groupBy("node", "community").agg(F.sum("w").alias("w"))
+    rated = choices.join(own, "node").join(strength, "node").join(size, "community")
+    stays = F.col("community") == F.col("now")
+    gain = F.round(F.col("w") - resolution * F.col("k") * (F.col("total") - F.when(stays, F.col("k")).otherwise(0.0)) / whole, 9)
+    best = rated.withColumn("gain", gain).groupBy("node", "now").agg(F.min(F.struct((-F.col("gain")).alias("g"), (~stays).alias("m"), "community")).alias("b"), F.max(F.when(stays, F.col("gain"))).alias("stay"))
+    order = F.struct((-F.col("b.g") - F.col("stay")).alias("gain"), F.xxhash64("node", F.lit(salt)).alias("h"), "node")
+    wanting = settle(best.filter((F.col("b.community") != F.col("now")) & (-F.col("b.g") - F.col("stay") > 1e-8)).select("node", "now", F.col("b.community").alias("to"), order.alias("o")))
+    if strict:
+        most = wanting.select(F.explode(F.array("now", "to")).alias("c"), "o").groupBy("c").agg(F.max("o").alias("most"))
+        for c in ("now", "to"):
+            wanting = wanting.join(most.withColumnRenamed("c", c), c).filter("o = most").drop("most")
+    else:
+        rival = edges.join(wanting.select("node", "o"), "node").join(wanting.select(F.col("node").alias("other"), F.col("o").alias("o2")), "other").filter("o2 > o").select("node").distinct()
+        wanting = wanting.join(rival, "node", "left_anti")
+    return settle(label.join(wanting.select("node", "to"), "node", "left").select("node", F.coalesce("to", "community").alias("community"), F.col("to").isNotNull().alias("moved")))
+
 
-    pairs (a, b, weight), each pair once.
+def _settled_moves(edges: DataFrame, label: DataFrame, whole: float, resolution: float) -> tuple[DataFrame, float]:
+    """(label, modularity) once no move gains any more."""
+    strength = settle(edges.groupBy("node").agg(F.sum("weight").alias("k")))
+    quality, strict, salt = modularity(edges, label, resolution), False, 0
+    while True:
+        after, salt = _moved(edges, label, strength, whole, resolution, strict, salt), salt + 1
+        if after.filter("moved").isEmpty():
+            return label, quality
+        now = modularity(edges, after.drop("moved"), resolution)
+        if now > quality + 1e-9:
+            label, quality = after.drop("moved"), now
+        elif strict:
+            return label, quality
+        else:
+            # together, moves into one community may cost more than each by itself gains
+            strict = True
+
+
+def communities(pairs: DataFrame, resolution: float = 1.2) -> DataFrame:
+    """(node, community) by modularity (Louvain), each community connected: nodes move to the neighbouring community of most
+    gain, no two neighbours in the same round, until no move gains; communities that aren't connected are split, which gains
+    too; then communities become nodes, and so on. From the communities that this finds, nodes move again, until a whole
+    pass gains nothing. Ties go by a hash and the smaller label, so the result is the same each time.
+
+    pairs (a, b, weight), each pair once. A table is written each round.
     """
     both = settle(pairs.select(F.col("a").alias("node"), F.col("b").alias("other"), F.col("weight").cast("double").alias("weight")).union(pairs.select("b", "a", F.col("weight").cast("double"))))
-    found = settle(both.select("node", F.col("node").alias("community")).distinct())
     whole = both.agg(F.sum("weight")).first()[0] or 1.0
-    edges, reached = both, modularity(both, found, resolution)
-    for level in range(levels):
-        strength = settle(edges.groupBy("node").agg(F.sum("weight").alias("k")))
-        label = best = settle(edges.select("node", F.col("node").alias("community")).distinct())
-        quality, still = modularity(edges, label, resolution), 0
-        for r in range(rounds):
-            size = label.join(strength, "node").groupBy("community").agg(F.sum("k").alias("total"))
-            near = edges.filter("node != other").join(label.select(F.col("node").alias("other"), "community"), "other").groupBy("node", "community").agg(F.sum("weight").alias("w"))
-            own = label.select("node", F.col("community").alias("now"))
-            # its own community is a choice too, also without an edge into it
-            choices = near.union(own.select("node", F.col("now").alias("community"), F.lit(0.0).alias("w"))).groupBy("node", "community").agg(F.sum("w").alias("w"))
-            rated = choices.join(own, "node").join(strength, "node").join(size, "community")
-            rest = F.col("total") - F.when(F.col("community") == F.col("now"), F.col("k")).otherwise(0.0)
-            gain = F.round(F.col("w") - resolution * F.col("k") * rest / whole, 9)
-            chosen = rated.withColumn("gain", gain).groupBy("node").agg(F.min(F.struct((-F.col("gain")).alias("g"), (F.col("community") != F.col("now")).alias("m"), "community")).alias("b"))
-            turn = F.pmod(F.xxhash64("node", F.lit(level * rounds + r)), F.lit(2)) == 0
-            label = settle(label.join(chosen, "node").select("node", F.when(turn, F.col("b.community")).otherwise(F.col("community")).alias("community")))
-            now = modularity(edges, label, resolution)
-            still = 0 if now > quality + 1e-9 else still + 1
-            if now > quality + 1e-9:
-                quality, best = now, label
-            if still == 3:
+    found, reached = settle(both.select("node", F.col("node").alias("community")).distinct()), None
+    while True:
+        edges, label, names = both, found, None
+        while True:
+            label, _ = _settled_moves(edges, label, whole, resolution)
+            label = connected(edges, label)
+            if names is None:
+                names = label
+            else:
+                names = settle(names.join(label.select(F.col("node").alias("community"), F.col("community").alias("next")), "community").select("node", F.col("next").alias("community")))
+            outer = edges.join(label, "node").join(label.select(F.col("node").alias("other"), F.col("community").alias("c2")), "other")
+            joined = settle(outer.groupBy(F.col("community").alias("node"), F.col("c2").alias("other")).agg(F.sum("weight").alias("weight")))
+            if label.filter("node != community").isEmpty():
                 break
-        if quality <= reached + 1e-9:
+            edges = joined
+            label = settle(edges.select("node", F.col("node").alias("community")).distinct())
+        quality = modularity(both, names, resolution)
+        if reached is not None and quality <= reached + 1e-9:
             break
-        reached = quality
-        found = settle(found.join(best.select(F.col("node").alias("community"), F.col("community").alias("next")), "community").select("node", F.col("next").alias("community")))
-        outer = edges.join(best, "node").join(best.select(F.col("node").alias("other"), F.col("community").alias("c2")), "other")
-        edges = settle(outer.groupBy(F.col("community").alias("node"), F.col("c2").alias("other")).agg(F.sum("weight").alias("weight")))
+        found, reached = names, quality
     # a community's name is its smallest node
     return found.join(found.groupBy("community").agg(F.min("node").alias("least")), "community").select("node", F.col("least").alias("community"))

@@ -88,3 +88,107 @@ def test_distances_at_any_depth(spark):
     with pytest.raises(RuntimeError):
         graph.distances(frame, name(0), most=64)
     assert graph.distances(frame.limit(0), "alone").count() == 1
+
+
+def crawls_by_definition(edges, roots, noisy):
+    """A crawl after the other, each with a queue."""
+    children = defaultdict(list)
+    for p, c in sorted(set(edges)):
+        if p != c:
+            children[p].append(c)
+    seen, out = {}, []
+    for root, most in roots:
+        queue, own = deque([(root, 0, None, False)]), {root}
+        while queue:
+            node, depth, parent, noise = queue.popleft()
+            if node not in seen:
+                out.append((node, root, depth, parent, noise))
+            if depth < most and not noise:
+                for c in children[node]:
+                    if c not in seen and c not in own:
+                        own.add(c)
+                        queue.append((c, depth + 1, node, c in noisy))
+        seen |= dict.fromkeys(own)
+    return sorted(out, key=repr)
+
+
+@pytest.mark.parametrize("n,wanted", [(60, 9), (3000, 1000)])
+def test_crawls_of_many_roots(spark, n, wanted):
+    rng = np.random.default_rng(n)
+    edges = [(int(a), int(b)) for a, b in rng.integers(0, n, (3 * n // 2, 2))]
+    roots = [(int(r), int(d)) for r, d in zip(rng.permutation(n)[:wanted], rng.integers(0, 5, wanted), strict=True)] + [(0, 3)]
+    noisy = [int(x) for x in rng.integers(0, n, n // 10)]
+    frame, marks = spark.createDataFrame(edges, "parent long, child long"), spark.createDataFrame([(x,) for x in noisy], "node long")
+    got = graph.crawl_roots(frame, roots, marks).select("node", "root", "depth", "parent", "noise").collect()
+    assert sorted(map(tuple, got), key=repr) == crawls_by_definition(edges, roots, set(noisy))
+
+
+def quality(edges, label, resolution):
+    total, inside, strength = 2 * sum(w for *_, w in edges), 0.0, defaultdict(float)
+    for a, b, w in edges:
+        inside += 2 * w * (label[a] == label[b])
+        strength[label[a]] += w
+        strength[label[b]] += w
+    return inside / total - resolution * sum(k * k for k in strength.values()) / total**2
+
+
+def louvain_by_definition(edges, resolution):
+    """One node after the other, in order, then communities as nodes."""
+    names = {x: x for e in edges for x in e[:2]}
+    total = 2 * sum(w for *_, w in edges)
+    now = [(a, b, w) for a, b, w in edges]
+    while True:
+        near, k = defaultdict(lambda: defaultdict(float)), defaultdict(float)
+        for a, b, w in now:
+            k[a] += w
+            k[b] += w
+            if a != b:
+                near[a][b] += w
+                near[b][a] += w
+        label = {x: x for x in k}
+        size, moving = dict(k), True
+        while moving:
+            moving = False
+            for x in sorted(k):
+                size[label[x]] -= k[x]
+                to = defaultdict(float, {label[x]: 0.0})
+                for y, w in near[x].items():
+                    to[label[y]] += w
+                best = max(sorted(to), key=lambda c: (round(to[c] - resolution * k[x] * size[c] / total, 9), c == label[x]))
+                moving |= best != label[x]
+                label[x] = best
+                size[best] += k[x]
+        names = {x: label[c] for x, c in names.items()}
+        if len(set(label.values())) == len(label):
+            return names
+        sums = defaultdict(float)
+        for a, b, w in now:
+            sums[tuple(sorted((label[a], label[b])))] += w
+        now = [(a, b, w) for (a, b), w in sums.items()]
+
+
+def graphs():
+    rng = np.random.default_rng(2)
+    yield "cliques", [(f"n{c}{i}", f"n{c}{j}", 1.0) for c in range(6) for i in range(5) for j in range(i + 1, 5)] + [(f"n{c}0", f"n{(c + 1) % 6}1", 0.5) for c in range(6)]
+    yield "planted", [(f"p{a:02}", f"p{b:02}", float(rng.integers(1, 4))) for a in range(60) for b in range(a + 1, 60) if rng.random() < (0.5 if a % 4 == b % 4 else 0.05)]
+    at = rng.random((70, 2))
+    yield "near", [(f"g{a:02}", f"g{b:02}", 1.0) for a in range(70) for b in range(a + 1, 70) if ((at[a] - at[b]) ** 2).sum() < 0.03]
+
+
+@pytest.mark.parametrize("name,pairs", list(graphs()), ids=lambda x: x if isinstance(x, str) else "")
+def test_communities(spark, name, pairs):
+    got = {r.node: r.community for r in graph.communities(spark.createDataFrame(pairs, "a string, b string, weight double")).collect()}
+    assert set(got) == {x for e in pairs for x in e[:2]}
+    assert quality(pairs, got, 1.2) >= quality(pairs, louvain_by_definition(pairs, 1.2), 1.2) - 1e-9
+    for c in set(got.values()):
+        members = {x for x in got if got[x] == c}
+        assert min(members) == c and set(distances_by_definition([e[:2] for e in pairs if set(e[:2]) <= members], c)) == members
+
+
+def test_components_and_splits(spark):
+    edges = [(i, i + 1) for i in range(200)] + [(300, 301)]
+    both = spark.createDataFrame(edges + [(b, a) for a, b in edges], "node long, other long")
+    assert {(r.node, r.least) for r in graph.components(both).collect()} == {(i, 0) for i in range(201)} | {(300, 300), (301, 300)}
+    label = spark.createDataFrame([(i, i // 3 % 2) for i in range(201)] + [(300, 0), (301, 7)], "node long, community long")
+    got = {r.node: r.community for r in graph.connected(both, label).collect()}
+    assert got == {i: i // 3 * 3 for i in range(201)} | {300: 300, 301: 301}
