@@ -287,7 +287,7 @@ def connected(edges: DataFrame, label: DataFrame) -> DataFrame:
 def _moved(edges: DataFrame, label: DataFrame, strength: DataFrame, whole: float, resolution: float, strict: bool, salt: int) -> DataFrame:
     """(node, community, moved): label after one round of moves to the neighbouring community of most gain.
 
-    Of neighbours that want to move only the one with the larger (gain, hash) does. Where `strict`, a community loses or gains
+    Of neighbours that want to move only the one with the larger gain for its strength does, then by a hash. Where `strict`, a community loses or gains
     one node in a round, so that the gains add up exactly."""
     size = label.join(strength, "node").groupBy("community").agg(F.sum("k").alias("total"))
     near = edges.filter("node != other").join(label.select(F.col("node").alias("other"), "community"), "other").groupBy("node", "community").agg(F.sum("weight").alias("w"))
@@ -297,8 +297,8 @@ def _moved(edges: DataFrame, label: DataFrame, strength: DataFrame, whole: float
     rated = choices.join(own, "node").join(strength, "node").join(size, "community")
     stays = F.col("community") == F.col("now")
     gain = F.round(F.col("w") - resolution * F.col("k") * (F.col("total") - F.when(stays, F.col("k")).otherwise(0.0)) / whole, 9)
-    best = rated.withColumn("gain", gain).groupBy("node", "now").agg(F.min(F.struct((-F.col("gain")).alias("g"), (~stays).alias("m"), "community")).alias("b"), F.max(F.when(stays, F.col("gain"))).alias("stay"))
-    order = F.struct((-F.col("b.g") - F.col("stay")).alias("gain"), F.xxhash64("node", F.lit(salt)).alias("h"), "node")
+    best = rated.withColumn("gain", gain).groupBy("node", "now", "k").agg(F.min(F.struct((-F.col("gain")).alias("g"), (~stays).alias("m"), "community")).alias("b"), F.max(F.when(stays, F.col("gain"))).alias("stay"))
+    order = F.struct(F.round((-F.col("b.g") - F.col("stay")) / F.col("k"), 3).alias("gain"), F.xxhash64("node", F.lit(salt)).alias("h"), "node")
     wanting = settle(best.filter((F.col("b.community") != F.col("now")) & (-F.col("b.g") - F.col("stay") > 1e-8)).select("node", "now", F.col("b.community").alias("to"), order.alias("o")))
     if strict:
         most = wanting.select(F.explode(F.array("now", "to")).alias("c"), "o").groupBy("c").agg(F.max("o").alias("most"))
@@ -310,50 +310,57 @@ def _moved(edges: DataFrame, label: DataFrame, strength: DataFrame, whole: float
     return settle(label.join(wanting.select("node", "to"), "node", "left").select("node", F.coalesce("to", "community").alias("community"), F.col("to").isNotNull().alias("moved")))
 
 
-def _settled_moves(edges: DataFrame, label: DataFrame, whole: float, resolution: float) -> tuple[DataFrame, float]:
-    """(label, modularity) once no move gains any more."""
-    strength = settle(edges.groupBy("node").agg(F.sum("weight").alias("k")))
-    quality, strict, salt = modularity(edges, label, resolution), False, 0
+def _quality(edges: DataFrame, label: DataFrame, strength: DataFrame, whole: float, resolution: float) -> float:
+    """Modularity of label, as far as edges tell what lies inside; strength (node, k) is that of the whole graph."""
+    ends = edges.join(label, "node").join(label.select(F.col("node").alias("other"), F.col("community").alias("c2")), "other")
+    inside = ends.agg(F.sum(F.when(F.col("community") == F.col("c2"), F.col("weight")).otherwise(0.0)).alias("w"))
+    sizes = label.join(strength, "node").groupBy("community").agg(F.sum("k").alias("k")).agg(F.sum(F.col("k") ** 2).alias("q"))
+    row = inside.join(F.broadcast(sizes)).first()
+    return (row["w"] or 0.0) / whole - resolution * row["q"] / whole**2
+
+
+def _settled_moves(edges: DataFrame, label: DataFrame, strength: DataFrame, whole: float, resolution: float) -> DataFrame:
+    """label once no move along the edges gains any more."""
+    quality, strict, salt = _quality(edges, label, strength, whole, resolution), False, 0
     while True:
         after, salt = _moved(edges, label, strength, whole, resolution, strict, salt), salt + 1
         if after.filter("moved").isEmpty():
-            return label, quality
-        now = modularity(edges, after.drop("moved"), resolution)
+            return label
+        now = _quality(edges, after.drop("moved"), strength, whole, resolution)
         if now > quality + 1e-9:
             label, quality = after.drop("moved"), now
         elif strict:
-            return label, quality
+            return label
         else:
             # together, moves into one community may cost more than each by itself gains
             strict = True
 
 
 def communities(pairs: DataFrame, resolution: float = 1.2) -> DataFrame:
-    """(node, community) by modularity (Louvain), each community connected: nodes move to the neighbouring community of most
-    gain, no two neighbours in the same round, until no move gains; communities that aren't connected are split, which gains
-    too; then communities become nodes, and so on. From the communities that this finds, nodes move again, until a whole
-    pass gains nothing. Ties go by a hash and the smaller label, so the result is the same each time.
+    """(node, community) by modularity (Louvain), each community connected.
+
+    Nodes move to the neighbouring community of most gain, no two neighbours in the same round, until no move gains;
+    communities that aren't connected are split, which gains too; then communities become nodes, and so on until they stay
+    as they are. From the communities that this finds, the whole is passed through again, until a pass gains nothing. Ties
+    go by a hash and the smaller label, so the result is the same each time.
 
     pairs (a, b, weight), each pair once. A table is written each round.
     """
     both = settle(pairs.select(F.col("a").alias("node"), F.col("b").alias("other"), F.col("weight").cast("double").alias("weight")).union(pairs.select("b", "a", F.col("weight").cast("double"))))
     whole = both.agg(F.sum("weight")).first()[0] or 1.0
-    found, reached = settle(both.select("node", F.col("node").alias("community")).distinct()), None
+    single = lambda edges: settle(edges.select("node", F.col("node").alias("community")).distinct())
+    found, reached = single(both), None
     while True:
-        edges, label, names = both, found, None
+        edges, label, names = both, found, single(both)
         while True:
-            label, _ = _settled_moves(edges, label, whole, resolution)
-            label = connected(edges, label)
-            if names is None:
-                names = label
-            else:
-                names = settle(names.join(label.select(F.col("node").alias("community"), F.col("community").alias("next")), "community").select("node", F.col("next").alias("community")))
-            outer = edges.join(label, "node").join(label.select(F.col("node").alias("other"), F.col("community").alias("c2")), "other")
-            joined = settle(outer.groupBy(F.col("community").alias("node"), F.col("c2").alias("other")).agg(F.sum("weight").alias("weight")))
+            strength = settle(edges.groupBy("node").agg(F.sum("weight").alias("k")))
+            label = connected(edges, _settled_moves(edges, label, strength, whole, resolution))
             if label.filter("node != community").isEmpty():
                 break
-            edges = joined
-            label = settle(edges.select("node", F.col("node").alias("community")).distinct())
+            names = settle(names.join(label.select(F.col("node").alias("community"), F.col("community").alias("next")), "community").select("node", F.col("next").alias("community")))
+            outer = edges.join(label, "node").join(label.select(F.col("node").alias("other"), F.col("community").alias("c2")), "other")
+            edges = settle(outer.groupBy(F.col("community").alias("node"), F.col("c2").alias("other")).agg(F.sum("weight").alias("weight")))
+            label = single(edges)
         quality = modularity(both, names, resolution)
         if reached is not None and quality <= reached + 1e-9:
             break

@@ -1,12 +1,18 @@
-"""Positions: centroids, cluster summaries, separation, normalisation, placement and a force layout for small graphs."""
+"""Positions: centroids, cluster summaries, separation, normalisation, placement and a force layout."""
 
 from __future__ import annotations
 
+import math
+from collections.abc import Callable, Iterator
+from typing import NamedTuple
+
 import numpy as np
-import pandas as pd
+import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from quillgraph.operators.rounds import discard, settle
 from quillgraph.operators.rules import running
 
 
@@ -73,26 +79,169 @@ def within_clusters(pairs: DataFrame, label: DataFrame, inside: float = 5.0, bet
     return joined.select("a", "b", (F.col("weight") * F.when(F.col("ca") == F.col("cb"), inside).otherwise(between)).alias("weight"))
 
 
-def force_layout(edges: DataFrame, part: str, iterations: int = 200, scaling: float = 10.0, gravity: float = 1.0, slow: float = 3.0) -> DataFrame:
-    """(part, id, x, y): attraction along edges and repulsion by degree, for each part (a theme's skeleton of some
-    thousand nodes) on its own. edges (part, a, b, weight)."""
-
-    def run(own: pd.DataFrame) -> pd.DataFrame:
-        ids = pd.Index(sorted(set(own.a) | set(own.b)))
-        a, b, w = ids.get_indexer(own.a), ids.get_indexer(own.b), own.weight.to_numpy()
-        random = np.random.default_rng(7)
-        at, mass = random.uniform(-500, 500, (len(ids), 2)), np.bincount(np.r_[a, b], minlength=len(ids)) + 1.0
-        for _ in range(iterations):
-            force = -gravity * mass[:, None] * at / np.maximum(np.hypot(*at.T), 1e-9)[:, None]
-            for start in range(0, len(ids), 512):
-                gap = at[start : start + 512, None] - at[None]
-                square = np.maximum((gap**2).sum(-1), 1e-9)
-                force[start : start + 512] += (gap * (scaling * mass[start : start + 512, None] * mass[None] / square)[..., None]).sum(1)
-            pull = (at[b] - at[a]) * w[:, None]
-            np.add.at(force, a, pull)
-            np.add.at(force, b, -pull)
-            size = np.maximum(np.hypot(*force.T), 1e-9)
-            at = at + force / size[:, None] * np.minimum(size / (slow * mass), 20.0)[:, None]
-        return pd.DataFrame({"part": own.part.iloc[0], "id": ids, "x": at[:, 0], "y": at[:, 1]})
-
-    return edges.select(F.col(part).alias("part"), "a", "b", "weight").groupBy("part").applyInPandas(run, "part string, id string, x double, y double")
+class Pyramid(NamedTuple):
+    """Cells of a square by levels, 4**level at most, each level in Morton order: their masses, centres of mass and, for each,
+    where its cells of the next level begin and end. corner, side: of the square."""
+
+    corner: tuple[float, float]
+    side: float
+    codes: list[np.ndarray]
+    mass: list[np.ndarray]
+    centre: list[np.ndarray]
+    below: list[np.ndarray]
+
+
+def spread(v: np.ndarray) -> np.ndarray:
+    """The bits of numbers below 2**16, each with a zero before it."""
+    v = v.astype(np.uint64)
+    for shift, mask in ((8, 0x00FF00FF), (4, 0x0F0F0F0F), (2, 0x33333333), (1, 0x55555555)):
+        v = (v | (v << np.uint64(shift))) & np.uint64(mask)
+    return v
+
+
+def pyramid(corner: tuple[float, float], side: float, depth: int, cx: np.ndarray, cy: np.ndarray, mass: np.ndarray, at: np.ndarray) -> Pyramid:
+    """Of the occupied cells (cx, cy) of the finest level, their masses and mass-weighted sums of positions (n, 2)."""
+    code = spread(cx) | (spread(cy) << np.uint64(1))
+    order = np.argsort(code)
+    codes, masses, sums, below = [code[order]], [mass[order]], [at[order]], []
+    for _ in range(depth):
+        up, first = np.unique(codes[0] >> np.uint64(2), return_index=True)
+        below.insert(0, np.stack([first, np.append(first[1:], len(codes[0]))], axis=1))
+        codes.insert(0, up)
+        masses.insert(0, np.add.reduceat(masses[0], first))
+        sums.insert(0, np.add.reduceat(sums[0], first, axis=0))
+    return Pyramid(corner, side, codes, masses, [s / m[:, None] for s, m in zip(sums, masses, strict=True)], below)
+
+
+def _each(start: np.ndarray, end: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(which, place) for the places start[i] .. end[i] - 1 of every i."""
+    n = end - start
+    which = np.repeat(np.arange(len(n)), n)
+    return which, np.arange(len(which)) - np.repeat(np.cumsum(n) - n, n) + start[which]
+
+
+def repulsion(cells: Pyramid, own: np.ndarray, present: np.ndarray, mass: np.ndarray, theta: float, chunk: int = 256) -> np.ndarray:
+    """Sums of mass * gap / distance**2 that each of `own` (indices into present) feels: of a cell as a whole where its side is
+    under theta times its distance, of each node where even a finest cell isn't. present (n, 2): own nodes and all others
+    within `border(theta)` finest cells of them, with their mass."""
+    depth = len(cells.codes) - 1
+    cx, cy = np.clip((present - cells.corner) / cells.side * (1 << depth), 0, (1 << depth) - 1).astype(np.int64).T
+    code = spread(cx) | (spread(cy) << np.uint64(1))
+    order = np.argsort(code, kind="stable")
+    start, end = np.searchsorted(code[order], cells.codes[depth]), np.searchsorted(code[order], cells.codes[depth], "right")
+    out = np.zeros((len(own), 2))
+    for s in range(0, len(own), chunk):
+        x = present[own[s : s + chunk]]
+        node, cell = np.repeat(np.arange(len(x)), len(cells.codes[0])), np.tile(np.arange(len(cells.codes[0])), len(x))
+        for level in range(depth + 1):
+            gap = x[node] - cells.centre[level][cell]
+            square = (gap * gap).sum(axis=1)
+            far = (cells.side / (1 << level)) ** 2 < theta * theta * square
+            push = gap[far] * (cells.mass[level][cell[far]] / square[far])[:, None]
+            for axis in range(2):
+                out[s : s + chunk, axis] += np.bincount(node[far], push[:, axis], len(x))
+            node, cell = node[~far], cell[~far]
+            if level < depth:
+                which, cell = _each(cells.below[level][cell, 0], cells.below[level][cell, 1])
+                node = node[which]
+        which, place = _each(start[cell], end[cell])
+        node, other = node[which], order[place]
+        gap = x[node] - present[other]
+        square = (gap * gap).sum(axis=1)
+        # nodes in one place, the node itself among them, don't move each other
+        push = gap * (mass[other] / np.where(square > 0, square, np.inf))[:, None]
+        for axis in range(2):
+            out[s : s + chunk, axis] += np.bincount(node, push[:, axis], len(x))
+    return out
+
+
+def border(theta: float) -> int:
+    """Finest cells between a node and a node of a cell that isn't far from it, at most."""
+    return math.ceil(1 / theta) + 1
+
+
+#: Cells of the finest level, along a side at most: their table, which every task gets, has 2**(2 * DEEPEST) rows at most.
+DEEPEST, BLOCK = 8, 8
+
+
+def force_layout(edges: DataFrame, iterations: int = 2000, theta: float = 0.5, scaling: float = 10.0, gravity: float = 1.0, slow: float = 3.0, seed: int = 20260922, settled: float = 4e-3) -> DataFrame:
+    """(id, x, y): a layout of edges (a, b, weight), each once, by attraction along edges, repulsion by mass (one more than
+    the degree) and gravity, for so many iterations, or until nodes move less than `settled` of the mean radius.
+
+    An iteration sums the nodes in the cells of a quadtree (at most 4**DEEPEST rows, whatever the graph's size) and sends
+    each node to its block of cells and to the blocks it borders. There, far cells repel as a whole, and the nodes of near
+    cells each by themselves. Attraction is one join of the edges with the positions. How far a node moves is slowed by how
+    much its force swings. Begins anywhere between -500 and 500, by a hash of the id. No edges: no rows.
+    """
+    spark = edges.sparkSession
+    both = settle(edges.filter("a != b").select("a", "b", F.col("weight").cast("double").alias("weight")).select("weight", F.inline(F.array(F.struct(F.col("a").alias("id"), F.col("b").alias("other")), F.struct(F.col("b").alias("id"), F.col("a").alias("other"))))))
+    nodes = both.groupBy("id").agg((F.count("*") + 1.0).alias("mass"), F.sum("weight").alias("strength"))
+    place = lambda salt: (F.pmod(F.xxhash64("id", F.lit(seed + salt)), F.lit(1_000_003)) / 1_000_003.0 - 0.5) * 1000
+    zero = F.lit(0.0)
+    state = settle(nodes.select("id", "mass", "strength", place(0).alias("x"), place(1).alias("y"), zero.alias("fx"), zero.alias("fy"), zero.alias("swing"), zero.alias("traction"), zero.alias("moved")))
+    sums = [F.count("*").alias("n"), F.sum(F.col("mass") * F.col("swing")).alias("swing"), F.sum(F.col("mass") * F.col("traction")).alias("traction"), F.avg("moved").alias("moved"), F.avg(F.hypot("x", "y")).alias("radius")]
+    sums += [f(c).alias(f"{f.__name__}_{c}") for f in (F.min, F.max) for c in ("x", "y")]
+    schema = state.schema.simpleString().removeprefix("struct<").removesuffix(">").replace(":", " ")
+    speed = 1.0
+    for i in range(iterations):
+        now = state.agg(*sums).first()
+        if not now["n"] or i and now["moved"] < settled * now["radius"]:
+            break
+        if now["swing"] > 0:
+            speed = min(now["traction"] / now["swing"], 1.5 * speed)
+        side = max(now["max_x"] - now["min_x"], now["max_y"] - now["min_y"], 1e-6) * 1.0001
+        depth = min(DEEPEST, max(1, math.ceil(math.log(max(now["n"] / 4, 1), 4))))
+        cell = lambda c: F.floor((F.col(c) - F.lit(now[f"min_{c}"])) / side * (1 << depth))  # noqa: B023, E731
+        table = state.groupBy(cell("x").alias("cx"), cell("y").alias("cy")).agg(F.sum("mass").alias("m"), F.sum(F.col("mass") * F.col("x")).alias("sx"), F.sum(F.col("mass") * F.col("y")).alias("sy")).toPandas()
+        cells = pyramid((now["min_x"], now["min_y"]), side, depth, table.cx.to_numpy(), table.cy.to_numpy(), table.m.to_numpy(), table[["sx", "sy"]].to_numpy())
+        pull = both.join(state.select(F.col("id").alias("other"), F.col("x").alias("ox"), F.col("y").alias("oy")), "other").groupBy("id").agg(F.sum(F.col("weight") * F.col("ox")).alias("px"), F.sum(F.col("weight") * F.col("oy")).alias("py"))
+        reach = border(theta)
+        blocks = lambda c: F.sequence(F.greatest(F.floor((cell(c) - reach) / BLOCK), F.lit(0).cast("long")), F.floor((cell(c) + reach) / BLOCK))  # noqa: B023, E731
+        block = lambda bx, by: (bx * F.lit(1 << 20) + by).cast("long")
+        home = block(F.floor(cell("x") / BLOCK), F.floor(cell("y") / BLOCK))
+        sent = state.join(pull, "id").withColumn("home", home).withColumn("bx", F.explode(blocks("x"))).withColumn("block", F.explode(F.transform(blocks("y"), lambda by: block(F.col("bx"), by))))
+        move = _mover(spark.sparkContext.broadcast(cells), speed, theta, scaling, gravity, slow)
+        after = settle(sent.drop("bx").repartition("block").sortWithinPartitions("block").mapInArrow(move, schema))
+        discard(state)
+        state = after
+    return state.select("id", "x", "y")
+
+
+def _mover(shared: Broadcast, speed: float, theta: float, scaling: float, gravity: float, slow: float) -> Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]]:
+    """Moves the home nodes of each block, a run of rows."""
+
+    def close(rows: pa.Table) -> Iterator[pa.RecordBatch]:
+        column = lambda c: rows.column(c).to_numpy()
+        own = np.flatnonzero(column("home") == column("block"))
+        if not len(own):
+            return
+        present, mass = np.stack([column("x"), column("y")], axis=1), column("mass")
+        at, m = present[own], mass[own][:, None]
+        force = scaling * m * repulsion(shared.value, own, present, mass, theta)
+        force -= gravity * m * at / np.maximum(np.hypot(*at.T), 1e-9)[:, None]
+        force += np.stack([column("px"), column("py")], axis=1)[own] - column("strength")[own][:, None] * at
+        old = np.stack([column("fx"), column("fy")], axis=1)[own]
+        swing, traction, size = np.hypot(*(force - old).T), np.hypot(*(force + old).T) / 2, np.maximum(np.hypot(*force.T), 1e-9)
+        step = np.minimum(0.3 * speed / (1 + speed * np.sqrt(swing)), 30 / size) / slow
+        moved = force * step[:, None]
+        kept = rows.take(pa.array(own)).select(["id", "mass", "strength"]).combine_chunks().to_batches()[0]
+        more = {"x": at[:, 0] + moved[:, 0], "y": at[:, 1] + moved[:, 1], "fx": force[:, 0], "fy": force[:, 1], "swing": swing, "traction": traction, "moved": np.hypot(*moved.T)}
+        yield pa.RecordBatch.from_arrays([*kept.columns, *map(pa.array, more.values())], [*kept.schema.names, *more])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, held_block = [], None
+        for batch in batches:
+            block = batch.column("block").to_numpy()
+            cuts = [0, *(np.flatnonzero(block[1:] != block[:-1]) + 1).tolist(), len(block)]
+            for s, e in zip(cuts, cuts[1:], strict=False):
+                if s == e:
+                    continue
+                if block[s] != held_block and held:
+                    yield from close(pa.Table.from_batches(held))
+                    held = []
+                held.append(batch.slice(s, e - s))
+                held_block = block[s]
+        if held:
+            yield from close(pa.Table.from_batches(held))
+
+    return run

@@ -575,6 +575,13 @@ def crawl_roots(spark, sf):
     return graph.crawl_roots(edges, [(2, 2), (0, 2)], edges.select(F.col("child").alias("node")).limit(0)).select("node", "root", "depth")
 
 
+@query()
+def crawl_many_roots(spark, sf):
+    k, p = F.col("p_partkey"), table(spark, sf, "part")
+    edges = p.filter(k > 0).select(F.floor(k / 4).alias("parent"), k.alias("child")).union(p.filter(k % 3 == 1).select(F.floor(k / 7), k))
+    return graph.crawl_roots(edges, [(root, root % 4) for root in range(1000, 0, -1)], p.filter(F.col("p_name").contains("red")).select(k.alias("node")))
+
+
 @query("SELECT n_name AS name, c_custkey AS page FROM customer JOIN nation ON c_nationkey = n_nationkey WHERE n_name = 'NATION_7'")
 def first_language_with_members(spark, sf):
     c = table(spark, sf, "customer").join(table(spark, sf, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,11 +10,13 @@ from pyspark.sql import functions as F
 
 from quillgraph.functions import text as T
 from quillgraph.operators import board, exports, graph, layout, mentions, reach, rules
+from quillgraph.operators.rounds import settle
 from quillgraph.sources.tables import Settings, raw_mentions, table
 from quillgraph.streaming import limits
 
 #: What the queries are told; their SQL states the same numbers.
-SETTINGS = Settings()
+#: As the environment says, by names such as QUILLGRAPH_ITERATIONS.
+SETTINGS = Settings.read({k.removeprefix("QUILLGRAPH_"): v for k, v in os.environ.items() if k.startswith("QUILLGRAPH_")})
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 SQL: dict[str, str] = {}
 
@@ -245,6 +248,34 @@ def class_closure(spark, sf):
     return reach.closure(part_tree(spark, sf))
 
 
+_PARENTS = "parents AS (SELECT p_partkey AS node, p_partkey // 4 AS parent FROM part WHERE p_partkey > 0 UNION SELECT p_partkey, p_partkey // 7 FROM part WHERE p_partkey % 3 = 1 UNION SELECT 0, 5)"
+
+
+def part_parents(spark, sf):
+    """Two parents for a third of the parts, and a circle at the top."""
+    k, p = F.col("p_partkey"), table(spark, sf, "part")
+    two = p.filter(k > 0).select(k.alias("node"), F.floor(k / 4).alias("parent")).union(p.filter(k % 3 == 1).select(k, F.floor(k / 7)))
+    return two.union(spark.createDataFrame([(0, 5)], "node long, parent long"))
+
+
+@query(f"WITH RECURSIVE {_PARENTS}, up AS (SELECT node, parent AS ancestor FROM parents UNION SELECT up.node, p.parent FROM up JOIN parents p ON p.node = up.ancestor) SELECT * FROM up")
+def class_reach(spark, sf):
+    index = reach.reach_index(part_parents(spark, sf))
+    return reach.above(index, index.labels)
+
+
+@query(f"WITH RECURSIVE {_PARENTS}, below AS (SELECT DISTINCT p_size::BIGINT AS root, p_size::BIGINT AS node FROM part WHERE p_size IN (SELECT node FROM parents) UNION SELECT root, p.node FROM below b JOIN parents p ON p.parent = b.node) SELECT * FROM below")
+def classes_below(spark, sf):
+    return reach.below(reach.reach_index(part_parents(spark, sf)), table(spark, sf, "part").select(F.col("p_size").cast("long").alias("root")).distinct())
+
+
+@query(f"WITH RECURSIVE {_PARENTS}, up AS (SELECT node, parent AS ancestor FROM parents UNION SELECT up.node, p.parent FROM up JOIN parents p ON p.node = up.ancestor) SELECT l_partkey AS node, p_size::BIGINT AS ancestor, l_partkey = p_size OR EXISTS (FROM up WHERE node = l_partkey AND ancestor = p_size) AS reached FROM (SELECT DISTINCT l_partkey, p_size FROM lineitem JOIN part ON p_partkey = l_suppkey) WHERE l_partkey IN (SELECT node FROM parents)")
+def mention_reaches(spark, sf):
+    parents = part_parents(spark, sf)
+    m = table(spark, sf, "lineitem").join(table(spark, sf, "part"), F.col("p_partkey") == F.col("l_suppkey")).select(F.col("l_partkey").alias("node"), F.col("p_size").cast("long").alias("ancestor")).distinct()
+    return reach.reaches(reach.reach_index(parents), m.join(parents.select("node").distinct(), "node", "left_semi"))
+
+
 @query(f"WITH RECURSIVE {_TREE}, roots AS (SELECT * FROM (VALUES (1, 'person', 0), (2, 'work', 1), (5, 'place', 2), (9, 'event', 3)) AS r(root, kind, priority)), up AS (SELECT node, node AS spot, 0 AS dist FROM tree UNION SELECT up.node, t.parent, dist + 1 FROM up JOIN tree t ON t.node = up.spot WHERE t.parent IS NOT NULL AND dist < 6 AND up.spot NOT IN (SELECT root FROM roots)) SELECT node, arg_min(kind, (dist, priority)) AS kind, min(dist) AS dist FROM up JOIN roots ON spot = root GROUP BY 1")
 def nearest_root(spark, sf):
     roots = spark.createDataFrame([(1, "person", 0), (2, "work", 1), (5, "place", 2), (9, "event", 3)], "root long, kind string, priority int")
@@ -457,13 +488,14 @@ def histograms(spark, sf):
 
 @query()
 def communities(spark, sf):
-    return graph.communities(graph.strongest_neighbours(hub_pairs(spark, sf), SETTINGS.neighbours))
+    return graph.communities(settle(graph.strongest_neighbours(hub_pairs(spark, sf), SETTINGS.neighbours)))
 
 
 @query()
 def force_layout(spark, sf):
-    pairs = graph.normalized(graph.strongest_neighbours(hub_pairs(spark, sf), SETTINGS.neighbours))
-    return layout.force_layout(layout.within_clusters(pairs, communities(spark, sf), SETTINGS.inside, SETTINGS.between).withColumn("theme", F.substring("a", 2, 2)), "theme", iterations=100)
+    skeleton = settle(graph.strongest_neighbours(hub_pairs(spark, sf), SETTINGS.neighbours))
+    pairs = layout.within_clusters(graph.normalized(skeleton), graph.communities(skeleton), SETTINGS.inside, SETTINGS.between)
+    return layout.force_layout(pairs, SETTINGS.iterations, seed=SETTINGS.seed)
 
 
 _Q = "chr(39)"

@@ -6,7 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
-from quillgraph.operators import graph, reach
+from quillgraph.operators import graph, layout, reach
 
 
 def reached_by_definition(edges):
@@ -192,3 +192,88 @@ def test_components_and_splits(spark):
     label = spark.createDataFrame([(i, i // 3 % 2) for i in range(201)] + [(300, 0), (301, 7)], "node long, community long")
     got = {r.node: r.community for r in graph.connected(both, label).collect()}
     assert got == {i: i // 3 * 3 for i in range(201)} | {300: 300, 301: 301}
+
+
+def all_pairs(at, mass):
+    gap = at[:, None] - at[None]
+    square = (gap**2).sum(-1)
+    square[square == 0] = np.inf
+    return (gap * (mass[None] / square)[..., None]).sum(1), (mass[None] / np.sqrt(square)).sum(1)
+
+
+def cells_of(at, mass, depth):
+    corner, side = at.min(axis=0), max((at.max(axis=0) - at.min(axis=0)).max(), 1e-6) * 1.0001
+    cell = np.floor((at - corner) / side * (1 << depth)).astype(int)
+    found, which = np.unique(cell, axis=0, return_inverse=True)
+    sums = [np.bincount(which.reshape(-1), v) for v in (mass, mass * at[:, 0], mass * at[:, 1])]
+    return layout.pyramid(tuple(corner), side, depth, found[:, 0], found[:, 1], sums[0], np.stack(sums[1:], axis=1))
+
+
+@pytest.mark.parametrize("depth", [1, 3, 8])
+def test_repulsion_is_within_theta(depth):
+    rng = np.random.default_rng(depth)
+    at, mass = np.concatenate([rng.normal(size=(150, 2)) * 300, rng.normal(size=(50, 2)) * 0.01 + 900, [[5.0, 5.0]] * 3]), rng.integers(1, 9, 203) + 1.0
+    exact, scale = all_pairs(at, mass)
+    cells = cells_of(at, mass, depth)
+    assert np.allclose(layout.repulsion(cells, np.arange(203), at, mass, 1e-6), exact)
+    near = layout.repulsion(cells, np.arange(203), at, mass, 0.5)
+    # a cell of theta's size at most is off by theta / 2 of its force to the first order
+    assert (np.hypot(*(near - exact).T) <= 0.25 * scale).all() and np.hypot(*(near - exact).T).mean() < 0.01 * scale.mean()
+    # its neighbourhood is all that a node has to know
+    cell = np.clip((at - cells.corner) / cells.side * (1 << depth), 0, (1 << depth) - 1).astype(int)
+    for i in range(0, 203, 29):
+        around = np.flatnonzero((np.abs(cell - cell[i]) <= layout.border(0.5)).all(axis=1))
+        alone = layout.repulsion(cells, np.flatnonzero(around == i), at[around], mass[around], 0.5)
+        assert np.allclose(alone, near[i])
+
+
+def laid_out(a, b, w, at, steps, repulse):
+    """The layout with all nodes in one place, as its docstring has it."""
+    mass = np.bincount(np.r_[a, b], minlength=len(at)) + 1.0
+    old, swing, traction, speed = np.zeros_like(at), np.zeros(len(at)), np.zeros(len(at)), 1.0
+    for _ in range(steps):
+        if (mass * swing).sum() > 0:
+            speed = min((mass * traction).sum() / (mass * swing).sum(), 1.5 * speed)
+        force = 10 * mass[:, None] * repulse(at, mass) - mass[:, None] * at / np.maximum(np.hypot(*at.T), 1e-9)[:, None]
+        pull = (at[b] - at[a]) * w[:, None]
+        np.add.at(force, a, pull)
+        np.add.at(force, b, -pull)
+        swing, traction = np.hypot(*(force - old).T), np.hypot(*(force + old).T) / 2
+        at = at + force * np.minimum(0.1 * speed / (1 + speed * np.sqrt(swing)), 10 / np.maximum(np.hypot(*force.T), 1e-9))[:, None]
+        old = force
+    return at
+
+
+def planted(n, k, rng):
+    a, b = np.triu_indices(n, 1)
+    keep = rng.random(len(a)) < np.where(a % k == b % k, 0.3, 0.01)
+    return a[keep], b[keep], np.where(a[keep] % k == b[keep] % k, 5.0, 0.2)
+
+
+def test_layout_moves_as_by_all_pairs(spark, monkeypatch):
+    monkeypatch.setattr(layout, "BLOCK", 2)
+    a, b, w = planted(80, 4, np.random.default_rng(1))
+    edges = spark.createDataFrame([(f"n{x:02}", f"n{y:02}", float(z)) for x, y, z in zip(a, b, w, strict=True)] + [("n00", "n00", 9.0)], "a string, b string, weight double")
+    rows = lambda **k: np.array([(r.x, r.y) for r in sorted(layout.force_layout(edges, **k).collect())])
+    start = rows(iterations=0)
+    want = laid_out(a, b, w, start, 6, lambda at, mass: all_pairs(at, mass)[0])
+    assert len(start) == 80 and np.abs(start).max() <= 500
+    assert np.allclose(rows(iterations=6, theta=0.05), want, atol=1e-6)
+    assert np.hypot(*(rows(iterations=6) - want).T).mean() < 0.01 * np.hypot(*(want - start).T).mean()
+    assert layout.force_layout(edges.limit(0)).count() == 0
+    assert layout.force_layout(edges, settled=1e9).count() == 80
+
+
+def test_layout_separates_as_well_as_all_pairs():
+    rng = np.random.default_rng(2)
+    a, b, w = planted(200, 5, rng)
+    start = rng.uniform(-500, 500, (200, 2))
+
+    def separation(at):
+        c = np.arange(200) % 5
+        centre = np.stack([at[c == j].mean(axis=0) for j in range(5)])
+        return np.sqrt(((at - centre[c]) ** 2).sum() / ((at - at.mean(axis=0)) ** 2).sum())
+
+    exact = separation(laid_out(a, b, w, start, 250, lambda at, mass: all_pairs(at, mass)[0]))
+    near = separation(laid_out(a, b, w, start, 250, lambda at, mass: layout.repulsion(cells_of(at, mass, 3), np.arange(200), at, mass, 0.5)))
+    assert near <= exact + 0.01 < 0.15
