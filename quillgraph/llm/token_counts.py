@@ -142,20 +142,20 @@ class PrefixCounter:
         out[at:] = [total] * (len(text) - at)
         return out
 
-    def _table(self, piece: str) -> list[int]:
-        """Counts at the code points 1, 2, .. of the normalized piece."""
-        out, before, total = [], "", 0
-        for i, part in enumerate(self.special.split(piece)):
-            if i % 2 == 0:
-                counts = self._ordinary(part)
-                out += [total + c for c in counts]
-                before, total = part, total + (counts[-1] if counts else 0)
-            else:
+    def _table(self, piece: str, special: tuple[tuple[int, int], ...]) -> list[int]:
+        """Counts at the code points 1, 2, .. of the normalized piece, which has special tokens at these places."""
+        out, total, at = [], 0, 0
+        for start, end in [*special, (len(piece), len(piece))]:
+            before = piece[at:start]
+            counts = self._ordinary(before)
+            out += [total + c for c in counts]
+            if start < end:
                 # until it is whole, a special token's string goes on from the text before it
-                start = total - (self._ordinary(before)[-1] if before else 0)
-                inside = self._ordinary(before + part[:-1])[len(before) :]
-                total += 1
-                out += [*(start + c for c in inside), total]
+                inside = self._ordinary(before + piece[start : end - 1])[len(before) :]
+                out += [total + c for c in inside]
+                total += (counts[-1] if counts else 0) + 1
+                out.append(total)
+            at = end
         return out
 
     def _total(self, piece: str) -> int:
@@ -189,13 +189,21 @@ class PrefixCounter:
         return self.tokenizer.normalizer.normalize_str(text or "")
 
     def table(self, text: str | None) -> np.ndarray:
-        """Token counts of the normalized text's prefixes of 0, 1, .. code points."""
-        whole, steps, at = self.normalize(text), [np.zeros(1, "i4")], 0
-        own: dict[str, np.ndarray] = {}
+        """Token counts of the prefixes of 0, 1, .. code points of the text as the library reads it: special tokens are found in
+        the raw text, and what lies between them is normalized."""
+        parts = self.special.split(text or "")
+        parts[::2] = map(self.normalize, parts[::2])
+        ends = np.cumsum([len(p) for p in parts]).tolist()
+        found, whole, steps, at, k = list(zip(ends[::2], ends[1::2], strict=False)), "".join(parts), [np.zeros(1, "i4")], 0, 0
+        own: dict[tuple, np.ndarray] = {}
         for m in re.finditer("[^ ]+", whole):
-            if m[0] not in own:
-                own[m[0]] = np.diff(self._table(m[0]), prepend=0)
-            steps += [np.zeros(m.start() - at, "i4"), own[m[0]]]
+            first = k
+            while k < len(found) and found[k][0] < m.end():
+                k += 1
+            key = m[0], tuple((s - m.start(), e - m.start()) for s, e in found[first:k])
+            if key not in own:
+                own[key] = np.diff(self._table(*key), prepend=0)
+            steps += [np.zeros(m.start() - at, "i4"), own[key]]
             at = m.end()
         steps.append(np.zeros(len(whole) - at, "i4"))
         return np.concatenate(steps).cumsum()

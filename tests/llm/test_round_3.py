@@ -12,8 +12,8 @@ import numpy as np
 import pytest
 from test_operators import AWKWARD, BASE, SCHEMA
 
-from quillgraph.llm import common, lsh_forest, prefix_trie, simhash, vector_codes
-from quillgraph.llm.registry import QUERIES, SQL
+from quillgraph.llm import common, lsh_forest, prefix_trie, simhash, token_counts, vector_codes
+from quillgraph.llm.registry import QUERIES, SQL, WORD_BPE
 
 SF = "/root/testdata/sf0.001"
 
@@ -217,3 +217,15 @@ def test_bounds_prune_and_hold():
         shift = np.array(vector_codes.moved([entries.tolist()], [after.tolist()])[0])
         upper[:], lower[:], entries = vector_codes.above(upper + shift[code]), vector_codes.below(lower - shift), after
     assert taken[0] < 16 * len(x) and taken[-1] < 0.3 * 16 * len(x)
+
+
+def test_prefix_tables_end_with_the_count_of_the_raw_text(spark):
+    from tokenizers import Tokenizer
+
+    t, own, rng = Tokenizer.from_file(WORD_BPE), token_counts.PrefixCounter(WORD_BPE), np.random.default_rng(9)
+    parts = ["a", "Don't", " ", "<|ENDOFTEXT|>", "<|endoftext|>", "<|EndOf", "<|endof", "text|>", "TEXT|>", "<|startoftext|>", "<|", "|>", "é", "E\u0301", "İ", "1234", "\n", "\t", "日本", "'LL", "\u0301"]
+    texts = ["<|ENDOFTEXT|>", "x<|ENDOFTEXT|><|endoftext|>y", *("".join(rng.choice(parts, rng.integers(0, 10))) for _ in range(3000))]
+    want = [len(t.encode(x, add_special_tokens=False).ids) for x in texts]
+    assert [int(own.table(x)[-1]) for x in texts] == want
+    frame = spark.createDataFrame([(i, x) for i, x in enumerate(texts[:60])], "doc_id long, text string")
+    assert all(r.prefix_tokens[-1] == r.n_tokens == want[r.doc_id] for r in token_counts.count_tokens(frame, WORD_BPE, 3, store=True).collect())
