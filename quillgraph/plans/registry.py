@@ -649,4 +649,4 @@ def summary_export(spark, sf):
     return table(spark, sf, "documents").filter(rules.blank_to_null(F.col("text")).isNotNull()).join(good, "doc_id", "left_semi").select("doc_id", "text")
 
 
-from quillgraph.plans import build_queries  # noqa: E402, F401  adds its queries
+from quillgraph.plans import build_queries, index_queries  # noqa: E402, F401  add their queries
