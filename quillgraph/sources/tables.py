@@ -10,7 +10,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition
+from pyspark.sql.datasource import DataSource, DataSourceReader, DataSourceStreamReader, InputPartition
 from pyspark.sql.types import StructType
 
 
@@ -106,6 +106,13 @@ def fetch_with_retries(get: Callable[[], str], tries: int = 8, sleep: Callable[[
     raise AssertionError
 
 
+def captured(folder: str, key: str, page: str, pace: Callable[[], None]) -> tuple[list[tuple], str | None]:
+    """The rows of a captured page, and the token of the page after it, null after the last."""
+    with open(f"{folder}/{key}.{page}.json", encoding="utf-8") as f:
+        body = json.loads(fetch_with_retries(f.read, pace=pace))
+    return [(key, r["title"], int(r["ns"])) for r in body["members"] if r["ns"] in (0, 14)], body.get("continue")
+
+
 class PagedReader(DataSourceReader):
     def __init__(self, schema: StructType, options: dict):
         self.pages, self.batch = options["pages"], int(options.get("batch", 50))
@@ -119,16 +126,56 @@ class PagedReader(DataSourceReader):
         for key in partition.keys:
             page: str | None = "0"
             while page is not None:
-                with open(f"{self.pages}/{key}.{page}.json", encoding="utf-8") as f:
-                    body = json.loads(fetch_with_retries(f.read, pace=pace))
-                yield from ((key, r["title"], int(r["ns"])) for r in body["members"] if r["ns"] in (0, 14))
-                page = body.get("continue")
+                rows, page = captured(self.pages, key, page, pace)
+                yield from rows
+
+
+@dataclass
+class Span(InputPartition):
+    key: str
+    first: str
+    end: str | None
+
+
+class PagedStreamReader(DataSourceStreamReader):
+    """The same pages as a stream whose offset is each key's next page, null once it is through. In a micro-batch up to
+    `batch` keys go on by one page, so a crawl that breaks goes on at the page where it stopped, and reads no rows again but
+    those of the batch that broke. The driver reads a page for the token of the one after it, executors for its rows."""
+
+    def __init__(self, options: dict):
+        self.pages, self.batch, self.gap = options["pages"], int(options.get("batch", 50)), float(options.get("gap", 0))
+        self.keys, self.pace, self.at = [k for k in options.get("keys", "").split("|") if k], Pace(self.gap), None
+
+    def initialOffset(self) -> dict:
+        return dict.fromkeys(self.keys, "0")
+
+    def latestOffset(self) -> dict:
+        # a key that was added since the stream began starts at its first page
+        at = self.initialOffset() | (self.at or {})
+        for key in [k for k, page in at.items() if page is not None][: self.batch]:
+            at[key] = captured(self.pages, key, at[key], self.pace)[1]
+        self.at = at
+        return at
+
+    def partitions(self, start: dict, end: dict) -> list[Span]:
+        # a stream that starts again first plans its last batch, which says where it was
+        self.at = end if self.at is None else self.at
+        return [Span(k, start.get(k, "0"), page) for k, page in end.items() if start.get(k, "0") != page]
+
+    def read(self, partition: Span) -> Iterator[tuple]:
+        page, pace = partition.first, Pace(self.gap)
+        while page is not None and page != partition.end:
+            rows, page = captured(self.pages, partition.key, page, pace)
+            yield from rows
+
+    def commit(self, end: dict) -> None:
+        pass
 
 
 class PagedSource(DataSource):
-    """Captured responses `<key>.<page>.json` in a folder, followed through their continuation tokens.
+    """Captured responses `<key>.<page>.json` in a folder, followed through their continuation tokens, as a table or a stream.
 
-    Options: pages (folder), keys (joined by |), batch (keys in a partition), gap (seconds between pages).
+    Options: pages (folder), keys (joined by |), batch (keys in a partition or micro-batch), gap (seconds between pages).
     """
 
     @classmethod
@@ -140,3 +187,6 @@ class PagedSource(DataSource):
 
     def reader(self, schema: StructType) -> PagedReader:
         return PagedReader(schema, self.options)
+
+    def streamReader(self, schema: StructType) -> PagedStreamReader:
+        return PagedStreamReader(self.options)
