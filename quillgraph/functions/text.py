@@ -150,7 +150,13 @@ def cut_sentence(c: Column, n: int = 900) -> Column:
 
 @F.pandas_udf(StringType())
 def fold_accents(s: pd.Series) -> pd.Series:
-    return s.map(lambda x: None if x is None else "".join(c for c in unicodedata.normalize("NFD", x) if unicodedata.category(c) != "Mn"))
+    def fold(x: str | None) -> str | None:
+        if x is None or x.isascii():
+            return x
+        x = unicodedata.normalize("NFD", x)
+        return x.translate(dict.fromkeys(ord(c) for c in set(x) if unicodedata.category(c) == "Mn"))
+
+    return s.map(fold)
 
 
 def slug(title: Column, node_id: Column) -> Column:

@@ -29,6 +29,18 @@ def test_substrings(spark):
     assert substrings.search(*nothing, spark.createDataFrame(needles, "key string, needle string")).count() == 0
 
 
+def test_substrings_of_many_documents(spark):
+    """Needles of common grams: what is sent is a row for a segment's gram, not one for each posting or candidate."""
+    rng = random.Random(7)
+    docs = [(i // 2, " ".join(rng.choice(("the", "then", "these", "ⱥthé", "othe")) for _ in range(30))) for i in range(600)]
+    postings, texts = substrings.index(spark.createDataFrame(docs, "id long, text string"))
+    assert postings.count() * 4 < postings.select(F.explode("id")).count()
+    assert texts.groupBy("id").agg(F.count_distinct("segment").alias("n")).filter("n > 1").isEmpty()
+    needles = [(n, n) for n in ("then the", "e o", "these these then", "héth")]
+    found = substrings.search(postings, texts, spark.createDataFrame(needles, "key string, needle string"))
+    assert sorted((r.key, r.id) for r in found.collect()) == sorted({(k, i) for k, n in needles for i, t in docs if plain(n) in plain(t)})
+
+
 def plain_board(runs):
     best = {}
     for i, lvl, nick, score, moves, secs, _ in runs:
